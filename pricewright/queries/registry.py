@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pricewright.queries import selection
+from pricewright.queries import pricing, selection
 
-FAMILIES = [selection]
+FAMILIES = [selection, pricing]
 
 
 def queries() -> dict:

@@ -321,14 +321,14 @@ def two_pass_lookup(spark, sf):
 
 @query(
     "anti_join_backfill",
-    """
+    tidy_sql("""
     WITH t AS (SELECT o_custkey AS k, CAST(year(o_orderdate) AS INTEGER) AS y, sum(CAST(o_totalprice AS DECIMAL(18,4))) AS target
                FROM orders WHERE o_totalprice > 400000 GROUP BY ALL),
          w AS (SELECT DISTINCT o_custkey AS k, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders)
-    SELECT k, y, round(CAST(target AS DOUBLE), 6) AS target FROM t
+    SELECT k, y, target FROM t
     UNION ALL
-    SELECT k, y, 0.0 FROM w WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.k = w.k AND t.y = w.y)
-    """,
+    SELECT k, y, 0 FROM w WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.k = w.k AND t.y = w.y)
+    """, ["k", "y"], ["target"]),
 )
 def anti_join_backfill(spark, sf):
     order = table(spark, sf, "orders").select(
@@ -388,12 +388,12 @@ def view_filter(spark, sf):
 
 @query(
     "typed_distinct_items",
-    """
+    tidy_sql("""
     SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS order_number, CAST(l_linenumber AS VARCHAR) AS item_number,
-           CAST(CAST(l_extendedprice AS DECIMAL(19,6)) AS DOUBLE) AS net_value,
-           CAST(CAST(l_quantity AS DECIMAL(19,6)) AS DOUBLE) AS quantity
+           CAST(l_extendedprice AS DECIMAL(19,6)) AS net_value,
+           CAST(l_quantity AS DECIMAL(19,6)) AS quantity
     FROM lineitem
-    """,
+    """, ["order_number", "item_number"], ["net_value", "quantity"]),
 )
 def typed_distinct_items(spark, sf):
     view = table(spark, sf, "lineitem")

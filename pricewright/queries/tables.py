@@ -38,9 +38,10 @@ def merged_org_sql(col: str = "o_orderpriority") -> str:
 
 
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Decimals as doubles and doubles rounded, so that both engines print the same value."""
+    """Decimals as doubles, and doubles rounded by plain arithmetic that is the same in both engines."""
+    scale = float(10**digits)
     changed = {
-        f.name: F.round(F.col(f.name).cast("double"), digits) + F.lit(0.0)
+        f.name: F.floor(F.col(f.name).cast("double") * scale + 0.5) / scale
         for f in df.schema.fields
         if isinstance(f.dataType, (DecimalType, DoubleType))
     }
@@ -48,10 +49,22 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def tidy_sql(sql: str, plain: list[str], numbers: list[str], digits: int = 6) -> str:
-    cols = [*plain, *[f"round(CAST({c} AS DOUBLE), {digits}) + 0.0 AS {c}" for c in numbers]]
+    scale = f"1e{digits}"
+    cols = [
+        *plain,
+        *[
+            f"CAST(floor(CAST({c} AS DOUBLE) * {scale} + 0.5::DOUBLE) AS BIGINT) / {scale} AS {c}"
+            for c in numbers
+        ],
+    ]
     return f"SELECT {', '.join(cols)} FROM ({sql}) AS t"
 
 
+def half_up(expr: str, digits: int) -> str:
+    """SQL text of Spark's round(): half up on the printed digits of the double."""
+    return f"CAST(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(30,{digits})) AS DOUBLE)"
+
+
 # --- lines: one row per line item with its order -------------------------------------------
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:

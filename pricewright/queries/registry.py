@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pricewright.queries import pricing, selection
+from pricewright.queries import margins, pricing, selection, targets
 
-FAMILIES = [selection, pricing]
+FAMILIES = [selection, pricing, margins, targets]
 
 
 def queries() -> dict:

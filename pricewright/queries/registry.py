@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pricewright.queries import margins, pricing, selection, targets
+from pricewright.queries import assembly, margins, pricing, selection, targets
 
-FAMILIES = [selection, pricing, margins, targets]
+FAMILIES = [selection, pricing, margins, targets, assembly]
 
 
 def queries() -> dict:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricewright import values
-from pricewright.functions.numbers import column, exact_mean, ratio
+from pricewright.functions.numbers import column, exact_mean, ratio, total
 from pricewright.operators.joins import backfill, shift_month
 
 
@@ -67,13 +67,13 @@ def allocate_forecast(
 
     Known branches add up to the plan again, per parent.
     """
-    plans = forecast.groupBy(*parent).agg(F.sum(plan).alias("plan"))
+    plans = forecast.groupBy(*parent).agg(total(plan).alias("plan"))
     sites = branches.select(state, branch).where(F.col(branch).isNotNull()).distinct()
     n_sites = sites.groupBy(state).agg(F.count(F.lit(1)).alias("n_branches"))
 
-    sold = actuals.groupBy(*parent, branch).agg(F.sum(volume).alias("qty_branch"))
+    sold = actuals.groupBy(*parent, branch).agg(total(volume).alias("qty_branch"))
     known = sold.where(F.col(branch) != unknown)
-    state_volume = known.groupBy(*parent).agg(F.sum("qty_branch").alias("qty_state"))
+    state_volume = known.groupBy(*parent).agg(total("qty_branch").alias("qty_state"))
 
     # One row per (plan, branch of its state): exactly the rows the result has to hold.
     spread = (
@@ -87,17 +87,13 @@ def allocate_forecast(
         *parent,
         branch,
         F.when(F.col("qty_state").isNull() | F.col("qty_branch").isNotNull(), F.col("plan"))
-        .otherwise(F.lit(0))
-        .cast("double")
+        .otherwise(F.lit(0.0))
         .alias("pv_budget"),
-        F.coalesce("qty_branch", F.lit(0)).cast("double").alias("qty_branch"),
-        F.when(F.col("qty_branch").isNotNull(), F.col("qty_state"))
-        .otherwise(F.lit(0))
-        .cast("double")
-        .alias("qty_state"),
+        F.coalesce("qty_branch", F.lit(0.0)).alias("qty_branch"),
+        F.when(F.col("qty_branch").isNotNull(), F.col("qty_state")).otherwise(F.lit(0.0)).alias("qty_state"),
         share.alias("perc_vol"),
         F.when(F.col("qty_state").isNull(), ratio("plan", "n_branches"))
-        .otherwise(F.col("plan").cast("double") * share)
+        .otherwise(F.col("plan") * share)
         .alias("pv_done"),
     )
     # Branches that sold without any plan, and sales without a known branch.
@@ -111,8 +107,8 @@ def allocate_forecast(
                 *parent,
                 branch,
                 F.lit(0.0).alias("pv_budget"),
-                F.col("qty_branch").cast("double").alias("qty_branch"),
-                F.col("qty_state").cast("double").alias("qty_state"),
+                "qty_branch",
+                "qty_state",
                 share.alias("perc_vol"),
                 F.lit(0.0).alias("pv_done"),
             )
@@ -143,8 +139,8 @@ def forecast_vs_actual(
     revenue less next month's, ``rlv_diff_mean`` its mean per key. Keys and months only in the
     budget or only in the plan are left out (inner join on the budget).
     """
-    plans = plan.groupBy(*keys, month).agg(F.sum(volume).alias("volume"))
-    sold = actual.groupBy(*keys, month).agg(*[F.sum(c).alias(f"{c}_sold") for c in sales])
+    plans = plan.groupBy(*keys, month).agg(total(volume).alias("volume"))
+    sold = actual.groupBy(*keys, month).agg(*[total(c).alias(f"{c}_sold") for c in sales])
     both = plans.join(sold, [*keys, month], "left")
     carried = ["volume", *[f"{c}_sold" for c in sales]]
     nxt = shift_month(both, keys, month, carried, "_next").withColumns(
@@ -154,7 +150,7 @@ def forecast_vs_actual(
         }
     )
     trend = nxt.groupBy(*keys).agg(exact_mean("rlv_diff").alias("rlv_diff_mean"))
-    goals = budget.groupBy(*keys, month).agg(*[F.sum(c).alias(f"{c}_budget") for c in budget_cols])
+    goals = budget.groupBy(*keys, month).agg(*[total(c).alias(f"{c}_budget") for c in budget_cols])
     return nxt.join(trend, keys).join(goals, [*keys, month])
 
 

@@ -11,7 +11,7 @@ from pricewright.functions.codes import yes_no
 from pricewright.functions.dates import (
     days_elapsed, days_remaining, iso_week, iso_year, month_start, same_month,
 )
-from pricewright.functions.numbers import exact_mean, number, ratio
+from pricewright.functions.numbers import exact_mean, number, ratio, total
 from pricewright.operators.joins import lookup, with_group
 
 
@@ -23,7 +23,7 @@ def month_progress(df: DataFrame, day: str, as_of: Column | date | str) -> DataF
 
 def branch_capacity(targets: DataFrame, keys: list[str], target: str = "target") -> DataFrame:
     """Each target row with the summed target of its (month, region)."""
-    return with_group(targets, keys, branch_capacity=F.sum(target))
+    return with_group(targets, keys, branch_capacity=total(target))
 
 
 def home_branch(targets: DataFrame, agent: list[str], branch: str, capacity: str) -> DataFrame:
@@ -67,17 +67,11 @@ def run_rate(
 
 
 def price_std(df: DataFrame, keys: list[str], price: str, approved: str) -> DataFrame:
-    """Each row with the sample deviation of the approved prices of its group, 0 for one price.
-
-    Sums of exact decimals, so the value does not depend on row order.
-    """
-    kept = F.when(F.col(approved), F.col(price)).cast("decimal(14,4)")
-    n, s, q = F.count(kept), F.sum(kept), F.sum((kept * kept).cast("decimal(28,8)"))
-    grouped = with_group(df, keys, _n=n, _s=s, _q=q)
-    count, total, squares = number("_n"), number("_s"), number("_q")
-    variance = F.try_divide(squares - total * total / F.nullif(count, F.lit(0.0)), count - 1)
-    std = F.when(count > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).when(count == 1, F.lit(0.0))
-    return grouped.withColumn("price_std", F.round(std, 3)).drop("_n", "_s", "_q")
+    """Each row with the sample deviation of the approved prices of its group, 0 for one price."""
+    kept = F.when(F.col(approved), number(price))
+    grouped = with_group(df, keys, _n=F.count(kept), _std=F.stddev_samp(kept))
+    std = F.when(F.col("_n") > 1, F.col("_std")).when(F.col("_n") == 1, F.lit(0.0))
+    return grouped.withColumn("price_std", F.round(std, 3)).drop("_n", "_std")
 
 
 def own_price_ref(
@@ -102,14 +96,14 @@ def own_price_ref(
     )
     days = (
         dated.groupBy(*keys, "ref_date", "billing_date")
-        .agg(F.sum("_price").alias("_sum"), F.count("_price").alias("_n"))
+        .agg(total("_price").alias("_sum"), F.count("_price").alias("_n"))
         .withColumns({"iso_year": iso_year("ref_date"), "iso_week": iso_week("ref_date")})
     )
     per_day = days.groupBy(*keys, "ref_date").agg(
-        F.sum("_n").alias("day_count"), ratio(F.sum("_sum"), F.sum("_n")).alias("day_mean")
+        F.sum("_n").alias("day_count"), ratio(total("_sum"), F.sum("_n")).alias("day_mean")
     )
     per_week = days.groupBy(*keys, "iso_year", "iso_week").agg(
-        ratio(F.sum("_sum"), F.sum("_n")).alias("week_mean")
+        ratio(total("_sum"), F.sum("_n")).alias("week_mean")
     )
     own = (
         days.drop("_sum", "_n")
@@ -176,8 +170,7 @@ def premium(
     """Own price over competitor price per (``keys``, ``org``), and the mark-up between two channels.
 
     Above ``sample_floor`` competitor prices the practised premium counts, otherwise the policy
-    premium; columns that do not apply are null. ``price``, ``policy`` and ``net_price`` are
-    decimals, so the means are exact.
+    premium; columns that do not apply are null.
     """
     flagged = df.withColumn("_own", own)
     mine, theirs = F.col("_own"), ~F.col("_own")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricewright import values
-from pricewright.functions.numbers import add, number, ratio, signed_sum
+from pricewright.functions.numbers import add, number, ratio, signed_sum, total
 from pricewright.operators.joins import lookup
 
 
@@ -46,8 +46,8 @@ def gross_profit(
         measures.append("COMISSION_TO_AGENTS")
     return out.groupBy(*keys).agg(
         *[F.min(c).alias(c) for c in carry],
-        ratio(F.sum(quantity), F.lit(1000.0)).alias("QUANTITY_TON"),
-        *[F.sum(c).alias(c) for c in measures],
+        (total(quantity) / 1000.0).alias("QUANTITY_TON"),
+        *[total(c).alias(c) for c in measures],
     )
 
 
@@ -73,12 +73,12 @@ def margin_rollup(
         *[F.col(price).alias(f"_p_{name}") for name, (price, _) in weighted.items()],
         *[F.col(weight).alias(f"_w_{name}") for name, (_, weight) in weighted.items()],
     )
-    aggs = [F.sum(c).alias(c) for c in sums]
+    aggs = [total(c).alias(c) for c in sums]
     for name in weighted:
         aggs += [
-            F.sum(f"_p_{name}").alias(f"_sp_{name}"),
-            F.sum(f"_w_{name}").alias(f"_sw_{name}"),
-            F.sum(F.col(f"_p_{name}") * F.col(f"_w_{name}")).alias(f"_spw_{name}"),
+            total(f"_p_{name}").alias(f"_sp_{name}"),
+            total(f"_w_{name}").alias(f"_sw_{name}"),
+            total(F.col(f"_p_{name}") * F.col(f"_w_{name}")).alias(f"_spw_{name}"),
         ]
     rolled = base.groupingSets(
         [[F.col(c) for c in cols] for cols in grains.values()], *[F.col(c) for c in dims]
@@ -112,9 +112,9 @@ def trailing_means(
         df.where(F.col(month).isin(months))
         .groupBy(*keys)
         .agg(
-            *[F.sum(c).cast("double").alias(c) for c in measures],
+            *[total(c).alias(c) for c in measures],
             *[
-                ratio(F.sum(F.when(F.col(month).isin(ms), F.col(c))), F.lit(float(n))).alias(
+                (total(F.when(F.col(month).isin(ms), F.col(c))) / float(n)).alias(
                     f"avg_{c}_{suffix}"
                 )
                 for suffix, (ms, n) in windows.items()
@@ -132,8 +132,8 @@ def share_of_parent(
     The detail is summed to the child grain first; the parent total is then summed from the
     child rows and joined back. With ``guard`` a parent total of 0 or less gives share 0.
     """
-    children = df.groupBy(*child).agg(F.sum(measure).alias(f"{measure}_child"))
-    parents = children.groupBy(*parent).agg(F.sum(f"{measure}_child").alias(f"{measure}_parent"))
+    children = df.groupBy(*child).agg(total(measure).alias(f"{measure}_child"))
+    parents = children.groupBy(*parent).agg(total(f"{measure}_child").alias(f"{measure}_parent"))
     share = ratio(f"{measure}_child", f"{measure}_parent")
     if guard:
         share = F.when(F.col(f"{measure}_parent") > 0, share).otherwise(F.lit(0.0))
@@ -145,7 +145,7 @@ def cost_rates(
 ) -> DataFrame:
     """Parent cost spread over items by volume: share, item cost and cost per unit of volume."""
     shares = share_of_parent(volume, [*parent, *item], parent, volume_col, guard=True)
-    pools = cost.groupBy(*parent).agg(F.sum(F.coalesce(F.col(cost_col), F.lit(0))).alias("pool"))
+    pools = cost.groupBy(*parent).agg(F.coalesce(total(cost_col), F.lit(0.0)).alias("pool"))
     return (
         shares.join(pools, parent)
         .withColumn("item_cost", number("pool") * F.col("share"))
@@ -172,8 +172,8 @@ def dispersion_map(
 ) -> DataFrame:
     """Order-item price per kg with margin and taxes, all per kg, the unscaled figures kept beside."""
     items = lines.groupBy(*keys).agg(
-        F.sum(F.col("practiced_price") * F.col("quantity_ton")).cast("double").alias("_price_volume"),
-        *[F.sum(c).cast("double").alias(c) for c in [*DISPERSION_SUMS, "quantity_ton"]],
+        total(F.col("practiced_price") * F.col("quantity_ton")).alias("_price_volume"),
+        *[total(c).alias(c) for c in [*DISPERSION_SUMS, "quantity_ton"]],
     )
     costs = ["gross_profit", "freight", "op_cost"]
     if margin is None:

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricewright import values
-from pricewright.functions.numbers import add, column, exact_mean, number, parse_number, ratio
+from pricewright.functions.numbers import add, column, exact_mean, number, parse_number, ratio, total
 from pricewright.operators.joins import lookup, with_group
 
 # --- Fixed values: conditions that lead from one price of the waterfall to the next ---
@@ -32,7 +32,7 @@ def price_waterfall(
     sums = [*SEGMENT_STEP, *CUSTOMER_STEP, *GROSS_STEP, *TAXES, *present, "quantity_ton"]
     items = lines.groupBy(*keys).agg(
         exact_mean("list_price").alias("list_price"),
-        *[F.sum(c).cast("double").alias(c) for c in sums],
+        *[total(c).alias(c) for c in sums],
     )
     costs = ["gross_profit", "freight", "op_cost"]
     if margin is None:
@@ -196,7 +196,7 @@ def approve_band(
     value = F.col(price)
     sane = F.coalesce(value.between(lo, hi), F.lit(null_approved))
     flagged = df.withColumn("pre_approved", sane)
-    kept = F.when(value.between(lo, hi), value).cast("decimal(18,6)")
+    kept = F.when(value.between(lo, hi), value)
     with_mean = with_group(flagged, keys, sample_mean=F.round(exact_mean(kept), 3))
     half = F.round(F.col("sample_mean") * F.lit(tol), 3)
     banded = with_mean.withColumns(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from pricewright import values
-from pricewright.functions.numbers import ratio
+from pricewright.functions.numbers import exact_mean, ratio
 from pricewright.operators.joins import lookup
 
 
@@ -31,7 +31,7 @@ def prefix_hierarchy(
 
 
 def pivot_mean(
-    df: DataFrame, keys: list[str], label: str, value: Column | str, labels: dict[str, str]
+    df: DataFrame, keys: list[str], label: str, value: Column | str, labels: dict[str, str], digits: int = 6
 ) -> DataFrame:
     """Mean of ``value`` per label as columns, 0 where a key lacks the label.
 
@@ -41,10 +41,7 @@ def pivot_mean(
     return df.groupBy(*keys).agg(
         *[
             F.coalesce(
-                F.try_divide(
-                    F.sum(F.when(F.col(label) == code, value)).cast("double"),
-                    F.count(F.when(F.col(label) == code, value)).cast("double"),
-                ),
+                exact_mean(F.when(F.col(label) == code, value), digits),
                 F.lit(0.0),
             ).alias(name)
             for code, name in labels.items()
@@ -61,9 +58,9 @@ def uom_pivot(
     labels: list[str] | None = None,
 ) -> DataFrame:
     """Mean conversion factor per (material, unit) as columns, 0 where a unit is missing."""
-    factors = units.withColumn("_factor", ratio(numerator, denominator).cast("decimal(28,10)"))
+    factors = units.withColumn("_factor", ratio(numerator, denominator))
     names = {u: u for u in (labels or values.UNIT_CODES)}
-    return pivot_mean(factors, [material], unit, "_factor", names)
+    return pivot_mean(factors, [material], unit, "_factor", names, digits=10)
 
 
 def role_pivot(

@@ -224,7 +224,7 @@ def _collected(spark, sf):
         F.col("ts").cast("date").alias("date"),
         F.when(n % 11 != 0, F.col("user_id")).alias("seller"),
         F.when(n % 13 != 0, F.col("event_type")).alias("branch"),
-        F.when(n % 17 != 0, F.col("value").cast("decimal(14,4)")).alias("price"),
+        F.when(n % 17 != 0, F.col("value")).alias("price"),
         F.when(n % 4 == 0, F.lit("Sim")).when(n % 4 == 1, F.lit("Não")).alias("approved_manually"),
         F.when(n % 3 == 0, F.lit("Sim")).when(n % 3 == 1, F.lit("Não")).alias("approved_automatically"),
     )

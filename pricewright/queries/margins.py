@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricewright.functions.numbers import dec
+from pricewright.functions.dates import fiscal_period, month_label
 from pricewright.operators import margin as ops
 from pricewright.queries.tables import (
-    CONDITIONS_SQL, LINES_SQL, MARGIN_SUMS_SQL, conditions, lines, margin, table, tidy, tidy_sql,
+    CONDITIONS_SQL, LINES_SQL, MARGIN_SUMS_SQL, as_double, conditions, lines, margin, table, tidy, tidy_sql,
 )
 
 QUERIES, ORACLE = {}, {}
@@ -57,8 +57,8 @@ PROFIT_NUMBERS = ["QUANTITY_TON", *STACKS, "NET_SALES", "GROSS_PROFIT_BW"]
 def _accounts(df):
     return df.withColumns(
         {
-            "ship_month": F.date_format("ship_date", "yyyy-MM"),
-            **{n: F.expr(e).cast("decimal(18,6)") for n, e in ACCOUNTS.items()},
+            "ship_month": F.trunc("ship_date", "month"),
+            **{n: F.expr(as_double(e)) for n, e in ACCOUNTS.items()},
         }
     )
 
@@ -95,7 +95,7 @@ def gross_profit(spark, sf):
     facts = ops.gross_profit(
         _accounts(lines(spark, sf)), PROFIT_KEYS, ["org", "l_partkey"], STACKS, quantity="qty"
     )
-    return tidy(facts)
+    return tidy(facts.withColumn("ship_month", month_label("ship_month", "yyyy-MM")))
 
 
 # --- rollup --------------------------------------------------------------------------------------
@@ -137,14 +137,15 @@ FROM g
 )
 def gross_profit_rollup(spark, sf):
     rows = conditions(spark, sf).select(
-        F.date_format("ship_date", "yyyy-MM").alias("ship_month"), "l_orderkey", "l_linenumber", "l_partkey", "org",
+        F.trunc("ship_date", "month").alias("ship_month"), "l_orderkey", "l_linenumber", "l_partkey", "org",
         "l_suppkey", "o_custkey", "p_type", "l_returnflag", "qty", "ext",
-        F.expr("qty * 12.50").cast("decimal(18,4)").alias("cost"),
-        F.expr("qty * 2.20").cast("decimal(18,4)").alias("freight"),
-        F.expr("ext * (1.00 - disc) - qty * 14.70").cast("decimal(18,4)").alias("profit"),
-        F.col("practiced_price").cast("decimal(14,4)").alias("unit_price"),
+        F.expr("qty * 12.50D").alias("cost"),
+        F.expr("qty * 2.20D").alias("freight"),
+        F.expr("ext * (1 - disc) - qty * 14.70D").alias("profit"),
+        F.col("practiced_price").alias("unit_price"),
     )
-    return tidy(ops.margin_rollup(rows, GRAINS, ROLLUP_SUMS, {"pp": ("unit_price", "qty")}))
+    rolled = ops.margin_rollup(rows, GRAINS, ROLLUP_SUMS, {"pp": ("unit_price", "qty")})
+    return tidy(rolled.withColumn("ship_month", month_label("ship_month", "yyyy-MM")))
 
 
 # --- trailing means ---------------------------------------------------------------------------------
@@ -225,8 +226,6 @@ def share_of_parent(spark, sf):
     ),
 )
 def apportion_cost(spark, sf):
-    from pricewright.functions.dates import fiscal_period
-
     rows = lines(spark, sf).withColumns(
         {"period": fiscal_period(F.date_format("ship_date", "yyyy'0'MM")), "centre": F.col("l_suppkey") % 10}
     )
@@ -234,7 +233,7 @@ def apportion_cost(spark, sf):
         "period", "centre", "l_partkey", F.when(F.col("l_returnflag") == "R", -F.col("qty")).otherwise(F.col("qty")).alias("volume")
     )
     cost = rows.where((F.col("l_linestatus") == "F") & (F.col("period") >= 1996001)).select(
-        "period", "centre", (F.col("ext") * dec("0.03")).cast("decimal(18,4)").alias("cost")
+        "period", "centre", (F.col("ext") * 0.03).alias("cost")
     )
     rates = ops.cost_rates(cost, volume, ["period", "centre"], ["l_partkey"], "cost", "volume")
     out = ops.apportion_cost(rows, rates, ["period", "centre", "l_partkey"], "qty")
@@ -267,16 +266,11 @@ SELECT {', '.join(DISP_KEYS)}, quantity_ton, {', '.join(f'{c} AS {c}_original' f
     tidy_sql(DISP_SQL, DISP_KEYS, ["quantity_ton", *[f"{c}_original" for c in DISP_KEPT], *DISP_SCALED]),
 )
 def dispersion_map(spark, sf):
-    month = {"ship_month": F.date_format("ship_date", "MM-yyyy")}
-    rows = conditions(spark, sf).withColumns(
-        {
-            **month,
-            "practiced_price": F.col("practiced_price").cast("decimal(14,4)"),
-            "quantity_ton": F.col("quantity_ton").cast("decimal(12,2)"),
-        }
-    )
+    month = {"ship_month": F.trunc("ship_date", "month")}
+    rows = conditions(spark, sf).withColumns(month)
     retail = table(spark, sf, "part").select(
-        F.col("p_partkey").alias("l_partkey"), F.col("p_retailprice").cast("decimal(10,2)").alias("retail")
+        F.col("p_partkey").alias("l_partkey"), F.col("p_retailprice").alias("retail")
     )
     costs = margin(lines(spark, sf).withColumns(month).join(retail, "l_partkey"), DISP_ITEM)
-    return tidy(ops.dispersion_map(rows, DISP_KEYS, costs, DISP_ITEM))
+    items = ops.dispersion_map(rows, DISP_KEYS, costs, DISP_ITEM)
+    return tidy(items.withColumn("ship_month", month_label("ship_month")))

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricewright.functions import codes
+from pricewright.functions import codes, dates
 from pricewright.functions.numbers import number, ratio
 from pricewright.operators import catalog, price
 from pricewright.queries.tables import (
-    COLLECTS_SQL, CONDITIONS_SQL, LINES_SQL, MARGIN_SUMS_SQL, collects, conditions, half_up, lines, margin,
-    table, tidy, tidy_sql,
+    COLLECTS_SQL, CONDITIONS_SQL, LINES_SQL, MARGIN_SUMS_SQL, PRICED_SQL, collects, conditions, half_up, lines, margin,
+    priced_conditions, table, tidy, tidy_sql,
 )
 
 QUERIES, ORACLE = {}, {}
@@ -43,7 +43,7 @@ PER_TON_SIGNED = ["gross_profit_waterfall", "gross_profit", "calculated_taxes",
 
 def _monthly(df):
     merged = codes.remap_codes("org")
-    return df.withColumns({"ship_month": F.date_format("ship_date", "MM-yyyy"), "org": merged})
+    return df.withColumns({"ship_month": F.trunc("ship_date", "month"), "org": merged})
 
 
 MONTHLY_SQL = f"""
@@ -85,13 +85,13 @@ FROM s5
 def price_waterfall(spark, sf):
     rows = _monthly(conditions(spark, sf))
     retail = table(spark, sf, "part").select(
-        F.col("p_partkey").alias("l_partkey"), F.col("p_retailprice").cast("decimal(10,2)").alias("retail")
+        F.col("p_partkey").alias("l_partkey"), F.col("p_retailprice").alias("retail")
     )
     costs = margin(
         _monthly(lines(spark, sf)).where(F.col("l_returnflag") != "R").join(retail, "l_partkey"), ITEM_KEYS
     )
     items = price.price_waterfall(rows.where(F.col("p_type") != "PROMO"), WATERFALL_KEYS, costs, ITEM_KEYS)
-    return tidy(items)
+    return tidy(items.withColumn("ship_month", dates.month_label("ship_month")))
 
 
 # --- cascade ---------------------------------------------------------------------------------
@@ -141,7 +141,7 @@ ALERT_NAMES = ["strategic_price", "normal_price", "normal_price_kg", "gap"]
     "strategic_price_alert",
     tidy_sql(
         f"""
-        WITH c AS ({CONDITIONS_SQL}),
+        WITH c AS ({PRICED_SQL}),
         p AS (SELECT *, CASE WHEN org = 'BRCG' THEN list_price + zd02 + zd03 + zeb2 + bx41
                              ELSE list_price + zd02 + zd03 + zeb2 END AS strategic_price,
                      CASE WHEN org = 'BRCG' THEN practiced_price + abs(zd05) - zeaf + bx41
@@ -156,7 +156,7 @@ ALERT_NAMES = ["strategic_price", "normal_price", "normal_price_kg", "gap"]
     ),
 )
 def strategic_price_alert(spark, sf):
-    priced = conditions(spark, sf).withColumns(
+    priced = priced_conditions(spark, sf).withColumns(
         {"strategic_price": price.strategic_price(), "normal_price": price.normal_price()}
     )
     return tidy(
@@ -178,7 +178,7 @@ FROM part, (VALUES ('BRCG'), ('BRDI'), ('BRIN')) AS orgs(o) WHERE p_size % 2 = 0
     "policy_deviation",
     tidy_sql(
         f"""
-        WITH lim AS ({LIMITS_SQL}), c AS ({CONDITIONS_SQL}),
+        WITH lim AS ({LIMITS_SQL}), c AS ({PRICED_SQL}),
         j AS (SELECT c.*, coalesce(verge, 4.0) AS limit_pct, coalesce(verge / 100.0, 0.04) AS limit_rate
               FROM c LEFT JOIN lim ON l_partkey = part_no AND org = org_code),
         k AS (SELECT *, CAST(zd06 AS DOUBLE) / CAST(qty AS DOUBLE) AS r06, CAST(zd13 AS DOUBLE) / CAST(qty AS DOUBLE) AS r13,
@@ -206,7 +206,7 @@ def policy_deviation(spark, sf):
         (F.col("p_size").cast("double") / 10.0).alias("verge"),
     )
     on = {"l_partkey": "part_no", "org": "org_code"}
-    rows = conditions(spark, sf)
+    rows = priced_conditions(spark, sf)
     rows = price.with_limit(rows, limits, on, "verge", 4.0, "limit_pct")
     rows = rows.withColumn(
         "limit_rate", F.when(F.col("limit_pct") == 4.0, F.lit(0.04)).otherwise(F.col("limit_pct") / 100.0)
@@ -297,7 +297,7 @@ def unit_price(spark, sf):
     tidy_sql(
         f"""
         WITH c AS ({COLLECTS_SQL}),
-        a AS (SELECT l_returnflag, branch, l_partkey % 50 AS product, {half_up('CAST(sum(CAST(price_kg AS DECIMAL(18,6))) AS DOUBLE) / count(price_kg)', 3)} AS sample_mean
+        a AS (SELECT l_returnflag, branch, l_partkey % 50 AS product, {half_up('CAST(sum(CAST(price_kg AS DECIMAL(18,4))) AS DOUBLE) / count(price_kg)', 3)} AS sample_mean
               FROM c WHERE price_kg BETWEEN 2 AND 10 GROUP BY ALL),
         j AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, price_kg, sample_mean,
                      price_kg BETWEEN 2 AND 10 AS pre_approved,

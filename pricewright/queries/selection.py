@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricewright.functions import codes, dates, text
-from pricewright.functions.numbers import parse_number
+from pricewright.functions.numbers import parse_number, ratio, total
 from pricewright.operators import filters, joins, latest
 from pricewright.queries.tables import (
     AS_OF, LINES_SQL, lines, merged_org_sql, org_of, org_sql, table, tidy, tidy_sql,
@@ -332,12 +332,11 @@ def two_pass_lookup(spark, sf):
 )
 def anti_join_backfill(spark, sf):
     order = table(spark, sf, "orders").select(
-        F.col("o_custkey").alias("k"), F.year("o_orderdate").alias("y"), F.col("o_totalprice").cast("decimal(18,4)").alias("v")
+        F.col("o_custkey").alias("k"), F.year("o_orderdate").alias("y"), F.col("o_totalprice").alias("v")
     )
-    targets = order.where(F.col("v") > 400000).groupBy("k", "y").agg(F.sum("v").alias("target"))
+    targets = order.where(F.col("v") > 400000).groupBy("k", "y").agg(total("v").alias("target"))
     wanted = order.select("k", "y").distinct()
-    zero = F.lit(0).cast("decimal(28,4)")
-    return tidy(joins.backfill(targets, wanted, ["k", "y"], {"target": zero}))
+    return tidy(joins.backfill(targets, wanted, ["k", "y"], {"target": F.lit(0.0)}))
 
 
 @query(
@@ -499,8 +498,6 @@ def date_functions(spark, sf):
     ),
 )
 def number_parsing(spark, sf):
-    from pricewright.functions.numbers import ratio
-
     source = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_tax", "l_discount",
         F.concat(F.lit(" "), F.translate(F.col("l_extendedprice").cast("decimal(12,2)").cast("string"), ".", ","), F.lit(" ")).alias("price_text"),

@@ -5,10 +5,13 @@ Each ``*_SQL`` text is the oracle's version of the frame of the same name.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, DoubleType
 
-from pricewright.functions.numbers import dec
+from pricewright.functions.numbers import snap, total
+from pricewright.sources.readers import read_table, spread
 
 AS_OF = "2001-07-15"
 
@@ -18,7 +21,7 @@ ORG_BY_PRIORITY = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def org_of(col: str = "o_orderpriority"):
@@ -38,13 +41,9 @@ def merged_org_sql(col: str = "o_orderpriority") -> str:
 
 
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Decimals as doubles, and doubles rounded by plain arithmetic that is the same in both engines."""
-    scale = float(10**digits)
-    changed = {
-        f.name: F.floor(F.col(f.name).cast("double") * scale + 0.5) / scale
-        for f in df.schema.fields
-        if isinstance(f.dataType, (DecimalType, DoubleType))
-    }
+    """Numbers as doubles, rounded by plain arithmetic that is the same in both engines."""
+    kinds = (DecimalType, DoubleType)
+    changed = {f.name: snap(f.name, digits) for f in df.schema.fields if isinstance(f.dataType, kinds)}
     return df.withColumns(changed) if changed else df
 
 
@@ -68,17 +67,17 @@ def half_up(expr: str, digits: int) -> str:
 # --- lines: one row per line item with its order -------------------------------------------
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    item = table(spark, sf_dir, "lineitem")
+    item = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     order = table(spark, sf_dir, "orders")
     return item.join(order, item["l_orderkey"] == order["o_orderkey"]).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "o_custkey",
         F.col("l_shipdate").cast("date").alias("ship_date"),
         F.col("o_orderdate").cast("date").alias("order_date"),
         org_of().alias("org"),
-        F.col("l_quantity").cast("decimal(12,2)").alias("qty"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("ext"),
-        F.col("l_discount").cast("decimal(4,2)").alias("disc"),
-        F.col("l_tax").cast("decimal(4,2)").alias("tax"),
+        F.col("l_quantity").alias("qty"),
+        F.col("l_extendedprice").alias("ext"),
+        F.col("l_discount").alias("disc"),
+        F.col("l_tax").alias("tax"),
     )
 
 
@@ -122,16 +121,26 @@ CONDITIONS = {
 }
 
 
+def as_double(expr: str) -> str:
+    """The decimal literals of an expression as doubles (``0.02`` -> ``0.02D``)."""
+    return re.sub(r"(\d+\.\d+)", r"\1D", expr)
+
+
 def conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type", "p_name",
-        F.col("p_retailprice").cast("decimal(10,2)").alias("retail"),
+        F.col("p_retailprice").alias("retail"),
     )
     return lines(spark, sf_dir).join(part, "l_partkey").select(
-        "*", *[F.expr(e).cast("decimal(18,6)").alias(n) for n, e in CONDITIONS.items()]
+        "*", *[F.expr(as_double(e)).alias(n) for n, e in CONDITIONS.items()]
     )
 
 
+def priced_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conditions as whole millionths, for arithmetic on single rows."""
+    return conditions(spark, sf_dir).withColumns({c: snap(c) for c in CONDITIONS})
+
+
 CONDITIONS_SQL = f"""
 SELECT t.*, p_brand, p_type, p_name,
        {', '.join(f'CAST({e} AS DECIMAL(18,6)) AS {n}' for n, e in CONDITIONS.items())}
@@ -139,6 +148,10 @@ FROM (SELECT l.*, p_brand, p_type, p_name, CAST(p_retailprice AS DECIMAL(10,2))
       FROM ({LINES_SQL}) AS l JOIN part ON l_partkey = p_partkey) AS t
 """
 
+PRICED_SQL = f"""
+SELECT * REPLACE ({', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in [*CONDITIONS, 'qty', 'ext'])}) FROM ({CONDITIONS_SQL}) AS c0
+"""
+
 # --- margin: profit, freight and operating cost per order item and shipping month --------------
 
 MARGIN = {
@@ -151,7 +164,7 @@ MARGIN = {
 def margin(df: DataFrame, keys: list[str]) -> DataFrame:
     """Profit fact from the conditions frame."""
     return df.groupBy(*keys).agg(
-        *[F.sum(F.expr(e).cast("decimal(18,6)")).alias(n) for n, e in MARGIN.items()]
+        *[total(F.expr(as_double(e))).alias(n) for n, e in MARGIN.items()]
     )
 
 
@@ -168,19 +181,15 @@ def collects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return item.join(seller, "l_suppkey").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "branch", "l_returnflag", "l_linestatus",
         F.col("l_shipdate").cast("date").alias("ship_date"),
-        F.col("l_quantity").cast("decimal(12,2)").alias("qty"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("ext"),
         # Prices of a few units of money per kg, as in a survey.
-        (F.col("l_extendedprice") / F.col("l_quantity") / 397.0).cast("decimal(14,4)").alias("price_kg"),
+        snap(F.col("l_extendedprice") / F.col("l_quantity") / 397.0, 4).alias("price_kg"),
     )
 
 
 COLLECTS_SQL = """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, s_nationkey AS branch, l_returnflag, l_linestatus,
        CAST(l_shipdate AS DATE) AS ship_date,
-       CAST(l_quantity AS DECIMAL(12,2)) AS qty, CAST(l_extendedprice AS DECIMAL(12,2)) AS ext,
-       CAST(l_extendedprice / l_quantity / 397.0 AS DECIMAL(14,4)) AS price_kg
+       CAST(floor(l_extendedprice / l_quantity / 397.0::DOUBLE * 1e4 + 0.5::DOUBLE) AS BIGINT) / 1e4 AS price_kg
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
 """
 
-__all__ = [n for n in dir() if not n.startswith("_")]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricewright.functions.numbers import dec, money
 from pricewright.operators import forecast, kpi
 from pricewright.queries.tables import (
     AS_OF, COLLECTS_SQL, CONDITIONS_SQL, LINES_SQL, collects, conditions, half_up, lines, org_of,
@@ -35,7 +34,7 @@ def placed_orders(spark, sf):
         "o_orderkey", "o_custkey", "c_mktsegment", "n_regionkey", "n_nationkey", "n_name", "o_orderstatus",
         org_of().alias("org"), F.col("o_orderdate").cast("date").alias("order_date"),
         F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month"),
-        money("o_totalprice").alias("total"),
+        F.col("o_totalprice").alias("total"),
     )
 
 
@@ -86,7 +85,7 @@ def forecast_allocation(spark, sf):
     order = placed_orders(spark, sf).where(F.year("month") == 1997)
     lost = F.col("n_nationkey") % 7 == 3
     plan = order.where(F.col("total") > 100000).withColumn(
-        "plan_value", (F.col("total") * dec("1.10")).cast("decimal(18,4)")
+        "plan_value", F.col("total") * 1.10
     )
     sold = order.where(F.col("total") > 400000).withColumn(
         "branch", F.when(lost, "Filial Não Encontrada").otherwise(F.col("n_name"))
@@ -127,14 +126,14 @@ def next_month_variance(spark, sf):
     order = placed_orders(spark, sf)
 
     def scaled(rate):
-        return (F.col("total") * dec(rate)).cast("decimal(18,4)")
+        return F.col("total") * rate
 
-    plan = order.where(F.col("o_orderkey") % 3 != 0).select(*FVA_KEYS, "month", scaled("1.05").alias("volume"))
+    plan = order.where(F.col("o_orderkey") % 3 != 0).select(*FVA_KEYS, "month", scaled(1.05).alias("volume"))
     actual = order.where(F.col("o_orderstatus") != "P").select(
-        *FVA_KEYS, "month", F.lit(1).cast("decimal(18,4)").alias("qty"), F.col("total").alias("rbv"), scaled("0.80").alias("rlv")
+        *FVA_KEYS, "month", F.lit(1.0).alias("qty"), F.col("total").alias("rbv"), scaled(0.80).alias("rlv")
     )
     budget = order.where(F.col("o_orderkey") % 2 == 0).select(
-        *FVA_KEYS, "month", F.col("total").alias("volume"), scaled("0.70").alias("rlv")
+        *FVA_KEYS, "month", F.col("total").alias("volume"), scaled(0.70).alias("rlv")
     )
     return tidy(forecast.forecast_vs_actual(plan, actual, budget, FVA_KEYS, "month"))
 
@@ -340,7 +339,7 @@ OWN_KEYS = ["org", "l_suppkey", "l_returnflag"]
     ),
 )
 def own_price_ref(spark, sf):
-    rows = lines(spark, sf).withColumn("price", F.expr("ext * (1.00 - disc)").cast("decimal(18,4)"))
+    rows = lines(spark, sf).withColumn("price", F.expr("ext * (1 - disc)"))
     by_order = F.col("org") == "BRDI"
     surveyed = rows.where(F.col("l_linenumber") > 4).withColumn(
         "ref_date", F.when(by_order, F.col("order_date")).otherwise(F.col("ship_date"))
@@ -394,9 +393,9 @@ def premium_vs_competitor(spark, sf):
     rows = conditions(spark, sf).join(seller, "l_suppkey").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "org", "nation", "p_type", "l_returnflag",
         F.year("ship_date").alias("year"),
-        F.expr("ext * (1.00 - disc)").cast("decimal(18,4)").alias("price"),
-        F.expr("ext * (1.00 - disc) - qty * 0.50").cast("decimal(18,4)").alias("policy"),
-        F.expr("ext * (1.00 - tax)").cast("decimal(18,4)").alias("net"),
+        F.expr("ext * (1 - disc)").alias("price"),
+        F.expr("ext * (1 - disc) - qty * 0.50D").alias("policy"),
+        F.expr("ext * (1 - tax)").alias("net"),
     )
     goals = table(spark, sf, "nation").where(F.col("n_nationkey") % 2 == 0).select(
         F.col("n_nationkey").alias("nation"), (F.col("n_regionkey") * 0.01).alias("target_premium")

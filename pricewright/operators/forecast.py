@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricewright import values
-from pricewright.functions.numbers import column, exact_mean, ratio, total
-from pricewright.operators.joins import backfill, shift_month
+from pricewright.functions.numbers import column, number, ratio, total
+from pricewright.operators.joins import backfill
 
 
 def splice_forecast(
@@ -65,61 +65,51 @@ def allocate_forecast(
     * the group did not sell in the state: the plan is split equally over its branches;
     * sales of an unknown branch are carried with a zero plan.
 
-    Known branches add up to the plan again, per parent.
+    Known branches add up to the plan again, per parent. Each input is scanned once.
     """
     plans = forecast.groupBy(*parent).agg(total(plan).alias("plan"))
     sites = branches.select(state, branch).where(F.col(branch).isNotNull()).distinct()
     n_sites = sites.groupBy(state).agg(F.count(F.lit(1)).alias("n_branches"))
 
-    sold = actuals.groupBy(*parent, branch).agg(total(volume).alias("qty_branch"))
-    known = sold.where(F.col(branch) != unknown)
-    state_volume = known.groupBy(*parent).agg(total("qty_branch").alias("qty_state"))
-
-    # One row per (plan, branch of its state): exactly the rows the result has to hold.
-    spread = (
-        plans.join(state_volume, parent, "left")
-        .join(n_sites, state)
-        .join(sites, state)
-        .join(known, [*parent, branch], "left")
-    )
-    share = F.coalesce(ratio("qty_branch", "qty_state"), F.lit(0.0))
-    planned = spread.select(
+    # One row per (plan, branch of its state), which are rows of the result, and the actual
+    # sales beside them; one aggregation brings both to (parent, branch).
+    planned = plans.join(n_sites, state).join(sites, state).withColumn("qty", F.lit(None).cast("double"))
+    sold = actuals.select(
         *parent,
         branch,
-        F.when(F.col("qty_state").isNull() | F.col("qty_branch").isNotNull(), F.col("plan"))
-        .otherwise(F.lit(0.0))
-        .alias("pv_budget"),
-        F.coalesce("qty_branch", F.lit(0.0)).alias("qty_branch"),
-        F.when(F.col("qty_branch").isNotNull(), F.col("qty_state")).otherwise(F.lit(0.0)).alias("qty_state"),
-        share.alias("perc_vol"),
-        F.when(F.col("qty_state").isNull(), ratio("plan", "n_branches"))
-        .otherwise(F.col("plan") * share)
-        .alias("pv_done"),
+        number(volume).alias("qty"),
+        F.lit(None).cast("double").alias("plan"),
+        F.lit(None).cast("bigint").alias("n_branches"),
     )
-    # Branches that sold without any plan, and sales without a known branch.
-    unplanned = known.join(planned.select(*parent, branch), [*parent, branch], "left_anti").join(
-        state_volume, parent
+    rows = (
+        planned.select(*sold.columns)
+        .unionByName(sold)
+        .groupBy(*parent, branch)
+        .agg(total("qty").alias("qty"), F.max("plan").alias("plan"), F.max("n_branches").alias("n_branches"))
     )
-    lost = sold.where(F.col(branch) == unknown)
-    return (
-        planned.unionByName(
-            unplanned.select(
-                *parent,
-                branch,
-                F.lit(0.0).alias("pv_budget"),
-                "qty_branch",
-                "qty_state",
-                share.alias("perc_vol"),
-                F.lit(0.0).alias("pv_done"),
-            )
-        )
-        .unionByName(
-            lost.select(
-                *parent,
-                branch,
-                *[F.lit(0.0).alias(c) for c in ["pv_budget", "qty_branch", "qty_state", "perc_vol", "pv_done"]],
-            )
-        )
+    # The group of a parent is now at most the branches of one state.
+    known = F.col(branch) != unknown
+    whole = F.sum(F.when(known, F.rint(F.col("qty") * 1e6))).over(Window.partitionBy(*parent)) / 1e6
+    rows = rows.withColumn("state_qty", whole)
+
+    has_sales, has_plan = F.col("qty").isNotNull(), F.col("plan").isNotNull()
+    state_sold = F.col("state_qty").isNotNull()
+    share = F.coalesce(ratio("qty", "state_qty"), F.lit(0.0))
+
+    def where_known(test: Column, value: Column) -> Column:
+        return F.when(known & test, value).otherwise(F.lit(0.0))
+
+    return rows.select(
+        *parent,
+        branch,
+        where_known(has_plan & (has_sales | ~state_sold), F.col("plan")).alias("pv_budget"),
+        where_known(has_sales, F.col("qty")).alias("qty_branch"),
+        where_known(has_sales, F.col("state_qty")).alias("qty_state"),
+        where_known(has_sales, share).alias("perc_vol"),
+        where_known(
+            has_plan,
+            F.when(state_sold, F.col("plan") * share).otherwise(ratio("plan", "n_branches")),
+        ).alias("pv_done"),
     )
 
 
@@ -139,19 +129,44 @@ def forecast_vs_actual(
     revenue less next month's, ``rlv_diff_mean`` its mean per key. Keys and months only in the
     budget or only in the plan are left out (inner join on the budget).
     """
-    plans = plan.groupBy(*keys, month).agg(total(volume).alias("volume"))
-    sold = actual.groupBy(*keys, month).agg(*[total(c).alias(f"{c}_sold") for c in sales])
-    both = plans.join(sold, [*keys, month], "left")
-    carried = ["volume", *[f"{c}_sold" for c in sales]]
-    nxt = shift_month(both, keys, month, carried, "_next").withColumns(
+    measures = {
+        "plan": {"volume": volume},
+        "sold": {f"{c}_sold": c for c in sales},
+        "budget": {f"{c}_budget": c for c in budget_cols},
+    }
+    frames = {"plan": plan, "sold": actual, "budget": budget}
+    names = [n for cols in measures.values() for n in cols]
+    rows = None
+    for source, frame in frames.items():
+        part = frame.select(
+            *keys,
+            month,
+            *[number(c).alias(n) for n, c in measures[source].items()],
+            F.lit(True).alias(f"_{source}"),
+        )
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    # One aggregation of the three sources in place of joins and a self join.
+    months = rows.groupBy(*keys, month).agg(
+        *[total(n).alias(n) for n in names], F.max("_plan").alias("_plan"), F.max("_budget").alias("_budget")
+    ).where(F.col("_plan"))
+
+    # The row exactly one month on: null in a gap. A group is the months of one key.
+    number_of_month = F.year(month) * 12 + F.month(month)
+    following = Window.partitionBy(*keys).orderBy(number_of_month).rangeBetween(1, 1)
+    carried = ["volume", *measures["sold"]]
+    months = months.withColumns({f"{c}_next": F.sum(c).over(following) for c in carried}).withColumns(
         {
             "volume_diff": F.col("volume_next") - F.col("volume"),
             "rlv_diff": F.col("rlv_sold") - F.col("rlv_sold_next"),
         }
     )
-    trend = nxt.groupBy(*keys).agg(exact_mean("rlv_diff").alias("rlv_diff_mean"))
-    goals = budget.groupBy(*keys, month).agg(*[total(c).alias(f"{c}_budget") for c in budget_cols])
-    return nxt.join(trend, keys).join(goals, [*keys, month])
+    per_key = Window.partitionBy(*keys)
+    units = F.sum(F.rint(F.col("rlv_diff") * 1e6)).over(per_key) / 1e6
+    return (
+        months.withColumn("rlv_diff_mean", ratio(units, F.count("rlv_diff").over(per_key)))
+        .where(F.col("_budget"))
+        .drop("_plan", "_budget")
+    )
 
 
 def previous_day_month(as_of: Column | str, fmt: str = "yyyyMM") -> Column:

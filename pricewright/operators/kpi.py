@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricewright import values
 from pricewright.functions.codes import yes_no
@@ -85,44 +85,56 @@ def own_price_ref(
 ) -> DataFrame:
     """Own price per key and day with its count, and per key and ISO week; zeros for collects alone.
 
-    ``by_order`` marks rows dated by their order instead of their bill. The detail is summed
-    to (key, day) once; the week mean is the row mean, built from the day sums.
+    ``by_order`` marks rows dated by their order instead of their bill. The week mean is the
+    plain row mean.
+
+    Billing and collects are each scanned once: a collect is a row without a price, and one
+    aggregation brings both to (key, day, billing date). The windows then run over that grain,
+    where a group is at most the days of a week times the billing dates of the horizon, however
+    many rows the key has.
     """
-    dated = billing.select(
+    rows = billing.select(
         *keys,
         F.col(billing_date).alias("billing_date"),
         F.when(by_order, F.col(order_date)).otherwise(F.col(billing_date)).alias("ref_date"),
-        F.col(price).alias("_price"),
+        number(price).alias("_price"),
+        F.lit(True).alias("_own"),
+    ).unionByName(
+        collects.select(
+            *keys,
+            F.col("ref_date").alias("billing_date"),
+            "ref_date",
+            F.lit(None).cast("double").alias("_price"),
+            F.lit(False).alias("_own"),
+        )
     )
     days = (
-        dated.groupBy(*keys, "ref_date", "billing_date")
-        .agg(total("_price").alias("_sum"), F.count("_price").alias("_n"))
+        rows.groupBy(*keys, "ref_date", "billing_date")
+        .agg(
+            F.sum(F.rint(F.col("_price") * 1e6)).alias("_units"),
+            F.count("_price").alias("_n"),
+            F.max("_own").alias("_own"),
+        )
         .withColumns({"iso_year": iso_year("ref_date"), "iso_week": iso_week("ref_date")})
     )
-    per_day = days.groupBy(*keys, "ref_date").agg(
-        F.sum("_n").alias("day_count"), ratio(total("_sum"), F.sum("_n")).alias("day_mean")
-    )
-    per_week = days.groupBy(*keys, "iso_year", "iso_week").agg(
-        ratio(total("_sum"), F.sum("_n")).alias("week_mean")
-    )
-    own = (
-        days.drop("_sum", "_n")
-        .join(per_day, [*keys, "ref_date"])
-        .join(per_week, [*keys, "iso_year", "iso_week"])
+    week = Window.partitionBy(*keys, "iso_year", "iso_week")
+    day = Window.partitionBy(*keys, "iso_year", "iso_week", "ref_date")
+
+    def mean(window) -> Column:
+        units = F.sum("_units").over(window) / 1e6
+        return F.coalesce(ratio(units, F.sum("_n").over(window)), F.lit(0.0))
+
+    out = days.withColumns(
+        {
+            "week_mean": mean(week),
+            "day_mean": mean(day),
+            "day_count": F.sum("_n").over(day),
+            "_sold": F.max("_own").over(day),
+        }
+    ).where(F.col("_own") | ~F.col("_sold"))
+    return out.withColumn("week_mean", F.when(F.col("_sold"), F.col("week_mean")).otherwise(F.lit(0.0))).select(
+        *keys, "ref_date", "billing_date", "iso_year", "iso_week", "day_count", "day_mean", "week_mean"
     )
-    wanted = collects.select(*keys, "ref_date").distinct()
-    alone = wanted.join(per_day, [*keys, "ref_date"], "left_anti").select(
-        *keys,
-        "ref_date",
-        F.col("ref_date").alias("billing_date"),
-        iso_year("ref_date").alias("iso_year"),
-        iso_week("ref_date").alias("iso_week"),
-        F.lit(0).cast("bigint").alias("day_count"),
-        F.lit(0.0).alias("day_mean"),
-        F.lit(0.0).alias("week_mean"),
-    )
-    out = own.unionByName(alone)
-    return out.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in ["day_mean", "week_mean"]})
 
 
 def realised_vs_target(
@@ -176,23 +188,22 @@ def premium(
     mine, theirs = F.col("_own"), ~F.col("_own")
     first, second = markup_orgs
 
-    def mean_if(test: Column, c: str) -> Column:
-        return exact_mean(F.when(test, F.col(c)))
-
-    by_org = with_group(
-        flagged,
-        [org, *keys],
-        n_competitor=F.count(F.when(theirs, F.lit(1))),
-        competitor_price=mean_if(theirs, price),
-        own_price=mean_if(mine, price),
-        policy_mean=mean_if(mine, policy),
+    # One aggregation of the detail; the channel means are read off its few rows per key.
+    by_org = flagged.groupBy(org, *keys).agg(
+        F.count(F.when(theirs, F.lit(1))).alias("n_competitor"),
+        exact_mean(F.when(theirs, F.col(price))).alias("competitor_price"),
+        exact_mean(F.when(mine, F.col(price))).alias("own_price"),
+        exact_mean(F.when(mine, F.col(policy))).alias("policy_mean"),
+        exact_mean(F.when(mine, F.col(net_price))).alias("_net_mean"),
+    )
+    channels = by_org.groupBy(*keys).agg(
+        F.max(F.when(F.col(org) == first, F.col("_net_mean"))).alias("channel_price"),
+        F.max(F.when(F.col(org) == second, F.col("_net_mean"))).alias("base_price"),
+    )
+    stats = by_org.drop("_net_mean").join(channels, keys)
+    out = flagged.join(stats, [org, *keys], "left").withColumn(
+        "n_competitor", F.coalesce("n_competitor", F.lit(0))
     )
-    out = with_group(
-        by_org,
-        keys,
-        channel_price=mean_if(mine & (F.col(org) == first), net_price),
-        base_price=mean_if(mine & (F.col(org) == second), net_price),
-    ).withColumn("n_competitor", F.coalesce("n_competitor", F.lit(0)))
     if targets is None:
         out = out.withColumn("target_premium", F.lit(default_target))
     else:

@@ -36,6 +36,8 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
         .appName("pricewright")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # No call site is recorded per column expression; building wide plans is faster.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="warehouse-"))

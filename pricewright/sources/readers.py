@@ -6,10 +6,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
-def read_table(spark: SparkSession, path: str | list[str], columns: list[str] | None = None) -> DataFrame:
-    """Parquet scan; name the columns so only they are read."""
+def read_table(
+    spark: SparkSession,
+    path: str | list[str],
+    columns: list[str] | None = None,
+    schema: StructType | str | None = None,
+) -> DataFrame:
+    """Parquet scan; name the columns so only they are read.
+
+    With a stated schema no job has to open the files for it first.
+    """
     paths = [path] if isinstance(path, str) else path
-    df = spark.read.parquet(*paths)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(*paths)
     return df.select(*columns) if columns else df
 
 

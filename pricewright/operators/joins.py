@@ -10,14 +10,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+def splittable(side: DataFrame) -> DataFrame:
+    """The small, keyed side of a join, made to arrive by an exchange of its own.
+
+    AQE splits a hot key only where both sides of the join come straight from an exchange. A side
+    that was just grouped or deduplicated by the join keys is already placed by them and would
+    bring none. Rebalancing it costs one shuffle of the small side.
+    """
+    return side.hint("rebalance")
+
+
 def with_group(df: DataFrame, keys: list[str], **aggs: Column) -> DataFrame:
     """Detail rows with aggregates of their group.
 
-    The group is aggregated (combined inside the map tasks) and joined back, so no
-    task ever holds all the detail of one key. Rows with a null key keep null aggregates.
+    The group is aggregated (combined inside the map tasks) and joined back, so no task ever
+    holds all the detail of one key: few groups are broadcast by their measured size, many are
+    joined with the hot keys split. Rows with a null key keep null aggregates.
     """
     stats = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in aggs.items()])
-    return df.join(stats, keys, "left")
+    return df.join(splittable(stats), keys, "left")
 
 
 def lookup(
@@ -102,7 +113,7 @@ def two_pass_lookup(
 
 def missing_rows(df: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key the other frame does not hold."""
-    return df.join(present.select(*keys), keys, "left_anti")
+    return df.join(present.select(*keys).distinct(), keys, "left_anti")
 
 
 def backfill(df: DataFrame, wanted: DataFrame, keys: list[str], fill: dict[str, Column]) -> DataFrame:

@@ -12,7 +12,7 @@ from pricewright.functions.dates import (
     days_elapsed, days_remaining, iso_week, iso_year, month_start, same_month,
 )
 from pricewright.functions.numbers import exact_mean, number, ratio, total
-from pricewright.operators.joins import lookup, with_group
+from pricewright.operators.joins import lookup, splittable, with_group
 
 
 def month_progress(df: DataFrame, day: str, as_of: Column | date | str) -> DataFrame:
@@ -201,7 +201,7 @@ def premium(
         F.max(F.when(F.col(org) == second, F.col("_net_mean"))).alias("base_price"),
     )
     stats = by_org.drop("_net_mean").join(channels, keys)
-    out = flagged.join(stats, [org, *keys], "left").withColumn(
+    out = flagged.join(splittable(stats), [org, *keys], "left").withColumn(
         "n_competitor", F.coalesce("n_competitor", F.lit(0))
     )
     if targets is None:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pricewright import values
 from pricewright.functions.numbers import add, number, ratio, signed_sum, total
-from pricewright.operators.joins import lookup
+from pricewright.operators.joins import lookup, splittable
 
 
 def profit_columns(stacks: dict[str, str] | None = None) -> dict[str, Column]:
@@ -137,7 +137,7 @@ def share_of_parent(
     share = ratio(f"{measure}_child", f"{measure}_parent")
     if guard:
         share = F.when(F.col(f"{measure}_parent") > 0, share).otherwise(F.lit(0.0))
-    return children.join(parents, parent).withColumn(name, share)
+    return children.join(splittable(parents), parent).withColumn(name, share)
 
 
 def cost_rates(
@@ -147,7 +147,7 @@ def cost_rates(
     shares = share_of_parent(volume, [*parent, *item], parent, volume_col, guard=True)
     pools = cost.groupBy(*parent).agg(F.coalesce(total(cost_col), F.lit(0.0)).alias("pool"))
     return (
-        shares.join(pools, parent)
+        shares.join(splittable(pools), parent)
         .withColumn("item_cost", number("pool") * F.col("share"))
         .withColumn("unit_cost", ratio("item_cost", f"{volume_col}_child"))
     )
@@ -157,7 +157,7 @@ def apportion_cost(
     df: DataFrame, rates: DataFrame, keys: list[str], quantity: str, name: str = "apportioned_cost"
 ) -> DataFrame:
     """Each row's part of the pool: -quantity x unit cost, 0 where the item has no rate."""
-    found = lookup(df, rates, keys, ["unit_cost"])
+    found = lookup(df, splittable(rates), keys, ["unit_cost"])
     return found.withColumn(
         name, F.coalesce(-number(quantity) * F.col("unit_cost"), F.lit(0.0))
     ).drop("unit_cost")

@@ -110,10 +110,11 @@ def strategic_price(org: str = "org") -> Column:
     return F.when(F.col(org) == values.DISTRIBUTION_ORG, base + F.col("bx41")).otherwise(base)
 
 
-def normal_price(price: str = "practiced_price", org: str = "org") -> Column:
-    """Practised price without the customer and finance conditions."""
-    base = F.col(price) + F.abs("zd05") - F.col("zeaf")
-    return F.when(F.col(org) == values.DISTRIBUTION_ORG, base + F.col("bx41")).otherwise(base)
+def normal_price(price: str = "practiced_price", org: str = "org", absolute: bool = False) -> Column:
+    """Practised price without the customer and finance conditions (open orders take amounts unsigned)."""
+    finance, extra = (F.abs("zeaf"), F.abs("bx41")) if absolute else (F.col("zeaf"), F.col("bx41"))
+    base = F.col(price) + F.abs("zd05") - finance
+    return F.when(F.col(org) == values.DISTRIBUTION_ORG, base + extra).otherwise(base)
 
 
 def price_per_kg(price: Column | str, tons: Column | str) -> Column:

@@ -70,8 +70,8 @@ def read_xml_records(
 
 
 def read_review_sheet(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Review sheet returned by the auditors (pipe-separated, Windows encoding)."""
-    return read_delimited(spark, path, schema, sep="|", encoding="windows-1252")
+    """Review sheet returned by the auditors (pipe-separated, Western encoding)."""
+    return read_delimited(spark, path, schema, sep="|")
 
 
 def all_text(names: list[str]) -> StructType:

@@ -39,8 +39,8 @@ def write_csv(df: DataFrame, path: str, sep: str = ";", encoding: str = "UTF-8",
 
 
 def write_review_sheet(df: DataFrame, path: str) -> None:
-    """Worklist for the auditors (pipe-separated, Windows encoding)."""
-    write_csv(df, path, sep="|", encoding="windows-1252")
+    """Worklist for the auditors (pipe-separated, Western encoding)."""
+    write_csv(df, path, sep="|", encoding="ISO-8859-1")
 
 
 def overwrite_own_input(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pricewright.functions import codes, dates, text
 from pricewright.functions.numbers import parse_number
 from pricewright.operators import catalog, filters, latest, ledger, price, reshape
+from pricewright.sources.readers import spread
 from pricewright.queries.tables import LINES_SQL, lines, org_of, org_sql, table, tidy, tidy_sql
 
 QUERIES, ORACLE = {}, {}
@@ -161,7 +162,7 @@ def json_records(spark, sf):
     """,
 )
 def xml_records(spark, sf):
-    rows = table(spark, sf, "orders").select(
+    rows = spread(table(spark, sf, "orders")).select(
         "o_orderkey",
         F.to_xml(
             F.struct(
@@ -201,7 +202,7 @@ def support_tables(spark, sf):
         ),
         {"sep": ";"},
     )
-    raw = table(spark, sf, "orders").select(
+    raw = spread(table(spark, sf, "orders")).select(
         F.from_csv(line, "o_orderkey bigint, MES string, SHARE string", {"sep": ";"}).alias("r")
     ).select("r.*")
     return raw.withColumn("share_date", dates.parse_date("MES", "dd/MM/yyyy")).select(

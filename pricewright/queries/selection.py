@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pricewright.functions import codes, dates, text
 from pricewright.functions.numbers import parse_number, ratio, total
 from pricewright.operators import filters, joins, latest
+from pricewright.sources.readers import spread
 from pricewright.queries.tables import (
     AS_OF, LINES_SQL, lines, merged_org_sql, org_of, org_sql, table, tidy, tidy_sql,
 )
@@ -395,7 +396,7 @@ def view_filter(spark, sf):
     """, ["order_number", "item_number"], ["net_value", "quantity"]),
 )
 def typed_distinct_items(spark, sf):
-    view = table(spark, sf, "lineitem")
+    view = spread(table(spark, sf, "lineitem"))
     return tidy(
         spark.sql(
             """
@@ -456,7 +457,7 @@ def text_functions(spark, sf):
 )
 def date_functions(spark, sf):
     # Dates arrive as text in three layouts and are parsed back.
-    source = table(spark, sf, "orders").select(
+    source = spread(table(spark, sf, "orders")).select(
         "o_orderkey", F.date_format("o_orderdate", "yyyy.MM.dd").alias("dotted"),
         F.date_format("o_orderdate", "dd-MM-yyyy").alias("dashed"),
         F.date_format("o_orderdate", "yyyyMMdd").alias("packed"),
@@ -498,7 +499,7 @@ def date_functions(spark, sf):
     ),
 )
 def number_parsing(spark, sf):
-    source = table(spark, sf, "lineitem").select(
+    source = spread(table(spark, sf, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_tax", "l_discount",
         F.concat(F.lit(" "), F.translate(F.col("l_extendedprice").cast("decimal(12,2)").cast("string"), ".", ","), F.lit(" ")).alias("price_text"),
         F.concat(F.col("l_returnflag"), F.lit("?")).alias("bad_text"),

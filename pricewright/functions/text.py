@@ -14,11 +14,6 @@ def drop_chars(c: Column | str, chars: str) -> Column:
     return F.translate(column(c), chars, "")
 
 
-def swap_chars(c: Column | str, chars: str, by: str) -> Column:
-    """Every character of ``chars`` becomes the single character ``by``."""
-    return F.translate(column(c), chars, by * len(chars))
-
-
 def fold_accents(c: Column | str) -> Column:
     """Upper-case accented letters become their base letter."""
     return F.translate(column(c), values.ACCENTED, values.UNACCENTED)

@@ -67,7 +67,3 @@ def _complete(required: list[str]) -> Column:
 def quarantine(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
     """Split into (rows with every required column, rows missing one)."""
     return df.where(_complete(required)), df.where(~_complete(required))
-
-
-def quarantine_flag(df: DataFrame, required: list[str], name: str = "rejected") -> DataFrame:
-    return df.withColumn(name, ~_complete(required))

@@ -7,7 +7,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricewright import values
-from pricewright.functions.codes import yes_no
 from pricewright.functions.dates import (
     days_elapsed, days_remaining, iso_week, iso_year, month_start, same_month,
 )
@@ -226,8 +225,3 @@ def premium(
         .withColumn("premium_deviation", F.col("practiced_premium_sample") - F.col("target_premium"))
         .drop("_own")
     )
-
-
-def approved_text(df: DataFrame, flags: list[str]) -> DataFrame:
-    """Boolean flags to their text at the edge of the library."""
-    return df.withColumns({c: yes_no(F.col(c)) for c in flags})

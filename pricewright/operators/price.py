@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricewright import values

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricewright import values
-from pricewright.functions.text import code_int, has_digits, norm_key, strip_dashes
+from pricewright.functions.text import code_int, fold_accents, has_digits, norm_key, strip_dashes
 from pricewright.operators.filters import exclude_terms, scope_filter
 from pricewright.operators.joins import full_coalesce, lookup, splittable, two_pass_lookup
 from pricewright.operators.latest import latest_per_key, mode_per_key
@@ -87,7 +87,7 @@ def regions(city: DataFrame, jurisdictions: DataFrame, branches: DataFrame) -> D
         keyed, sites, {"_key1": "_key", "_uf1": "_uf"}, {"_key2": "_key", "_uf2": "_uf"}, "_branch", "BRANCH"
     ).drop("_key1", "_key2", "_uf1", "_uf2")
     return found.withColumn(
-        "IBGE_SAP_CITY_NAME", F.translate(F.upper("IBGE_SAP_CITY_NAME"), values.ACCENTED, values.UNACCENTED)
+        "IBGE_SAP_CITY_NAME", fold_accents(F.upper("IBGE_SAP_CITY_NAME"))
     )
 
 

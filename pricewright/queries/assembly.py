@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricewright.functions import codes, dates, text
+from pricewright.functions import codes, dates
 from pricewright.functions.numbers import parse_number
-from pricewright.operators import catalog, filters, latest, ledger, price, reshape
+from pricewright.operators import catalog, filters, ledger, price, reshape
 from pricewright.sources.readers import spread
 from pricewright.queries.tables import LINES_SQL, lines, org_of, org_sql, table, tidy, tidy_sql
 

@@ -9,7 +9,7 @@ from pricewright.functions.numbers import parse_number, ratio, total
 from pricewright.operators import filters, joins, latest
 from pricewright.sources.readers import spread
 from pricewright.queries.tables import (
-    AS_OF, LINES_SQL, lines, merged_org_sql, org_of, org_sql, table, tidy, tidy_sql,
+    AS_OF, merged_org_sql, org_of, org_sql, table, tidy, tidy_sql,
 )
 
 QUERIES, ORACLE = {}, {}

@@ -62,6 +62,12 @@ def test_union_extracts_newest_wins(spark):
     assert rows(got.select("K", "V"), "K") == [("1", "new"), ("2", "tie")]
 
 
+def test_renames_and_last_load(spark):
+    df = spark.createDataFrame([(1, 2), (3, 1)], "a int, t int")
+    assert latest.upper_names(df).columns == ["A", "T"] and latest.suffix_names(df, "_pv").columns == ["a_pv", "t_pv"]
+    assert rows(latest.last_load(df, "t")) == [(2,)] and rows(latest.latest_snapshot(df, "t")) == [(1, 2)]
+
+
 def test_mode_and_ties(spark):
     df = spark.createDataFrame([("m", "a"), ("m", "b"), ("m", "b"), ("t", "y"), ("t", "x"), ("t", None)], "k string, v string")
     assert rows(latest.mode_per_key(df, ["k"], "v"), "k") == [("m", "b", 2), ("t", "x", 1)]

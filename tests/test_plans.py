@@ -296,9 +296,10 @@ def test_survey_to_collect_mart(spark, billing, region, product):
     own = survey.own_price_reference(billing, region, got)
     # the billed channel is the distribution one, priced 2.0 per 2 tons
     mart_capacity = spark.createDataFrame([("Filial Sao Paulo", date(2020, 1, 1), 4.0)], "branch string, month date, capacity double")
-    mart = survey.collect_mart([got], own, mart_capacity, product, "2020-01-20").collect()
-    assert len(mart) == 3
-    row = mart[0]
+    form = survey.form_rows(frame(spark, "org maker branch price_kg", ("IN", "form", "Filial X", "4,5")))
+    mart = survey.collect_mart([got, form], own, mart_capacity, product, "2020-01-20").collect()
+    assert len(mart) == 4 and [r.price_kg for r in mart if r.maker == "form"] == [4.5]
+    row = next(r for r in mart if r.maker == "m")
     assert (row.day_mean, row.day_count, row.status, row.gpm) == (0.001, 1, "Entre 80% e 100%", "VERGALHAO")
     assert row.channel_label == "Sell-in 2: Distribuição-Revenda" and row.price_std == 0.064
 
@@ -337,6 +338,8 @@ def test_agent_targets_and_marks(spark, product):
 def test_support_tables(spark):
     share = support.share(frame(spark, "MES SHARE", ("01/07/2019", "0,35"), ("x", "y")), "2020-01-01")
     assert rows(share, F.col("DT_SHARE").asc_nulls_last())[0] == (date(2019, 7, 1), 0.35, "07/2019", 2019, 7, date(2020, 1, 1))
+    scrap = support.scrap(spark.createDataFrame([("01/07/2019", "1,25")], "`Ano civil/mês` string, `Resultado global` string"), "2020-01-01")
+    assert scrap.first()[:3] == (date(2019, 7, 1), 1.25, "07/2019")
     budget = spark.createDataFrame([("01/07/2019", "g", "0012", "d", "BRCG", "SP", "1,5", " 2 000,0")], "DATA string, GPM string, GPD string, `GPD Desc` string, OV string, `UF Recebedor ` string, Volume string, RLV string")
     assert support.budget(budget).first()[:] == ("g", 12, "d", "BRCG", "SP", 1.5, 2000.0, "201907")
     cal = support.calendar(frame(spark, "CURRENT_DATE CURRENT_WEEKEND", ("01-07-2019", "FALSE"), ("06-07-2019", "TRUE")))

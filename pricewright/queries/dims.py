@@ -160,8 +160,9 @@ PRODUCT_PLAIN = [
 def product_dimension(spark, sf):
     part = table(spark, sf, "part")
     matnr = F.lpad(F.col("p_partkey").cast("string"), 18, "0")
+    sector = (F.col("p_size") % 3).cast("string")
     material = part.select(
-        matnr.alias("MATNR"), F.lit("10").alias("spart"), F.col("p_type").alias("prdha"), F.lit("ZERT ").alias("mtart"),
+        matnr.alias("MATNR"), sector.alias("spart"), F.col("p_type").alias("prdha"), F.lit("ZERT ").alias("mtart"),
         F.when(F.col("p_size") % 5 == 0, F.lit("01")).otherwise(F.lit(" ")).alias("mstae"),
     )
     name = F.regexp_replace("p_name", "ring", "NAO UTILIZAR")
@@ -189,6 +190,6 @@ def product_dimension(spark, sf):
             F.col("p_type").alias("DEMANDBREAKDOWNGROUP"),
         )
     )
-    sectors = texts(F.lit("10").alias("spart"), F.lit("Sector").alias("vtext"))
+    sectors = texts(sector.alias("spart"), F.concat(F.lit("Sector "), sector).alias("vtext"))
     out = dimensions.products(material, names, sectors, sold.select("matnr", "mvgr1", "vkorg"), groups, hierarchy, units, marketing)
     return tidy(out.select(*PRODUCT_PLAIN, "KG"))

@@ -22,10 +22,22 @@ RUNTIME_CONF = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session the caller already owns."""
+# Shuffle data one task should handle, before AQE merges small neighbours.
+TASK_BYTES = 128 * 1024 * 1024
+
+
+def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the runtime settings to a session the caller already owns.
+
+    ``shuffle_bytes`` is the volume the job is expected to shuffle at once (after pruning);
+    it sets how finely shuffles start out, so that no partition outgrows an executor. AQE merges
+    what turns out small. Without it the session's own number stays.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    if shuffle_bytes is not None:
+        parts = max(spark.sparkContext.defaultParallelism, -(-shuffle_bytes // TASK_BYTES))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
     return spark
 
 

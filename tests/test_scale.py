@@ -3,11 +3,11 @@
 import re
 
 import pytest
-from conftest import rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from pricewright.operators.joins import lookup, with_group
+from pricewright.session import tune
 
 
 def plan_of(df):
@@ -93,5 +93,12 @@ def test_each_source_role_is_scanned_once(spark, sf_dir, name):
     assert len(scans) <= {"own_price_ref": 2, "forecast_allocation": 2, "next_month_variance": 3}[name]
 
 
-def test_rows_helper(spark):
-    assert rows(spark.range(2), "id") == [(0,), (1,)]
+def test_shuffles_start_as_fine_as_the_volume_needs(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        tune(spark, shuffle_bytes=10 * 2**40)
+        assert int(spark.conf.get(name)) == 81_920
+        tune(spark, shuffle_bytes=1)
+        assert int(spark.conf.get(name)) == 8
+    finally:
+        spark.conf.unset(name)

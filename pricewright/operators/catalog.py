@@ -55,6 +55,11 @@ def sample_keys(df: DataFrame, org: str, product: str, branch: str, channel: str
     )
 
 
+def audit_key(day: str, *parts: str) -> Column:
+    """Readable key of one collected price for the auditors."""
+    return display_key(F.date_format(day, "yyyy-MM-dd"), *parts)
+
+
 def material_label(code: str, text: str) -> Column:
     return display_key(code, text, sep=" - ")
 

@@ -26,9 +26,15 @@ def scope_filter(
     return df.where(test)
 
 
-def exclude_terms(df: DataFrame, col: Column | str, terms: list[str], keep_null: bool = True) -> DataFrame:
-    """Rows whose text contains none of the terms."""
-    hit = contains_any(col, terms)
+def exclude_terms(
+    df: DataFrame, col: Column | str, terms: list[str], keep_null: bool = True, only_if_all: bool = False
+) -> DataFrame:
+    """Rows whose text contains none of the terms; with ``only_if_all`` a row goes only when it holds
+    every one of them (a chain of "not this or not that")."""
+    if only_if_all:
+        hit = reduce(lambda a, b: a & b, [column(col).contains(t) for t in terms])
+    else:
+        hit = contains_any(col, terms)
     return df.where(F.coalesce(~hit, F.lit(keep_null)))
 
 

@@ -8,9 +8,9 @@ from pricewright import values
 from pricewright.functions.codes import customer_group, remap_codes
 from pricewright.functions.dates import month_label
 from pricewright.functions.numbers import number
-from pricewright.functions.text import code_int
+from pricewright.functions.text import code_int, display_key
 from pricewright.operators.filters import horizon, scope_filter
-from pricewright.operators.joins import overlay
+from pricewright.operators.joins import lookup, overlay, splittable
 from pricewright.operators.margin import dispersion_map, margin_rollup, trailing_means
 from pricewright.operators.price import normal_price, price_waterfall, strategic_price
 from pricewright.plans.dimensions import key_columns, product_groups, with_branch
@@ -161,6 +161,26 @@ def order_item_margin(view: DataFrame, profit: DataFrame) -> DataFrame:
     return items.join(costs, ["month", "sales_number", "sales_item"])
 
 
+def strategic_margin(profit: DataFrame, view: DataFrame) -> DataFrame:
+    """Gross-profit fact of the organisations in scope with the group of the view where its own is missing."""
+    rows = scope_filter(profit, "SALES_ORG_COD", values.SALES_ORGS, exact=True).withColumns(
+        {"SALES_ORG_COD": remap_codes("SALES_ORG_COD"), "_material": code_int("MATERIAL_COD")}
+    )
+    groups = view.groupBy(code_int("material_cod").alias("_material"), F.col("sales_org_cod").alias("SALES_ORG_COD")).agg(
+        F.min(F.struct(code_int("gpd_cod").alias("cod"), F.col("gpd_desc").alias("text"))).alias("_g")
+    ).select("_material", "SALES_ORG_COD", F.col("_g.cod").alias("_gpd"), F.col("_g.text").alias("GPD_DESC"))
+    found = lookup(rows, splittable(groups), ["_material", "SALES_ORG_COD"], ["_gpd", "GPD_DESC"])
+    return found.withColumns(
+        {
+            "GPD_COD": F.coalesce(code_int("GPD_COD"), "_gpd"),
+            "YEAR": F.year("SALES_ORDER_DATE"),
+            "MONTH_NO": F.month("SALES_ORDER_DATE"),
+            "KEY_LB": display_key("SALES_NUMBER", "SALES_ITEM"),
+            "UF": F.concat(F.lit("BR/"), F.col("ISSUING_STATE")),
+        }
+    ).drop("_gpd", "_material")
+
+
 def margin_marts(view: DataFrame, profit: DataFrame) -> DataFrame:
     """All margin grains in one frame, told apart by ``grain``."""
     return margin_rollup(

@@ -47,6 +47,11 @@ def calendar(df: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def typed(df: DataFrame, numbers: list[str]) -> DataFrame:
+    """A plain support table (premium targets, policy limits, approval ranges, access) with its numbers parsed."""
+    return df.withColumns({c: parse_number(F.col(f"`{c}`")) for c in numbers}).distinct()
+
+
 # Column of the product traits file -> column.
 PRODUCT_TRAITS = {
     "Setor de atividade (Material) COD": "Setor_ATIVIDADE_COD", "Setor de atividade (Material) DESC": "Setor_ATIVIDADE_DESC",

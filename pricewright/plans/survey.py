@@ -9,7 +9,7 @@ from pricewright.functions.codes import channel_label, price_type, remap_codes,
 from pricewright.functions.dates import parse_date
 from pricewright.functions.numbers import parse_number
 from pricewright.functions.text import code_int, pad_code
-from pricewright.operators.catalog import analysis_unit, material_label, sample_keys, union_aligned
+from pricewright.operators.catalog import analysis_unit, audit_key, material_label, sample_keys, union_aligned
 from pricewright.operators.joins import lookup, overlay, splittable
 from pricewright.operators.kpi import month_progress, own_price_ref, price_std, run_rate
 from pricewright.operators.price import approve_band, normal_price, price_at_terms, price_per_kg, unit_price
@@ -144,7 +144,14 @@ def collect_mart(
             "channel_label": channel_label("channel"),
             "material": material_label("product_cod", "product"),
         }
-    ).withColumn("analysis_unit", analysis_unit("org", "region", "material"))
+    ).withColumns(
+        {
+            "analysis_unit": analysis_unit("org", "region", "material"),
+            "audit_key": audit_key(
+                "day", "client_cod", "maker", "seller_cod", "unit", "channel", "branch", "product_cod", "city", "org", "price_with_taxes"
+            ),
+        }
+    )
     return sample_keys(rows, "org", "product_cod", "branch", "channel", "seller_cod", "day")
 
 

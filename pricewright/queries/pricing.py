@@ -362,7 +362,8 @@ def wallet_backlog(spark, sf):
            org || '_' || l_returnflag || '_' || CAST(l_partkey AS VARCHAR) || '_' || CAST(l_suppkey AS VARCHAR) || '_' || strftime(ship_date, '%m-%Y') AS seller_key,
            strftime(ship_date, '%m-%Y') AS month_key,
            CAST(l_partkey AS VARCHAR) || ' - ' || p_name AS material,
-           'BR' || org || ' - ' || l_returnflag || ' - ' || p_name AS analysis_unit
+           'BR' || org || ' - ' || l_returnflag || ' - ' || p_name AS analysis_unit,
+           strftime(ship_date, '%Y-%m-%d') || '_' || CAST(o_custkey AS VARCHAR) || '_' || CAST(l_suppkey AS VARCHAR) || '_' || org AS audit_key
     FROM l JOIN part ON l_partkey = p_partkey
     """,
 )
@@ -374,4 +375,5 @@ def sample_keys(spark, sf):
         "l_orderkey", "l_linenumber", "sample_key", "invoice_key", "seller_key", "month_key",
         catalog.material_label("l_partkey", "p_name").alias("material"),
         catalog.analysis_unit("org", "l_returnflag", "p_name").alias("analysis_unit"),
+        catalog.audit_key("ship_date", "o_custkey", "l_suppkey", "org").alias("audit_key"),
     )

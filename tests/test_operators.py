@@ -20,6 +20,12 @@ def test_scope_filter_keeps_nulls_only_on_request(spark):
     assert rows(filters.exclude_terms(df, "g", ["TARUGO"], keep_null=False)) == [("B_4",)]
 
 
+def test_exclude_only_if_all(spark):
+    df = spark.createDataFrame([("BR x",), ("BR GP",), ("x",), (None,)], "g string")
+    assert rows(filters.exclude_terms(df, "g", ["BR", "GP"], keep_null=False)) == [("x",)]
+    assert rows(filters.exclude_terms(df, "g", ["BR", "GP"], keep_null=False, only_if_all=True)) == [("BR x",), ("x",)]
+
+
 def test_horizon_bounds(spark):
     days = [date(2019, 7, 31), date(2019, 8, 1), date(2020, 1, 31), date(2020, 2, 1), date(2020, 2, 29), date(2020, 3, 1)]
     df = spark.createDataFrame([(d,) for d in days], "d date")

@@ -211,6 +211,11 @@ def test_margin_marts(spark, margin):
     got = marts.margin_marts(view, margin).collect()
     assert {r.grain for r in got} == set(marts.MARGIN_GRAINS) and len(got) == 7
     assert {(r.quantity_ton, r.gross_profit_bw, r.practiced_price_mean) for r in got} == {(4.0, 30.0, 6.0)}
+    fact = margin.withColumns(
+        {"SALES_ORG_COD": F.lit("BRGO"), "MATERIAL_COD": F.lit("0100"), "GPD_COD": F.lit(None).cast("string"), "ISSUING_STATE": F.lit("SP"), "SALES_ORDER_DATE": F.col("MONTH")}
+    )
+    full = marts.strategic_margin(fact, view).first()
+    assert (full.SALES_ORG_COD, full.GPD_COD, full.GPD_DESC, full.KEY_LB, full.UF, full.YEAR) == ("BRCG", 1, "d", "10_10", "BR/SP", 2020)
     sf = marts.sales_force_margin(view, margin, [1, 2, 3], [1, 2, 3], 9).first()
     assert (sf.rlv, sf.avg_rlv_last_3, sf.avg_gross_profit_bw_year) == (18.0, 6.0, 30.0 / 9.0)
 
@@ -344,6 +349,8 @@ def test_support_tables(spark):
     assert support.budget(budget).first()[:] == ("g", 12, "d", "BRCG", "SP", 1.5, 2000.0, "201907")
     cal = support.calendar(frame(spark, "CURRENT_DATE CURRENT_WEEKEND", ("01-07-2019", "FALSE"), ("06-07-2019", "TRUE")))
     assert rows(cal.select("CURRENT_DATE", "IS_WEEKEND"), "CURRENT_DATE") == [(date(2019, 7, 1), False), (date(2019, 7, 6), True)]
+    limits = support.typed(frame(spark, "org ALCADA", ("BRCG", "4,5"), ("BRCG", "4,5")), ["ALCADA"])
+    assert rows(limits) == [("BRCG", 4.5)]
     traits = spark.createDataFrame([tuple("x" for _ in support.PRODUCT_TRAITS)], ", ".join(f"`{c}` string" for c in support.PRODUCT_TRAITS))
     assert support.product_traits(traits).columns == list(support.PRODUCT_TRAITS.values())
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,10 +61,16 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster; a temporary one only where none is set."""
+    """The shared checkpoint folder of the cluster.
+
+    A session that runs in one JVM gets a temporary folder of its own where none is set; on a
+    cluster executors could not share one, so the setting is required there.
+    """
     context = spark.sparkContext
     current = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="checkpoint-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(current)

@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import compare, connect
+from pricewright.queries import registry
 
-ORACLE = entry.oracle_sql()
+ORACLE = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -13,14 +14,14 @@ def duck(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_sql(spark, duck, sf_dir, name):
     ok, note, _ = compare(spark, duck, name, entry.queries()[name], ORACLE.get(name), sf_dir)
     assert ok, note
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(ORACLE)
+    assert set(registry.queries()) == set(ORACLE)
 
 
 def test_entry_returns_rows(spark):

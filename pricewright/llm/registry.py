@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from pricewright.llm import packing, simhash
+from pricewright.llm import exact, linededup, lm, mixing, packing, quality, simhash
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_quality_rules": quality.op2_quality_rules,
+    "op3_exact_dedup": exact.op3_exact_dedup,
+    "op5_lm_score": lm.op5_lm_score,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
+    "op9_mixing": mixing.op9_mixing,
+    "op10_line_dedup": linededup.op10_line_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_exact_dedup": exact.OP3_SQL,
+    "op9_mixing": mixing.OP9_SQL,
+}
 
 
 def queries() -> dict:

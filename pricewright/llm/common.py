@@ -6,8 +6,10 @@ changes the number of code points or bytes.
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import pricewright.llm
 from pricewright.operators.joins import splittable
 from pricewright.session import cut_lineage
 
@@ -18,6 +20,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Rows of one Arrow batch; a Python worker holds a few batches at a time.
 ARROW_ROWS = "1000"
 
+# Functions that run in Python workers travel with their code; executors need no copy of this folder.
+cloudpickle.register_pickle_by_value(pricewright.llm)
+
 __all__ = [
     "SPACE", "WORD", "ascii_lower", "cut_lineage", "splittable", "table", "text_or_empty", "word_count",
     "word_list",

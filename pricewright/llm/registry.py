@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pricewright.llm import chat, exact, linededup, lm, mixing, packing, quality, secrets, simhash, toxicity
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_chat_format": chat.op8_chat_format,
     "op9_mixing": mixing.op9_mixing,
     "op10_line_dedup": linededup.op10_line_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {

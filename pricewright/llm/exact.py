@@ -1,9 +1,10 @@
 """Exact duplicates by a content sort.
 
-Texts are normalised (A-Z to a-z, nothing else) and range-partitioned on their bytes by splitters
-that Spark samples from all rows; each partition sorts externally, which places equal texts side
+Texts are normalised (A-Z to a-z, nothing else) and range-partitioned on their first bytes and a hash of all,
+by splitters that Spark samples from all rows (whole texts would make the samples large); each
+partition sorts externally by these and the text, which places equal texts side
 by side, and a sort aggregate compares neighbours in full and closes a run where the text changes.
-A salt is the second sort key: splitters fall between the salts of a text as well, so a text
+A salt is the last range key: splitters fall between the salts of a text as well, so a text
 that a third of all rows share is spread over many partitions and comes out as a few runs. Runs
 are named by the SHA-256 of their text, combined by it, and joined back to the rows.
 """
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pricewright.llm.common import LOWER, UPPER, ascii_lower, splittable, table, text_or_empty
 
 SALTS = 1024
+HEAD_CHARS = 32
 
 
 def content(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -25,8 +27,10 @@ def content(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
 def runs(rows: DataFrame, keep: str = "smallest") -> DataFrame:
     """One row per run of equal neighbours: content, the id it retains and its number of rows."""
     salt = F.pmod(F.xxhash64("doc_id", F.spark_partition_id()), F.lit(SALTS))
-    placed = rows.withColumn("salt", salt).repartitionByRange("content", "salt").sortWithinPartitions("content", "salt")
-    return placed.groupBy("content", "salt").agg(_retained(F.col("doc_id"), keep).alias("kept"), F.count("*").alias("n"))
+    head = F.substring("content", 1, HEAD_CHARS)
+    placed = rows.withColumns({"head": head, "hash": F.xxhash64("content"), "salt": salt}).repartitionByRange("head", "hash", "salt")
+    order = ["head", "hash", "salt", "content"]
+    return placed.sortWithinPartitions(*order).groupBy(*order).agg(_retained(F.col("doc_id"), keep).alias("kept"), F.count("*").alias("n"))
 
 
 def exact_duplicates(docs: DataFrame, keep: str = "smallest", text: str = "text", key: str = "doc_id") -> DataFrame:

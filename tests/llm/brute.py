@@ -52,13 +52,14 @@ def char_histogram(text):
     from pricewright.llm.quality import CHAR_CLASSES
 
     counts = [len(regex.findall(p, text)) for p in CHAR_CLASSES.values()]
+    counts.append(len(text) - sum(map(len, WORD.findall(text))))
     return [*counts, len(text) - sum(counts)]
 
 
 def word_histogram(text, lang):
     from pricewright.llm.quality import ANY_LANGUAGE, COMMON_WORDS
 
-    words = [w.strip(""".,;:!?'"()-""").lower() for w in WORD.findall(text)]
+    words = WORD.findall(text)
     counts = [words.count(w) for w in COMMON_WORDS.get(lang, ANY_LANGUAGE)]
     return [*counts, len(words) - sum(counts)]
 

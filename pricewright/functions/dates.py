@@ -19,6 +19,14 @@ def parse_date(c: Column | str, fmt: str) -> Column:
     return F.try_to_timestamp(text, F.lit(fmt)).cast("date")
 
 
+def parse_time(c: Column | str, fmt: str = "yyyy/MM/dd") -> Column:
+    """Time from text, with or without its time of day ('-' and '.' count as '/'); bad text -> null."""
+    text = F.replace(F.translate(F.trim(column(c).cast("string")), "-.", "//"), F.lit("T"), F.lit(" "))
+    day = F.try_to_timestamp(F.substring(text, 1, len(fmt)), F.lit(fmt))
+    timed = F.try_to_timestamp(F.substring(text, 1, len(fmt) + 9), F.lit(f"{fmt} HH:mm:ss"))
+    return F.coalesce(timed, day)
+
+
 def month_start(d: Column | str) -> Column:
     return F.trunc(column(d).cast("date"), "month")
 

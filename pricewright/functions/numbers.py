@@ -1,17 +1,20 @@
 """Number helpers (Column -> Column).
 
-Money is a double. ``total`` adds it in whole millionths: whole numbers add exactly in
-doubles up to 2**53, so a total below nine billion does not depend on the order in which
-tasks deliver their rows, and a larger one keeps some sixteen digits instead of overflowing.
-That costs one addition per row, where a wide decimal sum costs a big-integer operation.
-Ratios are null where the divisor is 0.
+Money is a double. ``total`` adds it in whole millionths, cut into a high and a low part that are
+both added as whole numbers and joined as a decimal at the end: sums are exact at every size, and
+no total depends on the order in which tasks deliver their rows. That costs two whole-number additions per
+row, where a wide decimal sum costs a big-integer operation. Ratios are null where the divisor is 0.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from decimal import Decimal
+
+from pyspark.sql import Column, WindowSpec, functions as F
 
 MONEY_DIGITS = 6
+# Low parts are below 2**24, so 2**39 rows add up; high parts of totals below 2**87 units do.
+LOW_UNITS = 2**24
 
 
 def column(c: Column | str) -> Column:
@@ -33,10 +36,14 @@ def snap(c: Column | str, digits: int = MONEY_DIGITS) -> Column:
     return F.floor(number(c) * scale + 0.5) / scale
 
 
-def total(c: Column | str, digits: int = MONEY_DIGITS) -> Column:
-    """Sum of a number column in whole units of 10**-digits."""
+def total(c: Column | str, digits: int = MONEY_DIGITS, over: WindowSpec | None = None) -> Column:
+    """Exact sum of a number column in whole units of 10**-digits; NaN counts as null."""
     scale = float(10**digits)
-    return F.sum(F.rint(number(c) * scale)) / scale
+    units = F.rint(F.nanvl(number(c), F.lit(None).cast("double")) * scale)
+    high = F.floor(units / float(LOW_UNITS))
+    parts = [F.sum(high), F.sum((units - high * float(LOW_UNITS)).cast("bigint"))]
+    high, low = [(p if over is None else p.over(over)).cast("decimal(20,0)") for p in parts]
+    return (high * F.lit(Decimal(LOW_UNITS)) + low).cast("double") / scale
 
 
 def exact_mean(c: Column | str, digits: int = MONEY_DIGITS) -> Column:

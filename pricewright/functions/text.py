@@ -36,11 +36,12 @@ def code_int(c: Column | str) -> Column:
 
 def has_digits(c: Column | str, digits: int) -> Column:
     """True for a numeric code of exactly ``digits`` significant digits."""
-    return F.coalesce(code_int(c).between(10 ** (digits - 1), 10**digits - 1), F.lit(False))
+    return F.coalesce(code_int(c).between(10 ** (digits - 1), min(10**digits, 2**63) - 1), F.lit(False))
 
 
 def pad_code(c: Column | str, width: int = 10) -> Column:
-    return F.lpad(column(c), width, "0")
+    """A zero before the code, then its last ``width`` characters: a longer code keeps its end."""
+    return F.right(F.concat(F.lit("0"), column(c)), F.lit(width))
 
 
 def minimal_terms(terms: list[str]) -> list[str]:

@@ -47,7 +47,19 @@ def horizon(
     month_aligned: bool = True,
     closed: bool = False,
 ) -> DataFrame:
-    """Rolling month window around ``as_of``.
+    """Rows of the rolling month window around ``as_of`` (see ``in_horizon``)."""
+    return df.where(in_horizon(col, as_of, back, fwd, month_aligned, closed))
+
+
+def in_horizon(
+    col: Column | str,
+    as_of: Column | date | str,
+    back: int,
+    fwd: int = 0,
+    month_aligned: bool = True,
+    closed: bool = False,
+) -> Column:
+    """Test for the rolling month window around ``as_of``.
 
     Month-aligned bounds start at the first of the month; ``closed`` keeps the
     upper bound itself. With ``month_aligned`` and ``closed`` the window runs
@@ -58,7 +70,7 @@ def horizon(
     lower = F.add_months(first if month_aligned else day, -back)
     upper = F.add_months(first if month_aligned and not closed else day, fwd)
     value = column(col)
-    return df.where((value >= lower) & ((value <= upper) if closed else (value < upper)))
+    return (value >= lower) & ((value <= upper) if closed else (value < upper))
 
 
 def since(df: DataFrame, col: Column | str, floor: str | int) -> DataFrame:

@@ -89,7 +89,7 @@ def allocate_forecast(
     )
     # The group of a parent is now at most the branches of one state.
     known = F.col(branch) != unknown
-    whole = F.sum(F.when(known, F.rint(F.col("qty") * 1e6))).over(Window.partitionBy(*parent)) / 1e6
+    whole = total(F.when(known, F.col("qty")), over=Window.partitionBy(*parent))
     rows = rows.withColumn("state_qty", whole)
 
     has_sales, has_plan = F.col("qty").isNotNull(), F.col("plan").isNotNull()
@@ -161,9 +161,9 @@ def forecast_vs_actual(
         }
     )
     per_key = Window.partitionBy(*keys)
-    units = F.sum(F.rint(F.col("rlv_diff") * 1e6)).over(per_key) / 1e6
+    mean = ratio(total("rlv_diff", over=per_key), F.count("rlv_diff").over(per_key))
     return (
-        months.withColumn("rlv_diff_mean", ratio(units, F.count("rlv_diff").over(per_key)))
+        months.withColumn("rlv_diff_mean", mean)
         .where(F.col("_budget"))
         .drop("_plan", "_budget")
     )

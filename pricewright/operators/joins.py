@@ -20,6 +20,16 @@ def splittable(side: DataFrame) -> DataFrame:
     return side.hint("rebalance")
 
 
+def one_per_key(dim: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key of a table to look up: the smallest by its other columns, in their order.
+
+    An ambiguous key then cannot multiply the rows that look it up. Repeats are combined in the map tasks.
+    """
+    rest = [c for c in dim.columns if c not in keys]
+    rows = dim.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
+    return splittable(rows.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]))
+
+
 def with_group(df: DataFrame, keys: list[str], **aggs: Column) -> DataFrame:
     """Detail rows with aggregates of their group.
 

@@ -110,7 +110,7 @@ def own_price_ref(
     days = (
         rows.groupBy(*keys, "ref_date", "billing_date")
         .agg(
-            F.sum(F.rint(F.col("_price") * 1e6)).alias("_units"),
+            total("_price").alias("_sum"),
             F.count("_price").alias("_n"),
             F.max("_own").alias("_own"),
         )
@@ -120,8 +120,7 @@ def own_price_ref(
     day = Window.partitionBy(*keys, "iso_year", "iso_week", "ref_date")
 
     def mean(window) -> Column:
-        units = F.sum("_units").over(window) / 1e6
-        return F.coalesce(ratio(units, F.sum("_n").over(window)), F.lit(0.0))
+        return F.coalesce(ratio(total("_sum", over=window), F.sum("_n").over(window)), F.lit(0.0))
 
     out = days.withColumns(
         {
@@ -187,7 +186,7 @@ def premium(
     mine, theirs = F.col("_own"), ~F.col("_own")
     first, second = markup_orgs
 
-    # One aggregation of the detail; the channel means are read off its few rows per key.
+    # One aggregation of the detail; the channel means are read off its few rows per key, one per organisation.
     by_org = flagged.groupBy(org, *keys).agg(
         F.count(F.when(theirs, F.lit(1))).alias("n_competitor"),
         exact_mean(F.when(theirs, F.col(price))).alias("competitor_price"),
@@ -195,11 +194,13 @@ def premium(
         exact_mean(F.when(mine, F.col(policy))).alias("policy_mean"),
         exact_mean(F.when(mine, F.col(net_price))).alias("_net_mean"),
     )
-    channels = by_org.groupBy(*keys).agg(
-        F.max(F.when(F.col(org) == first, F.col("_net_mean"))).alias("channel_price"),
-        F.max(F.when(F.col(org) == second, F.col("_net_mean"))).alias("base_price"),
-    )
-    stats = by_org.drop("_net_mean").join(channels, keys)
+    per_key = Window.partitionBy(*keys)
+    stats = by_org.withColumns(
+        {
+            "channel_price": F.max(F.when(F.col(org) == first, F.col("_net_mean"))).over(per_key),
+            "base_price": F.max(F.when(F.col(org) == second, F.col("_net_mean"))).over(per_key),
+        }
+    ).drop("_net_mean")
     out = flagged.join(splittable(stats), [org, *keys], "left").withColumn(
         "n_competitor", F.coalesce("n_competitor", F.lit(0))
     )

@@ -37,9 +37,9 @@ def latest_snapshot(df: DataFrame, load_col: str) -> DataFrame:
     return df.where(F.col(load_col) == top.scalar())
 
 
-def last_load(df: DataFrame, load_col: str, name: str = "last_load") -> DataFrame:
-    """Watermark of the last load."""
-    return df.agg(F.max(load_col).alias(name))
+def last_load(df: DataFrame, load_col: str, name: str = "last_load", by: list[str] | None = None) -> DataFrame:
+    """Watermark of the last load, of each source with ``by``."""
+    return df.groupBy(*(by or [])).agg(F.max(load_col).alias(name))
 
 
 def mode_per_key(
@@ -56,10 +56,6 @@ def upper_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.upper() for c in df.columns])
 
 
-def suffix_names(df: DataFrame, suffix: str) -> DataFrame:
-    return df.toDF(*[c + suffix for c in df.columns])
-
-
 def union_extracts(
     extracts: list[DataFrame],
     keys: list[str],
@@ -71,4 +67,5 @@ def union_extracts(
     whole = frames[0]
     for frame in frames[1:]:
         whole = whole.unionByName(frame, allowMissingColumns=True)
-    return latest_per_key(whole, keys, order)
+    # Rows that tie in the stated order are told apart by all of their columns.
+    return latest_per_key(whole, keys, [*order, F.xxhash64(*[F.col(f"`{c}`") for c in whole.columns])])

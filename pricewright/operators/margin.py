@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pricewright import values
 from pricewright.functions.numbers import add, number, ratio, signed_sum, total
 from pricewright.operators.joins import lookup, splittable
+from pricewright.operators.price import own_costs, with_costs
 
 
 def profit_columns(stacks: dict[str, str] | None = None) -> dict[str, Column]:
@@ -153,6 +154,21 @@ def cost_rates(
     )
 
 
+def cost_rates_of(rows: DataFrame, parent: list[str], item: list[str], cost_col: str, volume_col: str) -> DataFrame:
+    """``cost_rates`` where cost and volume stand in the same rows: both are summed in one scan.
+
+    A parent without any cost (all null) has no rates.
+    """
+    children = rows.groupBy(*parent, *item).agg(total(volume_col).alias("child"), total(cost_col).alias("cost"))
+    parents = children.groupBy(*parent).agg(total("child").alias("whole"), total("cost").alias("pool")).where("pool IS NOT NULL")
+    share = F.when(F.col("whole") > 0, ratio("child", "whole")).otherwise(F.lit(0.0))
+    return (
+        children.join(splittable(parents), parent)
+        .withColumn("item_cost", F.col("pool") * share)
+        .select(*parent, *item, "item_cost", ratio("item_cost", "child").alias("unit_cost"))
+    )
+
+
 def apportion_cost(
     df: DataFrame, rates: DataFrame, keys: list[str], quantity: str, name: str = "apportioned_cost"
 ) -> DataFrame:
@@ -170,18 +186,15 @@ DISPERSION_SUMS = ["zd05", "zeaf", "bx41", "rlv", "rbv", "icms", "pis", "cofins"
 def dispersion_map(
     lines: DataFrame, keys: list[str], margin: DataFrame | None = None, margin_keys: list[str] | None = None
 ) -> DataFrame:
-    """Order-item price per kg with margin and taxes, all per kg, the unscaled figures kept beside."""
+    """Order-item price per kg with margin and taxes, all per kg, the unscaled figures kept beside.
+
+    Margin figures come from the lines themselves where they carry them, else from the fact ``margin``.
+    """
     items = lines.groupBy(*keys).agg(
         total(F.col("practiced_price") * F.col("quantity_ton")).alias("_price_volume"),
-        *[total(c).alias(c) for c in [*DISPERSION_SUMS, "quantity_ton"]],
+        *[total(c).alias(c) for c in [*DISPERSION_SUMS, "quantity_ton", *own_costs(lines)]],
     )
-    costs = ["gross_profit", "freight", "op_cost"]
-    if margin is None:
-        items = items.withColumns({c: F.lit(0.0) for c in costs})
-    else:
-        items = lookup(items, margin, margin_keys or keys, costs).withColumns(
-            {c: F.coalesce(number(c), F.lit(0.0)) for c in costs}
-        )
+    items = with_costs(items, margin, margin_keys or keys, own_costs(lines))
     items = items.withColumns(
         {
             "practiced_price": ratio("_price_volume", "quantity_ton"),

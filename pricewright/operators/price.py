@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricewright import values
 from pricewright.functions.numbers import add, column, exact_mean, number, parse_number, ratio, total
@@ -17,6 +17,27 @@ TAXES = ["icms", "cofins", "pis", "other_taxes", "bx95"]
 EXTRA_SUMS = ["ipi", "bx41", "rbv", "rlv"]
 
 
+COSTS = ["gross_profit", "freight", "op_cost"]
+
+
+def own_costs(lines: DataFrame) -> list[str]:
+    """The cost columns, where the lines carry them themselves."""
+    return COSTS if set(COSTS) <= set(lines.columns) else []
+
+
+def with_costs(items: DataFrame, margin: DataFrame | None, keys: list[str], own: list[str]) -> DataFrame:
+    """Costs of the items: their own summed over ``keys``, or those of the profit fact; 0 where there are none."""
+    if own:
+        # A group is the few items that share an order item.
+        found = {c: total(c, over=Window.partitionBy(*keys)) for c in own}
+    elif margin is None:
+        found = {c: F.lit(None).cast("double") for c in COSTS}
+    else:
+        items = lookup(items, margin, keys, COSTS)
+        found = {c: number(c) for c in COSTS}
+    return items.withColumns({c: F.coalesce(value, F.lit(0.0)) for c, value in found.items()})
+
+
 def price_waterfall(
     lines: DataFrame, keys: list[str], margin: DataFrame | None = None, margin_keys: list[str] | None = None
 ) -> DataFrame:
@@ -24,21 +45,17 @@ def price_waterfall(
 
     Conditions, taxes and quantity are summed per key and the list price averaged; the
     profit fact (``gross_profit``, ``freight``, ``op_cost``) is joined on ``margin_keys``
-    with 0 where it has no row. Every step is then divided by the quantity.
+    with 0 where it has no row. Lines that carry these three columns themselves need no fact: they are
+    summed with the conditions, then over ``margin_keys``, in the same scan. Every step is then divided by
+    the quantity.
     """
     present = [c for c in [*EXTRA_SUMS] if c in lines.columns]
     sums = [*SEGMENT_STEP, *CUSTOMER_STEP, *GROSS_STEP, *TAXES, *present, "quantity_ton"]
     items = lines.groupBy(*keys).agg(
         exact_mean("list_price").alias("list_price"),
-        *[total(c).alias(c) for c in sums],
+        *[total(c).alias(c) for c in [*sums, *own_costs(lines)]],
     )
-    costs = ["gross_profit", "freight", "op_cost"]
-    if margin is None:
-        items = items.withColumns({c: F.lit(0.0) for c in costs})
-    else:
-        items = lookup(items, margin, margin_keys or keys, costs).withColumns(
-            {c: F.coalesce(number(c), F.lit(0.0)) for c in costs}
-        )
+    items = with_costs(items, margin, margin_keys or keys, own_costs(lines))
     steps = (
         items.withColumn("calculated_taxes", add(*TAXES))
         .withColumn("segment_price", add("list_price", *SEGMENT_STEP))

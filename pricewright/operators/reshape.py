@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 
 from pricewright import values
 from pricewright.functions.numbers import exact_mean, ratio
-from pricewright.operators.joins import lookup
+from pricewright.operators.joins import lookup, one_per_key
 
 
 def prefix_hierarchy(
@@ -26,6 +26,7 @@ def prefix_hierarchy(
         level_texts = texts.where(F.length(text_code) == size).select(
             F.col(text_code), F.col(text).alias(f"desc_{level}")
         )
+        level_texts = one_per_key(level_texts, [text_code])
         out = lookup(out, level_texts, {f"code_{level}": text_code})
     return out
 

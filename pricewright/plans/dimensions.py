@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pricewright import values
 from pricewright.functions.text import code_int, fold_accents, has_digits, norm_key, strip_dashes
 from pricewright.operators.filters import exclude_terms, scope_filter
-from pricewright.operators.joins import full_coalesce, lookup, splittable, two_pass_lookup
+from pricewright.operators.joins import full_coalesce, lookup, one_per_key, splittable, two_pass_lookup
 from pricewright.operators.latest import latest_per_key, mode_per_key
 from pricewright.operators.reshape import prefix_hierarchy, role_pivot, uom_pivot
 
@@ -41,11 +41,11 @@ CITY_RECORD = (
 )
 
 
-def regions(city: DataFrame, jurisdictions: DataFrame, branches: DataFrame) -> DataFrame:
+def regions(city: DataFrame, jurisdictions: DataFrame, branches: DataFrame, id_width: int = 7) -> DataFrame:
     """Cities of the public service and of the tax table, with the free-zone flag and the branch.
 
-    The tax code ends in three characters of region and seven of city id; a region ``ZF*`` marks a
-    free zone of the city instead of a region. ``branches`` holds city, branch and state.
+    The tax code ends in three characters of region and ``id_width`` of city id (seven in the public numbering);
+    a region ``ZF*`` marks a free zone of the city instead of a region. ``branches`` holds city, branch and state.
     """
     code = F.trim("TAXJURCODE")
     taxed = jurisdictions.where(
@@ -54,8 +54,8 @@ def regions(city: DataFrame, jurisdictions: DataFrame, branches: DataFrame) -> D
         code.alias("SAP_COD"),
         F.upper(F.trim("TEXT")).alias("SAP_NAME"),
         F.trim("COUNTRY").alias("COUNTRY"),
-        F.substring(code, -7, 7).alias("RG_COD_IBGE"),
-        F.substring(code, -10, 3).alias("RG_REG_SAP"),
+        F.substring(code, -id_width, id_width).alias("RG_COD_IBGE"),
+        F.substring(code, -id_width - 3, 3).alias("RG_REG_SAP"),
     )
     free_zone = F.col("RG_REG_SAP").startswith("ZF")
     zones = taxed.where(free_zone).select("RG_COD_IBGE", F.lit(1).alias("CITY_ZF")).distinct()
@@ -92,10 +92,9 @@ def regions(city: DataFrame, jurisdictions: DataFrame, branches: DataFrame) -> D
 
 
 def region_keys(region: DataFrame) -> DataFrame:
-    """(city key, state, branch) of the region dimension, for lookups by name."""
-    return region.select(
-        norm_key("IBGE_SAP_CITY_NAME").alias("CITY_KEY"), F.trim("IBGE_UF_ACRONYMS").alias("STATE_KEY"), "BRANCH"
-    ).distinct()
+    """(city key, state, branch) of the region dimension, for lookups by name; one branch per city and state."""
+    keys = {"CITY_KEY": norm_key("IBGE_SAP_CITY_NAME"), "STATE_KEY": F.trim("IBGE_UF_ACRONYMS")}
+    return one_per_key(region.select(*[c.alias(n) for n, c in keys.items()], "BRANCH"), list(keys))
 
 
 def with_branch(df: DataFrame, region: DataFrame, city: str, state: str, label: bool = True) -> DataFrame:
@@ -117,10 +116,10 @@ CLIENT_SALES = {
 CLIENT_KEY = ["COD_CLIENT", "ORGANIZATION_SALES_COD", "DISTRIBUTION_CHANNEL_COD", "ACTIVITY_SECTOR_COD"]
 
 
-def _sales_scope(df: DataFrame) -> DataFrame:
-    """Rows of the sales organisations in scope with a nine-digit client code, keyed alike."""
+def _sales_scope(df: DataFrame, digits: int) -> DataFrame:
+    """Rows of the sales organisations in scope with a client code of so many digits, keyed alike."""
     scoped = scope_filter(df, "VKORG", values.SALES_ORGS_WITH_TRADING, exact=True)
-    return scoped.where(has_digits("KUNNR", 9)).select(
+    return scoped.where(has_digits("KUNNR", digits)).select(
         code_int("KUNNR").alias("COD_CLIENT"),
         F.col("VKORG").alias("ORGANIZATION_SALES_COD"),
         F.col("VTWEG").alias("DISTRIBUTION_CHANNEL_COD"),
@@ -134,24 +133,28 @@ def clients(
     sales: DataFrame,
     partners: DataFrame,
     texts: dict[str, tuple[DataFrame, str, str]],
+    digits: int = 9,
 ) -> DataFrame:
     """Client per sales area: partner numbers by role, sales data, master data and texts.
 
+    Domestic client codes have ``digits`` digits. Every table looked up counts one row per key, its smallest.
+
     ``texts`` maps one of ORGANIZATION_SALES, DISTRIBUTION_CHANNEL, ACTIVITY_SECTOR, SALES_OFFICE,
     SELLER_GROUP, SEGMENTATION_GROUP to (table in one language, code column, text column).
     """
     number = (
         F.coalesce(code_int("PERNR"), F.lit(0)) + F.coalesce(code_int("KUNN2"), F.lit(0)) + F.coalesce(code_int("LIFNR"), F.lit(0))
     )
-    base = role_pivot(_sales_scope(partners), CLIENT_KEY, "PARVW", number)
-    area = _sales_scope(sales).withColumnsRenamed(CLIENT_SALES).select(*CLIENT_KEY, *CLIENT_SALES.values())
-    master = general.where((F.col("LAND1") == "BR") & has_digits("KUNNR", 9)).select(
+    base = role_pivot(_sales_scope(partners, digits), CLIENT_KEY, "PARVW", number)
+    area = _sales_scope(sales, digits).withColumnsRenamed(CLIENT_SALES).select(*CLIENT_KEY, *CLIENT_SALES.values())
+    master = general.where((F.col("LAND1") == "BR") & has_digits("KUNNR", digits)).select(
         code_int("KUNNR").alias("COD_CLIENT"), *[F.col(c).alias(n) for c, n in CLIENT_GENERAL.items()]
     )
-    out = lookup(lookup(base, area, CLIENT_KEY), master, ["COD_CLIENT"])
+    out = lookup(base, one_per_key(area, CLIENT_KEY), CLIENT_KEY)
+    out = lookup(out, one_per_key(master, ["COD_CLIENT"]), ["COD_CLIENT"])
     for name, (table, code, text) in texts.items():
-        one = table.select(F.col(code).alias(f"{name}_COD"), F.col(text).alias(f"{name}_DESC")).distinct()
-        out = lookup(out, one, [f"{name}_COD"])
+        one = table.select(F.col(code).alias(f"{name}_COD"), F.col(text).alias(f"{name}_DESC"))
+        out = lookup(out, one_per_key(one, [f"{name}_COD"]), [f"{name}_COD"])
     return out
 
 
@@ -180,12 +183,11 @@ def products(
         F.col("MATNR").alias("COD_MATERIAL"), code_int("MATNR").alias("_code"),
         F.col("spart").alias("COD_ACTIVITY_SECTOR"), "prdha",
     )
-    titles = in_language(names).select(code_int("matnr").alias("_code"), F.trim("maktx").alias("DESC_MATERIAL")).distinct()
+    titles = in_language(names).select(code_int("matnr").alias("_code"), F.trim("maktx").alias("DESC_MATERIAL"))
+    titles = one_per_key(titles, ["_code"])
     out = exclude_terms(lookup(goods, titles, ["_code"]), "DESC_MATERIAL", ["DELET", "DO NOT", "UTILIZAR"], keep_null=False)
-    out = lookup(
-        out, in_language(sectors).select("spart", F.col("vtext").alias("DESC_ACTIVITY_SECTOR")).distinct(),
-        {"COD_ACTIVITY_SECTOR": "spart"},
-    )
+    sector = one_per_key(in_language(sectors).select("spart", F.col("vtext").alias("DESC_ACTIVITY_SECTOR")), ["spart"])
+    out = lookup(out, sector, {"COD_ACTIVITY_SECTOR": "spart"})
 
     # Demand group: the most frequent one per material and organisation.
     sold = scope_filter(material_sales, "vkorg", values.SALES_ORGS_WITH_TRADING).select(
@@ -193,9 +195,8 @@ def products(
     )
     sold = mode_per_key(sold, ["_code", "SALES_ORG_COD"], "COD_GPD").drop("n_rows")
     out = out.join(sold, "_code")
-    out = lookup(
-        out, in_language(group_texts).select("mvgr1", F.col("bezei").alias("DESC_GPD")).distinct(), {"COD_GPD": "mvgr1"}
-    )
+    group = one_per_key(in_language(group_texts).select("mvgr1", F.col("bezei").alias("DESC_GPD")), ["mvgr1"])
+    out = lookup(out, group, {"COD_GPD": "mvgr1"})
 
     # Marketing and demand breakdown group: both are needed for a product to be in scope.
     extra = marketing.select(

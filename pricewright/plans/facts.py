@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricewright import values
-from pricewright.functions.dates import fiscal_period, parse_date
+from pricewright.functions.dates import fiscal_period, parse_date, parse_time
 from pricewright.functions.numbers import number
 from pricewright.functions.text import code_int, norm_key
 from pricewright.operators.filters import exclude_terms, horizon, scope_filter
@@ -40,7 +40,7 @@ def billing_fact(
         typed = extract.withColumns(
             {
                 "BILDOCDATE": parse_date("BILDOCDATE", "yyyy/MM/dd"),
-                "DATA_LOAD_TIMESTAMP_RAW": parse_date("DATA_LOAD_TIMESTAMP_RAW", "yyyy/MM/dd"),
+                "DATA_LOAD_TIMESTAMP_RAW": parse_time("DATA_LOAD_TIMESTAMP_RAW"),
             }
         )
         recent.append(horizon(typed, "BILDOCDATE", as_of, months, month_aligned=False, closed=True))
@@ -66,7 +66,7 @@ def profitability_fact(extracts: list[DataFrame], as_of: str, months: int = 24)
     for extract in extracts:
         typed = extract.where(F.col("`0CURRENCY`") == "BRL").withColumns(
             {
-                "DI_EXTRACT_TIME": parse_date("DI_EXTRACT_TIME", "yyyy/MM/dd"),
+                "DI_EXTRACT_TIME": parse_time("DI_EXTRACT_TIME"),
                 "GTC100025": parse_date("GTC100025", "yyyy/MM/dd"),
             }
         )

@@ -12,7 +12,7 @@ from pricewright.functions.text import code_int
 from pricewright.operators.catalog import filter_catalog, volume_fact
 from pricewright.operators.filters import horizon, scope_filter
 from pricewright.operators.forecast import allocate_forecast, splice_forecast
-from pricewright.operators.joins import lookup, splittable
+from pricewright.operators.joins import lookup, one_per_key, splittable
 from pricewright.operators.price import (
     billed_order_price, discount_cascade, normal_price, open_order_price, policy_deviation, policy_price,
     price_per_kg, requested_quantity, wallet_backlog, with_limit,
@@ -42,20 +42,22 @@ def _order_key(number_col: str, item_col: str) -> dict[str, Column]:
 
 
 def order_items(vbap: DataFrame) -> DataFrame:
-    """Net, gross and tax value and the requested quantity of an order item."""
-    return vbap.select(
+    """Net, gross and tax value and the requested quantity of an order item, one row each."""
+    rows = vbap.select(
         code_int("VBELN").alias("_order"), code_int("POSNR").alias("_item"),
         number("NETWR").alias("rlv"), number("ZZICMS_IPI_T").alias("rbv"), number("MWSBP").alias("total_taxes"),
         requested_quantity("KWMENG", "UMVKZ", "UMVKN").alias("requested"),
-    ).distinct()
+    )
+    return one_per_key(rows, ["_order", "_item"])
 
 
 def limits_of(policy: DataFrame) -> DataFrame:
-    """Policy limit in percent per organisation, material and state."""
-    return policy.select(
+    """Policy limit in percent per organisation, material and state; of several the lowest."""
+    rows = policy.select(
         F.trim("sales_org_cod").alias("ORG_KEY"), code_int("material_cod").alias("MATERIAL_KEY"),
         F.trim("ibge_uf_acronyms").alias("STATE_KEY"), number("ALCADA").alias("limit_pct"),
-    ).distinct()
+    )
+    return one_per_key(rows, ["ORG_KEY", "MATERIAL_KEY", "STATE_KEY"])
 
 
 def _with_policy_limit(df: DataFrame, policy: DataFrame, name: str) -> DataFrame:
@@ -92,8 +94,8 @@ def wallet_fact(
         code_int("VBAK_VBELN").alias("_order"), code_int("VBAP_POSNR").alias("_item"),
         number("ICMI").alias("list_price"), number("ZD38").alias("zd38_amount"), number("ZEB1").alias("zeb1"),
         number("BX41").alias("bx41"), number("BX23").alias("ipi"),
-    ).distinct()
-    rows = lookup(open_orders(wallet, vbap), terms, ["_order", "_item"])
+    )
+    rows = lookup(open_orders(wallet, vbap), one_per_key(terms, ["_order", "_item"]), ["_order", "_item"])
     rows = discount_cascade(rows, "list_price").withColumn("practiced_price", F.col("rbv"))
     backlog = wallet_backlog("requested", "delivered", "converted", "rlv")
     rows = rows.withColumns(
@@ -186,11 +188,11 @@ def volume_mart(billed: DataFrame, waiting: DataFrame, order_type_texts: DataFra
     fact = fact.withColumns(
         {"GPM_DESC": F.coalesce("GPM_DESC", F.lit(values.UNKNOWN_GROUP)), "COUNTRY": F.lit("Brazil")}
     )
-    texts = order_type_texts.where(F.col("spras") == "P").select("auart", F.col("bezei").alias("ORDER_TYPE_DESC")).distinct()
-    return lookup(fact, texts, {"ORDER_TYPE": "auart"})
+    texts = order_type_texts.where(F.col("spras") == "P").select("auart", F.col("bezei").alias("ORDER_TYPE_DESC"))
+    return lookup(fact, one_per_key(texts, ["auart"]), {"ORDER_TYPE": "auart"})
 
 
-ALLOCATION_PARENT = ["OV_AJUST", "ISSUING_STATE", "GPD_COD", "GPD_DESC", "GPM_DESC"]
+ALLOCATION_PARENT = ["OV_AJUST", "ISSUING_STATE", "GPD_COD", "GPM_DESC"]
 
 
 def forecast_of_month(forecast: DataFrame, year_month: str) -> DataFrame:
@@ -203,12 +205,23 @@ def forecast_of_month(forecast: DataFrame, year_month: str) -> DataFrame:
 
 
 def allocated_forecast(forecast: DataFrame, billed: DataFrame, region: DataFrame, year_month: str) -> DataFrame:
-    """State forecast of a month spread over branches by the billed volume."""
+    """State forecast of a month spread over branches by the billed volume.
+
+    Plan and sales meet by organisation, state, group code and marketing group. The text of the group is
+    carried, not joined on: the plan's where it has one, else that of the sales.
+    """
     sites = region.select(F.upper(F.trim("IBGE_UF_ACRONYMS")).alias("ISSUING_STATE"), "BRANCH")
     actual = billed.withColumn("OV_AJUST", F.col("SALES_ORG_COD"))
-    out = allocate_forecast(
-        forecast_of_month(forecast, year_month), actual, sites, ALLOCATION_PARENT, "ISSUING_STATE", "BRANCH", "PV_BUDGET", "quantity_ton"
+    plan = forecast_of_month(forecast, year_month)
+    out = allocate_forecast(plan, actual, sites, ALLOCATION_PARENT, "ISSUING_STATE", "BRANCH", "PV_BUDGET", "quantity_ton")
+    texts = (
+        plan.select(*ALLOCATION_PARENT, F.col("GPD_DESC").alias("_planned"), F.lit(None).cast("string").alias("_sold"))
+        .unionByName(actual.select(*ALLOCATION_PARENT, F.lit(None).cast("string").alias("_planned"), F.col("GPD_DESC").alias("_sold")))
+        .groupBy(*[F.col(c).alias(f"_{c}") for c in ALLOCATION_PARENT])
+        .agg(F.coalesce(F.min("_planned"), F.min("_sold")).alias("GPD_DESC"))
     )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ALLOCATION_PARENT]
+    out = out.join(splittable(texts), same, "left").drop(*[f"_{c}" for c in ALLOCATION_PARENT])
     return out.withColumns(
         {
             "YEAR_MONTH": F.lit(year_month), "GPM_DESC": F.coalesce("GPM_DESC", F.lit(values.UNKNOWN_GROUP)),

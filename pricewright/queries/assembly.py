@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pricewright.functions import codes, dates
 from pricewright.functions.numbers import parse_number
 from pricewright.operators import catalog, filters, ledger, price, reshape
-from pricewright.sources.readers import spread
 from pricewright.queries.tables import LINES_SQL, lines, org_of, org_sql, table, tidy, tidy_sql
 
 QUERIES, ORACLE = {}, {}
@@ -73,8 +72,10 @@ CODE_SQL = "CAST(n_regionkey AS VARCHAR) || lpad(CAST(n_nationkey AS VARCHAR), 2
     f"""
     WITH d AS (SELECT CAST(r_regionkey AS VARCHAR) AS code, r_name AS txt FROM region
                UNION ALL SELECT {CODE_SQL}, n_name FROM nation WHERE n_nationkey % 4 <> 1),
-    c AS (SELECT c_custkey, {CODE_SQL} || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS code FROM customer JOIN nation ON c_nationkey = n_nationkey)
-    SELECT c_custkey, c.code, substring(c.code, 1, 1) AS code_1, a.txt AS desc_1, substring(c.code, 1, 3) AS code_2, b.txt AS desc_2
+    c AS (SELECT c_custkey, c_name, {CODE_SQL} || lpad(CAST(c_custkey AS VARCHAR), 19, '0') AS code FROM customer JOIN nation ON c_nationkey = n_nationkey)
+    SELECT c_custkey, c.code, substring(c.code, 1, 1) AS code_1, a.txt AS desc_1, substring(c.code, 1, 3) AS code_2, b.txt AS desc_2,
+           {', '.join(f"substring(c.code, 1, {n}) AS code_{i}, {'CASE WHEN c_custkey % 5 <> 0 THEN c_name END' if n == 22 else 'CAST(NULL AS VARCHAR)'} AS desc_{i}"
+                      for i, n in enumerate([5, 8, 12, 17, 22], start=3))}
     FROM c LEFT JOIN d a ON a.code = substring(c.code, 1, 1) AND length(a.code) = 1
            LEFT JOIN d b ON b.code = substring(c.code, 1, 3) AND length(b.code) = 3
     """,
@@ -85,10 +86,13 @@ def prefix_hierarchy(spark, sf):
     texts = table(spark, sf, "region").select(
         F.col("r_regionkey").cast("string").alias("prodh"), F.col("r_name").alias("vtext")
     ).unionByName(nation.where(F.col("n_nationkey") % 4 != 1).select(code.alias("prodh"), F.col("n_name").alias("vtext")))
+    # Nineteen digits hold every customer key; the deepest level is the whole code.
     customer = table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "c_custkey", F.concat(code, F.lpad(F.col("c_custkey").cast("string"), 6, "0")).alias("code")
+        "c_custkey", "c_name", F.concat(code, F.lpad(F.col("c_custkey").cast("string"), 19, "0")).alias("code")
     )
-    return reshape.prefix_hierarchy(customer, "code", texts, "prodh", "vtext", [1, 3])
+    named = customer.where(F.col("c_custkey") % 5 != 0).select(F.col("code").alias("prodh"), F.col("c_name").alias("vtext"))
+    texts = texts.unionByName(named)
+    return reshape.prefix_hierarchy(customer.drop("c_name"), "code", texts, "prodh", "vtext", [1, 3, 5, 8, 12, 17, 22])
 
 
 MEASURES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -100,8 +104,7 @@ MEASURES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
     WITH w AS (SELECT o_custkey % 300 AS a, {org_sql()} AS org, n_name,
                       lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS state,
                       {', '.join(f"CAST(sum(CASE WHEN c_mktsegment = '{m}' THEN o_orderkey % 11 - 4 END) AS BIGINT) AS {m}" for m in MEASURES)}
-               FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-               WHERE o_orderdate >= TIMESTAMP '2001-01-01' GROUP BY ALL),
+               FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL),
     t AS (SELECT * FROM w UNPIVOT INCLUDE NULLS (target FOR product_group IN ({', '.join(MEASURES)})))
     SELECT 'AG_' || CAST(a AS VARCHAR) AS agent_cod, substring(org, 3, 2) AS org_short, state, replace(n_name, '_', '-') AS branch, product_group,
            greatest(coalesce(target, 0), 0) AS target
@@ -112,7 +115,7 @@ def unpivot_targets(spark, sf):
     place = table(spark, sf, "customer").join(
         table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     ).select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "n_name", F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("state"))
-    order = table(spark, sf, "orders").where(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
+    order = table(spark, sf, "orders")
     key = reshape.target_key(
         F.concat(F.lit("ag_"), (F.col("o_custkey") % 300).cast("string")), F.substring(org_of(), 3, 2), F.col("state"),
         F.replace(F.col("n_name"), F.lit("_"), F.lit("-")),
@@ -162,7 +165,7 @@ def json_records(spark, sf):
     """,
 )
 def xml_records(spark, sf):
-    rows = spread(table(spark, sf, "orders")).select(
+    rows = table(spark, sf, "orders").select(
         "o_orderkey",
         F.to_xml(
             F.struct(
@@ -202,7 +205,7 @@ def support_tables(spark, sf):
         ),
         {"sep": ";"},
     )
-    raw = spread(table(spark, sf, "orders")).select(
+    raw = table(spark, sf, "orders").select(
         F.from_csv(line, "o_orderkey bigint, MES string, SHARE string", {"sep": ";"}).alias("r")
     ).select("r.*")
     return raw.withColumn("share_date", dates.parse_date("MES", "dd/MM/yyyy")).select(
@@ -267,7 +270,7 @@ def _ledger(spark, sf):
     rows = _collected(spark, sf)
     valid, _ = filters.quarantine(rows, REQUIRED)
     old = valid.where(F.col("date") <= day)
-    batch = valid.where(F.col("date") == day).withColumn("id", F.col("id") + 1000000).select(
+    batch = valid.where(F.col("date") == day).withColumn("id", -F.col("id") - 1).select(
         "id", "date", "seller", "branch", "price"
     )
     event = table(spark, sf, "events")
@@ -287,7 +290,7 @@ old AS (SELECT c.id, date, seller, branch, price,
                CASE WHEN verdict IS NOT NULL AND date >= DATE '{LEDGER_DAY}' - 7 THEN verdict ELSE approved_manually END AS approved_manually,
                approved_automatically
         FROM c LEFT JOIN rev ON c.id = rev.id WHERE date < DATE '{LEDGER_DAY}'),
-new AS (SELECT id + 1000000 AS id, date, seller, branch, price, NULL AS approved_manually, 'Não' AS approved_automatically
+new AS (SELECT -id - 1 AS id, date, seller, branch, price, NULL AS approved_manually, 'Não' AS approved_automatically
         FROM c WHERE date = DATE '{LEDGER_DAY}'),
 whole AS (SELECT * FROM old UNION ALL SELECT * FROM new)
 SELECT id, date, seller, branch, price,

@@ -23,10 +23,11 @@ def query(name, sql):
 # --- regions: a customer is a city, its nation the state ----------------------------------------
 
 REGION_SQL = """
-WITH c AS (SELECT c_custkey AS k, CAST(1000000 + c_custkey AS BIGINT) AS id, c_name, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS uf, n_name
+WITH c AS (SELECT c_custkey AS k, 4 * c_custkey AS id, c_name, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS uf, n_name
            FROM customer JOIN nation ON c_nationkey = n_nationkey),
-city AS (SELECT id, 'Á ' || c_name AS nm, uf FROM c WHERE k % 3 <> 0),
-tax AS (SELECT CAST(id AS VARCHAR) AS cod, 'S' || uf AS reg, upper('sap-' || c_name) AS nm, CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END AS zf FROM c WHERE k % 4 <> 0),
+city AS (SELECT id + CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END AS id, 'Á ' || c_name AS nm, uf FROM c),
+tax AS (SELECT lpad(CAST(id + CASE WHEN k % 4 = 0 THEN 2 ELSE 0 END AS VARCHAR), 19, '0') AS cod, 'S' || uf AS reg, upper('sap-' || c_name) AS nm,
+               CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END AS zf FROM c),
 br AS (SELECT 'A' || replace(upper(c_name), ' ', '') AS bk, uf AS bu, n_name AS branch FROM c WHERE k % 2 = 0
        UNION ALL SELECT 'SAP' || upper(c_name), 'S' || uf, 'Sap ' || n_name FROM c WHERE k % 7 = 0),
 j AS (SELECT coalesce(CAST(city.id AS VARCHAR), cod) AS "IBGE_SAP_CITY_ID", city.nm AS "IBGE_CITY_NAME", tax.nm AS "SAP_NAME", zf AS "CITY_ZF",
@@ -37,6 +38,7 @@ SELECT j."IBGE_SAP_CITY_ID", j."IBGE_CITY_NAME", j."SAP_NAME", CAST(j."CITY_ZF"
 FROM j LEFT JOIN br a ON a.bk = translate(upper(trim(j."IBGE_CITY_NAME")), 'Á -', 'A') AND a.bu = j."IBGE_UF_ACRONYMS"
        LEFT JOIN br b ON b.bk = replace(j."SAP_NAME", '-', '') AND b.bu = j."IBGE_UF_ACRONYMS"
 """
+ID_WIDTH = 19  # digits of any bigint key
 REGION_COLUMNS = [
     "IBGE_SAP_CITY_ID", "IBGE_CITY_NAME", "SAP_NAME", "CITY_ZF", "IBGE_SAP_CITY_NAME", "IBGE_UF_ACRONYMS", "BRANCH",
 ]
@@ -47,15 +49,16 @@ def region_dimension(spark, sf):
     place = table(spark, sf, "customer").join(
         table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     ).select(
-        F.col("c_custkey").alias("k"), (F.col("c_custkey") + 1000000).alias("id"), "c_name", "n_name",
+        F.col("c_custkey").alias("k"), (4 * F.col("c_custkey")).alias("id"), "c_name", "n_name",
         F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("uf"),
     )
-    city = place.where(F.col("k") % 3 != 0).select(
-        F.col("id").alias("IBGE_ID"), F.concat(F.lit("Á "), F.col("c_name")).alias("IBGE_NAME"), F.col("uf").alias("IBGE_UF_ACRONYMS")
+    # Every customer is a city on both sides; shifted ids meet nothing on the other one.
+    city = place.select(
+        (F.col("id") + F.when(F.col("k") % 3 == 0, 1).otherwise(0)).alias("IBGE_ID"), F.concat(F.lit("Á "), F.col("c_name")).alias("IBGE_NAME"), F.col("uf").alias("IBGE_UF_ACRONYMS")
     )
-    taxed = place.where(F.col("k") % 4 != 0)
+    taxed = place
     base = {"SPRAS": F.lit("P"), "COUNTRY": F.lit("BR"), "TEXT": F.concat(F.lit("sap-"), F.col("c_name"))}
-    code = F.col("id").cast("string")
+    code = F.lpad((F.col("id") + F.when(F.col("k") % 4 == 0, 2).otherwise(0)).cast("string"), ID_WIDTH, "0")
     jurisdictions = taxed.withColumns({**base, "TAXJURCODE": F.concat(F.lit("S"), F.col("uf"), code, F.lit(" "))}).unionByName(
         taxed.where(F.col("k") % 5 == 0).withColumns({**base, "TAXJURCODE": F.concat(F.lit("ZF1"), code)})
     ).select("SPRAS", "COUNTRY", "TAXJURCODE", "TEXT")
@@ -67,7 +70,7 @@ def region_dimension(spark, sf):
             F.concat(F.lit("s"), F.col("uf")).alias("uf"),
         )
     )
-    return dimensions.regions(city, jurisdictions, branches).select(*REGION_COLUMNS)
+    return dimensions.regions(city, jurisdictions, branches, ID_WIDTH).select(*REGION_COLUMNS)
 
 
 # --- clients: orders are partner records, the status is the activity sector -------------------------
@@ -87,20 +90,20 @@ ROLE_SQL = ", ".join(
 @query(
     "client_dimension",
     f"""
-    WITH p AS (SELECT 100000000 + o_custkey AS client, {org_sql()} AS org, CAST(o_custkey % 3 AS VARCHAR) AS sector, {ROLE_SQL}
+    WITH p AS (SELECT 1000000000000000000 + o_custkey AS client, {org_sql()} AS org, CAST(o_custkey % 3 AS VARCHAR) AS sector, {ROLE_SQL}
                FROM orders WHERE o_custkey % 11 <> 0 GROUP BY 1, 2, 3),
-    s AS (SELECT 100000000 + c_custkey AS client, c_mktsegment AS seg FROM customer WHERE c_custkey % 6 <> 0)
+    s AS (SELECT 1000000000000000000 + c_custkey AS client, c_mktsegment AS seg FROM customer WHERE c_custkey % 6 <> 0)
     SELECT p.client AS "COD_CLIENT", org AS "ORGANIZATION_SALES_COD", '10' AS "DISTRIBUTION_CHANNEL_COD", sector AS "ACTIVITY_SECTOR_COD",
            "ORDER_ISSUER", "INVOICE_RECEIVER", "MERCHANT_RECEIVER", CAST(0 AS BIGINT) AS "PAYER", c_name AS "NAME",
            CAST(c_nationkey AS VARCHAR) AS "STATE", CASE WHEN org = 'BRCG' THEN seg END AS "SEGMENTATION_GROUP_COD",
            CASE WHEN org = 'BRCG' AND seg <> 'BUILDING' THEN 'text ' || seg END AS "SEGMENTATION_GROUP_DESC",
            CASE WHEN org <> 'BRDI' THEN 'Org ' || org END AS "ORGANIZATION_SALES_DESC"
-    FROM p LEFT JOIN s ON p.client = s.client LEFT JOIN customer ON p.client = 100000000 + c_custkey AND c_custkey % 13 <> 0
+    FROM p LEFT JOIN s ON p.client = s.client LEFT JOIN customer ON p.client = 1000000000000000000 + c_custkey AND c_custkey % 13 <> 0
     """,
 )
 def client_dimension(spark, sf):
     def code(col):
-        return F.concat(F.lit("0"), (F.col(col) + 100000000).cast("string"))
+        return F.concat(F.lit("0"), (F.col(col) + 10**18).cast("string"))
 
     order = table(spark, sf, "orders")
     role = F
@@ -129,7 +132,7 @@ def client_dimension(spark, sf):
         "vtext", F.concat(F.lit("Org "), F.col("vkorg"))
     )
     texts = {"SEGMENTATION_GROUP": (segments, "c_mktsegment", "text"), "ORGANIZATION_SALES": (orgs, "vkorg", "vtext")}
-    return dimensions.clients(general, sales, partners, texts).select(*CLIENT_COLUMNS)
+    return dimensions.clients(general, sales, partners, texts, digits=19).select(*CLIENT_COLUMNS)
 
 
 # --- products: parts, sold under several organisations ----------------------------------------------------

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricewright.functions.dates import fiscal_period, month_label
+from pricewright.functions.numbers import snap
 from pricewright.operators import margin as ops
 from pricewright.queries.tables import (
-    CONDITIONS_SQL, LINES_SQL, MARGIN_SUMS_SQL, as_double, conditions, lines, margin, table, tidy, tidy_sql,
+    CONDITIONS_SQL, LINES_SQL, MARGIN_SUMS_SQL, as_double, conditions, lines, margin_columns, table, tidy, tidy_sql,
 )
 
 QUERIES, ORACLE = {}, {}
@@ -161,23 +162,23 @@ def _in(months):
     "trailing_averages",
     tidy_sql(
         f"""
-        SELECT l_partkey, org, sum(ext) AS revenue, sum(qty) AS volume,
+        SELECT l_partkey, org, y, sum(ext) AS revenue, sum(qty) AS volume,
                CAST(sum(CASE WHEN m IN ({_in(WINDOWS['last_3'][0])}) THEN ext END) AS DOUBLE) / 3.0 AS avg_revenue_last_3,
                CAST(sum(CASE WHEN m IN ({_in(WINDOWS['last_3'][0])}) THEN qty END) AS DOUBLE) / 3.0 AS avg_volume_last_3,
                CAST(sum(CASE WHEN m IN ({_in(WINDOWS['year'][0])}) THEN ext END) AS DOUBLE) / 9.0 AS avg_revenue_year,
                CAST(sum(CASE WHEN m IN ({_in(WINDOWS['year'][0])}) THEN qty END) AS DOUBLE) / 9.0 AS avg_volume_year
-        FROM (SELECT *, month(order_date) AS m FROM ({LINES_SQL}) AS l WHERE year(order_date) = 1998) AS x
-        WHERE m IN ({_in(WINDOWS['year'][0])}) GROUP BY l_partkey, org
+        FROM (SELECT *, month(order_date) AS m, CAST(year(order_date) AS INTEGER) AS y FROM ({LINES_SQL}) AS l) AS x
+        WHERE m IN ({_in(WINDOWS['year'][0])}) GROUP BY l_partkey, org, y
         """,
-        ["l_partkey", "org"],
+        ["l_partkey", "org", "y"],
         ["revenue", "volume", "avg_revenue_last_3", "avg_volume_last_3", "avg_revenue_year", "avg_volume_year"],
     ),
 )
 def trailing_averages(spark, sf):
-    rows = lines(spark, sf).where(F.year("order_date") == 1998).select(
-        "l_partkey", "org", F.month("order_date").alias("m"), F.col("ext").alias("revenue"), F.col("qty").alias("volume")
+    rows = lines(spark, sf).select(
+        "l_partkey", "org", F.year("order_date").alias("y"), F.month("order_date").alias("m"), F.col("ext").alias("revenue"), F.col("qty").alias("volume")
     )
-    return tidy(ops.trailing_means(rows, ["l_partkey", "org"], "m", ["revenue", "volume"], WINDOWS))
+    return tidy(ops.trailing_means(rows, ["l_partkey", "org", "y"], "m", ["revenue", "volume"], WINDOWS))
 
 
 # --- shares and apportionment -------------------------------------------------------------------------
@@ -229,13 +230,14 @@ def apportion_cost(spark, sf):
     rows = lines(spark, sf).withColumns(
         {"period": fiscal_period(F.date_format("ship_date", "yyyy'0'MM")), "centre": F.col("l_suppkey") % 10}
     )
-    volume = rows.select(
-        "period", "centre", "l_partkey", F.when(F.col("l_returnflag") == "R", -F.col("qty")).otherwise(F.col("qty")).alias("volume")
-    )
-    cost = rows.where((F.col("l_linestatus") == "F") & (F.col("period") >= 1996001)).select(
-        "period", "centre", (F.col("ext") * 0.03).alias("cost")
+    booked = (F.col("l_linestatus") == "F") & (F.col("period") >= 1996001)
+    figures = rows.withColumns(
+        {
+            "volume": F.when(F.col("l_returnflag") == "R", -F.col("qty")).otherwise(F.col("qty")),
+            "cost": F.when(booked, F.col("ext") * 0.03),
+        }
     )
-    rates = ops.cost_rates(cost, volume, ["period", "centre"], ["l_partkey"], "cost", "volume")
+    rates = ops.cost_rates_of(figures, ["period", "centre"], ["l_partkey"], "cost", "volume")
     out = ops.apportion_cost(rows, rates, ["period", "centre", "l_partkey"], "qty")
     return tidy(out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "period", "apportioned_cost"))
 
@@ -246,6 +248,7 @@ DISP_KEYS = ["org", "l_orderkey", "l_linenumber", "ship_month", "p_type"]
 DISP_ITEM = ["l_orderkey", "l_linenumber", "ship_month"]
 DISP_KEPT = ["gross_profit", "freight", "op_cost", "practiced_price", "rlv"]
 DISP_SCALED = ["gross_profit", "practiced_price", "calculated_taxes", *ops.DISPERSION_SUMS, "freight", "op_cost"]
+DISP_NUMBERS = ["quantity_ton", *[f"{c}_original" for c in DISP_KEPT], *DISP_SCALED]
 DISP_SQL = f"""
 WITH c AS (SELECT *, strftime(ship_date, '%m-%Y') AS ship_month, CAST(practiced_price AS DECIMAL(14,4)) AS pp4 FROM ({CONDITIONS_SQL}) AS x),
 items AS (SELECT {', '.join(DISP_KEYS)}, CAST(sum(pp4 * qty) AS DOUBLE) AS pv, CAST(sum(qty) AS DOUBLE) AS quantity_ton,
@@ -263,14 +266,13 @@ SELECT {', '.join(DISP_KEYS)}, quantity_ton, {', '.join(f'{c} AS {c}_original' f
 
 @query(
     "dispersion_map",
-    tidy_sql(DISP_SQL, DISP_KEYS, ["quantity_ton", *[f"{c}_original" for c in DISP_KEPT], *DISP_SCALED]),
+    f"SELECT * FROM ({tidy_sql(DISP_SQL, DISP_KEYS, DISP_NUMBERS[: -len(DISP_SCALED)])}) AS a"
+    f" JOIN ({tidy_sql(DISP_SQL, DISP_KEYS, DISP_SCALED, digits=12)}) AS b USING ({', '.join(DISP_KEYS)})",
 )
 def dispersion_map(spark, sf):
     month = {"ship_month": F.trunc("ship_date", "month")}
-    rows = conditions(spark, sf).withColumns(month)
-    retail = table(spark, sf, "part").select(
-        F.col("p_partkey").alias("l_partkey"), F.col("p_retailprice").alias("retail")
-    )
-    costs = margin(lines(spark, sf).withColumns(month).join(retail, "l_partkey"), DISP_ITEM)
-    items = ops.dispersion_map(rows, DISP_KEYS, costs, DISP_ITEM)
-    return tidy(items.withColumn("ship_month", month_label("ship_month")))
+    rows = margin_columns(conditions(spark, sf)).withColumns(month)
+    items = ops.dispersion_map(rows, DISP_KEYS, margin_keys=DISP_ITEM)
+    labelled = items.withColumn("ship_month", month_label("ship_month"))
+    # Figures per kg are small: they are compared to twelve decimals.
+    return labelled.withColumns({c: snap(c, 12 if c in DISP_SCALED else 6) for c in DISP_NUMBERS})

@@ -8,7 +8,7 @@ from pricewright.functions import codes, dates
 from pricewright.functions.numbers import number, ratio
 from pricewright.operators import catalog, price
 from pricewright.queries.tables import (
-    COLLECTS_SQL, CONDITIONS_SQL, LINES_SQL, MARGIN_SUMS_SQL, PRICED_SQL, collects, conditions, half_up, lines, margin,
+    COLLECTS_SQL, CONDITIONS_SQL, LINES_SQL, MARGIN_SUMS_SQL, PRICED_SQL, collects, conditions, half_up, lines, margin_columns,
     priced_conditions, table, tidy, tidy_sql,
 )
 
@@ -57,7 +57,7 @@ WITH m AS ({MONTHLY_SQL}),
 items AS (
   SELECT {', '.join(WATERFALL_KEYS)}, CAST(sum(list_price) AS DOUBLE) / count(list_price) AS list_price,
          {', '.join(f'CAST(sum({c}) AS DOUBLE) AS {c}' for c in WATERFALL_SUMS)}
-  FROM m WHERE p_type <> 'PROMO' GROUP BY ALL),
+  FROM m GROUP BY ALL),
 costs AS (SELECT {', '.join(ITEM_KEYS)}, {MARGIN_SUMS_SQL}
           FROM (SELECT m.*, CAST(p_retailprice AS DECIMAL(10,2)) AS retail FROM m JOIN part ON l_partkey = p_partkey
                 WHERE l_returnflag <> 'R') AS x GROUP BY ALL),
@@ -83,14 +83,9 @@ FROM s5
     ),
 )
 def price_waterfall(spark, sf):
-    rows = _monthly(conditions(spark, sf))
-    retail = table(spark, sf, "part").select(
-        F.col("p_partkey").alias("l_partkey"), F.col("p_retailprice").alias("retail")
-    )
-    costs = margin(
-        _monthly(lines(spark, sf)).where(F.col("l_returnflag") != "R").join(retail, "l_partkey"), ITEM_KEYS
-    )
-    items = price.price_waterfall(rows.where(F.col("p_type") != "PROMO"), WATERFALL_KEYS, costs, ITEM_KEYS)
+    # Returned lines have no costs.
+    rows = _monthly(margin_columns(conditions(spark, sf), F.col("l_returnflag") != "R"))
+    items = price.price_waterfall(rows, WATERFALL_KEYS, margin_keys=ITEM_KEYS)
     return tidy(items.withColumn("ship_month", dates.month_label("ship_month")))
 
 
@@ -234,7 +229,7 @@ def policy_deviation(spark, sf):
     "price_at_terms",
     f"""
     WITH terms AS (SELECT 'Nova ' || o_orderpriority AS term, max(CAST(o_custkey % 7 AS DOUBLE)) / 100.0 AS pct
-                   FROM orders WHERE o_custkey < 4 GROUP BY 1)
+                   FROM orders WHERE o_orderpriority <> '3-MEDIUM' GROUP BY 1)
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
            {half_up('l_extendedprice / (1.0::DOUBLE + pct)', 3)} AS price_terms
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN terms ON 'Nova ' || o_orderpriority = term
@@ -244,7 +239,7 @@ def price_at_terms(spark, sf):
     order = table(spark, sf, "orders").withColumn("term", F.concat(F.lit(" Nova "), F.col("o_orderpriority"), F.lit(" ")))
     # The rate arrives as text with a decimal comma.
     terms = (
-        order.where(F.col("o_custkey") < 4)
+        order.where(F.col("o_orderpriority") != "3-MEDIUM")
         .groupBy(F.trim("term").alias("term_key"))
         .agg(F.max(F.col("o_custkey") % 7).alias("n"))
         .select("term_key", F.concat(F.lit("0,0"), F.col("n").cast("string")).alias("pct"))

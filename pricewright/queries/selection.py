@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pricewright.functions import codes, dates, text
 from pricewright.functions.numbers import parse_number, ratio, total
 from pricewright.operators import filters, joins, latest
-from pricewright.sources.readers import spread
 from pricewright.queries.tables import (
     AS_OF, merged_org_sql, org_of, org_sql, table, tidy, tidy_sql,
 )
@@ -168,17 +167,14 @@ def default_label(spark, sf):
 def rolling_horizon(spark, sf):
     order = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
     windows = {
-        "six_full_months": filters.horizon(order, "order_date", AS_OF, 6),
-        "six_and_current": filters.horizon(order, "order_date", AS_OF, 6, fwd=1),
-        "twelve_to_today": filters.horizon(order, "order_date", AS_OF, 12, closed=True),
-        "last_24_months": filters.horizon(order, "order_date", AS_OF, 24, month_aligned=False, closed=True),
-        "since_floor": filters.since(order, "order_date", "2001-05-13"),
+        "six_full_months": filters.in_horizon("order_date", AS_OF, 6),
+        "six_and_current": filters.in_horizon("order_date", AS_OF, 6, fwd=1),
+        "twelve_to_today": filters.in_horizon("order_date", AS_OF, 12, closed=True),
+        "last_24_months": filters.in_horizon("order_date", AS_OF, 24, month_aligned=False, closed=True),
+        "since_floor": F.col("order_date") >= F.lit("2001-05-13").cast("date"),
     }
-    out = None
-    for name, frame in windows.items():
-        part = frame.withColumn("window_name", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    return out
+    inside = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in windows.items()]))
+    return order.select("o_orderkey", "order_date", F.explode(inside).alias("window_name"))
 
 
 @query(
@@ -228,10 +224,12 @@ def latest_state_with_ties(spark, sf):
 
 @query(
     "last_load",
-    "SELECT event_type, max(ts) AS last_load FROM events GROUP BY event_type",
+    "SELECT event_type, max(ts) AS last_load FROM events GROUP BY event_type UNION ALL SELECT NULL, max(ts) FROM events",
 )
 def last_load(spark, sf):
-    return table(spark, sf, "events").groupBy("event_type").agg(F.max("ts").alias("last_load"))
+    event = table(spark, sf, "events")
+    whole = latest.last_load(event, "ts").select(F.lit(None).cast("string").alias("event_type"), "last_load")
+    return latest.last_load(event, "ts", by=["event_type"]).unionByName(whole)
 
 
 @query(
@@ -252,7 +250,7 @@ def mode_per_key(spark, sf):
     WITH u AS (
       SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice,
              CAST(o_orderdate AS DATE) AS load_day, 1 AS extract_no
-      FROM orders WHERE o_orderkey % 3 <> 0
+      FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 1
       UNION ALL
       SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 5 AS INTEGER) - 2, 2
       FROM orders WHERE o_orderkey % 2 = 0)
@@ -265,7 +263,8 @@ def mode_per_key(spark, sf):
 def union_extracts(spark, sf):
     day = F.col("o_orderdate").cast("date")
     order = table(spark, sf, "orders")
-    old = order.where(F.col("o_orderkey") % 3 != 0).select(
+    # Odd keys are only in the old extract, even multiples of three only in the new one.
+    old = order.where((F.col("o_orderkey") % 3 != 0) | (F.col("o_orderkey") % 2 == 1)).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", day.alias("load_day"), F.lit(1).alias("extract_no"),
         F.year(day).alias("year"),
     )
@@ -282,18 +281,20 @@ def union_extracts(spark, sf):
 @query(
     "full_join_coalesce",
     """
-    WITH a AS (SELECT c_custkey AS id, c_name AS nm, c_mktsegment AS segment FROM customer WHERE c_custkey % 3 <> 0),
-         b AS (SELECT o_custkey AS id, max(o_orderpriority) AS nm, count(*) AS n_orders
-               FROM orders WHERE o_custkey % 4 <> 0 GROUP BY 1)
+    WITH a AS (SELECT 4 * c_custkey + CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS id, c_name AS nm, c_mktsegment AS segment FROM customer),
+         b AS (SELECT 4 * o_custkey + CASE WHEN o_custkey % 4 = 0 THEN 2 ELSE 0 END AS id, max(o_orderpriority) AS nm, count(*) AS n_orders
+               FROM orders GROUP BY 1)
     SELECT coalesce(a.id, b.id) AS id, segment, n_orders, coalesce(a.nm, b.nm) AS nm
     FROM a FULL JOIN b ON a.id = b.id
     """,
 )
 def full_join_coalesce(spark, sf):
-    a = table(spark, sf, "customer").where(F.col("c_custkey") % 3 != 0).select(
-        F.col("c_custkey").alias("id"), F.col("c_name").alias("nm"), F.col("c_mktsegment").alias("segment")
+    # Shifted keys meet nothing on the other side, so both sides have rows of their own.
+    shifted = lambda key, by, shift: 4 * F.col(key) + F.when(F.col(key) % by == 0, shift).otherwise(0)
+    a = table(spark, sf, "customer").select(
+        shifted("c_custkey", 3, 1).alias("id"), F.col("c_name").alias("nm"), F.col("c_mktsegment").alias("segment")
     )
-    b = table(spark, sf, "orders").where(F.col("o_custkey") % 4 != 0).groupBy(F.col("o_custkey").alias("id")).agg(
+    b = table(spark, sf, "orders").groupBy(shifted("o_custkey", 4, 2).alias("id")).agg(
         F.max("o_orderpriority").alias("nm"), F.count(F.lit(1)).alias("n_orders")
     )
     return joins.full_coalesce(a, b, "id", ["nm"])
@@ -323,8 +324,8 @@ def two_pass_lookup(spark, sf):
 @query(
     "anti_join_backfill",
     tidy_sql("""
-    WITH t AS (SELECT o_custkey AS k, CAST(year(o_orderdate) AS INTEGER) AS y, sum(CAST(o_totalprice AS DECIMAL(18,4))) AS target
-               FROM orders WHERE o_totalprice > 400000 GROUP BY ALL),
+    WITH t AS (SELECT CASE WHEN o_totalprice > 400000 THEN o_custkey ELSE -o_custkey END AS k, CAST(year(o_orderdate) AS INTEGER) AS y,
+                      sum(CAST(o_totalprice AS DECIMAL(18,4))) AS target FROM orders GROUP BY ALL),
          w AS (SELECT DISTINCT o_custkey AS k, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders)
     SELECT k, y, target FROM t
     UNION ALL
@@ -335,7 +336,9 @@ def anti_join_backfill(spark, sf):
     order = table(spark, sf, "orders").select(
         F.col("o_custkey").alias("k"), F.year("o_orderdate").alias("y"), F.col("o_totalprice").alias("v")
     )
-    targets = order.where(F.col("v") > 400000).groupBy("k", "y").agg(total("v").alias("target"))
+    # Targets of smaller orders stand under a key that nobody wants.
+    own = F.when(F.col("v") > 400000, F.col("k")).otherwise(-F.col("k"))
+    targets = order.withColumn("k", own).groupBy("k", "y").agg(total("v").alias("target"))
     wanted = order.select("k", "y").distinct()
     return tidy(joins.backfill(targets, wanted, ["k", "y"], {"target": F.lit(0.0)}))
 
@@ -396,7 +399,7 @@ def view_filter(spark, sf):
     """, ["order_number", "item_number"], ["net_value", "quantity"]),
 )
 def typed_distinct_items(spark, sf):
-    view = spread(table(spark, sf, "lineitem"))
+    view = table(spark, sf, "lineitem")
     return tidy(
         spark.sql(
             """
@@ -416,7 +419,7 @@ def typed_distinct_items(spark, sf):
            split_part(p_brand, '#', 2) AS brand_no,
            substring(p_brand, 7, length(p_brand)) AS brand_rest,
            length(p_name) AS name_length, replace(p_name, ' ', '') AS squeezed,
-           lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS padded, p_type || '_' || p_brand AS both_codes,
+           right('0' || CAST(CASE WHEN p_partkey % 3 = 0 THEN p_partkey + 98765000000 ELSE p_partkey END AS VARCHAR), 10) AS padded, p_type || '_' || p_brand AS both_codes,
            p_name LIKE '%ring' AS ends_ring, regexp_matches(p_brand, '[0-9]{2}') AS two_digits,
            CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) AS extracted,
            rtrim(ltrim('  ' || p_type || ' ')) AS trimmed
@@ -433,7 +436,9 @@ def text_functions(spark, sf):
         F.expr("substring(p_brand, 7, length(p_brand))").alias("brand_rest"),
         F.length("p_name").cast("bigint").alias("name_length"),
         text.drop_chars("p_name", " ").alias("squeezed"),
-        text.pad_code(F.col("p_partkey").cast("string")).alias("padded"),
+        text.pad_code(
+            F.when(F.col("p_partkey") % 3 == 0, F.col("p_partkey") + 98765000000).otherwise(F.col("p_partkey")).cast("string")
+        ).alias("padded"),
         text.display_key("p_type", "p_brand").alias("both_codes"),
         F.col("p_name").endswith("ring").alias("ends_ring"),
         brand.rlike("[0-9]{2}").alias("two_digits"),
@@ -457,7 +462,7 @@ def text_functions(spark, sf):
 )
 def date_functions(spark, sf):
     # Dates arrive as text in three layouts and are parsed back.
-    source = spread(table(spark, sf, "orders")).select(
+    source = table(spark, sf, "orders").select(
         "o_orderkey", F.date_format("o_orderdate", "yyyy.MM.dd").alias("dotted"),
         F.date_format("o_orderdate", "dd-MM-yyyy").alias("dashed"),
         F.date_format("o_orderdate", "yyyyMMdd").alias("packed"),
@@ -499,7 +504,7 @@ def date_functions(spark, sf):
     ),
 )
 def number_parsing(spark, sf):
-    source = spread(table(spark, sf, "lineitem")).select(
+    source = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_tax", "l_discount",
         F.concat(F.lit(" "), F.translate(F.col("l_extendedprice").cast("decimal(12,2)").cast("string"), ".", ","), F.lit(" ")).alias("price_text"),
         F.concat(F.col("l_returnflag"), F.lit("?")).alias("bad_text"),

@@ -10,8 +10,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, DoubleType
 
-from pricewright.functions.numbers import snap, total
-from pricewright.sources.readers import read_table, spread
+from pricewright.functions.numbers import snap
+from pricewright.sources.readers import read_table
 
 AS_OF = "2001-07-15"
 
@@ -86,7 +86,7 @@ def half_up(expr: str, digits: int) -> str:
 # --- lines: one row per line item with its order -------------------------------------------
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    item = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    item = table(spark, sf_dir, "lineitem")
     order = table(spark, sf_dir, "orders")
     return item.join(order, item["l_orderkey"] == order["o_orderkey"]).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "o_custkey",
@@ -180,11 +180,10 @@ MARGIN = {
 }
 
 
-def margin(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Profit fact from the conditions frame."""
-    return df.groupBy(*keys).agg(
-        *[total(F.expr(as_double(e))).alias(n) for n, e in MARGIN.items()]
-    )
+def margin_columns(df: DataFrame, where=None) -> DataFrame:
+    """Margin figures beside the conditions of a line, in rows that pass the test."""
+    figures = {n: F.expr(as_double(e)) for n, e in MARGIN.items()}
+    return df.withColumns(figures if where is None else {n: F.when(where, e) for n, e in figures.items()})
 
 
 MARGIN_SUMS_SQL = ", ".join(f"sum(CAST({e} AS DECIMAL(18,6))) AS {n}" for n, e in MARGIN.items())

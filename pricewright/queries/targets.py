@@ -52,12 +52,11 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 PARENT = ["org", "c_mktsegment", "n_regionkey", "month"]
 ALLOCATION_SQL = f"""
 WITH o AS ({PLACED_SQL}),
-plans AS (SELECT {', '.join(PARENT)}, sum(CAST(total * 1.10 AS DECIMAL(18,4))) AS plan FROM o
-          WHERE year(month) = 1997 AND total > 100000 GROUP BY ALL),
+plans AS (SELECT {', '.join(PARENT)}, sum(CAST(total * 1.10 AS DECIMAL(18,4))) AS plan FROM o GROUP BY ALL),
 sites AS (SELECT DISTINCT n_regionkey, n_name AS branch FROM nation WHERE n_nationkey % 7 <> 3),
 n_sites AS (SELECT n_regionkey, count(*) AS n FROM sites GROUP BY 1),
-sold AS (SELECT {', '.join(PARENT)}, CASE WHEN n_nationkey % 7 = 3 THEN 'Filial Não Encontrada' ELSE n_name END AS branch, sum(total) AS qb
-         FROM o WHERE year(month) = 1997 AND total > 400000 GROUP BY ALL),
+sold AS (SELECT CASE WHEN total > 400000 THEN org ELSE 'Z' || org END AS org, c_mktsegment, n_regionkey, month,
+                CASE WHEN n_nationkey % 7 = 3 THEN 'Filial Não Encontrada' ELSE n_name END AS branch, sum(total) AS qb FROM o GROUP BY ALL),
 known AS (SELECT * FROM sold WHERE branch <> 'Filial Não Encontrada'),
 st AS (SELECT {', '.join(PARENT)}, sum(qb) AS qs FROM known GROUP BY ALL),
 spread AS (SELECT plans.*, branch, n, qs, qb FROM plans JOIN sites USING (n_regionkey) JOIN n_sites USING (n_regionkey)
@@ -82,13 +81,15 @@ ALLOCATED = ["pv_budget", "qty_branch", "qty_state", "perc_vol", "pv_done"]
 
 @query("forecast_allocation", tidy_sql(ALLOCATION_SQL, [*PARENT, "branch"], ALLOCATED))
 def forecast_allocation(spark, sf):
-    order = placed_orders(spark, sf).where(F.year("month") == 1997)
+    order = placed_orders(spark, sf)
     lost = F.col("n_nationkey") % 7 == 3
-    plan = order.where(F.col("total") > 100000).withColumn(
-        "plan_value", F.col("total") * 1.10
-    )
-    sold = order.where(F.col("total") > 400000).withColumn(
-        "branch", F.when(lost, "Filial Não Encontrada").otherwise(F.col("n_name"))
+    plan = order.withColumn("plan_value", F.col("total") * 1.10)
+    # Smaller sales stand under an organisation without a plan.
+    sold = order.withColumns(
+        {
+            "org": F.when(F.col("total") > 400000, F.col("org")).otherwise(F.concat(F.lit("Z"), F.col("org"))),
+            "branch": F.when(lost, "Filial Não Encontrada").otherwise(F.col("n_name")),
+        }
     )
     sites = table(spark, sf, "nation").where(~lost).select("n_regionkey", F.col("n_name").alias("branch"))
     return tidy(
@@ -106,10 +107,12 @@ FVA_KEYS = ["org", "c_mktsegment", "n_regionkey"]
     tidy_sql(
         f"""
         WITH o AS ({PLACED_SQL}),
-        p AS (SELECT {', '.join(FVA_KEYS)}, month, sum(CAST(total * 1.05 AS DECIMAL(18,4))) AS volume FROM o WHERE o_orderkey % 3 <> 0 GROUP BY ALL),
-        a AS (SELECT {', '.join(FVA_KEYS)}, month, sum(CAST(1 AS DECIMAL(18,4))) AS qty_sold, sum(total) AS rbv_sold, sum(CAST(total * 0.80 AS DECIMAL(18,4))) AS rlv_sold
-              FROM o WHERE o_orderstatus <> 'P' GROUP BY ALL),
-        b AS (SELECT {', '.join(FVA_KEYS)}, month, sum(total) AS volume_budget, sum(CAST(total * 0.70 AS DECIMAL(18,4))) AS rlv_budget FROM o WHERE o_orderkey % 2 = 0 GROUP BY ALL),
+        p AS (SELECT org, CASE WHEN o_orderkey % 3 = 0 THEN 'plan ' || c_mktsegment ELSE c_mktsegment END AS c_mktsegment, n_regionkey, month,
+                     sum(CAST(total * 1.05 AS DECIMAL(18,4))) AS volume FROM o GROUP BY ALL),
+        a AS (SELECT org, CASE WHEN o_orderstatus = 'P' THEN 'sold ' || c_mktsegment ELSE c_mktsegment END AS c_mktsegment, n_regionkey, month,
+                     sum(CAST(1 AS DECIMAL(18,4))) AS qty_sold, sum(total) AS rbv_sold, sum(CAST(total * 0.80 AS DECIMAL(18,4))) AS rlv_sold FROM o GROUP BY ALL),
+        b AS (SELECT org, CASE WHEN o_orderkey % 2 = 1 THEN 'plan ' || c_mktsegment ELSE c_mktsegment END AS c_mktsegment, n_regionkey, month,
+                     sum(total) AS volume_budget, sum(CAST(total * 0.70 AS DECIMAL(18,4))) AS rlv_budget FROM o GROUP BY ALL),
         j AS (SELECT p.*, qty_sold, rbv_sold, rlv_sold FROM p LEFT JOIN a USING ({', '.join(FVA_KEYS)}, month)),
         n AS (SELECT j.*, k.volume AS volume_next, k.qty_sold AS qty_sold_next, k.rbv_sold AS rbv_sold_next, k.rlv_sold AS rlv_sold_next,
                      k.volume - j.volume AS volume_diff, j.rlv_sold - k.rlv_sold AS rlv_diff
@@ -128,11 +131,16 @@ def next_month_variance(spark, sf):
     def scaled(rate):
         return F.col("total") * rate
 
-    plan = order.where(F.col("o_orderkey") % 3 != 0).select(*FVA_KEYS, "month", scaled(1.05).alias("volume"))
-    actual = order.where(F.col("o_orderstatus") != "P").select(
+    def apart(test, mark):
+        """The rows of a test under a segment of their own, which other sources may lack."""
+        segment = F.col("c_mktsegment")
+        return order.withColumn("c_mktsegment", F.when(test, F.concat(F.lit(mark), segment)).otherwise(segment))
+
+    plan = apart(F.col("o_orderkey") % 3 == 0, "plan ").select(*FVA_KEYS, "month", scaled(1.05).alias("volume"))
+    actual = apart(F.col("o_orderstatus") == "P", "sold ").select(
         *FVA_KEYS, "month", F.lit(1.0).alias("qty"), F.col("total").alias("rbv"), scaled(0.80).alias("rlv")
     )
-    budget = order.where(F.col("o_orderkey") % 2 == 0).select(
+    budget = apart(F.col("o_orderkey") % 2 == 1, "plan ").select(
         *FVA_KEYS, "month", F.col("total").alias("volume"), scaled(0.70).alias("rlv")
     )
     return tidy(forecast.forecast_vs_actual(plan, actual, budget, FVA_KEYS, "month"))
@@ -189,8 +197,8 @@ def freeze_history(spark, sf):
     "backfill_zero_targets",
     f"""
     WITH o AS ({PLACED_SQL}),
-    t AS (SELECT org, n_name, month, CAST(count(*) AS BIGINT) AS target FROM o WHERE total > 450000 GROUP BY ALL),
-    c AS (SELECT DISTINCT org, n_name, month FROM o WHERE total < 100000)
+    t AS (SELECT org, n_name, month, CAST(count(*) AS BIGINT) AS target FROM o WHERE total > 300000 GROUP BY ALL),
+    c AS (SELECT DISTINCT org, n_name, month FROM o WHERE total <= 300000)
     SELECT org, n_name, month, CAST(sum(target) AS BIGINT) AS target FROM (
       SELECT * FROM t UNION ALL
       SELECT *, 0 FROM c WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.org = c.org AND t.n_name = c.n_name AND t.month = c.month))
@@ -200,8 +208,8 @@ def freeze_history(spark, sf):
 def backfill_zero_targets(spark, sf):
     order = placed_orders(spark, sf)
     keys = ["org", "n_name", "month"]
-    targets = order.where(F.col("total") > 450000).groupBy(*keys).agg(F.count(F.lit(1)).alias("target"))
-    return forecast.backfill_zero_targets(targets, order.where(F.col("total") < 100000), keys)
+    targets = order.where(F.col("total") > 300000).groupBy(*keys).agg(F.count(F.lit(1)).alias("target"))
+    return forecast.backfill_zero_targets(targets, order.where(F.col("total") <= 300000), keys)
 
 
 # --- progress, capacity, run rate ----------------------------------------------------------------------------
@@ -412,8 +420,9 @@ def premium_vs_competitor(spark, sf):
     "realised_vs_target",
     """
     WITH t AS (SELECT user_id, event_type, CAST(sum(k) AS BIGINT) AS target FROM (
-                 SELECT user_id, event_type, CAST(event_id % 3 AS BIGINT) AS k FROM events WHERE event_id % 4 = 0) GROUP BY ALL),
-    c AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE value > 20 GROUP BY ALL),
+                 SELECT user_id, CASE WHEN event_id % 4 = 0 THEN event_type ELSE 'goal ' || event_type END AS event_type,
+                        CAST(event_id % 3 AS BIGINT) AS k FROM events) GROUP BY ALL),
+    c AS (SELECT user_id, CASE WHEN value > 20 THEN event_type ELSE 'low ' || event_type END AS event_type, count(*) AS n FROM events GROUP BY ALL),
     j AS (SELECT user_id, event_type, target, coalesce(n, 0) AS n_collects,
                  CASE WHEN target <> 0 THEN CAST(coalesce(n, 0) AS DOUBLE) / target END AS realised
           FROM t LEFT JOIN c USING (user_id, event_type))
@@ -424,8 +433,13 @@ def premium_vs_competitor(spark, sf):
 )
 def realised_vs_target(spark, sf):
     event = table(spark, sf, "events")
-    targets = event.where(F.col("event_id") % 4 == 0).withColumn("target", F.col("event_id") % 3)
-    out = kpi.realised_vs_target(targets, event.where(F.col("value") > 20), ["user_id", "event_type"])
+
+    def apart(test, mark):
+        kind = F.col("event_type")
+        return event.withColumn("event_type", F.when(test, kind).otherwise(F.concat(F.lit(mark), kind)))
+
+    targets = apart(F.col("event_id") % 4 == 0, "goal ").withColumn("target", F.col("event_id") % 3)
+    out = kpi.realised_vs_target(targets, apart(F.col("value") > 20, "low "), ["user_id", "event_type"])
     return tidy(out.withColumn("has_price", F.col("realised_text") != "Sem Preço").drop("realised_text"))
 
 

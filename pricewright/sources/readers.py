@@ -22,18 +22,6 @@ def read_table(
     return df.select(*columns) if columns else df
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan that arrives in fewer splits than the cluster has cores.
-
-    A small table in one file is read by one task, and everything up to the next shuffle
-    would run in that task. A table of cluster size has more splits than cores and is left
-    alone, so the exchange is only ever paid on small inputs. With keys the rows are placed by
-    them, which saves a later grouping that includes the keys its own exchange.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_extracts(
     spark: SparkSession, directory: str, extra: list[str] | None = None, drop: tuple[str, ...] = ("year", "month", "day")
 ) -> list[DataFrame]:
@@ -54,9 +42,13 @@ def read_result(spark: SparkSession, path: str, schema: StructType | str) -> Dat
 
 
 def read_json_records(
-    spark: SparkSession, path: str, schema: StructType | str, fields: dict[str, str], multi_line: bool = True
+    spark: SparkSession, path: str, schema: StructType | str, fields: dict[str, str], multi_line: bool = False
 ) -> DataFrame:
-    """JSON records flattened: ``fields`` maps a dotted path to a column name."""
+    """JSON records flattened: ``fields`` maps a dotted path to a column name.
+
+    One record per line, so that large files split; ``multi_line`` reads a document that spans lines, one
+    task per file.
+    """
     raw = spark.read.schema(schema).option("multiLine", multi_line).json(path)
     return raw.select(*[F.col(p).alias(n) for p, n in fields.items()])
 

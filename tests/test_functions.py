@@ -115,3 +115,37 @@ def test_month_progress_edges(spark):
     df = spark.createDataFrame([(d,) for d in days], "d date")
     got = rows(df.select(dates.days_elapsed("d", "2020-02-10"), dates.days_remaining("d", "2020-02-10")))
     assert got == [(9, 20), (9, 20), (31, 0), (28, 0)]
+
+
+def test_totals_are_exact_and_independent_of_order(spark):
+    """Totals beyond 1e13 and means with ten digits, bit-equal under three partitionings."""
+    rows = spark.range(200_000).selectExpr(
+        "id % 3 AS k", "cast(pmod(id * 7919, 99991) * 1234.567891 + 90000000 AS double) AS v", "1D / (id + 1) AS w"
+    )
+    got = set()
+    for n in (1, 7, 64):
+        out = rows.repartition(n).groupBy("k").agg(
+            numbers.total("v").alias("v"), numbers.exact_mean("w", 10).alias("m"), numbers.total(-F.col("v")).alias("minus")
+        ).orderBy("k").collect()
+        got.add(tuple((r.v, r.m, r.minus) for r in out))
+    assert len(got) == 1
+    want = rows.groupBy("k").agg(F.sum(F.rint(F.col("v") * 1e6).cast("decimal(20,0)")).alias("u")).orderBy("k").collect()
+    for (v, _, minus), r in zip(next(iter(got)), want):
+        assert v == float(r.u) / 1e6 and minus == -v and v > 5e12
+
+
+def test_totals_of_large_and_bad_values(spark):
+    rows = spark.createDataFrame([(9e15,), (9e15,), (0.25,), (float("nan"),), (None,)], "v double")
+    assert rows.agg(numbers.total("v")).first()[0] == 1.8e16
+    assert rows.where("v IS NULL").agg(numbers.total("v")).first()[0] is None
+
+
+def test_pad_code_keeps_the_end(spark):
+    rows = spark.createDataFrame([("123456789",), ("12345678901",), ("12",)], "c string")
+    assert [r[0] for r in rows.select(text.pad_code("c")).collect()] == ["0123456789", "2345678901", "012"]
+
+
+def test_parse_time_keeps_the_time_of_day(spark):
+    rows = spark.createDataFrame([("2020-01-02 20:00:01",), ("2020/01/02",), ("2020.01.02T08:00:00",), ("x",)], "c string")
+    got = [str(r[0]) for r in rows.select(dates.parse_time("c")).collect()]
+    assert got == ["2020-01-02 20:00:01", "2020-01-02 00:00:00", "2020-01-02 08:00:00", "None"]

@@ -5,6 +5,7 @@ from datetime import date, datetime
 from conftest import rows
 from pyspark.sql import functions as F
 
+from pricewright.functions import dates
 from pricewright.operators import (
     catalog, filters, forecast, joins, kpi, latest, ledger, margin, price, reshape,
 )
@@ -70,7 +71,7 @@ def test_union_extracts_newest_wins(spark):
 
 def test_renames_and_last_load(spark):
     df = spark.createDataFrame([(1, 2), (3, 1)], "a int, t int")
-    assert latest.upper_names(df).columns == ["A", "T"] and latest.suffix_names(df, "_pv").columns == ["a_pv", "t_pv"]
+    assert latest.upper_names(df).columns == ["A", "T"]
     assert rows(latest.last_load(df, "t")) == [(2,)] and rows(latest.latest_snapshot(df, "t")) == [(1, 2)]
 
 
@@ -386,3 +387,23 @@ def test_volume_fact_and_filter_catalog(spark):
     assert rows(fact, "k") == [("a", 1.0, 0.0, "Completed", "done"), ("c", 2.0, 1.0, "Open", "wait")]
     got = catalog.filter_catalog([fact, spark.createDataFrame([("a",), ("z",)], "k string")], ["k"], {"country": F.lit("Brazil")})
     assert rows(got, "k") == [("a", "Brazil"), ("c", "Brazil"), ("z", "Brazil")]
+
+
+def test_one_per_key_keeps_the_rows_that_look_up(spark):
+    dim = spark.createDataFrame([("a", "x", 2), ("a", "x", 1), ("a", "w", 9), (None, "n", 0)], "k string, t string, n int")
+    one = joins.one_per_key(dim, ["k"])
+    assert sorted((r.k or "", r.t, r.n) for r in one.collect()) == [("", "n", 0), ("a", "w", 9)]
+    rows = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
+    assert joins.lookup(rows, one, ["k"]).count() == 3
+
+
+def test_newest_load_of_a_day_wins(spark):
+    def extract(*rows):
+        return spark.createDataFrame(list(rows), "k int, load string, v string").withColumn("load", dates.parse_time("load"))
+
+    frames = [extract((1, "2020/01/02 08:00:00", "old")), extract((1, "2020/01/02 20:00:00", "new"))]
+    for order in (frames, frames[::-1]):
+        got = latest.union_extracts(order, ["K"], [latest.newest("LOAD")]).collect()
+        assert [r.V for r in got] == ["new"]
+    ties = [extract((1, "2020/01/02", "a"), (1, "2020/01/02", "b"))]
+    assert len({tuple(r.V for r in latest.union_extracts([t.repartition(n)], ["K"], [latest.newest("LOAD")]).collect()) for t in ties for n in (1, 2, 5)}) == 1

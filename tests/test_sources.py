@@ -81,10 +81,3 @@ def test_export_files_are_landed_once(spark, tmp_path):
     assert land() == [1, 2] and land() == [1, 2]
     (source / "two.json").write_text('{"a": 3}\n')
     assert land() == [1, 2, 3]
-
-
-def test_spread_only_widens_small_scans(spark, sf_dir):
-    small = readers.read_table(spark, f"{sf_dir}/lineitem.parquet")
-    assert readers.spread(small).rdd.getNumPartitions() == 8
-    wide = spark.range(0, 100, numPartitions=30)
-    assert readers.spread(wide).rdd.getNumPartitions() == 30

@@ -47,6 +47,16 @@ def price_type(
     return chain.otherwise(F.lit(other))
 
 
+# Region as the branch name has it -> region.
+REGION_NAMES = {"SAO": "São Paulo", "São J. Campos": "São José dos Campos"}
+
+
+def region_label(branch: Column | str) -> Column:
+    """Region of a branch: its name without the first word, corrected where it is cut short."""
+    name = F.substring(column(branch), F.lit(7), F.length(column(branch)))
+    return case_of(F.trim(name), REGION_NAMES).otherwise(name)
+
+
 def channel_label(
     channel: Column | str,
     labels: dict[str, str] | None = None,

@@ -8,7 +8,7 @@ from pricewright.functions.dates import month_from_label, month_start
 from pricewright.functions.numbers import add, number, parse_number, ratio
 from pricewright.functions.text import norm_key
 from pricewright.operators.forecast import forecast_vs_actual
-from pricewright.operators.joins import lookup
+from pricewright.operators.joins import lookup, one_per_key
 from pricewright.operators.kpi import business_days, premium
 from pricewright.operators.price import limit_deviation
 from pricewright.plans.support import calendar as typed_calendar
@@ -42,7 +42,8 @@ def premium_report(view: DataFrame, calendar: DataFrame, targets: DataFrame, own
     )
     goals = targets.select(
         F.trim("issuing_state").alias("issuing_state"), F.trim("gpd_desc").alias("gpd_desc"), parse_number(F.col("target_premium").cast("string")).alias("target_premium")
-    ).dropDuplicates(["issuing_state", "gpd_desc"])
+    )
+    goals = one_per_key(goals, ["issuing_state", "gpd_desc"])
     return premium(
         rows, ["issuing_state", "branch", "gpd_desc", "month", "material_cod"], "sales_org_cod", F.col("is_own"),
         "norm_pract_price_kg", "adj_policy_price", "rlv_per_ton", goals, ["issuing_state", "gpd_desc"],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pricewright import values
-from pricewright.functions.codes import customer_group, remap_codes
+from pricewright.functions.codes import customer_group, region_label, remap_codes
 from pricewright.functions.dates import month_label
 from pricewright.functions.numbers import number
 from pricewright.functions.text import code_int, display_key
@@ -40,11 +40,12 @@ BILLING_NUMBERS = {
 def scoped_billing(billing: DataFrame, gpm_null: bool = True) -> DataFrame:
     """Billed items in scope, renamed and typed, organisations merged, groups corrected.
 
-    Scope is organisation, billing type, product group and marketing group; the cheap exact tests
-    stand first. Only the columns a mart selects later are read from the files.
+    Scope is organisation, billing type, product group and marketing group. Organisations and billing types are
+    codes of four letters, compared whole, so that the tests reach the files; only the columns a mart selects
+    later are read.
     """
-    rows = scope_filter(billing, "SalesOrg", values.SALES_ORGS)
-    rows = scope_filter(rows, "BillingType", values.BILLING_TYPES)
+    rows = scope_filter(billing, "SalesOrg", values.SALES_ORGS, exact=True)
+    rows = scope_filter(rows, "BillingType", values.BILLING_TYPES, exact=True)
     rows = scope_filter(rows, "GPDName", values.PRODUCT_GROUPS)
     rows = scope_filter(rows, "GPM", values.MARKETING_GROUPS, keep_null=gpm_null)
     present = {c.lower() for c in billing.columns}
@@ -111,7 +112,7 @@ def alert_mart(billing: DataFrame, region: DataFrame) -> DataFrame:
         {"STRATEGIC_PRICE": strategic_price("SALES_ORG_COD"), "PRACTICED_PRICE_NORMAL": normal_price(org="SALES_ORG_COD")}
     )
     found = with_branch(rows, region, "ISSUING_CITY", "ISSUING_STATE", label=False).where(F.col("BRANCH").isNotNull())
-    return found.withColumn("REGION", F.expr("substring(BRANCH, 7, length(BRANCH))")).distinct()
+    return found.withColumn("REGION", region_label("BRANCH")).distinct()
 
 
 # The grains of the gross-profit marts.

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pricewright import values
-from pricewright.functions.codes import channel_label, price_type, remap_codes, short_org
+from pricewright.functions.codes import channel_label, price_type, region_label, remap_codes, short_org
 from pricewright.functions.dates import parse_date
 from pricewright.functions.numbers import parse_number
 from pricewright.functions.text import code_int, pad_code
 from pricewright.operators.catalog import analysis_unit, audit_key, material_label, sample_keys, union_aligned
-from pricewright.operators.joins import lookup, overlay, splittable
+from pricewright.operators.joins import lookup, one_per_key, overlay, splittable
 from pricewright.operators.kpi import month_progress, own_price_ref, price_std, run_rate
 from pricewright.operators.price import approve_band, normal_price, price_at_terms, price_per_kg, unit_price
 from pricewright.plans.dimensions import with_branch
@@ -31,7 +31,7 @@ SURVEY_SCHEMA = ", ".join(f"{tag} string" for tag in SURVEY_FIELDS)
 COLLECT_COLUMNS = [
     "day", "org", "gpm", "gpd", "product_cod", "product", "seller_cod", "seller", "client_cod", "client", "city", "state",
     "branch", "region", "maker", "unit", "term", "channel", "price_with_taxes", "price_terms", "price_kg", "sample_mean",
-    "pre_approved", "approved", "days_elapsed", "days_remaining",
+    "pre_approved", "approved", "days_elapsed", "days_remaining", "in_sector",
 ]
 
 
@@ -72,13 +72,17 @@ def collected_prices(
     region: DataFrame,
     as_of: str,
     units: list[tuple[str, str]] | None = None,
+    home: DataFrame | None = None,
+    clients: DataFrame | None = None,
 ) -> DataFrame:
     """Surveyed prices brought to the reference term and to one kg, approved per sample.
 
-    ``terms`` holds (term, pct); the unit factors are read from the product dimension, one row
-    per material.
+    ``terms`` holds (term, pct), of several rates of a term the smallest; the unit factors are read from the product
+    dimension, one row per material. A price whose city has no branch takes the agent's home branch
+    (``home``: seller_cod, branch), and with ``clients`` (the result of ``client_sector``) it says whether the client is
+    in the sector.
     """
-    rates = terms.select(F.trim("term").alias("term_key"), "pct").dropDuplicates(["term_key"])
+    rates = one_per_key(terms.select(F.trim("term").alias("term_key"), "pct"), ["term_key"])
     out = lookup(rows.withColumn("term_key", F.trim("term")), rates, ["term_key"], ["pct"]).drop("term_key")
     factors = product.groupBy(code_int("COD_MATERIAL").alias("material_key")).agg(
         *[F.max(u).alias(u) for u in values.UNIT_CODES]
@@ -88,7 +92,16 @@ def collected_prices(
         "price_kg", unit_price("price_terms", "unit", units)
     )
     out = with_branch(out, region, "city", "state", label=False).withColumnRenamed("BRANCH", "branch")
-    out = out.withColumn("region", F.expr("substring(branch, 7, length(branch))"))
+    if home is not None:
+        own = one_per_key(home.select("seller_cod", F.col("branch").alias("_home")), ["seller_cod"])
+        out = lookup(out, own, ["seller_cod"]).withColumn("branch", F.coalesce("branch", "_home")).drop("_home")
+    out = out.withColumn("region", region_label("branch"))
+    sector = F.lit(None).cast("string")
+    if clients is not None:
+        marks = clients.groupBy(F.col("COD_CLIENT").alias("_client")).agg(F.max("IN_SECTOR").alias("_sector"))
+        out = lookup(out.withColumn("_client", code_int("client_cod")), splittable(marks), ["_client"])
+        sector = F.coalesce("_sector", F.lit(values.NO))
+    out = out.withColumn("in_sector", sector)
     banded = approve_band(out, ["org", "branch", "product_cod"], "price_kg")
     return month_progress(banded, "day", as_of).select(*COLLECT_COLUMNS).distinct()
 
@@ -130,8 +143,9 @@ def collect_mart(
     ).drop("material_key")
 
     keys = ["org", "product_cod", "branch", "channel"]
-    days = own.select(*keys, F.col("ref_date").alias("day"), "day_mean", "day_count").distinct()
-    weeks = own.where(F.col("week_mean") > 0).select(*keys, "iso_year", "iso_week", "week_mean").distinct()
+    days = one_per_key(own.select(*keys, F.col("ref_date").alias("day"), "day_mean", "day_count"), [*keys, "day"])
+    weeks = own.where(F.col("week_mean") > 0).select(*keys, "iso_year", "iso_week", "week_mean")
+    weeks = one_per_key(weeks, [*keys, "iso_year", "iso_week"])
     rows = lookup(rows, days, [*keys, "day"])
     rows = rows.withColumns({"iso_year": F.extract(F.lit("YEAROFWEEK"), "day"), "iso_week": F.weekofyear("day")})
     rows = lookup(rows, weeks, [*keys, "iso_year", "iso_week"]).drop("iso_year", "iso_week")

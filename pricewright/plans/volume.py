@@ -13,6 +13,7 @@ from pricewright.operators.catalog import filter_catalog, volume_fact
 from pricewright.operators.filters import horizon, scope_filter
 from pricewright.operators.forecast import allocate_forecast, splice_forecast
 from pricewright.operators.joins import lookup, one_per_key, splittable
+from pricewright.operators.margin import share_of_parent
 from pricewright.operators.price import (
     billed_order_price, discount_cascade, normal_price, open_order_price, policy_deviation, policy_price,
     price_per_kg, requested_quantity, wallet_backlog, with_limit,
@@ -179,7 +180,12 @@ def open_volume(wallet: DataFrame, vbap: DataFrame, policy: DataFrame, region: D
     found = lookup(keyed, product_groups(product), ["ORG_KEY", "MATERIAL_KEY"]).withColumns(
         {"GPD_COD": F.coalesce("COD_GPD", "GPD_COD"), "GPD_DESC": F.col("DESC_GPD"), "GPM_DESC": F.col("DESC_GPM")}
     )
-    return with_branch(found, region, "ISSUING_CITY", "ISSUING_STATE")
+    rows = with_branch(found, region, "ISSUING_CITY", "ISSUING_STATE")
+    # Beside each open order the volume of its branch and of its state, and the branch's part.
+    state = ["SALES_ORG_COD", "GPD_COD", "ISSUING_STATE"]
+    parts = share_of_parent(rows, [*state, "BRANCH"], state, "quantity_ton", "branch_share")
+    named = parts.withColumnsRenamed({"quantity_ton_child": "branch_ton", "quantity_ton_parent": "state_ton"})
+    return lookup(rows, splittable(named), [*state, "BRANCH"])
 
 
 def volume_mart(billed: DataFrame, waiting: DataFrame, order_type_texts: DataFrame, makers: tuple[str, str]) -> DataFrame:

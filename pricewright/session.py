@@ -32,16 +32,23 @@ def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
 
     ``shuffle_bytes`` is the volume the job is expected to shuffle at once (after pruning);
     it sets how finely shuffles start out, so that no partition outgrows an executor. AQE merges
-    what turns out small. Without it the session's own number stays.
+    what turns out small. The session's own number is never lowered, and stays without it.
     """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     if shuffle_bytes is not None:
-        parts = max(spark.sparkContext.defaultParallelism, -(-shuffle_bytes // TASK_BYTES))
+        own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        parts = max(own, spark.sparkContext.defaultParallelism, -(-shuffle_bytes // TASK_BYTES))
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
     return spark
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a folder, asked of the file system it lies in."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
 def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session for tests and the benchmark."""
     builder = (

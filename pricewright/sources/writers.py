@@ -1,10 +1,15 @@
-"""Sinks: parquet tables, batches, delimited exports and the review sheet."""
+"""Sinks: parquet tables, versioned tables, batches, delimited exports and the review sheet."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+import uuid
 
-from pricewright.session import cut_lineage
+from pyspark.sql import DataFrame, SparkSession
+
+VERSION = "version="
+# Spark's writer leaves this file when all tasks of a write have been committed.
+COMPLETE = "_SUCCESS"
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -23,12 +28,18 @@ def write_compacted(df: DataFrame, path: str, partition_by: list[str] | None = N
     write_table(hinted, path, partition_by)
 
 
-def append_batch(df: DataFrame, path: str) -> bool:
-    """Append a landed batch when it has rows; says whether it did."""
-    if df.isEmpty():
-        return False
-    df.write.mode("append").parquet(path)
-    return True
+def append_batch(df: DataFrame, path: str, batch: str) -> bool:
+    """Add a landed batch to a table of batches; says whether it has rows.
+
+    The batch is a folder of its own named by ``batch``, so a repeated run replaces it instead of adding it again.
+    The plan runs once; whether there are rows is read from what was written, and an empty batch is taken away.
+    """
+    spark, folder = df.sparkSession, f"{path}/batch={batch}"
+    df.write.mode("overwrite").parquet(folder)
+    if not spark.read.parquet(folder).isEmpty():
+        return True
+    _delete(spark, folder)
+    return False
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ";", encoding: str = "UTF-8", max_rows_per_file: int = 1_000_000) -> None:
@@ -43,10 +54,45 @@ def write_review_sheet(df: DataFrame, path: str) -> None:
     write_csv(df, path, sep="|", encoding="ISO-8859-1")
 
 
-def overwrite_own_input(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Overwrite a table that the frame itself reads.
+def write_version(df: DataFrame, path: str, partition_by: list[str] | None = None, keep: int = 2) -> str:
+    """Write a new version of a table beside the older ones; returns its folder.
 
-    The new content is first checkpointed in the cluster's shared folder, so the overwrite does
-    not delete its own source and survives the loss of executors.
+    The table may be read by ``df`` itself: nothing it reads is touched. A version counts once its
+    write has been committed, which is one step, so readers see the old or the new content and a job that dies
+    leaves the old. The newest ``keep`` complete versions stay.
     """
-    write_table(cut_lineage(df), path, partition_by)
+    spark = df.sparkSession
+    folder = f"{path}/{VERSION}{time.time_ns() // 1_000_000:015d}-{uuid.uuid4().hex[:8]}"
+    write_table(df, folder, partition_by)
+    for old in versions(spark, path)[:-keep]:
+        _delete(spark, old)
+    return folder
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the complete versions of a table, oldest first."""
+    system, root = _file_system(spark, path)
+    if not system.exists(root):
+        return []
+    folders = sorted(str(f.getPath().toString()) for f in system.listStatus(root) if f.isDirectory())
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    return [f for f in folders if f"/{VERSION}" in f and system.exists(hadoop(f, COMPLETE))]
+
+
+def read_version(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version of a table."""
+    found = versions(spark, path)
+    if not found:
+        raise FileNotFoundError(f"no complete version in {path}")
+    return spark.read.parquet(found[-1])
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The file system a path lies in, by the session's own configuration, and the path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    system, target = _file_system(spark, path)
+    system.delete(target, True)

@@ -37,7 +37,10 @@ def test_extracts_without_landing_partitions(spark, tmp_path):
 
 
 def test_json_and_xml_files(spark, tmp_path):
-    (tmp_path / "c.json").write_text('[{"id": 1, "uf": {"sigla": "SP"}}, {"id": 2, "uf": null}]')
+    (tmp_path / "c.json").write_text('{"id": 1, "uf": {"sigla": "SP"}}\n{"id": 2, "uf": null}\n')
+    (tmp_path / "doc.json").write_text('[{"id": 1,\n "uf": {"sigla": "SP"}},\n {"id": 2, "uf": null}]')
+    whole = readers.read_json_records(spark, str(tmp_path / "doc.json"), "id bigint, uf struct<sigla: string>", {"id": "ID"}, multi_line=True)
+    assert rows(whole, "ID") == [(1,), (2,)]
     got = readers.read_json_records(spark, str(tmp_path / "c.json"), "id bigint, uf struct<sigla: string>", {"id": "ID", "uf.sigla": "UF"})
     assert rows(got, "ID") == [(1, "SP"), (2, None)]
     (tmp_path / "s.xml").write_text("<Envelope><Body><Survey><a>1</a><b>x</b></Survey><Survey><a>2</a></Survey></Body></Envelope>")
@@ -47,8 +50,9 @@ def test_json_and_xml_files(spark, tmp_path):
 
 def test_append_only_with_rows(spark, tmp_path):
     path = str(tmp_path / "t")
-    assert writers.append_batch(spark.range(2), path) and not writers.append_batch(spark.range(0), path)
-    assert writers.append_batch(spark.range(2, 3), path) and spark.read.parquet(path).count() == 3
+    assert writers.append_batch(spark.range(2), path, "a") and not writers.append_batch(spark.range(0), path, "b")
+    assert writers.append_batch(spark.range(2, 3), path, "c") and spark.read.parquet(path).count() == 3
+    assert writers.append_batch(spark.range(2), path, "a") and spark.read.parquet(path).count() == 3  # a repeated run
 
 
 def test_partitioned_and_compacted_tables(spark, tmp_path):
@@ -63,9 +67,14 @@ def test_partitioned_and_compacted_tables(spark, tmp_path):
 
 def test_overwrite_own_input(spark, tmp_path):
     path = str(tmp_path / "own")
-    writers.write_table(spark.range(3), path)
-    writers.overwrite_own_input(readers.read_table(spark, path).unionByName(spark.range(3, 5)), path)
-    assert spark.read.parquet(path).count() == 5
+    first = writers.write_version(spark.range(3), path)
+    for n in (5, 7, 9):
+        writers.write_version(writers.read_version(spark, path).unionByName(spark.range(n - 2, n)), path)
+        assert writers.read_version(spark, path).count() == n
+    kept = writers.versions(spark, path)
+    assert len(kept) == 2 and not any(first in f for f in kept)
+    (tmp_path / "own" / "version=999999999999999-torn").mkdir()  # a job that died while writing
+    assert writers.read_version(spark, path).count() == 9 and writers.versions(spark, str(tmp_path / "none")) == []
     assert ensure_checkpoint_dir(spark) == ensure_checkpoint_dir(spark)
 
 

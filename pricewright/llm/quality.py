@@ -28,9 +28,8 @@ PUNCTUATION = r""".,;:!?'"()\-"""
 CHAR_CLASSES = {
     "upper": r"\p{Lu}",
     "digit": r"\p{Nd}",
-    "space": r"[\x20\x09-\x0D]",
     "punctuation": f"[{PUNCTUATION}]",
-    "symbol": rf"[^\p{{L}}\p{{M}}\p{{Nd}}\x20\x09-\x0D{PUNCTUATION}]",
+    "symbol": r"[#$%&*+/<=>@\[\]\\^_`{|}~]",
 }
 
 WINDOW_WORDS = 5
@@ -44,28 +43,27 @@ MAX_CHAR_DISTANCE = 0.3
 MAX_WORD_DISTANCE = 0.25
 
 
-def char_histogram(text: Column) -> Column:
-    """Counts per class of characters: the classes above, then all other letters and marks."""
-    counts = [F.regexp_count(text, F.lit(p)).cast("long") for p in CHAR_CLASSES.values()]
+def char_histogram(text: Column, spaces: Column) -> Column:
+    """Counts per class of characters: the classes above, white space, then letters and all others."""
+    counts = [*[F.regexp_count(text, F.lit(p)).cast("long") for p in CHAR_CLASSES.values()], spaces]
     return let(F.array(*counts), lambda c: F.concat(c, F.array(F.length(text).cast("long") - _sum(c))))
 
 
 def word_histogram(words: Column, lang: Column) -> Column:
-    """Counts of the common words of the language, then of all other words."""
+    """Counts of the common words of the language, as they stand between spaces, then of all other words."""
     lists = F.lit(None).cast("array<string>")
     for name, chosen in COMMON_WORDS.items():
         lists = F.when(lang == name, F.array(*map(F.lit, chosen))).otherwise(lists)
     lists = F.coalesce(lists, F.array(*map(F.lit, ANY_LANGUAGE)))
     known = sorted({w for chosen in [*COMMON_WORDS.values(), ANY_LANGUAGE] for w in chosen})
-    plain = F.transform(words, lambda w: F.lower(F.btrim(w, F.lit(PUNCTUATION))))
-    joined = F.concat(F.lit(" "), F.array_join(F.filter(plain, lambda w: w.isin(known)), "  "), F.lit(" "))
+    joined = F.concat(F.lit(" "), F.array_join(F.filter(words, lambda w: w.isin(known)), "  "), F.lit(" "))
 
     def counts(text: Column) -> Column:
         return F.transform(
             lists,
             lambda w: let(
                 F.concat(F.lit(" "), w, F.lit(" ")),
-                lambda padded: ((F.length(text) - F.length(F.replace(text, padded, F.lit("")))) / F.length(padded)).cast("long"),
+                lambda padded: ((F.octet_length(text) - F.octet_length(F.replace(text, padded, F.lit("")))) / F.octet_length(padded)).cast("long"),
             ),
         )
 
@@ -77,9 +75,7 @@ def repeat_words(words: Column, window: int = WINDOW_WORDS) -> Column:
 
     Windows are compared by hash; where hashes repeat, those windows are compared as texts.
     """
-    hashes = F.transform(
-        F.sequence(F.lit(0), F.size(words) - window), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(window)])
-    )
+    hashes = _window_hashes(words, window)
     gram = lambda p: F.array_join(F.slice(words, p + 1, window), " ")
     numbered = lambda h: F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("v"), i.alias("p"))))
 
@@ -118,62 +114,84 @@ def js_distance(counts: Column, reference: Column) -> Column:
     return let(sizes, lambda x: distance(x["n"], x["m"]))
 
 
-def references(docs: DataFrame) -> DataFrame:
-    """(lang, chars, words): the summed histograms of each language over its long enough documents."""
-    text, kinds, listed = text_or_empty(F.col("text").cast("string")), len(CHAR_CLASSES) + 1, len(ANY_LANGUAGE) + 1
-    counted = docs.select(F.col("lang").cast("string").alias("lang"), text.alias("text")).select(
-        "lang", char_histogram(F.col("text")).alias("chars"),
-        let(word_list(F.col("text")), lambda w: word_histogram(w, F.col("lang"))).alias("words"),
-    )
-    usable = counted.where((_sum(F.col("chars")) >= GUARD_CHARS) & (_sum(F.col("words")) >= GUARD_WORDS))
-    sums = [F.sum(F.get("chars", F.lit(i))).alias(f"c{i}") for i in range(kinds)]
-    sums += [F.sum(F.get("words", F.lit(i))).alias(f"w{i}") for i in range(listed)]
-    return usable.groupBy("lang").agg(*sums).select(
-        "lang", F.array(*[f"c{i}" for i in range(kinds)]).alias("chars"), F.array(*[f"w{i}" for i in range(listed)]).alias("words")
-    )
-
-
-def quality(docs: DataFrame, with_rows: bool = False) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, char_distance, word_distance, kept.
-
-    A null text has no words and fails the base rule. A null language is a language of its own, compared on words
-    of all listed languages. Repeated rows are judged alike; other columns play no part. ``with_rows`` adds
-    the whole row as a struct. An empty table gives no rows.
-    """
-    known = cut_lineage(references(docs)).select(
-        F.col("lang").alias("ref_lang"), F.col("chars").alias("ref_chars"), F.col("words").alias("ref_words")
-    )
+def features(docs: DataFrame, with_rows: bool = False) -> DataFrame:
+    """(doc_id, lang, n, n_symbols, n_dup_lines): all counts that a verdict needs; n holds the counts over words."""
     text = F.col("text")
     rows = docs.select(
         *[F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] * with_rows,
         "doc_id", F.col("lang").cast("string").alias("lang"), text_or_empty(F.col("text").cast("string")).alias("text"),
     )
-    counts = let(
-        word_list(text),
-        lambda w: F.struct(
-            F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-            repeat_words(w).alias("n_repeat_words"), word_histogram(w, F.col("lang")).alias("words"),
-        ),
-    )
-    counted = rows.select(
-        *["row"] * with_rows, "doc_id", "lang", counts.alias("n"), char_histogram(text).alias("chars"),
+
+    def counts(w: Column) -> Column:
+        chars = F.length(F.array_join(w, "")).cast("long")
+        return F.struct(
+            F.size(w).cast("long").alias("n_words"), chars.alias("word_chars"), repeat_words(w).alias("n_repeat_words"),
+            word_histogram(w, F.col("lang")).alias("words"), char_histogram(text, F.length(text) - chars).alias("chars"),
+        )
+
+    return rows.select(
+        *["row"] * with_rows, "doc_id", "lang", let(word_list(text), counts).alias("n"),
         F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"), duplicate_lines(text).alias("n_dup_lines"),
     )
+
+
+def histograms(docs: DataFrame) -> DataFrame:
+    """(lang, n): the two histograms alone, for references."""
+    text = F.col("text")
+
+    def counts(w: Column) -> Column:
+        spaces = F.length(text) - F.length(F.array_join(w, "")).cast("long")
+        return F.struct(word_histogram(w, F.col("lang")).alias("words"), char_histogram(text, spaces).alias("chars"))
+
+    rows = docs.select(F.col("lang").cast("string").alias("lang"), text_or_empty(F.col("text").cast("string")).alias("text"))
+    return rows.select("lang", let(word_list(text), counts).alias("n"))
+
+
+def references(counted: DataFrame) -> DataFrame:
+    """(ref_lang, ref_chars, ref_words): the summed histograms of each language over its long enough documents.
+
+    Null for a language none of whose documents is.
+    """
+    kinds, listed = len(CHAR_CLASSES) + 2, len(ANY_LANGUAGE) + 1
+    usable = (_sum(F.col("n.chars")) >= GUARD_CHARS) & (_sum(F.col("n.words")) >= GUARD_WORDS)
+    marked = counted.select("lang", "n", usable.alias("usable"))
+    sums = [F.sum(F.when(F.col("usable"), F.get("n.chars", F.lit(i)))).alias(f"c{i}") for i in range(kinds)]
+    sums += [F.sum(F.when(F.col("usable"), F.get("n.words", F.lit(i)))).alias(f"w{i}") for i in range(listed)]
+    return marked.groupBy("lang").agg(*sums).select(
+        F.col("lang").alias("ref_lang"), F.array(*[f"c{i}" for i in range(kinds)]).alias("ref_chars"),
+        F.array(*[f"w{i}" for i in range(listed)]).alias("ref_words"),
+    ).where("ref_chars[0] IS NOT NULL")
+
+
+def judged(counted: DataFrame, known: DataFrame, with_rows: bool = False) -> DataFrame:
+    """The verdicts of counted documents against the references."""
     failed = (F.col("n.n_words") < MIN_WORDS) | (100 * F.col("n.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n.n_words"))
-    judged = counted.join(known, F.col("lang").eqNullSafe(F.col("ref_lang")), "left").select(
+    rows = counted.join(known, F.col("lang").eqNullSafe(F.col("ref_lang")), "left").select(
         *["row"] * with_rows, "doc_id", "n.n_words", "n.word_chars", "n_symbols", "n_dup_lines", "n.n_repeat_words",
         failed.alias("base_failed"),
-        _guarded(F.col("chars"), F.col("ref_chars"), GUARD_CHARS).alias("char_distance"),
+        _guarded(F.col("n.chars"), F.col("ref_chars"), GUARD_CHARS).alias("char_distance"),
         _guarded(F.col("n.words"), F.col("ref_words"), GUARD_WORDS).alias("word_distance"),
     )
     near = (F.col("char_distance") <= MAX_CHAR_DISTANCE) & (F.col("word_distance") <= MAX_WORD_DISTANCE)
-    return judged.withColumn("kept", ~F.col("base_failed") & near)
+    return rows.withColumn("kept", ~F.col("base_failed") & near)
+
+
+def quality(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    base_failed, char_distance, word_distance, kept.
+
+    Texts are read once: the counts are kept, and both references and verdicts come from them. A null text has no
+    words and fails the base rule. A null language is a language of its own, compared on words of all
+    listed languages. Repeated rows are judged alike; other columns play no part. An empty table gives no rows.
+    """
+    counted = cut_lineage(features(docs))
+    return judged(counted, cut_lineage(references(counted)))
 
 
 def keep_clean(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with all their columns."""
-    return quality(docs, with_rows=True).where("kept").select("row.*")
+    """The documents that pass, with all their columns; texts are read twice, which moves none."""
+    known = cut_lineage(references(histograms(docs)))
+    return judged(features(docs, with_rows=True), known, with_rows=True).where("kept").select("row.*")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,6 +200,24 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("char_distance", "word_distance")
 
 
+def _window_hashes(words: Column, window: int) -> Column:
+    """Hash of every window of words, put together from the hashes of halves as a window doubles."""
+
+    def of(single: Column, width: int) -> Column:
+        if width == 1:
+            return single
+        half = width // 2
+        longer = let(of(single, half), lambda h: F.zip_with(h, F.slice(h, F.lit(half + 1), F.size(h)), lambda a, b: F.xxhash64(a, b)))
+        if width == 2 * half:
+            return longer
+        return F.zip_with(longer, F.slice(single, F.lit(width), F.size(single)), lambda a, b: F.xxhash64(a, b))
+
+    return let(
+        F.transform(words, lambda w: F.xxhash64(w)),
+        lambda single: F.slice(of(single, window), F.lit(1), F.size(single) - (window - 1)),
+    )
+
+
 def _guarded(counts: Column, reference: Column, least: int) -> Column:
     """The distance, or 0 for a text under the guard or a language without a reference."""
     usable = reference.isNotNull() & (_sum(counts) >= least)

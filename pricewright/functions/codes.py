@@ -65,10 +65,6 @@ def channel_label(
     return case_of(channel, labels or values.CHANNEL_LABELS).otherwise(F.lit(other))
 
 
-def yes_no(flag: Column, yes: str = values.YES, no: str = values.NO) -> Column:
-    return F.when(flag, F.lit(yes)).otherwise(F.lit(no))
-
-
 def short_org(org: Column | str, office: Column | str, agent: Column | str) -> Column:
     """Two-letter organisation of a CRM price: from the organisation, else from the office."""
     org = column(org)

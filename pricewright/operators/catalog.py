@@ -28,6 +28,21 @@ def volume_fact(
     return union_aligned([done, waiting], columns)
 
 
+def volume_fact_of(rows: DataFrame, is_open: Column, columns: list[str], makers: tuple[str, str], quantity: str) -> DataFrame:
+    """``volume_fact`` where bills and open orders stand in one frame, so that it is read once.
+
+    Open rows bring their ``order_status`` and ``open_quantity``.
+    """
+    kept = rows.where(is_open | (F.col(quantity) > 0))
+    return kept.withColumns(
+        {
+            "maker": F.when(is_open, makers[1]).otherwise(makers[0]),
+            "order_status": F.when(is_open, F.col("order_status")).otherwise("Completed"),
+            "open_quantity": F.when(is_open, F.col("open_quantity")).otherwise(F.lit(0.0)),
+        }
+    ).select(*columns)
+
+
 def filter_catalog(sources: list[DataFrame], columns: list[str], constants: dict[str, Column] | None = None) -> DataFrame:
     """Distinct slicer values over several sources.
 

@@ -123,20 +123,10 @@ def two_pass_lookup(
 
 def missing_rows(df: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key the other frame does not hold."""
-    return df.join(present.select(*keys).distinct(), keys, "left_anti")
+    return df.join(splittable(present.select(*keys).distinct()), keys, "left_anti")
 
 
 def backfill(df: DataFrame, wanted: DataFrame, keys: list[str], fill: dict[str, Column]) -> DataFrame:
     """Add a row with the fill values for every wanted key the frame lacks."""
     extra = missing_rows(wanted, df, keys).withColumns(fill)
     return df.unionByName(extra.select(*df.columns))
-
-
-def shift_month(df: DataFrame, keys: list[str], month: str, columns: list[str], suffix: str) -> DataFrame:
-    """The next month's values beside each row (null in a gap); ``month`` is a month-start date."""
-    nxt = df.select(
-        *keys,
-        F.add_months(month, -1).alias(month),
-        *[F.col(c).alias(c + suffix) for c in columns],
-    )
-    return df.join(nxt, [*keys, month], "left")

@@ -107,12 +107,6 @@ def test_two_pass_lookup(spark):
     assert sorted(rows(got.select("a", "b", "out")), key=str) == [("q", "q", None), ("q", "y", "two"), ("x", "y", "one")]
 
 
-def test_shift_month_leaves_gaps_null(spark):
-    df = spark.createDataFrame([("k", date(2019, 12, 1), 1), ("k", date(2020, 1, 1), 2), ("k", date(2020, 3, 1), 3)], "k string, m date, v int")
-    got = rows(joins.shift_month(df, ["k"], "m", ["v"], "_next").select("m", "v_next"), "m")
-    assert [r[1] for r in got] == [2, None, None]
-
-
 # --- reshape -----------------------------------------------------------------------------------------
 
 def test_prefix_hierarchy_all_lengths(spark):

@@ -69,12 +69,12 @@ def test_hot_key_is_split_in_a_lookup(spark, small_limits):
 
 
 def test_group_is_combined_before_the_shuffle(spark, sf_dir):
-    plan = plan_of(entry.queries()["share_of_parent"](spark, sf_dir))
+    plan = plan_of(registry.queries()["share_of_parent"](spark, sf_dir))
     assert plan.count("partial_sum") >= 2
 
 
 def test_filter_and_columns_reach_the_scan(spark, sf_dir):
-    plan = plan_of(entry.queries()["scope_filter"](spark, sf_dir))
+    plan = plan_of(registry.queries()["scope_filter"](spark, sf_dir))
     assert re.search(r"PushedFilters: \[.*In\(p_brand", plan)
     item = next(line for line in plan.splitlines() if "FileScan" in line and "lineitem" in line)
     schema = item[item.index("ReadSchema") :]
@@ -82,7 +82,7 @@ def test_filter_and_columns_reach_the_scan(spark, sf_dir):
 
 
 def test_rollup_scans_once(spark, sf_dir):
-    plan = plan_of(entry.queries()["gross_profit_rollup"](spark, sf_dir))
+    plan = plan_of(registry.queries()["gross_profit_rollup"](spark, sf_dir))
     scans = [line for line in plan.splitlines() if "FileScan" in line and "lineitem" in line]
     assert len(scans) == 1 and "Expand" in plan
 
@@ -104,3 +104,40 @@ def test_shuffles_start_as_fine_as_the_volume_needs(spark):
         assert int(spark.conf.get(name)) == 8
     finally:
         spark.conf.unset(name)
+
+
+# Scans of the largest table per query: one, or more where the detail, its aggregate and the aggregate's parent are joined.
+FACT_SCANS = {
+    "price_waterfall": 1, "dispersion_map": 1, "apportion_cost": 3, "premium_vs_competitor": 2, "gross_profit_rollup": 1, "volume_fact": 1,
+    "filter_catalog": 1,
+}
+
+
+@pytest.mark.parametrize("name", sorted(FACT_SCANS))
+def test_fact_is_scanned_once(spark, sf_dir, name):
+    """Counted in the executed plan with broadcasts off, the shape large tables get; reused exchanges are not scans."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = final_plan(registry.queries()[name](spark, sf_dir)).split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "l_orderkey" in line + "l_partkey" and "l_" in line]
+    assert len(scans) <= FACT_SCANS[name], len(scans)
+
+
+def test_orders_are_scanned_once_for_all_windows(spark, sf_dir):
+    assert plan_of(registry.queries()["rolling_horizon"](spark, sf_dir)).count("FileScan") == 1
+
+
+def test_scope_reaches_the_billing_files(spark, tmp_path):
+    """Organisation and billing type are pushed to the scan."""
+    from pricewright.plans import marts
+
+    names = [*marts.BILLING_TEXT, *marts.BILLING_NUMBERS, "BillingType"]
+    spark.createDataFrame([("x",) * len(names)], ", ".join(f"`{n}` string" for n in names)).write.parquet(str(tmp_path / "billing"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = plan_of(marts.scoped_billing(spark.read.parquet(str(tmp_path / "billing"))))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters: ["):]
+    assert "In(SalesOrg" in pushed and "EqualTo(BillingType,ZF2B)" in pushed

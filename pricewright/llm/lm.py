@@ -134,7 +134,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def gram_counts(docs: DataFrame, parts: int, order: int = ORDER) -> DataFrame:
-    """(part, gram, n): counts of hashed n-grams of all orders, placed by part."""
+    """(part, gram, n): counts of hashed n-grams of all orders, combined per worker; a gram may occur in several rows."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -144,7 +144,8 @@ def gram_counts(docs: DataFrame, parts: int, order: int = ORDER) -> DataFrame:
 
         def flush():
             own = np.array(words, dtype=np.uint64)
-            grams, n = np.unique(np.concatenate(gram_hashes(own, np.array(starts), order)), return_counts=True)
+            counted = [np.unique(grams, return_counts=True) for grams in gram_hashes(own, np.array(starts), order)]
+            grams, n = (np.concatenate(x) for x in zip(*counted))
             return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"])
 
         for batch in batches:
@@ -158,23 +159,23 @@ def gram_counts(docs: DataFrame, parts: int, order: int = ORDER) -> DataFrame:
             yield flush()
 
     rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "gram bigint, n bigint")
-    placed = rows.withColumn("part", F.pmod("gram", F.lit(parts))).repartition("part")
-    return placed.groupBy("part", "gram").agg(F.sum("n").alias("n"))
+    return rows.withColumn("part", F.pmod("gram", F.lit(parts)))
 
 
-def probe_bits(grams, level, size):
-    """Bit positions of n-grams at a level in a part of ``size`` bits, one row per probe."""
+def probe_bit(grams, level: int, probe: int, size):
+    """Bit position of n-grams for one probe at a level, in parts of ``size`` bits (below 2^32)."""
     import numpy as np
 
     first = mixed(grams + np.uint64(level * 0xD6E8FEB86659FD93 % 2**64))
-    step = mixed(first) | np.uint64(1)
-    return [(first + np.uint64(i) * step) % size for i in range(PROBES)]
+    if probe:
+        first = first + np.uint64(probe) * (mixed(first) | np.uint64(1))
+    return (((first >> np.uint64(32)) * size) >> np.uint64(32)).astype(np.int64)
 
 
-def build_filter(counts: DataFrame, parts: int, max_bits: int = MAX_BITS) -> tuple:
+def build_filter(counts: DataFrame, parts: int, max_bits: int = MAX_BITS, fetches: int = 8) -> tuple:
     """The filter: bytes of all parts, and each part's first byte and number of bits.
 
-    At most ``max_bits`` bits reach the driver, whatever the corpus holds.
+    At most ``max_bits`` bits reach the driver, whatever the corpus holds, in ``fetches`` portions.
     """
     most = max(64, max_bits // parts)
 
@@ -182,59 +183,76 @@ def build_filter(counts: DataFrame, parts: int, max_bits: int = MAX_BITS) -> tup
         import numpy as np
         import pandas as pd
 
-        level = levels(frame["n"].to_numpy().astype(float))
-        grams = frame["gram"].to_numpy().view(np.uint64)
-        per_level = np.bincount(level, minlength=MAX_LEVELS) * np.arange(max(MAX_LEVELS, level.max() + 1))
+        grams, back = np.unique(frame["gram"].to_numpy().view(np.uint64), return_inverse=True)
+        level = levels(np.bincount(back, weights=frame["n"].to_numpy()))
+        per_level = np.bincount(level, minlength=MAX_LEVELS) * np.arange(MAX_LEVELS)
         needed = np.cumsum(per_level[::-1])[::-1] * BITS_PER_ENTRY  # bits if levels from here on are kept
         lowest = int(np.flatnonzero(needed <= most)[0])
         grams, level = grams[level >= lowest], level[level >= lowest]
         bits = np.zeros(max(64, -(-int(needed[lowest]) // 64) * 64), dtype=bool)
         for q in range(1, int(level.max(initial=0)) + 1):
-            for places in probe_bits(grams[level >= q], q, np.uint64(len(bits))):
-                bits[places.astype(np.int64)] = True
+            own = grams[level >= q]
+            for probe in range(PROBES):
+                bits[probe_bit(own, q, probe, np.uint64(len(bits)))] = True
         return pd.DataFrame({"part": [key[0]], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
     import numpy as np
 
-    rows = counts.groupBy("part").applyInPandas(run, "part bigint, bits binary").toPandas()
-    found = dict(zip(rows["part"], rows["bits"]))
-    pieces = [found.get(p, b"\0" * 8) for p in range(parts)]
-    sizes = np.array([len(b) for b in pieces], dtype=np.int64)
-    return np.frombuffer(b"".join(pieces), dtype=np.uint8), np.cumsum(sizes) - sizes, sizes * 8
+    built = cut_lineage(counts.groupBy("part").applyInPandas(run, "part bigint, bits binary"))
+    sizes = np.full(parts, 8, dtype=np.int64)
+    known = built.select("part", F.octet_length("bits").alias("size")).toArrow()
+    sizes[known["part"].to_numpy()] = known["size"].to_numpy()
+    first = np.cumsum(sizes) - sizes
+    data = np.zeros(int(sizes.sum()), dtype=np.uint8)
+    for begin in range(fetches):
+        portion = built.where(F.col("part") % fetches == begin).toArrow()
+        for part, bits in zip(portion["part"].to_pylist(), portion["bits"]):
+            data[first[part] : first[part] + sizes[part]] = np.frombuffer(bits.as_buffer(), dtype=np.uint8)
+    return data, first, sizes * 8
 
 
 def read_counts(grams, held: tuple):
-    """Counts of hashed n-grams, by probing levels upwards until one is missing."""
+    """Counts of different hashed n-grams, by probing levels upwards until one is missing."""
     import numpy as np
 
     data, first, size = held
-    distinct, back = np.unique(grams, return_inverse=True)
-    part = (distinct.view(np.int64) % len(first)).astype(np.int64)  # numpy's % is never negative here
+    part = grams.view(np.int64) % len(first)  # never negative
     start, bits = first[part], size[part].astype(np.uint64)
-    level = np.zeros(len(distinct), dtype=np.int64)
-    alive = np.arange(len(distinct))
+    level = np.zeros(len(grams), dtype=np.int64)
+    alive = np.arange(len(grams))
     for q in range(1, MAX_LEVELS):
-        for n in range(PROBES):
-            places = probe_bits(distinct[alive], q, bits[alive])[n].astype(np.int64)
+        for probe in range(PROBES):
+            places = probe_bit(grams[alive], q, probe, bits[alive])
             hit = data[start[alive] + (places >> 3)] >> (places & 7).astype(np.uint8) & 1
             alive = alive[hit == 1]
         if not len(alive):
             break
         level[alive] = q
-    return level_values()[level][back]
+    return level_values()[level]
 
 
-def token_log10(grams: list, starts, held: tuple, tokens: int, distinct: int, prior: float = PRIOR):
-    """log10 probability of every token, from the probed counts of its n-grams and their histories."""
+def distinct_counts(grams, held: tuple):
+    """``read_counts`` where n-grams repeat."""
+    import numpy as np
+
+    different, back = np.unique(grams, return_inverse=True)
+    return read_counts(different, held)[back]
+
+
+def token_log10(grams: list, single, starts, held: tuple, tokens: int, distinct: int, prior: float = PRIOR):
+    """log10 probability of every token, from the probed counts of its n-grams and their histories.
+
+    ``single`` are the probed counts of the tokens themselves.
+    """
     import numpy as np
 
-    counts = [read_counts(g, held) for g in grams]
     documents = read_counts(mixed(np.zeros(1, dtype=np.uint64)), held)[0]
-    value = (counts[0] + 0.5) / (tokens + 0.5 * (distinct + 1))
-    for shorter, longer in zip(counts, counts[1:]):
+    value, shorter = (single + 0.5) / (tokens + 0.5 * (distinct + 1)), single
+    for longer in (distinct_counts(g, held) for g in grams[1:]):
         history = np.concatenate([[0.0], shorter[:-1]])
         history[starts] = documents
         value = (np.minimum(longer, history) + prior * value) / (history + prior)
+        shorter = longer
     return np.log10(value)
 
 
@@ -252,7 +270,8 @@ def score(docs: DataFrame, order: int = ORDER, prior: float = PRIOR, max_bits: i
     tokens, distinct = int(found[0] or 0), int(found[1])
     parts = max(1, -(-tokens // PART_TOKENS))
     held = build_filter(gram_counts(train, parts, order), parts, max_bits)
-    top = {bytes(r.word): r.n for r in words.orderBy(F.desc("n"), "word").limit(frequent).collect()}
+    best = words.orderBy(F.desc("n"), "word").limit(frequent).toArrow()
+    top = dict(zip(best["word"].to_pylist(), best["n"].to_pylist()))
     context = docs.sparkSession.sparkContext
     scored = cut_lineage(_scored(rows, context.broadcast(held), context.broadcast(top), tokens, distinct, order, prior))
     rare = scored.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", "r.tf").join(splittable(words), "word")
@@ -275,8 +294,6 @@ def _scored(rows: DataFrame, held, top, tokens: int, distinct: int, order: int,
     """Model score, and the base score with rare tokens taken as unknown and listed beside it."""
 
     def run(batches: Iterator) -> Iterator:
-        from collections import Counter
-
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
@@ -284,26 +301,37 @@ def _scored(rows: DataFrame, held, top, tokens: int, distinct: int, order: int,
         uid = TaskContext.get().partitionId() << 33
         known, counts = WordHashes(), top.value
         scale = math.log10(tokens + 0.5 * (distinct + 1))
-        entry = pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())]))
         for batch in batches:
-            lists = [tokens_of(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            sizes = np.array([len(x) for x in lists], dtype=np.int64)
-            starts = np.cumsum(sizes) - sizes
-            hashes = np.array([known[w] for x in lists for w in x], dtype=np.uint64)
-            each = token_log10(gram_hashes(hashes, starts, order), starts, held.value, tokens, distinct, prior)
-            base, n_known, rare = [], [], []
-            for words in lists:
-                own = [counts.get(w, 0) for w in words]
-                base.append(float(np.log10(np.array(own, dtype=float) + 0.5).sum()) - len(own) * scale)
-                n_known.append(sum(c > 0 for c in own))
-                rest = Counter(w for w, c in zip(words, own) if not c)
-                rare.append([{"word": w, "tf": n} for w, n in rest.items()])
-            uids = np.arange(uid, uid + len(lists))
-            uid += len(lists)
+            ids: dict[bytes, int] = {}
+            places, sizes = [], []
+            for text in batch.column(1).cast(pa.binary()).to_pylist():
+                words = tokens_of(text)
+                sizes.append(len(words))
+                places.extend([ids.setdefault(w, len(ids)) for w in words])
+            place, size = np.array(places, dtype=np.int64), np.array(sizes, dtype=np.int64)
+            starts = np.cumsum(size) - size
+            vocabulary = list(ids)
+            hashes = np.array([known[w] for w in vocabulary], dtype=np.uint64)
+            exact = np.array([counts.get(w, 0) for w in vocabulary], dtype=np.int64)
+            single = read_counts(mixed(hashes), held.value)[place]
+            each = token_log10(gram_hashes(hashes[place], starts, order), single, starts, held.value, tokens, distinct, prior)
+            base = np.add.reduceat(np.log10(exact + 0.5)[place], starts) - size * scale
+            n_known = np.add.reduceat((exact > 0).astype(np.int64)[place], starts)
+            # Tokens that are not among the frequent ones, once per document with their number.
+            rare = np.flatnonzero(exact[place] == 0)
+            row = np.repeat(np.arange(len(size)), size)[rare]
+            pairs, times = np.unique(row * len(vocabulary) + place[rare], return_counts=True)
+            ends = np.searchsorted(pairs, np.arange(1, len(size) + 1) * len(vocabulary))
+            entries = pa.StructArray.from_arrays(
+                [pa.array(vocabulary, pa.binary()).take(pa.array(pairs % len(vocabulary))), pa.array(times.astype(np.int64))], ["word", "tf"]
+            )
+            listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), entries)
+            uids = np.arange(uid, uid + len(size))
+            uid += len(size)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(uids), batch.column(0), pa.array(sizes), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()),
-                    pa.array(np.add.reduceat(each, starts)), pa.array(rare, entry),
+                    pa.array(uids), batch.column(0), pa.array(size), pa.array(n_known), pa.array(base),
+                    pa.array(np.add.reduceat(each, starts)), listed,
                 ],
                 ["uid", "doc_id", "n_tokens", "n_known", "base_score", "score", "rare"],
             )

@@ -33,7 +33,7 @@ HOMOGLYPHS = str.maketrans(
 SUBSTITUTES = str.maketrans("01345789@$!|+€", "oieastbgasiite")
 # Phrases in which a lexicon term is harmless.
 EXCEPTIONS = ("trash can", "trash bag", "trash bin", "clown fish", "clownfish", "scum line", "pond scum", "sore loser")
-STEMS = (5, 6, 7, 8)
+STEMS = (5, 7)
 LENGTH_POWER = 0.75
 MIN_Z = 4.0
 MIN_DOCS = 3
@@ -43,8 +43,10 @@ RIDGE = 0.01
 
 # Characters that print nothing (soft hyphen, zero-width and direction marks).
 _INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff]")
-_DISGUISED = re.compile(r"\S*[0-9@$!|+€]\S*")
+_SIGNS = re.compile("[0-9@$!|+€]")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
+_ASCII_LETTERS = "".join(chr(i) if chr(i).isalpha() else " " for i in range(128))
+_OTHER_SCRIPTS = re.compile("[\u0370-\u052f]")
 _EDGES = re.compile(r"^[^\w@$|+€]+|\W+$")
 
 
@@ -63,10 +65,13 @@ def fold(text: str) -> str:
     """The folded words of a text, with a space before and after each."""
     text = text.lower()
     if not text.isascii():
-        text = unicodedata.normalize("NFKC", text).lower().translate(HOMOGLYPHS)
-        text = _INVISIBLE.sub("", text)
-    text = _DISGUISED.sub(lambda m: _unmask(m.group()), text)
-    return f" {_NOT_LETTERS.sub(' ', text).strip()} "
+        text = _INVISIBLE.sub("", unicodedata.normalize("NFKC", text).lower())
+        if _OTHER_SCRIPTS.search(text):
+            text = text.translate(HOMOGLYPHS)
+    if _SIGNS.search(text):
+        text = " ".join(_unmask(t) if _SIGNS.search(t) else t for t in text.split())
+    text = text.translate(_ASCII_LETTERS) if text.isascii() else _NOT_LETTERS.sub(" ", text)
+    return f" {' '.join(text.split())} "
 
 
 def terms_of(folded: str) -> set[str]:
@@ -211,13 +216,12 @@ def toxicity(
     every score is one half. Repeated rows are scored alike; other columns play no part. An empty table gives no rows.
     """
     weights = learn_lexicon(docs, labels, min_z, max_terms=max_terms)
-    scored = densities(docs, weights, exceptions)
+    scored = cut_lineage(densities(docs, weights, exceptions))
     known = labels.where("toxic IS NOT NULL").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    learned = docs.where(training(F.col("doc_id"))).select("doc_id", "text")
+    learned = scored.where(training(F.col("doc_id"))).join(splittable(known), "doc_id")
     digest = F.xxhash64(F.col("doc_id").cast("string"))
-    sampled = known.where(training(F.col("doc_id"))).orderBy(digest, "toxic").limit(fit_rows)
-    rows = densities(learned.join(sampled.select("doc_id").distinct(), "doc_id", "left_semi"), weights, exceptions)
-    sample = [(r.density, int(r.toxic != 0)) for r in rows.join(sampled, "doc_id").select("density", "toxic").collect()[: 2 * fit_rows]]
+    sampled = learned.orderBy(digest, "density", "toxic").limit(fit_rows).select("density", "toxic")
+    sample = [(r.density, int(r.toxic != 0)) for r in sampled.collect()]
     intercept, slope = fit_curve(sample)
     value = 1 / (1 + F.exp(-(F.lit(intercept) + F.lit(slope) * F.col("density"))))
     return scored.withColumn("score", value).select(

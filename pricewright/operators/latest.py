@@ -43,12 +43,14 @@ def last_load(df: DataFrame, load_col: str, name: str = "last_load", by: list[st
 
 
 def mode_per_key(
-    df: DataFrame, keys: list[str], value: str, name: str = "n_rows"
+    df: DataFrame, keys: list[str], value: str, name: str = "n_rows", weight: str | None = None
 ) -> DataFrame:
-    """Most frequent value per key; the smaller value wins a tie."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(
-        F.count(F.lit(1)).alias(name)
-    )
+    """Most frequent value per key; the smaller value wins a tie.
+
+    ``weight`` names a column that says how many rows a row stands for.
+    """
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(rows.alias(name))
     return latest_per_key(counts, keys, [F.col(name).desc(), F.col(value).asc()])
 
 

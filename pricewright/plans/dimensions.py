@@ -176,7 +176,15 @@ def products(
     units: DataFrame,
     marketing: DataFrame,
 ) -> DataFrame:
-    """Product per sales organisation: names, groups, unit factors and the seven hierarchy levels."""
+    """Product per sales organisation: names, groups, unit factors and the seven hierarchy levels.
+
+    ``material_sales`` and ``marketing`` may be counted beforehand: a column ``n_rows`` then says how many rows
+    each row stands for.
+    """
+    weight = "n_rows" if "n_rows" in material_sales.columns else None
+    counted = [F.col("n_rows").alias("_n")] if weight else []
+    extra_weight = "_n" if "n_rows" in marketing.columns else None
+    extra_counted = [F.col("n_rows").alias("_n")] if extra_weight else []
     goods = material.where(F.col("mtart").contains("ZERT")).where(
         F.coalesce(F.trim("mstae"), F.lit("")) == ""
     ).select(
@@ -191,9 +199,9 @@ def products(
 
     # Demand group: the most frequent one per material and organisation.
     sold = scope_filter(material_sales, "vkorg", values.SALES_ORGS_WITH_TRADING).select(
-        code_int("matnr").alias("_code"), F.trim("vkorg").alias("SALES_ORG_COD"), F.col("mvgr1").alias("COD_GPD")
+        code_int("matnr").alias("_code"), F.trim("vkorg").alias("SALES_ORG_COD"), F.col("mvgr1").alias("COD_GPD"), *counted
     )
-    sold = mode_per_key(sold, ["_code", "SALES_ORG_COD"], "COD_GPD").drop("n_rows")
+    sold = mode_per_key(sold, ["_code", "SALES_ORG_COD"], "COD_GPD", weight=weight and "_n").drop("n_rows")
     out = out.join(sold, "_code")
     group = one_per_key(in_language(group_texts).select("mvgr1", F.col("bezei").alias("DESC_GPD")), ["mvgr1"])
     out = lookup(out, group, {"COD_GPD": "mvgr1"})
@@ -201,10 +209,10 @@ def products(
     # Marketing and demand breakdown group: both are needed for a product to be in scope.
     extra = marketing.select(
         code_int("MATNR").alias("_code"), F.trim("MARKETINGPRODUCTGROUP").alias("COD_GPM"),
-        F.col("DEMANDBREAKDOWNGROUP").alias("DESC_GDD"),
+        F.col("DEMANDBREAKDOWNGROUP").alias("DESC_GDD"), *extra_counted,
     )
     for column in ["COD_GPM", "DESC_GDD"]:
-        out = out.join(mode_per_key(extra, ["_code"], column).drop("n_rows"), "_code")
+        out = out.join(mode_per_key(extra, ["_code"], column, weight=extra_weight).drop("n_rows"), "_code")
 
     factors = uom_pivot(units.withColumn("_code", code_int("matnr")), material="_code")
     out = lookup(out, factors, ["_code"])

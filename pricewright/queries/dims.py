@@ -170,9 +170,12 @@ def product_dimension(spark, sf):
     )
     name = F.regexp_replace("p_name", "ring", "NAO UTILIZAR")
     names = part.select(F.col("p_partkey").cast("string").alias("matnr"), F.lit("P").alias("spras"), name.alias("maktx"))
-    sold = lines(spark, sf).select(
-        F.col("l_partkey").cast("string").alias("matnr"), F.col("l_returnflag").alias("mvgr1"), F.col("org").alias("vkorg"), "l_suppkey", "qty"
+    line = lines(spark, sf).select(
+        F.col("l_partkey").cast("string").alias("matnr"), F.col("l_returnflag").alias("mvgr1"), F.col("org").alias("vkorg"),
+        F.concat(F.lit("M"), (F.col("l_suppkey") % 4).cast("string")).alias("gpm"), "qty",
     )
+    # The lines are counted once; groups, sales and marketing are read off the counts.
+    sold = line.groupBy("matnr", "mvgr1", "vkorg", "gpm").agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 0")
 
     def texts(code, text):
         return part.select(F.lit("P").alias("spras"), code, text).distinct()
@@ -183,16 +186,18 @@ def product_dimension(spark, sf):
     first = F.substring("p_type", 1, 1)
     # The level-1 texts leave out the promotional types; no other type begins with P.
     hierarchy = texts(first.alias("prodh"), F.concat(F.lit("H "), first).alias("vtext")).where(F.col("prodh") != "P")
-    units = sold.select("matnr", F.when(F.col("mvgr1") == "A", "KG").alias("meinh"), F.col("qty").alias("umrez"), F.lit(1.0).alias("umren"))
+    units = table(spark, sf, "lineitem").select(
+        F.col("l_partkey").cast("string").alias("matnr"), F.col("l_returnflag").alias("mvgr1"), F.col("l_quantity").alias("qty")
+    ).select("matnr", F.when(F.col("mvgr1") == "A", "KG").alias("meinh"), F.col("qty").alias("umrez"), F.lit(1.0).alias("umren"))
     marketing = sold.select(
-        F.col("matnr").alias("MATNR"), F.concat(F.lit("M"), (F.col("l_suppkey") % 4).cast("string")).alias("MARKETINGPRODUCTGROUP"),
-        F.lit(None).cast("string").alias("DEMANDBREAKDOWNGROUP"),
+        F.col("matnr").alias("MATNR"), F.col("gpm").alias("MARKETINGPRODUCTGROUP"),
+        F.lit(None).cast("string").alias("DEMANDBREAKDOWNGROUP"), "n_rows",
     ).unionByName(
         part.select(
             F.col("p_partkey").cast("string").alias("MATNR"), F.lit(None).cast("string").alias("MARKETINGPRODUCTGROUP"),
-            F.col("p_type").alias("DEMANDBREAKDOWNGROUP"),
+            F.col("p_type").alias("DEMANDBREAKDOWNGROUP"), F.lit(1).cast("bigint").alias("n_rows"),
         )
     )
     sectors = texts(sector.alias("spart"), F.concat(F.lit("Sector "), sector).alias("vtext"))
-    out = dimensions.products(material, names, sectors, sold.select("matnr", "mvgr1", "vkorg"), groups, hierarchy, units, marketing)
+    out = dimensions.products(material, names, sectors, sold.select("matnr", "mvgr1", "vkorg", "n_rows"), groups, hierarchy, units, marketing)
     return tidy(out.select(*PRODUCT_PLAIN, "KG"))

@@ -109,7 +109,7 @@ def test_shuffles_start_as_fine_as_the_volume_needs(spark):
 # Scans of the largest table per query: one, or more where the detail, its aggregate and the aggregate's parent are joined.
 FACT_SCANS = {
     "price_waterfall": 1, "dispersion_map": 1, "apportion_cost": 3, "premium_vs_competitor": 2, "gross_profit_rollup": 1, "volume_fact": 1,
-    "filter_catalog": 1,
+    "filter_catalog": 1, "product_dimension": 3,
 }
 
 

@@ -20,12 +20,15 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Rows of one Arrow batch; a Python worker holds a few batches at a time.
 ARROW_ROWS = "1000"
 
+# Rows of a side that is broadcast: a few megabytes of narrow rows.
+SMALL_ROWS = 10_000
+
 # Functions that run in Python workers travel with their code; executors need no copy of this folder.
 cloudpickle.register_pickle_by_value(pricewright.llm)
 
 __all__ = [
-    "SPACE", "WORD", "ascii_lower", "cut_lineage", "splittable", "table", "text_or_empty", "word_count",
-    "word_list",
+    "SPACE", "WORD", "ascii_lower", "cut_lineage", "small_side", "splittable", "table", "text_or_empty",
+    "word_count", "word_list",
 ]
 
 
@@ -34,6 +37,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_side(side: DataFrame, most_rows: int = SMALL_ROWS) -> DataFrame:
+    """A side to look up: broadcast if a count shows it small, else left to a shuffled join.
+
+    For tables of narrow rows that are already computed, so that the count costs nothing.
+    """
+    return F.broadcast(side) if side.limit(most_rows + 1).count() <= most_rows else splittable(side)
+
+
 def text_or_empty(text: Column | str = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pricewright.llm.common import cut_lineage, table, text_or_empty, word_list
+from pricewright.llm.common import cut_lineage, small_side, table, text_or_empty, word_list
 from pricewright.llm.linededup import let
 
 # Frequent function words of each language.
@@ -164,9 +164,9 @@ def references(counted: DataFrame) -> DataFrame:
 
 
 def judged(counted: DataFrame, known: DataFrame, with_rows: bool = False) -> DataFrame:
-    """The verdicts of counted documents against the references."""
+    """The verdicts of counted documents against the references (one row per language, already computed)."""
     failed = (F.col("n.n_words") < MIN_WORDS) | (100 * F.col("n.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n.n_words"))
-    rows = counted.join(known, F.col("lang").eqNullSafe(F.col("ref_lang")), "left").select(
+    rows = counted.join(small_side(known), F.col("lang").eqNullSafe(F.col("ref_lang")), "left").select(
         *["row"] * with_rows, "doc_id", "n.n_words", "n.word_chars", "n_symbols", "n_dup_lines", "n.n_repeat_words",
         failed.alias("base_failed"),
         _guarded(F.col("n.chars"), F.col("ref_chars"), GUARD_CHARS).alias("char_distance"),

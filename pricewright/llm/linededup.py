@@ -18,7 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pricewright.llm.common import WORD, splittable, table, text_or_empty
+from pricewright.llm.common import WORD, cut_lineage, splittable, table, text_or_empty
 
 WINDOW_LINES = 2
 LINES_BITS = 31
@@ -108,14 +108,14 @@ def repeated_chunks(docs: DataFrame, window: int = WINDOW_LINES) -> DataFrame:
     Columns: row (the whole input row), doc_id, fold, text, drops. Rows are known by id and text hash, so
     rows that repeat both get the same decisions.
     """
-    keyed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id",
-        text_or_empty(F.col("text").cast("string")).alias("text"),
-    ).withColumn("fold", F.xxhash64("text"))
-    chunks = chunk_rows(keyed.select("doc_id", "fold", "text"), window)
+    text = text_or_empty(F.col("text").cast("string"))
+    # Rows move with their text once: the column that is worked on is taken out of them afterwards.
+    inside = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", F.xxhash64(text).alias("fold"))
+    chunks = chunk_rows(docs.select("doc_id", F.xxhash64(text).alias("fold"), text.alias("text")), window)
     repeated = chunks.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    suspects = _by_document(chunks.join(splittable(repeated), "hash"), "suspects")
-    marked = _with(keyed, suspects, "suspects")
+    suspects = cut_lineage(_by_document(chunks.join(splittable(repeated), "hash"), "suspects"))
+    marked = _with(keyed, suspects, "suspects").withColumn("text", inside)
     texts = let(
         split_lines(F.col("text")),
         lambda lines: F.transform("suspects", lambda c: F.struct(c.alias("code"), chunk_text(lines, c).alias("chunk"))),
@@ -131,7 +131,7 @@ def repeated_chunks(docs: DataFrame, window: int = WINDOW_LINES) -> DataFrame:
         .select("hash", F.col("chunk").alias("same"), "first")
     )
     later = held.join(splittable(groups), "hash").where(F.col("chunk") == F.col("same")).where(place != F.col("first"))
-    return _with(marked.drop("suspects"), _by_document(later, "drops"), "drops")
+    return _with(marked.drop("suspects", "text"), _by_document(later, "drops"), "drops").withColumn("text", inside)
 
 
 def cleaned(text: Column, drops: Column, window: int = WINDOW_LINES) -> Column:

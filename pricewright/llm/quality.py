@@ -232,3 +232,48 @@ def _repeats(items: Column) -> Column:
 
 def _sum(items: Column) -> Column:
     return F.aggregate(items, F.lit(0).cast("long"), lambda s, x: s + x)
+
+
+def _quality_sql() -> str:
+    """The same rules as DuckDB SQL."""
+    word, chars = r"'[^\x20\x09-\x0D]+'", [f"len(regexp_extract_all(text, '{p.replace(chr(39), chr(39) * 2)}'))" for p in CHAR_CLASSES.values()]
+    listed = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    lists = " ".join(f"WHEN '{lang}' THEN {listed(words)}" for lang, words in COMMON_WORDS.items())
+    kinds, terms = len(CHAR_CLASSES) + 2, len(ANY_LANGUAGE) + 1
+
+    def sums(name: str, n: int) -> str:
+        return "[" + ", ".join(f"sum({name}[{i}]) FILTER (usable)" for i in range(1, n + 1)) + f"] AS ref_{name}"
+
+    def distance(name: str, n: int) -> str:
+        """Square root of half the sum of both sides' terms, 0 where either is empty."""
+        p, q = f"({name}[i] / list_sum({name}))", f"(ref_{name}[i] / list_sum(ref_{name}))"
+        part = lambda a, b: f"CASE WHEN {a} > 0 THEN {a} * log2(2 * {a} / ({a} + {b})) ELSE 0 END"
+        total = f"list_sum(list_transform(range(1, {n + 1}), lambda i: {part(p, q)} + {part(q, p)}))"
+        return f"CASE WHEN list_sum({name}) > 0 AND list_sum(ref_{name}) > 0 THEN sqrt(greatest({total} / 2, 0)) ELSE 0 END"
+
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {word}) AS w FROM documents),
+c AS (SELECT rid, doc_id, lang, w, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(text) AS n_text,
+             len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, [{', '.join(chars)}] AS classes,
+             CASE lang {lists} ELSE {listed(ANY_LANGUAGE)} END AS common,
+             list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, {word})) AS lines FROM d),
+h AS (SELECT *, list_transform(common, lambda x: len(list_filter(w, lambda y: y = x))) AS hits FROM c),
+f AS (SELECT *, list_concat(classes, [n_text - word_chars, word_chars - list_sum(classes)]) AS chars,
+             list_concat(hits, [n_words - list_sum(hits)]) AS words FROM h),
+g AS (SELECT rid, i, array_to_string(w[i:i + {WINDOW_WORDS - 1}], ' ') AS gram FROM c, unnest(range(1, n_words - {WINDOW_WORDS - 2})) AS t(i)),
+s AS (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS following FROM (
+        SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS n FROM g) AS x WHERE n > 1),
+r AS (SELECT rid, sum(least({WINDOW_WORDS}, coalesce(following - i, {WINDOW_WORDS}))) AS n_repeat_words FROM s GROUP BY rid),
+ref AS (SELECT lang AS ref_lang, {sums('chars', kinds)}, {sums('words', terms)} FROM (
+          SELECT *, list_sum(chars) >= {GUARD_CHARS} AND list_sum(words) >= {GUARD_WORDS} AS usable FROM f) AS u GROUP BY lang),
+j AS (SELECT f.*, coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+             CASE WHEN ref_chars[1] IS NOT NULL AND list_sum(chars) >= {GUARD_CHARS} THEN {distance('chars', kinds)} ELSE 0 END AS char_distance,
+             CASE WHEN ref_chars[1] IS NOT NULL AND list_sum(words) >= {GUARD_WORDS} THEN {distance('words', terms)} ELSE 0 END AS word_distance
+      FROM f LEFT JOIN r USING (rid) LEFT JOIN ref ON lang IS NOT DISTINCT FROM ref_lang)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND char_distance <= {MAX_CHAR_DISTANCE} AND word_distance <= {MAX_WORD_DISTANCE} AS kept
+FROM (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM j) AS k
+"""
+
+
+OP2_SQL = _quality_sql()

@@ -20,6 +20,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_quality_rules": quality.OP2_SQL,
     "op3_exact_dedup": exact.OP3_SQL,
     "op8_chat_format": chat.OP8_SQL,
     "op9_mixing": mixing.OP9_SQL,

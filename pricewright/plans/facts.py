@@ -74,7 +74,8 @@ def profitability_fact(extracts: list[DataFrame], as_of: str, months: int = 24)
     return union_extracts(recent, PROFIT_KEY, [newest("DI_EXTRACT_TIME"), F.col(values.PROFIT_QUANTITY)])
 
 
-def _accounts() -> list[str]:
+def account_columns() -> list[str]:
+    """All accounts that the stacks are made of, and the quantity."""
     names = [term[1:] for spec in values.PROFIT_STACKS.values() for term in spec.split()]
     return sorted({*names, values.PROFIT_QUANTITY})
 
@@ -123,7 +124,7 @@ def gross_profit_fact(
         )
         rows = apportion_cost(rows, rates, ["period", "corporate", "material"], "_volume", "_commission")
         commission = F.col("_commission")
-    rows = rows.withColumns({c: F.col(c).cast("string").try_cast("double") for c in _accounts()})
+    rows = rows.withColumns({c: F.col(c).cast("string").try_cast("double") for c in account_columns()})
 
     state = client_state.select(
         F.col("COD_CLIENT").alias("_client"), F.col("ORGANIZATION_SALES_COD").alias("_org"), F.col("STATE").alias("_state")

@@ -225,6 +225,74 @@ def allocated_forecast(spark, sf):
     )
 
 
+# --- gross profit: every account is a multiple of the quantity ------------------------------------------------------
+
+ACCOUNTS = {name: i for i, name in enumerate(facts.account_columns(), start=1)}
+GROSS = ["QUANTITY_TON", *values.PROFIT_STACKS, "NET_SALES", "GROSS_PROFIT_BW", "FREIGHT_FULL"]
+
+
+def _units(names):
+    """Multiple of the quantity that a sum of stacks comes to."""
+    terms = [t for n in names for t in values.PROFIT_STACKS[n].split()]
+    return sum(ACCOUNTS[t[1:]] * (1 if t[0] == "+" else -1) for t in terms)
+
+
+NET_STACKS = ["GROSS_SALES", "SALES_TAX_DISCOUNT"]
+FREIGHT_STACKS = ["SHIP_DEL_LOAD_C_C", "PORT_EXPENSES", "FREIGHT", "COGS_ADJUSTMENTS"]
+GROSS_UNITS = {n: _units([n]) for n in values.PROFIT_STACKS} | {
+    "NET_SALES": _units(NET_STACKS), "FREIGHT_FULL": _units(FREIGHT_STACKS),
+    "GROSS_PROFIT_BW": _units([*NET_STACKS, *FREIGHT_STACKS, "COGS_TOTAL", "COMISSION_TO_AGENTS"]),
+}
+
+
+def profit_extract(rows, load_time, factor):
+    day = F.date_format("bill_date", "yyyy/MM/dd")
+    text = {
+        "GTC100257": F.lit("a"), "GTC101667": F.lit("b"), "GTC101671": F.lit("c"), "GTC100137": F.lit("d"), "GTC100511": F.col("org"),
+        "GTC100255": F.concat(F.lit("00"), F.col("l_orderkey").cast("string")), "GTC100504": F.concat(F.lit("0"), F.col("l_linenumber").cast("string")),
+        "0FISCPER": F.date_format("bill_date", "yyyy'0'MM"), "0CURRENCY": F.when(F.col("l_linenumber") % 6 == 0, "USD").otherwise("BRL"),
+        "GTC100025": day, "DI_EXTRACT_TIME": F.concat(day, F.lit(f" {load_time}")), "GTC100020": F.col("part").cast("string"),
+        "GTC100362": (F.col("part") % 7).cast("string"), "GTC100209": F.col("o_custkey").cast("string"),
+        "GTC101018": F.when(F.col("part") % 2 == 0, F.lit(" ")).otherwise("XX"),
+    }
+    amounts = {name: (F.col("qty") * factor * n).cast("string") for name, n in ACCOUNTS.items()}
+    return rows.select(*[c.alias(n) for n, c in {**text, **amounts}.items()])
+
+
+@query(
+    "gross_profit_fact",
+    tidy_sql(
+        f"""
+        SELECT l_orderkey AS order_no, CAST(l_linenumber AS BIGINT) AS item_no, CAST(date_trunc('month', bill_date) AS DATE) AS month, org, CAST(part AS VARCHAR) AS material,
+               CASE WHEN part % 2 <> 0 THEN 'XX' WHEN o_custkey % 3 <> 0 THEN 'S' || CAST(c_nationkey AS VARCHAR) END AS state,
+               CAST(q * {ACCOUNTS[values.PROFIT_QUANTITY]} AS DOUBLE) / 1000.0 AS "QUANTITY_TON",
+               {', '.join(f'q * {n} AS "{name}"' for name, n in GROSS_UNITS.items())}
+        FROM (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 2 * qty ELSE qty END AS q FROM ({BILLS_SQL}) AS b) AS b JOIN customer ON o_custkey = c_custkey
+        WHERE bill_date >= CAST(DATE '{AS_OF}' - INTERVAL 24 MONTH AS DATE) AND bill_date <= DATE '{AS_OF}' AND l_linenumber % 6 <> 0
+        """,
+        ["order_no", "item_no", "month", "org", "material", "state"],
+        [f'"{n}"' for n in GROSS],
+    ),
+)
+def gross_profit_fact(spark, sf):
+    rows = bills(spark, sf)
+    extracts = [profit_extract(rows, "08:00:00", 1), profit_extract(rows.where(F.col("l_orderkey") % 3 == 0), "20:00:00", 2)]
+    # The newest registration of a client counts; every third client has none.
+    client = table(spark, sf, "customer").where(F.col("c_custkey") % 3 != 0).select(
+        F.col("c_custkey").alias("COD_CLIENT"), F.explode(F.array(*map(F.lit, ["BRCG", "BRDI", "BRCC", "BRIN", "BRCO"]))).alias("ORGANIZATION_SALES_COD"),
+        F.concat(F.lit("S"), F.col("c_nationkey").cast("string")).alias("STATE"),
+    )
+    dated = [client.withColumn("REGISTRATION_DATE", F.lit("20200101")), client.withColumns({"REGISTRATION_DATE": F.lit("20100101"), "STATE": F.lit("old")})]
+    state = dimensions.latest_client_state(dated[0].unionByName(dated[1]))
+    fact = facts.gross_profit_fact(facts.profitability_fact(extracts, AS_OF), state)
+    return tidy(
+        fact.select(
+            F.col("SALES_NUMBER").alias("order_no"), F.col("SALES_ITEM").alias("item_no"), F.col("MONTH").alias("month"), F.col("SALES_ORG_COD").alias("org"),
+            F.col("MATERIAL_COD").alias("material"), F.col("ISSUING_STATE").alias("state"), *GROSS,
+        )
+    )
+
+
 # --- support tables: lines of ';' files through the job ---------------------------------------------------------------
 
 @query(

@@ -147,7 +147,7 @@ def test_billing_fact(billing):
 
 
 def profit_frame(spark):
-    accounts = facts._accounts()
+    accounts = facts.account_columns()
     text = "GTC100257 GTC101667 GTC101671 GTC100137 GTC100511 GTC100255 GTC100504 0FISCPER 0CURRENCY GTC100025 DI_EXTRACT_TIME GTC100020 GTC100362 GTC100209 GTC101018 GTC100450 GTC100202"
     base = dict(
         GTC100257="a", GTC101667="b", GTC101671="c", GTC100137="d", GTC100511="BRCG", GTC100255="0000000010", GTC100504="000010", **{"0FISCPER": "2020001"},

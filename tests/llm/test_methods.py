@@ -44,7 +44,9 @@ def test_counts_come_back_from_the_filter(spark):
     rng = np.random.default_rng(3)
     grams = rng.integers(-(2**63), 2**63 - 1, 20_000)
     counts = np.unique(rng.zipf(1.3, 20_000).clip(1, 10**9))[rng.integers(0, 50, 20_000)]
-    rows = spark.createDataFrame([(int(g % 7), int(g), int(c)) for g, c in zip(grams, counts)], "part bigint, gram bigint, n bigint")
+    half = len(grams) // 2
+    batches = [lm.packed(grams.view(np.uint64)[s], counts[s], 7).to_pylist() for s in (slice(0, half), slice(half, None))]
+    rows = spark.createDataFrame([(r["part"], r["grams"], r["counts"]) for b in batches for r in b], lm.PACKED)
     held = lm.build_filter(rows, 7)
     back = lm.read_counts(grams.view(np.uint64), held)
     level = lm.levels(counts.astype(float))

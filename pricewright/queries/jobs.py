@@ -43,6 +43,10 @@ def bills(spark, sf):
     )
 
 
+# Every condition of a bill has its own constant; quantity and gross revenue come from the lines.
+VALUES = {n: i for i, n in enumerate(marts.BILLING_NUMBERS.values(), start=1)}
+
+
 def billing_extract(rows, load_time, factor):
     day = F.date_format("bill_date", "yyyy/MM/dd")
     text = {
@@ -58,7 +62,7 @@ def billing_extract(rows, load_time, factor):
         "Material": F.col("part").cast("string"), "MaterialName": F.lit("m"), "DATEYEARMONTH": F.date_format("bill_date", "yyyyMM"),
         "BILDOCDATE": day, "DATA_LOAD_TIMESTAMP_RAW": F.concat(day, F.lit(f" {load_time}")),
     }
-    numbers = {c: F.lit("1.0") for c in marts.BILLING_NUMBERS}
+    numbers = {c: F.lit(str(VALUES[n])) for c, n in marts.BILLING_NUMBERS.items()}
     numbers["MA_BillingQuantity_P"] = (F.col("qty") * factor).cast("string")
     numbers["MA_CM_RBV_D"] = F.col("ext").cast("string")
     return rows.select(*[c.alias(n) for n, c in {**text, **numbers}.items()])
@@ -275,6 +279,15 @@ def profit_extract(rows, load_time, factor):
     ),
 )
 def gross_profit_fact(spark, sf):
+    return tidy(
+        profit(spark, sf).select(
+            F.col("SALES_NUMBER").alias("order_no"), F.col("SALES_ITEM").alias("item_no"), F.col("MONTH").alias("month"), F.col("SALES_ORG_COD").alias("org"),
+            F.col("MATERIAL_COD").alias("material"), F.col("ISSUING_STATE").alias("state"), *GROSS,
+        )
+    )
+
+
+def profit(spark, sf):
     rows = bills(spark, sf)
     extracts = [profit_extract(rows, "08:00:00", 1), profit_extract(rows.where(F.col("l_orderkey") % 3 == 0), "20:00:00", 2)]
     # The newest registration of a client counts; every third client has none.
@@ -284,11 +297,57 @@ def gross_profit_fact(spark, sf):
     )
     dated = [client.withColumn("REGISTRATION_DATE", F.lit("20200101")), client.withColumns({"REGISTRATION_DATE": F.lit("20100101"), "STATE": F.lit("old")})]
     state = dimensions.latest_client_state(dated[0].unionByName(dated[1]))
-    fact = facts.gross_profit_fact(facts.profitability_fact(extracts, AS_OF), state)
+    return facts.gross_profit_fact(facts.profitability_fact(extracts, AS_OF), state)
+
+
+# --- waterfall mart: billing, profit, products and branches in one job -------------------------------------------------
+
+def _value(*names):
+    return sum(VALUES[n] for n in names)
+
+
+SEGMENT = _value("list_price", "zd02", "zd03")
+CUSTOMER = SEGMENT + _value("zd01", "zd04", "zd05", "zeaf", "zeb1", "zeb2")
+GROSS_PRICE = CUSTOMER + _value("zd13", "zd14", "zd06", "zsu2")
+NET_PRICE = GROSS_PRICE - _value("icms", "cofins", "pis", "other_taxes", "bx95")
+MART_NUMBERS = [
+    "quantity_ton", "list_price", "rbv", "segment_price", "full_customer_price", "rbv_waterfall", "rlv_waterfall", "gross_profit", "gross_profit_waterfall",
+]
+
+
+@query(
+    "waterfall_mart",
+    tidy_sql(
+        f"""
+        WITH b AS (SELECT *, CAST(quantity AS DOUBLE) AS q, l_linenumber % 6 <> 0 AS has_profit FROM ({SCOPED_SQL}) AS s
+                   WHERE bill_date >= CAST(date_trunc('month', DATE '{AS_OF}') - INTERVAL 6 MONTH AS DATE)
+                     AND bill_date < CAST(date_trunc('month', DATE '{AS_OF}') + INTERVAL 1 MONTH AS DATE)),
+        c AS (SELECT *, CASE WHEN has_profit THEN q * {GROSS_UNITS['GROSS_PROFIT_BW']} ELSE 0 END AS profit,
+                     CASE WHEN has_profit THEN q * {GROSS_UNITS['COGS_TOTAL']} ELSE 0 END AS cost,
+                     CASE WHEN has_profit THEN q * {GROSS_UNITS['FREIGHT_FULL']} ELSE 0 END AS freight FROM b)
+        SELECT l_orderkey AS order_no, CAST(l_linenumber AS BIGINT) AS item_no, coalesce(branch, '{values.UNKNOWN_BRANCH}') AS branch,
+               CASE WHEN part % 3 = 0 THEN 'PG' || CAST(part % 5 AS VARCHAR) ELSE gpm END AS gpm, strftime(bill_date, '%m-%Y') AS month_year,
+               abs(q) AS quantity_ton, {VALUES['list_price']} / q AS list_price, CAST(ext AS DOUBLE) / q AS rbv, {SEGMENT} / q AS segment_price,
+               {CUSTOMER} / q AS full_customer_price, {GROSS_PRICE} / q AS rbv_waterfall, {NET_PRICE} / q AS rlv_waterfall, profit / q AS gross_profit,
+               ({NET_PRICE} - abs(cost) - abs(freight)) / q AS gross_profit_waterfall
+        FROM c
+        """,
+        ["order_no", "item_no", "branch", "gpm", "month_year"],
+        MART_NUMBERS,
+    ),
+)
+def waterfall_mart(spark, sf):
+    part = table(spark, sf, "part").where(F.col("p_partkey") % 3 == 0)
+    product = part.select(
+        F.concat(F.lit("000"), F.col("p_partkey").cast("string")).alias("COD_MATERIAL"),
+        F.explode(F.array(*map(F.lit, ["BRCG", "BRDI", "BRCC", "BRIN"]))).alias("SALES_ORG_COD"), F.lit("7").alias("COD_GPD"), F.lit("d").alias("DESC_GPD"),
+        F.concat(F.lit("PG"), (F.col("p_partkey") % 5).cast("string")).alias("COD_GPM"),
+    )
+    mart = marts.waterfall_mart(billing(spark, sf), region_of(table(spark, sf, "nation")), product, profit(spark, sf), AS_OF)
     return tidy(
-        fact.select(
-            F.col("SALES_NUMBER").alias("order_no"), F.col("SALES_ITEM").alias("item_no"), F.col("MONTH").alias("month"), F.col("SALES_ORG_COD").alias("org"),
-            F.col("MATERIAL_COD").alias("material"), F.col("ISSUING_STATE").alias("state"), *GROSS,
+        mart.select(
+            F.col("SALES_NUMBER").alias("order_no"), F.col("SALES_ITEM").alias("item_no"), F.col("BRANCH").alias("branch"), F.col("GPM_DESC").alias("gpm"),
+            F.col("MONTH_YEAR").alias("month_year"), *MART_NUMBERS,
         )
     )
 

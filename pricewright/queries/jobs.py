@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricewright import values
-from pricewright.plans import dimensions, facts, marts, support, volume
+from pricewright.plans import dimensions, facts, marts, support, targets, volume
 from pricewright.queries.tables import AS_OF, org_of, org_sql, table, tidy, tidy_sql
 
 QUERIES, ORACLE = {}, {}
@@ -352,6 +352,81 @@ def waterfall_mart(spark, sf):
     )
 
 
+# --- agent targets: sheets of two channels, stored months and collects -------------------------------------------------
+
+MONTH = "06-2001"
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+SOLD_SEGMENTS = SEGMENTS[:3]  # what the first channel sells; the second sells one, spelled otherwise
+AGENT_SQL = """
+SELECT o.*, c_mktsegment AS seg, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS state, upper(replace(n_name, '_', '-')) AS site
+FROM orders AS o JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+"""
+
+
+@query(
+    "agent_targets",
+    f"""
+    WITH o AS ({AGENT_SQL}),
+    local AS (SELECT DISTINCT o_custkey % 300 AS a, state, site FROM o),
+    away AS (SELECT DISTINCT o_custkey % 300 AS a, state FROM o WHERE o_orderstatus = 'P'),
+    cur AS (
+      SELECT 'AG' || CAST(a AS VARCHAR) AS seller_cod, 'CG' AS org, site AS branch, state, seg AS gpd, '{MONTH}' AS month_year, CAST(coalesce(v, 0) AS DOUBLE) AS target
+      FROM local CROSS JOIN (SELECT unnest({SOLD_SEGMENTS}) AS seg) LEFT JOIN (
+        SELECT o_custkey % 300 AS a, state, site, seg, sum(o_orderkey % 11) AS v FROM o GROUP BY ALL) USING (a, state, site, seg)
+      UNION ALL
+      SELECT 'AG' || CAST(a AS VARCHAR), 'DI', 'Vendas ' || state, state, 'AUTO MOBILE', '{MONTH}', CAST(coalesce(v, 0) AS DOUBLE)
+      FROM away LEFT JOIN (
+        SELECT o_custkey % 300 AS a, state, sum(o_orderkey % 7) AS v FROM o WHERE o_orderstatus = 'P' AND seg = 'AUTOMOBILE' GROUP BY ALL) USING (a, state)
+      UNION ALL
+      SELECT 'AG' || CAST(o_custkey % 300 AS VARCHAR), 'CG', site, state, seg, '05-2001', CAST(count(*) AS DOUBLE) FROM o WHERE o_orderstatus = 'F' GROUP BY ALL),
+    wanted AS (SELECT DISTINCT 'AG' || CAST(o_custkey % 400 AS VARCHAR) AS seller_cod, 'CG' AS org, site AS branch, state, seg AS gpd, '{MONTH}' AS month_year
+               FROM o WHERE o_orderstatus = 'O'),
+    whole AS (SELECT * FROM cur UNION ALL SELECT w.*, 0 FROM wanted w WHERE NOT EXISTS (
+      SELECT 1 FROM cur WHERE {' AND '.join(f'cur.{c} = w.{c}' for c in targets.TARGET_KEYS)}))
+    SELECT {', '.join(targets.TARGET_KEYS)}, sum(target) AS target,
+           CASE WHEN CAST(substring(seller_cod, 3) AS BIGINT) % 2 = 0 THEN 'Seller ' || substring(seller_cod, 3) ELSE '{values.UNKNOWN_SELLER}' END AS seller
+    FROM whole GROUP BY {', '.join(targets.TARGET_KEYS)}
+    """,
+)
+def agent_targets(spark, sf):
+    place = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("gpd"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("state"),
+        F.replace(F.col("n_name"), F.lit("_"), F.lit("-")).alias("branch"),
+    )
+    order = table(spark, sf, "orders").join(place, "o_custkey")
+
+    def agent(mark, among=300):
+        return F.concat(F.lit(mark), (F.col("o_custkey") % among).cast("string"))
+
+    def sheet(rows, keys, value):
+        sums = [F.sum(F.when(F.col("gpd") == g, value)).cast("string").alias(g) for g in SEGMENTS]
+        return rows.groupBy(agent(" ag").alias("agent"), *keys).agg(*sums)
+
+    local = sheet(order, ["state", "branch"], F.col("o_orderkey") % 11).withColumn("org", F.lit("CG"))
+    away = sheet(order.where(F.col("o_orderstatus") == "P"), ["state"], F.col("o_orderkey") % 7).withColumn("org", F.lit("DI"))
+    sheets = [
+        targets.target_sheet(local, "agent", "org", "state", SEGMENTS, "branch"),
+        targets.target_sheet(away, "agent", "org", "state", SEGMENTS),
+    ]
+    keyed = order.select(
+        agent("AG").alias("seller_cod"), agent("AG", 400).alias("collector"), F.lit("CG").alias("org"), F.upper("branch").alias("branch"), "state", "gpd",
+        "o_orderstatus",
+    )
+    stored = keyed.where(F.col("o_orderstatus") == "F").groupBy("seller_cod", "org", "branch", "state", "gpd").agg(F.count(F.lit(1)).cast("double").alias("target"))
+    # The stored current month is replaced by the sheets.
+    history = stored.withColumn("month_year", F.explode(F.array(F.lit("05-2001"), F.lit(MONTH))))
+    collects = keyed.where(F.col("o_orderstatus") == "O").withColumns({"seller_cod": F.col("collector"), "month_year": F.lit(MONTH)})
+    segments = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("DESC_GPD")).distinct()
+    product = segments.where(F.col("DESC_GPD").isin(SOLD_SEGMENTS)).withColumn("SALES_ORG_COD", F.lit("BRCG")).unionByName(
+        segments.where(F.col("DESC_GPD") == "AUTOMOBILE").select(F.lit("Auto mobile ").alias("DESC_GPD"), F.lit("BRDI").alias("SALES_ORG_COD"))
+    )
+    named = table(spark, sf, "customer").where(F.col("c_custkey") % 2 == 0).select(
+        F.concat(F.lit("ag"), (F.col("c_custkey") % 400).cast("string")).alias("seller_cod"),
+        F.concat(F.lit("Seller "), (F.col("c_custkey") % 400).cast("string")).alias("seller"),
+    ).distinct()
+    return targets.agent_targets(sheets, history, collects, product, named, MONTH).select(*targets.TARGET_KEYS, "target", "seller")
+
+
 # --- support tables: lines of ';' files through the job ---------------------------------------------------------------
 
 @query(

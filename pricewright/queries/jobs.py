@@ -427,6 +427,78 @@ def agent_targets(spark, sf):
     return targets.agent_targets(sheets, history, collects, product, named, MONTH).select(*targets.TARGET_KEYS, "target", "seller")
 
 
+# --- open orders: order lines with values, conditions and limits that stand more than once ------------------------------
+
+WALLET_NUMBERS = ["list_price", "price_zd01", "price_zd02", "total_wallet", "open_revenue", "verge"]
+
+
+@query(
+    "wallet_fact",
+    tidy_sql(
+        f"""
+        WITH b AS (SELECT b.*, CAST(qty AS DOUBLE) AS q, CAST(qty AS DOUBLE) * 12.0::DOUBLE / 10.0::DOUBLE AS requested, c_nationkey, n_name, n_regionkey
+                   FROM ({BILLS_SQL}) AS b JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE l_linenumber % 4 <> 0)
+        SELECT CAST(l_orderkey AS VARCHAR) AS order_no, CAST(l_linenumber AS VARCHAR) AS item_no,
+               CASE org {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in values.SALES_ORG_MERGE.items())} ELSE org END AS org,
+               CASE WHEN c_nationkey % 5 <> 0 THEN 'Filial A' || CAST(c_nationkey AS VARCHAR) ELSE '{values.UNKNOWN_BRANCH}' END AS branch,
+               CAST(ext AS DOUBLE) AS list_price, CAST(ext AS DOUBLE) + CAST(ext AS DOUBLE) * -0.25::DOUBLE AS price_zd01,
+               (CAST(ext AS DOUBLE) + CAST(ext AS DOUBLE) * -0.25::DOUBLE) + (CAST(ext AS DOUBLE) + CAST(ext AS DOUBLE) * -0.25::DOUBLE) * -0.5::DOUBLE AS price_zd02,
+               abs(requested) - abs(floor(q / 3) * requested / (q * 2)) AS total_wallet,
+               CAST(ext AS DOUBLE) / requested * (abs(requested) - abs(floor(q / 3) * requested / (q * 2))) AS open_revenue,
+               CASE WHEN part % 3 = 0 AND org IN ('BRCG', 'BRDI') THEN (1 + part % 7) / 100.0::DOUBLE ELSE {volume.DEFAULT_LIMIT} / 100.0::DOUBLE END AS verge
+        FROM b
+        """,
+        ["order_no", "item_no", "org", "branch"],
+        WALLET_NUMBERS,
+    ),
+)
+def wallet_fact(spark, sf):
+    nation = table(spark, sf, "nation")
+    place = table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").alias("o_custkey"), "n_name", F.concat(F.lit("U"), F.col("n_regionkey").cast("string")).alias("uf")
+    )
+    rows = bills(spark, sf).join(place, "o_custkey")
+    number, item = F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")
+    text = {c: F.lit("x") for c in volume.WALLET_TEXT} | {
+        "salesorg": F.col("org"), "custregionship": F.col("uf"), "custcitynameship": F.col("n_name"), "item": item, "order": number,
+        "material": F.col("part").cast("string"),
+    }
+    dates = {c: F.date_format("bill_date", "yyyy/MM/dd") for c in volume.WALLET_DATES}
+    rates = {c: F.lit("0") for c in volume.WALLET_NUMBERS} | {
+        "deliveredquantity": F.floor(F.col("qty").cast("double") / 3).cast("string"), "reqqttconv": (F.col("qty").cast("double") * 2).cast("string"),
+        "zd01": F.lit("-0.25"), "zd02": F.lit("-0.5"),
+    }
+    wallet = rows.select(*[c.alias(n) for n, c in {**text, **dates, **rates}.items()])
+    # Values and conditions stand twice, the second time larger; every fourth item has none and is left out.
+    valued = rows.where(F.col("l_linenumber") % 4 != 0).withColumn("factor", F.explode(F.array(F.lit(1), F.lit(3))))
+    amount = F.col("ext").cast("double") * F.col("factor")
+    vbap = valued.select(
+        F.concat(F.lit("00"), number).alias("VBELN"), F.concat(F.lit("0"), item).alias("POSNR"), amount.alias("NETWR"), amount.alias("ZZICMS_IPI_T"),
+        F.lit(0.0).alias("MWSBP"), F.col("qty").cast("double").alias("KWMENG"), F.lit(12).alias("UMVKZ"), F.lit(10).alias("UMVKN"),
+    )
+    zero = [F.lit(0.0).alias(c) for c in ["ZD38", "ZEB1", "BX41", "BX23"]]
+    conditions = valued.select(number.alias("VBAK_VBELN"), item.alias("VBAP_POSNR"), amount.alias("ICMI"), *zero)
+    part = table(spark, sf, "part")
+    limits = part.where(F.col("p_partkey") % 3 == 0).select("p_partkey", F.explode(F.array(F.lit("BRCG"), F.lit("BRDI"))).alias("sales_org_cod"))
+    states = F.array(*[F.lit(f"U{i}") for i in range(5)])
+    policy = limits.select(
+        "sales_org_cod", F.col("p_partkey").cast("string").alias("material_cod"), F.explode(states).alias("ibge_uf_acronyms"),
+        (1 + F.col("p_partkey") % 7).alias("low"),
+    ).withColumn("ALCADA", F.explode(F.array(F.col("low"), F.col("low") + 5)))
+    product = part.select(
+        F.col("p_partkey").cast("string").alias("COD_MATERIAL"), F.lit("BRCG").alias("SALES_ORG_COD"), F.lit("1").alias("COD_GPD"), F.lit("d").alias("DESC_GPD"),
+        F.lit("g").alias("COD_GPM"),
+    )
+    sites = region_of(nation.where(F.col("n_nationkey") % 5 != 0))
+    fact = volume.wallet_fact(wallet, vbap, conditions, policy, sites, product)
+    return tidy(
+        fact.select(
+            F.col("SALES_ORDER_NUMBER").alias("order_no"), F.col("SALES_ORDER_ITEM").alias("item_no"), F.col("SALES_ORG_COD").alias("org"),
+            F.col("BRANCH").alias("branch"), "list_price", "price_zd01", "price_zd02", "total_wallet", F.col("rlv").alias("open_revenue"), "verge",
+        )
+    )
+
+
 # --- support tables: lines of ';' files through the job ---------------------------------------------------------------
 
 @query(

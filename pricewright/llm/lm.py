@@ -8,7 +8,7 @@ parts by n-gram hash; each part is built by one task from its own n-grams, and t
 The filter's size follows the number of n-grams up to ``max_bits``, its proven bound. Beyond
 it each part leaves out its lowest levels until the rest fits (at the corpus size where that
 begins, these are n-grams seen once); the number of parts follows the corpus, so no task holds more than some
-hundred thousand n-grams.
+million n-grams. Counts travel as packed arrays per worker and part, twelve bytes an n-gram.
 
 The probability of a token after another is the count of the pair, topped up by ``prior`` imaginary tokens
 that follow the single-token distribution (Dirichlet smoothing); all counts in it come from probes.
@@ -31,7 +31,7 @@ BASE = math.sqrt(2.0)
 MAX_BITS = 1 << 30
 BITS_PER_ENTRY = 8
 PROBES = 4
-PART_TOKENS = 200_000
+PART_TOKENS = 1_000_000
 FREQUENT = 1 << 18
 PRIOR = 50.0
 # Tokens a worker gathers before it emits combined counts.
@@ -134,7 +134,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def gram_counts(docs: DataFrame, parts: int, order: int = ORDER) -> DataFrame:
-    """(part, gram, n): counts of hashed n-grams of all orders, combined per worker; a gram may occur in several rows."""
+    """(part, grams, counts): counts of hashed n-grams of all orders, as packed arrays of each part.
+
+    Counts are combined per worker; an n-gram may occur in several rows of its part.
+    """
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -145,8 +148,7 @@ def gram_counts(docs: DataFrame, parts: int, order: int = ORDER) -> DataFrame:
         def flush():
             own = np.array(words, dtype=np.uint64)
             counted = [np.unique(grams, return_counts=True) for grams in gram_hashes(own, np.array(starts), order)]
-            grams, n = (np.concatenate(x) for x in zip(*counted))
-            return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"])
+            return packed(*(np.concatenate(x) for x in zip(*counted)), parts)
 
         for batch in batches:
             for text in batch.column(0).cast(pa.binary()).to_pylist():
@@ -158,18 +160,46 @@ def gram_counts(docs: DataFrame, parts: int, order: int = ORDER) -> DataFrame:
         if words:
             yield flush()
 
-    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "gram bigint, n bigint")
-    return rows.withColumn("part", F.pmod("gram", F.lit(parts)))
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, PACKED)
+
+
+PACKED = "part bigint, grams binary, counts binary"
+
+
+def packed(grams, counts, parts: int):
+    """An Arrow batch of (part, grams, counts) from arrays of hashed n-grams and their counts."""
+    import numpy as np
+    import pyarrow as pa
+
+    part = grams.view(np.int64) % parts  # never negative
+    order = np.argsort(part, kind="stable")
+    grams, counts, part = grams[order].astype("<u8"), counts[order].astype("<u4"), part[order]
+    present, begin = np.unique(part, return_index=True)
+    ends = np.append(begin[1:], len(part))
+    slices = list(zip(begin, ends))
+    columns = [pa.array([a[b:e].tobytes() for b, e in slices], pa.binary()) for a in (grams, counts)]
+    return pa.RecordBatch.from_arrays([pa.array(present), *columns], ["part", "grams", "counts"])
+
+
+def level_hash(grams, level: int):
+    """First hash of n-grams at a level."""
+    import numpy as np
+
+    return mixed(grams + np.uint64(level * 0xD6E8FEB86659FD93 % 2**64))
+
+
+def probe_bit(first, step, probe: int, size):
+    """Bit position of one probe, in parts of ``size`` bits (below 2^32)."""
+    import numpy as np
+
+    place = first if not probe else first + np.uint64(probe) * step
+    return (((place >> np.uint64(32)) * size) >> np.uint64(32)).astype(np.int64)
 
 
-def probe_bit(grams, level: int, probe: int, size):
-    """Bit position of n-grams for one probe at a level, in parts of ``size`` bits (below 2^32)."""
+def next_step(first):
     import numpy as np
 
-    first = mixed(grams + np.uint64(level * 0xD6E8FEB86659FD93 % 2**64))
-    if probe:
-        first = first + np.uint64(probe) * (mixed(first) | np.uint64(1))
-    return (((first >> np.uint64(32)) * size) >> np.uint64(32)).astype(np.int64)
+    return mixed(first) | np.uint64(1)
 
 
 def build_filter(counts: DataFrame, parts: int, max_bits: int = MAX_BITS, fetches: int = 8) -> tuple:
@@ -183,17 +213,18 @@ def build_filter(counts: DataFrame, parts: int, max_bits: int = MAX_BITS, fetche
         import numpy as np
         import pandas as pd
 
-        grams, back = np.unique(frame["gram"].to_numpy().view(np.uint64), return_inverse=True)
-        level = levels(np.bincount(back, weights=frame["n"].to_numpy()))
+        grams, back = np.unique(np.frombuffer(b"".join(frame["grams"]), dtype="<u8"), return_inverse=True)
+        level = levels(np.bincount(back, weights=np.frombuffer(b"".join(frame["counts"]), dtype="<u4")))
         per_level = np.bincount(level, minlength=MAX_LEVELS) * np.arange(MAX_LEVELS)
         needed = np.cumsum(per_level[::-1])[::-1] * BITS_PER_ENTRY  # bits if levels from here on are kept
         lowest = int(np.flatnonzero(needed <= most)[0])
         grams, level = grams[level >= lowest], level[level >= lowest]
         bits = np.zeros(max(64, -(-int(needed[lowest]) // 64) * 64), dtype=bool)
         for q in range(1, int(level.max(initial=0)) + 1):
-            own = grams[level >= q]
+            first = level_hash(grams[level >= q], q)
+            step = next_step(first)
             for probe in range(PROBES):
-                bits[probe_bit(own, q, probe, np.uint64(len(bits)))] = True
+                bits[probe_bit(first, step, probe, np.uint64(len(bits)))] = True
         return pd.DataFrame({"part": [key[0]], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
     import numpy as np
@@ -221,10 +252,12 @@ def read_counts(grams, held: tuple):
     level = np.zeros(len(grams), dtype=np.int64)
     alive = np.arange(len(grams))
     for q in range(1, MAX_LEVELS):
+        first, step = level_hash(grams, q), None
         for probe in range(PROBES):
-            places = probe_bit(grams[alive], q, probe, bits[alive])
-            hit = data[start[alive] + (places >> 3)] >> (places & 7).astype(np.uint8) & 1
-            alive = alive[hit == 1]
+            places = probe_bit(first, step, probe, bits)
+            hit = (data[start + (places >> 3)] >> (places & 7).astype(np.uint8) & 1).astype(bool)
+            alive, grams, start, bits, first = (a[hit] for a in (alive, grams, start, bits, first))
+            step = next_step(first) if step is None else step[hit]
         if not len(alive):
             break
         level[alive] = q
@@ -256,6 +289,35 @@ def token_log10(grams: list, single, starts, held: tuple, tokens: int, distinct:
     return np.log10(value)
 
 
+class Vocabulary(dict):
+    """Token -> place, with what is known of each token; a worker keeps it from batch to batch."""
+
+    LIMIT = 400_000
+
+    def __init__(self, top: dict[bytes, int], held: tuple):
+        import numpy as np
+
+        super().__init__()
+        self.top, self.held, self.words = top, held, []
+        self.hashes, self.exact, self.single = (np.zeros(0, dtype=t) for t in (np.uint64, np.int64, float))
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = place = len(self)
+        self.words.append(word)
+        return place
+
+    def complete(self) -> None:
+        """Hash, exact count (0 beyond the frequent tokens) and probed count of the tokens met since."""
+        import numpy as np
+        import xxhash
+
+        fresh = self.words[len(self.hashes) :]
+        hashes = np.array([xxhash.xxh3_64_intdigest(w) if w else 0 for w in fresh], dtype=np.uint64)
+        exact = np.array([self.top.get(w, 0) for w in fresh], dtype=np.int64)
+        self.hashes, self.exact = np.append(self.hashes, hashes), np.append(self.exact, exact)
+        self.single = np.append(self.single, read_counts(mixed(hashes), self.held))
+
+
 def score(docs: DataFrame, order: int = ORDER, prior: float = PRIOR, max_bits: int = MAX_BITS, frequent: int = FREQUENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -299,32 +361,31 @@ def _scored(rows: DataFrame, held, top, tokens: int, distinct: int, order: int,
         from pyspark import TaskContext
 
         uid = TaskContext.get().partitionId() << 33
-        known, counts = WordHashes(), top.value
+        known = Vocabulary(top.value, held.value)
         scale = math.log10(tokens + 0.5 * (distinct + 1))
         for batch in batches:
-            ids: dict[bytes, int] = {}
+            if len(known) > Vocabulary.LIMIT:
+                known = Vocabulary(top.value, held.value)
             places, sizes = [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 words = tokens_of(text)
                 sizes.append(len(words))
-                places.extend([ids.setdefault(w, len(ids)) for w in words])
+                places.extend(map(known.__getitem__, words))
+            known.complete()
             place, size = np.array(places, dtype=np.int64), np.array(sizes, dtype=np.int64)
             starts = np.cumsum(size) - size
-            vocabulary = list(ids)
-            hashes = np.array([known[w] for w in vocabulary], dtype=np.uint64)
-            exact = np.array([counts.get(w, 0) for w in vocabulary], dtype=np.int64)
-            single = read_counts(mixed(hashes), held.value)[place]
-            each = token_log10(gram_hashes(hashes[place], starts, order), single, starts, held.value, tokens, distinct, prior)
+            exact, many = known.exact, len(known)
+            grams = gram_hashes(known.hashes[place], starts, order)
+            each = token_log10(grams, known.single[place], starts, held.value, tokens, distinct, prior)
             base = np.add.reduceat(np.log10(exact + 0.5)[place], starts) - size * scale
             n_known = np.add.reduceat((exact > 0).astype(np.int64)[place], starts)
             # Tokens that are not among the frequent ones, once per document with their number.
             rare = np.flatnonzero(exact[place] == 0)
             row = np.repeat(np.arange(len(size)), size)[rare]
-            pairs, times = np.unique(row * len(vocabulary) + place[rare], return_counts=True)
-            ends = np.searchsorted(pairs, np.arange(1, len(size) + 1) * len(vocabulary))
-            entries = pa.StructArray.from_arrays(
-                [pa.array(vocabulary, pa.binary()).take(pa.array(pairs % len(vocabulary))), pa.array(times.astype(np.int64))], ["word", "tf"]
-            )
+            pairs, times = np.unique(row * many + place[rare], return_counts=True)
+            ends = np.searchsorted(pairs, np.arange(1, len(size) + 1) * many)
+            words = pa.array([known.words[i] for i in (pairs % many).tolist()], pa.binary())
+            entries = pa.StructArray.from_arrays([words, pa.array(times.astype(np.int64))], ["word", "tf"])
             listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), entries)
             uids = np.arange(uid, uid + len(size))
             uid += len(size)

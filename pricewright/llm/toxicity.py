@@ -106,10 +106,21 @@ def matched(folded: str, machine) -> tuple[float, int]:
 
 
 def labelled_words(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(word, toxic, clean): labelled training documents that hold the word, by label; word "" counts documents."""
+    """(word, toxic, clean): labelled training documents that hold the term, by label; word "" counts documents.
+
+    What moves to the labels are the different folded words of each document, not its text. Labels may be as many as
+    documents, so the join is a merge join at every size.
+    """
     known = labels.where("toxic IS NOT NULL").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     rows = docs.where(training(F.col("doc_id"))).select("doc_id", F.col("text").cast("string").alias("text"))
 
+    def words(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            different = [" ".join(set(fold(t or "").split())) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(different, pa.string())], ["doc_id", "words"])
+
     def run(batches: Iterator) -> Iterator:
         from collections import Counter
 
@@ -125,15 +136,17 @@ def labelled_words(docs: DataFrame, labels: DataFrame) -> DataFrame:
             )
 
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts[toxic != 0].update({"", *terms_of(fold(text or ""))})
+            for listed, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts[toxic != 0].update({"", *terms_of(listed)})
             if len(counts[0]) + len(counts[1]) > 200_000:
                 yield flush()
                 counts = (Counter(), Counter())
         if counts[0] or counts[1]:
             yield flush()
 
-    joined = rows.join(splittable(known), "doc_id").select("text", "toxic")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    listed = rows.mapInArrow(words, f"doc_id {kind}, words string")
+    joined = listed.join(known.hint("merge"), "doc_id").select("words", "toxic")
     found = joined.mapInArrow(run, "word string, toxic bigint, clean bigint")
     return found.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 

@@ -211,11 +211,18 @@ def _total(items: Column) -> Column:
 
 def _upper_tail(z: Column) -> Column:
     """1 - Phi(z), by the rational approximation of the error function (absolute error 1.5e-7)."""
-    x = F.abs(z) / F.lit(2.0**0.5)
-    t = 1 / (1 + 0.3275911 * x)
-    poly = ((((1.061405429 * t - 1.453152027) * t + 1.421413741) * t - 0.284496736) * t + 0.254829592) * t
-    tail = poly * F.exp(-x * x) / 2
-    return F.when(z >= 0, tail).otherwise(1 - tail)
+
+    def of(v: Column) -> Column:
+        return let(
+            let(1 / (1 + (0.3275911 / 2.0**0.5) * F.abs(v)), lambda t: _polynomial(t) * F.exp(-v * v / 2) / 2),
+            lambda tail: F.when(v >= 0, tail).otherwise(1 - tail),
+        )
+
+    return let(z, of)
+
+
+def _polynomial(t: Column) -> Column:
+    return ((((1.061405429 * t - 1.453152027) * t + 1.421413741) * t - 0.284496736) * t + 0.254829592) * t
 
 
 def _chi_squared(places: Column, k: Column) -> Column:

@@ -6,8 +6,10 @@ one is missing, so a count is never read too low, and too high only by a false h
 parts by n-gram hash; each part is built by one task from its own n-grams, and the parts are broadcast.
 
 The filter's size follows the number of n-grams up to ``max_bits``, its proven bound. Beyond
-it each part leaves out its lowest levels until the rest fits (at the corpus size where that
-begins, these are n-grams seen once); the number of parts follows the corpus, so no task holds more than some
+it each part leaves its lowest levels out of the filter until the rest fits (at the corpus size where that
+begins, these are n-grams seen once) and lists them exactly beside it. Different n-grams of a batch of documents that
+read below the lowest level kept are then sent to their part, looked up in that list, and their levels sent
+back, so no count is lost at any size. The number of parts follows the corpus, so no task holds more than some
 million n-grams. Counts travel as packed arrays per worker and part, twelve bytes an n-gram.
 
 The probability of a token after another is the count of the pair, topped up by ``prior`` imaginary tokens
@@ -36,6 +38,8 @@ FREQUENT = 1 << 18
 PRIOR = 50.0
 # Tokens a worker gathers before it emits combined counts.
 FLUSH_TOKENS = 2_000_000
+# Tokens of the documents that are looked up together where the filter does not hold all n-grams.
+ASK_TOKENS = 1_000_000
 MAX_LEVELS = 130
 END = b""
 
@@ -171,16 +175,22 @@ def packed(grams, counts, parts: int):
     import numpy as np
     import pyarrow as pa
 
-    part = grams.view(np.int64) % parts  # never negative
-    order = np.argsort(part, kind="stable")
-    grams, counts, part = grams[order].astype("<u8"), counts[order].astype("<u4"), part[order]
-    present, begin = np.unique(part, return_index=True)
-    ends = np.append(begin[1:], len(part))
-    slices = list(zip(begin, ends))
+    order, present, slices = part_slices(grams, parts)
+    grams, counts = grams[order].astype("<u8"), counts[order].astype("<u4")
     columns = [pa.array([a[b:e].tobytes() for b, e in slices], pa.binary()) for a in (grams, counts)]
     return pa.RecordBatch.from_arrays([pa.array(present), *columns], ["part", "grams", "counts"])
 
 
+def part_slices(grams, parts: int) -> tuple:
+    """An order of hashed n-grams by part, the parts there are, and the place (begin, end) of each in that order."""
+    import numpy as np
+
+    part = grams.view(np.int64) % parts  # never negative
+    order = np.argsort(part, kind="stable")
+    present, begin = np.unique(part[order], return_index=True)
+    return order, present, list(zip(begin, np.append(begin[1:], len(part))))
+
+
 def level_hash(grams, level: int):
     """First hash of n-grams at a level."""
     import numpy as np
@@ -203,7 +213,13 @@ def next_step(first):
 
 
 def build_filter(counts: DataFrame, parts: int, max_bits: int = MAX_BITS, fetches: int = 8) -> tuple:
-    """The filter: bytes of all parts, and each part's first byte and number of bits.
+    """The filter of ``build_parts`` alone."""
+    return build_parts(counts, parts, max_bits, fetches)[0]
+
+
+def build_parts(counts: DataFrame, parts: int, max_bits: int = MAX_BITS, fetches: int = 8) -> tuple:
+    """The filter (bytes of all parts, and each part's first byte and number of bits), the lowest level that
+    each part has in it, and the n-grams below as rows (part, grams, levels) of packed arrays, sorted.
 
     At most ``max_bits`` bits reach the driver, whatever the corpus holds, in ``fetches`` portions.
     """
@@ -218,32 +234,41 @@ def build_filter(counts: DataFrame, parts: int, max_bits: int = MAX_BITS, fetche
         per_level = np.bincount(level, minlength=MAX_LEVELS) * np.arange(MAX_LEVELS)
         needed = np.cumsum(per_level[::-1])[::-1] * BITS_PER_ENTRY  # bits if levels from here on are kept
         lowest = int(np.flatnonzero(needed <= most)[0])
-        grams, level = grams[level >= lowest], level[level >= lowest]
+        below = level < lowest
+        rest = [grams[below].tobytes(), level[below].astype(np.uint8).tobytes()]
+        grams, level = grams[~below], level[~below]
         bits = np.zeros(max(64, -(-int(needed[lowest]) // 64) * 64), dtype=bool)
         for q in range(1, int(level.max(initial=0)) + 1):
             first = level_hash(grams[level >= q], q)
             step = next_step(first)
             for probe in range(PROBES):
                 bits[probe_bit(first, step, probe, np.uint64(len(bits)))] = True
-        return pd.DataFrame({"part": [key[0]], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+        whole = [key[0], np.packbits(bits, bitorder="little").tobytes(), lowest, *rest]
+        return pd.DataFrame([whole], columns=["part", "bits", "lowest", "grams", "levels"])
 
     import numpy as np
 
-    built = cut_lineage(counts.groupBy("part").applyInPandas(run, "part bigint, bits binary"))
-    sizes = np.full(parts, 8, dtype=np.int64)
-    known = built.select("part", F.octet_length("bits").alias("size")).toArrow()
+    built = cut_lineage(counts.groupBy("part").applyInPandas(run, "part bigint, bits binary, lowest bigint, grams binary, levels binary"))
+    sizes, lowest = np.full(parts, 8, dtype=np.int64), np.zeros(parts, dtype=np.int64)
+    known = built.select("part", F.octet_length("bits").alias("size"), "lowest").toArrow()
     sizes[known["part"].to_numpy()] = known["size"].to_numpy()
+    lowest[known["part"].to_numpy()] = known["lowest"].to_numpy()
     first = np.cumsum(sizes) - sizes
     data = np.zeros(int(sizes.sum()), dtype=np.uint8)
     for begin in range(fetches):
-        portion = built.where(F.col("part") % fetches == begin).toArrow()
+        portion = built.where(F.col("part") % fetches == begin).select("part", "bits").toArrow()
         for part, bits in zip(portion["part"].to_pylist(), portion["bits"]):
             data[first[part] : first[part] + sizes[part]] = np.frombuffer(bits.as_buffer(), dtype=np.uint8)
-    return data, first, sizes * 8
+    return (data, first, sizes * 8), lowest, built.where(F.octet_length("grams") > 0).select("part", "grams", "levels")
 
 
 def read_counts(grams, held: tuple):
-    """Counts of different hashed n-grams, by probing levels upwards until one is missing."""
+    """Counts of different hashed n-grams, by their levels in the filter."""
+    return level_values()[read_levels(grams, held)]
+
+
+def read_levels(grams, held: tuple):
+    """Levels of different hashed n-grams, by probing upwards until one is missing."""
     import numpy as np
 
     data, first, size = held
@@ -261,7 +286,7 @@ def read_counts(grams, held: tuple):
         if not len(alive):
             break
         level[alive] = q
-    return level_values()[level]
+    return level
 
 
 def distinct_counts(grams, held: tuple):
@@ -280,8 +305,15 @@ def token_log10(grams: list, single, starts, held: tuple, tokens: int, distinct:
     import numpy as np
 
     documents = read_counts(mixed(np.zeros(1, dtype=np.uint64)), held)[0]
-    value, shorter = (single + 0.5) / (tokens + 0.5 * (distinct + 1)), single
-    for longer in (distinct_counts(g, held) for g in grams[1:]):
+    return smoothed_log10([single, *(distinct_counts(g, held) for g in grams[1:])], documents, starts, tokens, distinct, prior)
+
+
+def smoothed_log10(counts: list, documents: float, starts, tokens: int, distinct: int, prior: float):
+    """log10 probability of every token, from the counts of its n-grams of each order and of the documents."""
+    import numpy as np
+
+    value, shorter = (counts[0] + 0.5) / (tokens + 0.5 * (distinct + 1)), counts[0]
+    for longer in counts[1:]:
         history = np.concatenate([[0.0], shorter[:-1]])
         history[starts] = documents
         value = (np.minimum(longer, history) + prior * value) / (history + prior)
@@ -294,7 +326,7 @@ class Vocabulary(dict):
 
     LIMIT = 400_000
 
-    def __init__(self, top: dict[bytes, int], held: tuple):
+    def __init__(self, top: dict[bytes, int], held: tuple | None):
         import numpy as np
 
         super().__init__()
@@ -307,7 +339,7 @@ class Vocabulary(dict):
         return place
 
     def complete(self) -> None:
-        """Hash, exact count (0 beyond the frequent tokens) and probed count of the tokens met since."""
+        """Hash, exact count (0 beyond the frequent tokens) and probed count (with a filter) of the tokens met since."""
         import numpy as np
         import xxhash
 
@@ -315,7 +347,8 @@ class Vocabulary(dict):
         hashes = np.array([xxhash.xxh3_64_intdigest(w) if w else 0 for w in fresh], dtype=np.uint64)
         exact = np.array([self.top.get(w, 0) for w in fresh], dtype=np.int64)
         self.hashes, self.exact = np.append(self.hashes, hashes), np.append(self.exact, exact)
-        self.single = np.append(self.single, read_counts(mixed(hashes), self.held))
+        if self.held is not None:
+            self.single = np.append(self.single, read_counts(mixed(hashes), self.held))
 
 
 def score(docs: DataFrame, order: int = ORDER, prior: float = PRIOR, max_bits: int = MAX_BITS, frequent: int = FREQUENT) -> DataFrame:
@@ -331,11 +364,17 @@ def score(docs: DataFrame, order: int = ORDER, prior: float = PRIOR, max_bits: i
     found = words.agg(F.sum("n"), F.count("*")).first()
     tokens, distinct = int(found[0] or 0), int(found[1])
     parts = max(1, -(-tokens // PART_TOKENS))
-    held = build_filter(gram_counts(train, parts, order), parts, max_bits)
+    held, lowest, rest = build_parts(gram_counts(train, parts, order), parts, max_bits)
     best = words.orderBy(F.desc("n"), "word").limit(frequent).toArrow()
     top = dict(zip(best["word"].to_pylist(), best["n"].to_pylist()))
     context = docs.sparkSession.sparkContext
-    scored = cut_lineage(_scored(rows, context.broadcast(held), context.broadcast(top), tokens, distinct, order, prior))
+    held, top = context.broadcast(held), context.broadcast(top)
+    if (lowest > 1).any():
+        asked = _asked(rows, held, context.broadcast(lowest), top, tokens, distinct, order)
+        scored = _answered(_replied(asked, rest), tokens, distinct, order, prior)
+    else:
+        scored = _scored(rows, held, top, tokens, distinct, order, prior)
+    scored = cut_lineage(scored)
     rare = scored.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", "r.tf").join(splittable(words), "word")
     gain = F.col("tf") * (F.log10(F.col("n") + 0.5) - math.log10(0.5))
     found = rare.groupBy("uid").agg(F.sum("tf").alias("more"), F.sum(gain).alias("gain"))
@@ -352,6 +391,37 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"))
 
 
+def _documents(batch, known: Vocabulary, scale: float) -> tuple:
+    """Number of tokens of each document of an Arrow batch (doc_id, text), the places of all tokens in the vocabulary,
+    and what the base score takes: known tokens, score with rare tokens as unknown, and these tokens listed."""
+    import numpy as np
+    import pyarrow as pa
+
+    places, sizes = [], []
+    for text in batch.column(1).cast(pa.binary()).to_pylist():
+        words = tokens_of(text)
+        sizes.append(len(words))
+        places.extend(map(known.__getitem__, words))
+    known.complete()
+    place, size = np.array(places, dtype=np.int64), np.array(sizes, dtype=np.int64)
+    starts = np.cumsum(size) - size
+    exact, many = known.exact, len(known)
+    base = np.add.reduceat(np.log10(exact + 0.5)[place], starts) - size * scale
+    n_known = np.add.reduceat((exact > 0).astype(np.int64)[place], starts)
+    # Tokens that are not among the frequent ones, once per document with their number.
+    rare = np.flatnonzero(exact[place] == 0)
+    row = np.repeat(np.arange(len(size)), size)[rare]
+    pairs, times = np.unique(row * many + place[rare], return_counts=True)
+    ends = np.searchsorted(pairs, np.arange(1, len(size) + 1) * many)
+    words = pa.array([known.words[i] for i in (pairs % many).tolist()], pa.binary())
+    entries = pa.StructArray.from_arrays([words, pa.array(times.astype(np.int64))], ["word", "tf"])
+    listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), entries)
+    return size, place, [pa.array(n_known), pa.array(base), listed]
+
+
+RARE = "array<struct<word:binary,tf:bigint>>"
+
+
 def _scored(rows: DataFrame, held, top, tokens: int, distinct: int, order: int, prior: float) -> DataFrame:
     """Model score, and the base score with rare tokens taken as unknown and listed beside it."""
 
@@ -366,42 +436,170 @@ def _scored(rows: DataFrame, held, top, tokens: int, distinct: int, order: int,
         for batch in batches:
             if len(known) > Vocabulary.LIMIT:
                 known = Vocabulary(top.value, held.value)
-            places, sizes = [], []
-            for text in batch.column(1).cast(pa.binary()).to_pylist():
-                words = tokens_of(text)
-                sizes.append(len(words))
-                places.extend(map(known.__getitem__, words))
-            known.complete()
-            place, size = np.array(places, dtype=np.int64), np.array(sizes, dtype=np.int64)
+            size, place, (n_known, base, listed) = _documents(batch, known, scale)
             starts = np.cumsum(size) - size
-            exact, many = known.exact, len(known)
             grams = gram_hashes(known.hashes[place], starts, order)
             each = token_log10(grams, known.single[place], starts, held.value, tokens, distinct, prior)
-            base = np.add.reduceat(np.log10(exact + 0.5)[place], starts) - size * scale
-            n_known = np.add.reduceat((exact > 0).astype(np.int64)[place], starts)
-            # Tokens that are not among the frequent ones, once per document with their number.
-            rare = np.flatnonzero(exact[place] == 0)
-            row = np.repeat(np.arange(len(size)), size)[rare]
-            pairs, times = np.unique(row * many + place[rare], return_counts=True)
-            ends = np.searchsorted(pairs, np.arange(1, len(size) + 1) * many)
-            words = pa.array([known.words[i] for i in (pairs % many).tolist()], pa.binary())
-            entries = pa.StructArray.from_arrays([words, pa.array(times.astype(np.int64))], ["word", "tf"])
-            listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), entries)
             uids = np.arange(uid, uid + len(size))
             uid += len(size)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(uids), batch.column(0), pa.array(size), pa.array(n_known), pa.array(base),
-                    pa.array(np.add.reduceat(each, starts)), listed,
-                ],
+                [pa.array(uids), batch.column(0), pa.array(size), n_known, base, pa.array(np.add.reduceat(each, starts)), listed],
                 ["uid", "doc_id", "n_tokens", "n_known", "base_score", "score", "rare"],
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"uid bigint, doc_id {kind}, n_tokens bigint, n_known bigint, base_score double, score double, rare array<struct<word:binary,tf:bigint>>"
+    schema = f"uid bigint, doc_id {kind}, n_tokens bigint, n_known bigint, base_score double, score double, rare {RARE}"
     return rows.mapInArrow(run, schema)
 
 
+# Rows on their way between documents and parts, told apart by ``kind``.
+REST, ASK, STATE = 0, 1, 2
+
+
+def _asked(rows: DataFrame, held, lowest, top, tokens: int, distinct: int, order: int) -> DataFrame:
+    """Documents in numbered batches, and what to ask the parts for them.
+
+    ASK: key part, at batch, a the n-grams. STATE: key and at batch; a the place of every token's n-grams among the
+    different ones, order by order, b the levels of these, c the places of those that are asked for, by part; docs.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        uid = TaskContext.get().partitionId() << 33
+        known, least = Vocabulary(top.value, None), lowest.value
+        scale = math.log10(tokens + 0.5 * (distinct + 1))
+        hashes, sizes, docs = [], [], []
+
+        def flush():
+            size = np.concatenate(sizes)
+            different, back, many = [], [], 0
+            for grams in gram_hashes(np.concatenate(hashes), np.cumsum(size) - size, order):
+                own, places = np.unique(grams, return_inverse=True)
+                different.append(own)
+                back.append((places + many).astype("<u4"))
+                many += len(own)
+            grams = np.concatenate(different)
+            level = read_levels(grams, held.value)
+            missing = np.flatnonzero(level < least[grams.view(np.int64) % len(least)])
+            by_part, present, slices = part_slices(grams[missing], len(least))
+            missing = missing[by_part]
+            asked = grams[missing].astype("<u8")
+            columns = [pa.concat_arrays(c) for c in zip(*docs)]
+            whole = pa.StructArray.from_arrays(columns, ["doc_id", "n_tokens", "n_known", "base_score", "rare"])
+            whole = pa.ListArray.from_arrays(pa.array([0, len(size)], pa.int32()), whole)
+            none = pa.nulls(len(present), pa.binary())
+            yield _moved(
+                present, ASK, np.full(len(present), uid), pa.array([asked[b:e].tobytes() for b, e in slices], pa.binary()),
+                none, none, pa.nulls(len(present), whole.type),
+            )
+            state = [np.concatenate(back), level.astype(np.uint8), missing.astype("<u4")]
+            yield _moved(np.array([uid]), STATE, np.array([uid]), *(pa.array([x.tobytes()], pa.binary()) for x in state), whole)
+
+        for batch in batches:
+            if len(known) > Vocabulary.LIMIT:
+                known = Vocabulary(top.value, None)
+            size, place, columns = _documents(batch, known, scale)
+            hashes.append(known.hashes[place])
+            sizes.append(size)
+            docs.append([batch.column(0), pa.array(size), *columns])
+            if sum(map(len, hashes)) > ASK_TOKENS:
+                yield from flush()
+                uid += sum(map(len, sizes))
+                hashes, sizes, docs = [], [], []
+        if sizes:
+            yield from flush()
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    docs = f"array<struct<doc_id:{kind},n_tokens:bigint,n_known:bigint,base_score:double,rare:{RARE}>>"
+    return rows.mapInArrow(run, f"key bigint, kind int, at bigint, a binary, b binary, c binary, docs {docs}")
+
+
+def _replied(asked: DataFrame, rest: DataFrame) -> DataFrame:
+    """The batches, and for each what its parts answer: key batch, at part, b the levels of the n-grams asked for."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        part, grams, level = None, None, None
+        for batch in batches:
+            kinds, keys = batch.column(1).to_numpy(), batch.column(0).to_numpy()
+            whole = batch.filter(pa.array(kinds == STATE))
+            if len(whole):
+                yield whole
+            answers, places = [], np.flatnonzero(kinds != STATE)
+            for i in places.tolist():
+                own = np.frombuffer(batch.column(3)[i].as_buffer(), dtype="<u8")
+                if kinds[i] == REST:
+                    part, grams = keys[i], own.copy()
+                    level = np.frombuffer(batch.column(4)[i].as_buffer(), dtype=np.uint8).copy()
+                    continue
+                if part != keys[i]:  # nothing below the lowest level
+                    answers.append(bytes(len(own)))
+                    continue
+                found = np.minimum(np.searchsorted(grams, own), len(grams) - 1)
+                answers.append(np.where(grams[found] == own, level[found], 0).astype(np.uint8).tobytes())
+            told = places[kinds[places] == ASK]
+            if len(told):
+                none = pa.nulls(len(told), pa.binary())
+                yield _moved(
+                    batch.column(2).take(pa.array(told)), ASK, keys[told], none, pa.array(answers, pa.binary()), none,
+                    pa.nulls(len(told), batch.column(6).type),
+                )
+
+    held = rest.select(F.col("part").alias("key"), F.lit(REST).alias("kind"), F.col("grams").alias("a"), F.col("levels").alias("b"))
+    moved = asked.unionByName(held, allowMissingColumns=True).repartition("key").sortWithinPartitions("key", "kind")
+    return moved.mapInArrow(run, asked.schema)
+
+
+def _answered(replied: DataFrame, tokens: int, distinct: int, order: int, prior: float) -> DataFrame:
+    """The rows of ``_scored``, from the batches and the answers of their parts."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        answers: list = []
+        for batch in batches:
+            for i, kind in enumerate(batch.column(1).to_pylist()):
+                if kind == ASK:
+                    answers.append(np.frombuffer(batch.column(4)[i].as_buffer(), dtype=np.uint8).copy())
+                    continue
+                back, level, missing = (
+                    np.frombuffer(batch.column(3 + n)[i].as_buffer(), dtype=t) for n, t in enumerate(("<u4", np.uint8, "<u4"))
+                )
+                told = np.concatenate([np.zeros(0, dtype=np.uint8), *answers])
+                if len(told) != len(missing):
+                    raise ValueError(f"{len(told)} answers to {len(missing)} n-grams")
+                level, answers = level.copy(), []
+                level[missing] = told
+                counts = np.split(level_values()[level][back], order)
+                doc_id, size, n_known, base, rare = batch.column(6)[i].values.flatten()
+                ends = np.cumsum(size.to_numpy())
+                starts, uid = ends - size.to_numpy(), batch.column(0)[i].as_py()
+                # The last token of a document is the end token, which every document has once.
+                each = smoothed_log10(counts, counts[0][ends[0] - 1], starts, tokens, distinct, prior)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(uid, uid + len(size))), doc_id, size, n_known, base, pa.array(np.add.reduceat(each, starts)), rare],
+                    ["uid", "doc_id", "n_tokens", "n_known", "base_score", "score", "rare"],
+                )
+
+    kind = replied.schema["docs"].dataType.elementType["doc_id"].dataType.simpleString()
+    schema = f"uid bigint, doc_id {kind}, n_tokens bigint, n_known bigint, base_score double, score double, rare {RARE}"
+    return replied.repartition("key").sortWithinPartitions("key", "kind", "at").mapInArrow(run, schema)
+
+
+def _moved(keys, kind: int, at, a, b, c, docs):
+    import numpy as np
+    import pyarrow as pa
+
+    kinds = pa.array(np.full(len(keys), kind, dtype=np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(keys), kinds, pa.array(at), a, b, c, docs], ["key", "kind", "at", "a", "b", "c", "docs"])
+
+
 def _counted(counts):
     import pyarrow as pa
 

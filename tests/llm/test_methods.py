@@ -3,6 +3,7 @@
 import math
 import random
 import string
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -61,6 +62,32 @@ def test_counts_come_back_from_the_filter(spark):
     assert kept[counts == counts.max()].all() and not kept.all()
 
 
+def test_a_small_filter_loses_no_counts(spark, sf_dir):
+    """What the filter does not hold is looked up in the parts: with next to no filter every count is exact."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").repartition(3)
+    rows = [(r.doc_id, lm.tokens_of((r.text or "").encode())) for r in docs.collect()]
+    single, pairs = Counter(), Counter()
+    for key, words in rows:
+        if brute.crc(key) % 5 != 1:
+            single.update(words)
+            pairs.update(zip([b"", *words], words))
+    tokens, distinct = sum(single.values()), len(single)
+    read = lambda n: lm.level_values()[lm.levels(np.array([float(n)]))][0] if n else 0.0
+    one, two = ({k: read(n) for k, n in c.items()} for c in (single, pairs))
+
+    def log10(earlier, word):
+        history = one.get(earlier, 0.0)
+        value = (one.get(word, 0.0) + 0.5) / (tokens + 0.5 * (distinct + 1))
+        return math.log10((min(two.get((earlier, word), 0.0), history) + lm.PRIOR * value) / (history + lm.PRIOR))
+
+    want = {key: sum(log10(*pair) for pair in zip([b"", *words], words)) for key, words in rows}
+    exact, some, whole = ({r.doc_id: r for r in lm.score(docs, max_bits=bits).collect()} for bits in (64, 20_000, lm.MAX_BITS))
+    assert exact.keys() == want.keys() and all(math.isclose(r.score, want[k], rel_tol=1e-9) for k, r in exact.items())
+    for got in (some, whole):  # a false hit reads a count too high
+        assert sum(abs(r.score - want[k]) for k, r in got.items()) <= 0.01 * abs(sum(want.values()))
+    assert all(r[:-1] == exact[k][:-1] == some[k][:-1] for k, r in whole.items())
+
+
 def test_levels_keep_small_counts():
     values = lm.level_values()
     assert [values[q] for q in lm.levels(np.array([1.0, 2.0, 3.0, 4.0]))] == [1.0, 2.0, 3.0, 4.5]

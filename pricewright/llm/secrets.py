@@ -1,7 +1,8 @@
 """Secret scans: known forms, and tokens that pass a battery of randomness tests.
 
 Known forms are three patterns (assignments, access keys, hex runs). Beyond them, every long run of
-letters, digits and ``+/_=-`` is a candidate. Its encoding is inferred from its characters, and its
+letters, digits and ``+/_-``, with up to two ``=`` at its end, is a candidate if it has two of: small letters, capitals,
+digits. A ``=`` inside parts a name from its value. Its encoding is inferred from its characters, and its
 symbols, as places in that alphabet, go through three tests of uniform independent symbols:
 
 * chi-squared on the symbol counts,
@@ -29,7 +30,7 @@ from pricewright.llm.linededup import let
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 KINDS = ["assign", "access", "hex", "random"]
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 8, 16, 32
 
@@ -112,8 +113,8 @@ SPANS = "array<struct<start:bigint,rank:int,stop:bigint>>"
 
 
 def candidates(text: Column) -> Column:
-    """Long tokens with a letter and a digit, as structs (start, stop, class, p)."""
-    found = F.filter(matches(text, CANDIDATE), lambda x: x["hit"].rlike("[0-9]") & x["hit"].rlike("[A-Za-z]"))
+    """Long tokens of letters in both cases, or of letters and digits, as structs (start, stop, class, p)."""
+    found = F.filter(matches(text, CANDIDATE), lambda x: x["hit"].rlike("[0-9].*[A-Za-z]|[a-z].*[A-Z0-9]|[A-Z].*[a-z0-9]"))
 
     def judged(x: Column) -> Column:
         return let(

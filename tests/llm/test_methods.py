@@ -26,6 +26,22 @@ def test_random_tokens_pass_and_words_fail(spark):
     assert found >= 0.9 * len(keys) and wrong <= 0.1 * found
 
 
+def test_random_tokens_behind_a_name_and_without_a_digit(spark):
+    rng = random.Random(5)
+    alnum = string.ascii_letters + string.digits
+    keys = ["".join(rng.choices(alnum, k=40)) for _ in range(240)]
+    bare = [k for k in ("".join(rng.choices(alnum, k=20)) for _ in range(4000)) if not any(c.isdigit() for c in k)][:60]
+    forms = ["client_key={}", "export AWS_ACCESS={}\nexport B=2", "https://x.org/a?id=7&sig={}&v=1", "auth={}=="]
+    rows = [(forms[i % 4], k) for i, k in enumerate(keys)] + [("before {} after", k) for k in bare]
+    docs = spark.createDataFrame([(i, form.format(k)) for i, (form, k) in enumerate(rows)], "doc_id bigint, text string")
+    got = {r.doc_id: r.spans for r in secrets.scan(docs).collect()}
+    found = [0] * 5
+    for i, (form, key) in enumerate(rows):
+        start, stop = form.index("{"), form.index("{") + len(key) + 2 * form.endswith("==")
+        found[i % 4 if i < len(keys) else 4] += [(s.start, s.stop) for s in got[i]] == [(start, stop)]
+    assert all(n >= 0.9 * 60 for n in found), found
+
+
 def test_p_values_are_uniform_for_random_tokens(spark):
     rng = random.Random(7)
     rows = [("".join(rng.choices("0123456789abcdef", k=64)),) for _ in range(400)]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from pricewright.llm import chat, exact, linededup, lm, mixing, packing, quality, secrets, simhash, toxicity
+from pricewright.llm import alignment, bpe, chat, exact, linededup, lm, mixing, packing, quality, runs, secrets, simhash, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_chat_format": chat.op8_chat_format,
     "op9_mixing": mixing.op9_mixing,
     "op10_line_dedup": linededup.op10_line_dedup,
+    "op11_token_alignment": alignment.op11_token_alignment,
+    "op12_byte_bpe": bpe.op12_byte_bpe,
+    "op13_periodic_runs": runs.op13_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 

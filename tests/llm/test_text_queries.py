@@ -127,4 +127,4 @@ def test_every_query_is_registered():
     import __spark_entry__ as entry
 
     assert set(registry.queries()) <= set(entry.queries())
-    assert [name.split("_")[0] for name in registry.queries()] == [*(f"op{n}" for n in range(1, 11)), "pipeline"]
+    assert [name.split("_")[0] for name in registry.queries()] == [*(f"op{n}" for n in range(1, 14)), "pipeline"]

@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 
 from pricewright import values
 from pricewright.functions.numbers import exact_mean, ratio
-from pricewright.operators.joins import lookup, one_per_key
+from pricewright.operators.joins import lookup, one_per_key, splittable
 
 
 def prefix_hierarchy(
@@ -18,17 +18,22 @@ def prefix_hierarchy(
     text: str,
     lengths: list[int] | None = None,
 ) -> DataFrame:
-    """One code and one description per prefix level; the dictionary is cut by code length."""
+    """One code and one description per prefix level; a text belongs to the level of its code's length.
+
+    The different codes are exploded into their prefixes, which look up their texts in one join; an aggregate puts
+    the texts of a code back into one row. A prefix many codes share is a hot key of that join and split as such. A
+    code shorter than a level, and a level without a text, has no description there.
+    """
     lengths = lengths or values.HIERARCHY_LENGTHS
-    out = codes
-    for level, size in enumerate(lengths, start=1):
-        out = out.withColumn(f"code_{level}", F.substring(code, 1, size))
-        level_texts = texts.where(F.length(text_code) == size).select(
-            F.col(text_code), F.col(text).alias(f"desc_{level}")
-        )
-        level_texts = one_per_key(level_texts, [text_code])
-        out = lookup(out, level_texts, {f"code_{level}": text_code})
-    return out
+    levels = range(1, len(lengths) + 1)
+    prefix = {level: F.substring(code, 1, size) for level, size in zip(levels, lengths)}
+    known = texts.where(F.length(text_code).isin(*lengths)).select(F.col(text_code).alias("_prefix"), F.col(text).alias("_text"))
+    whole = [F.when(F.length(p) == size, p) for p, size in zip(prefix.values(), lengths)]
+    asked = codes.select(code).distinct().select(F.col(code).alias("_code"), F.posexplode(F.array(*whole)).alias("_level", "_prefix"))
+    found = asked.join(one_per_key(known, ["_prefix"]), "_prefix")
+    described = found.groupBy("_code").agg(*[F.max(F.when(F.col("_level") == n - 1, F.col("_text"))).alias(f"desc_{n}") for n in levels])
+    out = lookup(codes.withColumns({f"code_{n}": p for n, p in prefix.items()}), splittable(described), {code: "_code"})
+    return out.select(*codes.columns, *[f"{kind}_{n}" for n in levels for kind in ("code", "desc")])
 
 
 def pivot_mean(

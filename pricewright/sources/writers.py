@@ -5,11 +5,13 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 VERSION = "version="
 # Spark's writer leaves this file when all tasks of a write have been committed.
 COMPLETE = "_SUCCESS"
+# Spark's readers pass over folders that start with an underscore.
+PENDING = "_pending"
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -28,20 +30,57 @@ def write_compacted(df: DataFrame, path: str, partition_by: list[str] | None = N
     write_table(hinted, path, partition_by)
 
 
-def append_batch(df: DataFrame, path: str, batch: str) -> bool:
+def append_batch(df: DataFrame, path: str, batch: str, partition_by: list[str] | None = None) -> bool:
     """Add a landed batch to a table of batches; says whether it has rows.
 
     The batch is a folder of its own named by ``batch``, so a repeated run replaces it instead of adding it again.
     The plan runs once; whether there are rows is read from what was written, and an empty batch is taken away.
     """
     spark, folder = df.sparkSession, f"{path}/batch={batch}"
-    df.write.mode("overwrite").parquet(folder)
+    write_table(df, folder, partition_by)
     if not spark.read.parquet(folder).isEmpty():
         return True
     _delete(spark, folder)
     return False
 
 
+def replace_partitions(df: DataFrame, path: str, by: str, touched: list) -> None:
+    """Replace some partitions of a table by the rows of ``df``, which may read them; all other files stay as they are.
+
+    ``touched`` lists the values of ``by`` that are replaced; ``df`` holds no others, and one it has no rows of disappears.
+    The new rows are first written beside the table. Until that write is complete the table is the old one;
+    from then on ``settle_partitions`` brings them in, again if a run died over it.
+    """
+    spark, pending = df.sparkSession, f"{path}/{PENDING}"
+    _delete(spark, pending)
+    kind = df.schema[by].dataType.simpleString()
+    spark.createDataFrame([(str(v),) for v in touched], "value string").selectExpr(f"CAST(value AS {kind}) AS `{by}`").coalesce(1).write.parquet(
+        f"{pending}/touched"
+    )
+    write_compacted(df, f"{pending}/rows", [by])
+    settle_partitions(spark, path, by)
+
+
+def settle_partitions(spark: SparkSession, path: str, by: str) -> bool:
+    """Bring in the partitions a complete ``replace_partitions`` left beside the table; says whether there were any."""
+    pending = f"{path}/{PENDING}"
+    system, rows = _file_system(spark, f"{pending}/rows")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    if not system.exists(hadoop(rows, COMPLETE)):
+        return False
+    touched = spark.read.parquet(f"{pending}/touched").select(F.col(by).cast("string"))
+    new = sorted(f.getPath().getName() for f in system.listStatus(rows) if f.isDirectory())
+    if new:
+        frame = spark.read.option("basePath", str(rows.toString())).parquet(*[f"{rows.toString()}/{name}" for name in new])
+        frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    # One row per replaced partition.
+    for (value,) in touched.collect():
+        if f"{by}={value}" not in new:
+            _delete(spark, f"{path}/{by}={value}")
+    _delete(spark, pending)
+    return True
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ";", encoding: str = "UTF-8", max_rows_per_file: int = 1_000_000) -> None:
     """Delimited export with a header in every file, sharded so that no task writes it all."""
     df.write.mode("overwrite").options(

@@ -1,10 +1,14 @@
 """Sources and sinks round trip."""
 
+import json
+
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from pricewright.session import ensure_checkpoint_dir
 from pricewright.sources import readers, writers
+from pricewright.streaming import landing
 from pricewright.streaming.landing import land_once
 
 
@@ -90,3 +94,130 @@ def test_export_files_are_landed_once(spark, tmp_path):
     assert land() == [1, 2] and land() == [1, 2]
     (source / "two.json").write_text('{"a": 3}\n')
     assert land() == [1, 2, 3]
+
+
+# --- tables kept by partition -------------------------------------------------------------------------
+
+def _files(path):
+    """Name and time of every data file by its folder."""
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet") if "_pending" not in str(f)}
+
+
+def test_replaced_partitions_leave_the_others_alone(spark, tmp_path):
+    path = tmp_path / "t"
+    df = spark.range(30).withColumn("d", F.expr("date_add(DATE'2020-01-01', int(id % 5))"))
+    writers.write_table(df, str(path), ["d"])
+    before, day = _files(path), [F.expr(f"DATE'2020-01-0{n}'") for n in range(1, 6)]
+    own = spark.read.parquet(str(path))
+    new = own.where((F.col("d") == day[1]) & (F.col("id") > 10)).withColumn("id", F.col("id") * 100)
+    writers.replace_partitions(new, str(path), "d", ["2020-01-02", "2020-01-03"])
+    after = _files(path)
+    assert {f: t for f, t in before.items() if "-02/" not in f and "-03/" not in f} == {f: t for f, t in after.items() if "-02/" not in f}
+    got = spark.read.parquet(str(path))
+    assert rows(got.where(F.col("d") == day[1]).select("id"), "id") == [(1100,), (1600,), (2100,), (2600,)]
+    assert got.where(F.col("d") == day[2]).count() == 0 and got.count() == 18 + 4
+
+
+def test_replacement_that_dies(spark, tmp_path, monkeypatch):
+    """Before its rows are complete nothing has happened; afterwards the next run finishes it."""
+    path = str(tmp_path / "t")
+    writers.write_table(spark.range(6).withColumn("p", F.col("id") % 3), path, ["p"])
+    old = rows(spark.read.parquet(path), "id")
+    broken = spark.read.parquet(path).where("p = 1").withColumn("id", F.expr("if(id > 2, raise_error('lost'), id)").cast("bigint"))
+    with pytest.raises(Exception, match="lost"):
+        writers.replace_partitions(broken, path, "p", [1])
+    assert rows(spark.read.parquet(path), "id") == old and not writers.settle_partitions(spark, path, "p")
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(writers, "settle_partitions", die)
+        with pytest.raises(RuntimeError):
+            writers.replace_partitions(spark.read.parquet(path).where("p = 1").withColumn("id", F.col("id") + 100), path, "p", [1, 2])
+    assert rows(spark.read.parquet(path), "id") == old
+    assert writers.settle_partitions(spark, path, "p") and not writers.settle_partitions(spark, path, "p")
+    assert sorted(r[0] for r in spark.read.parquet(path).select("id").collect()) == [0, 3, 101, 104]
+
+
+def _exports(folder, name, items):
+    folder.mkdir(exist_ok=True)
+    (folder / f"{name}.json").write_text("\n".join(json.dumps(dict(zip(("day", "k", "v"), i))) for i in items))
+
+
+def _monthly(landed):
+    return landed.groupBy("period", "k").agg(F.sum("v").alias("v"), F.count("*").alias("n"))
+
+
+def _land(spark, tmp_path, source, checkpoint="cp", **more):
+    landing.land_and_refresh(
+        spark, str(source), "day date, k string, v bigint", str(tmp_path / "batches"), str(tmp_path / "mart"), str(tmp_path / checkpoint),
+        F.trunc("day", "month"), _monthly, options={"maxFilesPerTrigger": "1"}, **more,
+    ).awaitTermination()
+    return sorted((str(r.period), r.k, r.v, r.n) for r in spark.read.parquet(str(tmp_path / "mart")).collect())
+
+
+def test_incremental_mart_equals_a_full_run(spark, tmp_path):
+    source, whole = tmp_path / "in", {}
+    parts = {
+        "a": [("2020-01-05", "x", 1), ("2020-02-01", "x", 2)],
+        "b": [("2020-02-20", "y", 4), ("2020-02-21", "x", 8)],
+        "late": [("2020-01-31", "x", 16)],
+        "c": [("2020-03-01", "z", 32)],
+    }
+    for name, items in parts.items():
+        if name == "c":  # the file of January's late row has come; February's files must stay as they are
+            february = {f: t for f, t in _files(tmp_path / "mart").items() if "2020-02" in f}
+        _exports(source, name, items)
+        got = _land(spark, tmp_path, source)
+        for day, k, v in items:
+            key = (f"{day[:7]}-01", k)
+            whole[key] = [a + b for a, b in zip(whole.get(key, [0, 0]), (v, 1))]
+        assert got == sorted((*k, *v) for k, v in whole.items()), name
+    assert {f: t for f, t in _files(tmp_path / "mart").items() if "2020-02" in f} == february
+    # A batch that is delivered again, here with all files after a lost checkpoint, replaces itself.
+    again = _land(spark, tmp_path, source, "cp2")
+    assert again == sorted((*k, *v) for k, v in whole.items())
+
+
+def test_frozen_periods_keep_their_mart(spark, tmp_path):
+    from pricewright.operators.forecast import freeze_history
+
+    source = tmp_path / "in"
+    _exports(source, "a", [("2020-01-05", "x", 1), ("2020-02-01", "x", 2)])
+    _land(spark, tmp_path, source)
+    history = spark.createDataFrame(spark.read.parquet(str(tmp_path / "mart")).collect(), "k string, v bigint, n bigint, period date")
+    _exports(source, "b", [("2020-01-07", "x", 100), ("2020-02-02", "x", 4)])
+    got = _land(spark, tmp_path, source, open_from="2020-02-01")
+    current = _monthly(spark.read.parquet(str(tmp_path / "batches")))
+    want = freeze_history(history, current, "period", F.lit("2020-02-01").cast("date"))
+    assert got == sorted((str(r.period), r.k, r.v, r.n) for r in want.collect()) == [("2020-01-01", "x", 1, 1), ("2020-02-01", "x", 6, 2)]
+    assert spark.read.parquet(str(tmp_path / "batches")).count() == 4
+
+
+def test_ledger_by_day(spark, tmp_path):
+    """Only changed days are written; a rerun, and a run after a lost one, give what the whole merge gives."""
+    from pricewright.operators.ledger import ledger_merge
+    from pricewright.plans.audit import merge_day
+
+    path, n = tmp_path / "ledger", F.col("id")
+    old = spark.range(200).select(
+        n, F.expr("date_add(DATE'2020-03-01', int(id % 20))").alias("date"), n.cast("double").alias("price"),
+        # All rows of older days are decided but for one of the 2nd.
+        F.when((n != 41) & (n % 20 <= 12), F.lit("Sim")).alias("approved_manually"),
+        F.lit("Não").alias("approved_automatically"),
+    )
+    writers.write_table(old, str(path), ["date"])
+    batch = spark.createDataFrame([(1000, 1.0), (1001, 2.0)], "id bigint, price double").withColumn("date", F.lit("2020-03-21").cast("date"))
+    reviews = spark.createDataFrame([(15, "Sim", 1), (15, "Não", 2), (41, "Sim", 1), (9999, "Sim", 1)], "id bigint, verdict string, reviewed_at int")
+    want = ledger_merge(old, batch, reviews, "2020-03-21")
+    listed = lambda df: sorted(map(str, df.select("id", "date", "price", "approved_manually", "approved_automatically").collect()))
+    want, before = listed(want), _files(path)
+    touched = merge_day(spark, str(path), batch, reviews, "2020-03-21")
+    # The row of the 2nd that nobody reviewed in time, the review of the 16th, the day itself.
+    assert [str(d) for d in touched] == ["2020-03-02", "2020-03-16", "2020-03-21"]
+    assert listed(spark.read.parquet(str(path))) == want
+    kept = {f: t for f, t in before.items() if not any(f"date={d}/" in f for d in touched)}
+    assert kept and kept.items() <= _files(path).items()
+    merge_day(spark, str(path), batch, reviews, "2020-03-21", since="2020-03-14")
+    assert listed(spark.read.parquet(str(path))) == want and kept.items() <= _files(path).items()

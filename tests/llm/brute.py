@@ -85,45 +85,42 @@ def quality_kept(docs):
     return kept
 
 
-def chunks_of(lines, window=2):
-    """(first line, lines) of the content-defined chunks."""
+def chunks_of(lines):
+    """First lines of the two-line chunks of all chunkings: a bit set in the hash of the first line and not of the second."""
     hashes = [xxhash.xxh64_intdigest(line.encode(), 42) for line in lines]
-    turn = lambda h, n: ((h << n) | (h >> (64 - n))) & (2**64 - 1) if n else h
-    rolled = []
-    for i in range(len(lines)):
-        value = 0
-        for k in range(window):
-            if i >= k:
-                value ^= turn(hashes[i - k], k)
-        rolled.append(signed(value))
-    starts = [0] + [
-        i for i in range(1, len(lines) - 1) if rolled[i] < rolled[i - 1] and rolled[i] <= rolled[i + 1]
-    ]
-    return [(s, e - s) for s, e in zip(starts, [*starts[1:], len(lines)])]
-
-
-def line_dedup(docs):
-    """[(doc_id, text)] -> texts without repeated chunks, and the dropped chunks."""
-    seen = defaultdict(set)
+    return [i for i in range(len(lines) - 1) if hashes[i] & ~hashes[i + 1] & 0xFF]
+
+
+def line_dedup(docs, reach=3):
+    """[(doc_id, text)] -> texts without repeated passages, and the dropped lines."""
+    seen, texts = defaultdict(set), {}
     for key, text in docs:
         lines = (text or "").split("\n")
         fold = signed(xxhash.xxh64_intdigest((text or "").encode(), 42))
-        for s, n in chunks_of(lines):
-            chunk = "\n".join(lines[s : s + n])
-            if n > 1 and WORD.search(chunk):
-                seen[chunk].add((key is None, key or 0, fold, s))
+        texts[(key is None, key or 0, fold)] = lines
+        for s in chunks_of(lines):
+            if WORD.search(lines[s]) or WORD.search(lines[s + 1]):
+                seen[tuple(lines[s : s + 2])].add((key is None, key or 0, fold, s))
     out = []
     for key, text in docs:
         lines = (text or "").split("\n")
         fold = signed(xxhash.xxh64_intdigest((text or "").encode(), 42))
-        drops = [
-            (s, n) for s, n in chunks_of(lines)
-            if len(seen.get("\n".join(lines[s : s + n]), ())) > 1 and n > 1
-            and min(seen["\n".join(lines[s : s + n])]) != (key is None, key or 0, fold, s)
-        ]
-        gone = {i for s, n in drops for i in range(s, s + n)}
+        gone = set()
+        for s in chunks_of(lines):
+            places = seen.get(tuple(lines[s : s + 2]), ())
+            if not places or min(places) == (key is None, key or 0, fold, s):
+                continue
+            *owner, at = min(places)
+            kept = texts[tuple(owner)]
+            gone |= {s, s + 1}
+            for step, own, its in ((-1, s - 1, at - 1), (1, s + 2, at + 2)):
+                for _ in range(reach):
+                    if not (0 <= own < len(lines) and 0 <= its < len(kept) and lines[own] == kept[its]):
+                        break
+                    gone.add(own)
+                    own, its = own + step, its + step
         kept = "\n".join(line for i, line in enumerate(lines) if i not in gone)
-        out.append((None if text is None else kept, drops))
+        out.append((None if text is None else kept, sorted(gone)))
     return out
 
 

@@ -78,11 +78,12 @@ def targets(sizes: DataFrame, schedules: list[Schedule] = SCHEDULES, max_repeat:
 def mix_plan(
     docs: DataFrame, schedules: list[Schedule] = SCHEDULES, max_repeat: int = MAX_REPEAT, with_rows: bool = False
 ) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, passes, taken, position (of its first copy).
+    """One row per document: doc_id, size, source_size, target, passes, taken, position (of its first copy), and
+    its schedule (kind) and offset (before).
 
     Null texts and texts without words have size 0 and are taken 0 times; a null source is a
     source of its own. Rows that repeat an id are separate documents with equal digests. Reruns give the
-    same plan. ``with_rows`` adds the whole row as a struct, and the offsets. An empty table gives no rows.
+    same plan. ``with_rows`` adds the whole row as a struct. An empty table gives no rows.
     """
     slim = docs.select(
         *[F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] * with_rows,
@@ -113,7 +114,7 @@ def mix_plan(
     return found.select(
         *["row"] * with_rows, "doc_id", "size", "source_size", "target", "passes",
         (F.col("size") * F.col("passes")).cast("long").alias("taken"),
-        F.when(F.col("passes") > 0, first).alias("position"), *["kind", "before"] * with_rows,
+        F.when(F.col("passes") > 0, first).alias("position"), "kind", "before",
     )
 
 
@@ -136,9 +137,15 @@ def mix(docs: DataFrame, schedules: list[Schedule] = SCHEDULES, max_repeat: int
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mix of all documents, weights 5, 2, 1 in turn, at most three copies of a document."""
+    """The mix of all documents, weights 5, 2, 1 in turn, at most three copies of a document.
+
+    Rows are range-sorted by the training position of their first copy; a copy that is not taken has no position.
+    """
     plan = mix_plan(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
-    return plan.select("doc_id", "size", "source_size", "target", "taken")
+    at = [F.when(F.col("passes") > n, position(F.col("before") + n * F.col("source_size"))) for n in range(MAX_REPEAT)]
+    names = [f"position_{n + 1}" for n in range(MAX_REPEAT)]
+    rows = plan.select("doc_id", "size", "source_size", "target", "taken", *[p.alias(name) for p, name in zip(at, names)])
+    return rows.repartitionByRange(names[0], "doc_id").sortWithinPartitions(names[0], "doc_id")
 
 
 OP9_SQL = r"""
@@ -153,14 +160,25 @@ l AS (SELECT *, max(CAST(sum_all - held AS DOUBLE) / rest) OVER () AS level FROM
          coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held,
          CAST(sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS rest
   FROM w WINDOW o AS (ORDER BY CAST(3 * source_size AS DOUBLE) / weight, source NULLS LAST)) AS a),
-t AS (SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), level * weight) AS target FROM l),
+t AS (SELECT source, source_size, weight, least(CAST(3 * source_size AS DOUBLE), level * weight) AS target FROM l),
 p AS (
-  SELECT doc_id, size, source_size, target,
+  SELECT doc_id, size, source_size, target, weight,
+         -- The schedules: first value, slope and integral of each weight.
+         CASE weight WHEN 5 THEN 7.5 ELSE 1.0 END::DOUBLE AS a, CASE weight WHEN 5 THEN -5.0 WHEN 2 THEN 2.0 ELSE 0.0 END::DOUBLE AS slope,
+         weight::DOUBLE AS whole_area,
          CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole,
          coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY digest, doc_id, size
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       CAST(size * (whole + CASE WHEN 2 * before + size <= 2 * (target - whole * source_size) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM p
+SELECT doc_id, size, source_size, target, CAST(size * passes AS BIGINT) AS taken, POSITIONS
+FROM (SELECT *, CASE WHEN size = 0 THEN 0 ELSE whole + CASE WHEN 2 * before + size <= 2 * (target - whole * source_size) THEN 1 ELSE 0 END END AS passes FROM p) AS q
 """
+_DUE = "coalesce(CAST(before + {n} * source_size AS DOUBLE) / nullif(target, 0), 0.0) * whole_area"
+OP9_SQL = OP9_SQL.replace(
+    "POSITIONS",
+    ", ".join(
+        f"CASE WHEN passes > {n} THEN CASE WHEN {due} < whole_area"
+        f" THEN coalesce(2 * ({due}) / nullif(a + sqrt(greatest(a * a + 2 * slope * ({due}), 0)), 0), 0.0) ELSE 1.0 END END AS position_{n + 1}"
+        for n in range(MAX_REPEAT) for due in [_DUE.format(n=n)]
+    ),
+)

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pricewright.llm.common import cut_lineage, splittable, table
 
 CAPACITY = 2048
+# How much free tokens, pieces and cost weigh in the score of a sequence.
+WEIGHTS = (1.0, 0.2, 0.2)
 END_ID = 0
 SPECIAL = "<|endoftext|>"
 # Texts from this many bytes on, and those that name a special token, are encoded one at a time.
@@ -103,7 +105,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "byte_bp
 
 def plan(
     histogram: dict[int, int], capacity: int = CAPACITY, max_docs: int | None = None, max_cost: int | None = None,
-    rule: str = "norm", weights: tuple[float, float, float] = (1.0, 0.0, 0.0),
+    rule: str = "norm", weights: tuple[float, float, float] = WEIGHTS,
 ) -> list[tuple[int, list[tuple[int, int]]]]:
     """Kinds of sequences: (how many, [(length, pieces of it in one sequence), ...]).
 
@@ -188,7 +190,7 @@ def place(ranked: DataFrame, plan_slots) -> DataFrame:
 
 def pack(
     docs: DataFrame, capacity: int = CAPACITY, max_docs: int | None = None, max_cost: int | None = None,
-    rule: str = "norm", weights: tuple[float, float, float] = (1.0, 0.0, 0.0),
+    rule: str = "norm", weights: tuple[float, float, float] = WEIGHTS,
     vocabulary: str = "byte_bpe_50k.json", with_ids: bool = False,
 ) -> DataFrame:
     """One row per piece with its sequence and its offset there; gapless from 0 in every sequence.
@@ -208,6 +210,10 @@ def pack(
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents packed into sequences of 2048 tokens; neither pieces nor cost bind."""
+    """All documents packed into sequences of 2048 tokens.
+
+    The score weighs all three residuals. No bound on pieces or cost is set beyond what 2048 tokens imply, as the contract
+    asks for as few sequences as can be.
+    """
     packed = pack(table(spark, sf_dir, "documents"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

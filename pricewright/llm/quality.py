@@ -173,7 +173,8 @@ def judged(counted: DataFrame, known: DataFrame, with_rows: bool = False) -> Dat
         _guarded(F.col("n.words"), F.col("ref_words"), GUARD_WORDS).alias("word_distance"),
     )
     near = (F.col("char_distance") <= MAX_CHAR_DISTANCE) & (F.col("word_distance") <= MAX_WORD_DISTANCE)
-    return rows.withColumn("kept", ~F.col("base_failed") & near)
+    # One condition that needs both sides of the join: a half on its own would be pushed below it and count every text again.
+    return rows.withColumn("kept", F.when(near, ~F.col("base_failed")).otherwise(False))
 
 
 def quality(docs: DataFrame) -> DataFrame:

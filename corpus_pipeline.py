@@ -15,6 +15,9 @@ from pricewright.llm import linededup, mixing, packing, quality, simhash
 from pricewright.llm.common import table
 from pricewright.session import ensure_checkpoint_dir
 
+# Pieces that one training sequence holds at most, so that its document mask stays short.
+MAX_DOCS = 64
+
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules; references come from the documents themselves."""
@@ -41,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and offset."""
-    return packing.pack(docs)
+    return packing.pack(docs, max_docs=MAX_DOCS)
 
 
 STAGES = [

@@ -36,14 +36,57 @@ def snap(c: Column | str, digits: int = MONEY_DIGITS) -> Column:
     return F.floor(number(c) * scale + 0.5) / scale
 
 
+def limbs(c: Column | str, digits: int = MONEY_DIGITS) -> tuple[Column, Column]:
+    """High and low whole-number part of a number in units of 10**-digits; both add up on their own. NaN counts as null."""
+    units = F.rint(F.nanvl(number(c), F.lit(None).cast("double")) * float(10**digits))
+    high = F.floor(units / float(LOW_UNITS))
+    return high, (units - high * float(LOW_UNITS)).cast("bigint")
+
+
+def joined(high: Column | str, low: Column | str, digits: int = MONEY_DIGITS) -> Column:
+    """The number whose summed parts these are, as the double nearest to the exact sum.
+
+    Sums below 2**62 units are joined as one whole number, only larger ones as a decimal, which costs a big-integer operation.
+    """
+    high, low = column(high), column(low)
+    fits = (F.abs(high) < 2**37) & (low < 2**61)
+    wide = high.cast("decimal(20,0)") * F.lit(Decimal(LOW_UNITS)) + low.cast("decimal(20,0)")
+    return F.when(fits, (high * F.lit(LOW_UNITS).cast("bigint") + low).cast("double")).otherwise(wide.cast("double")) / float(10**digits)
+
+
 def total(c: Column | str, digits: int = MONEY_DIGITS, over: WindowSpec | None = None) -> Column:
     """Exact sum of a number column in whole units of 10**-digits; NaN counts as null."""
-    scale = float(10**digits)
-    units = F.rint(F.nanvl(number(c), F.lit(None).cast("double")) * scale)
-    high = F.floor(units / float(LOW_UNITS))
-    parts = [F.sum(high), F.sum((units - high * float(LOW_UNITS)).cast("bigint"))]
-    high, low = [(p if over is None else p.over(over)).cast("decimal(20,0)") for p in parts]
-    return (high * F.lit(Decimal(LOW_UNITS)) + low).cast("double") / scale
+    high, low = [F.sum(p) if over is None else F.sum(p).over(over) for p in limbs(c, digits)]
+    return joined(high, low, digits)
+
+
+def whole_units(c: Column | str, digits: int = MONEY_DIGITS) -> Column:
+    """A number in whole units of 10**-digits; NaN counts as null."""
+    return F.rint(F.nanvl(number(c), F.lit(None).cast("double")) * float(10**digits)).cast("decimal(19,0)")
+
+
+def moments(c: Column | str, digits: int = MONEY_DIGITS) -> dict[str, Column]:
+    """Aggregates n, s1 and s2 of a number column: count, exact sum and exact sum of squares in whole units.
+
+    Whole numbers merge to the same bits in any order. Squares add up to 38 digits: prices up to a million fill them after
+    10**14 rows.
+    """
+    units = whole_units(c, digits)
+    return {"n": F.count(units), "s1": F.sum(units.cast("decimal(38,0)")), "s2": F.sum((units * units).cast("decimal(38,0)"))}
+
+
+def sample_deviation(n: str, s1: str, s2: str, digits: int = MONEY_DIGITS) -> Column:
+    """Sample deviation from ``moments``; null for fewer than two values.
+
+    Squares are centred on the whole number q next to the mean before anything is rounded: with s1 = q*n + r the
+    squared distances to q add up to s2 - q*(s1 + r), a whole number, and their mean differs from q by r / n, at most a half.
+    """
+    many = f"CAST({n} AS DECIMAL(18,0))"
+    q = f"CAST((2 * {s1} + IF({s1} < 0, -{many}, {many})) div (2 * {many}) AS DECIMAL(19,0))"
+    r = f"CAST({s1} - {q} * {many} AS DECIMAL(38,0))"
+    squares = f"CAST({s2} - CAST({q} * CAST({s1} + {r} AS DECIMAL(38,0)) AS DECIMAL(38,0)) AS DOUBLE)"
+    variance = f"({squares} - CAST({r} AS DOUBLE) * CAST({r} AS DOUBLE) / {n}) / ({n} - 1)"
+    return F.expr(f"CASE WHEN {n} > 1 THEN sqrt(greatest({variance}, 0.0D)) / {float(10**digits)}D END")
 
 
 def exact_mean(c: Column | str, digits: int = MONEY_DIGITS) -> Column:

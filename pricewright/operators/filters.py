@@ -46,9 +46,28 @@ def horizon(
     fwd: int = 0,
     month_aligned: bool = True,
     closed: bool = False,
+    month: str | None = None,
 ) -> DataFrame:
-    """Rows of the rolling month window around ``as_of`` (see ``in_horizon``)."""
-    return df.where(in_horizon(col, as_of, back, fwd, month_aligned, closed))
+    """Rows of the rolling month window around ``as_of`` (see ``in_horizon``).
+
+    ``month`` names the column of a fact laid out by month that holds the first of the month of ``col``. The window implies a
+    range of it, which is stated as well: folders outside are not read.
+    """
+    rows = df.where(in_horizon(col, as_of, back, fwd, month_aligned, closed))
+    if month is None:
+        return rows
+    lower, upper = window_bounds(as_of, back, fwd, month_aligned, closed)
+    return rows.where((F.col(month) >= F.trunc(lower, "month")) & (F.col(month) <= F.trunc(upper, "month")))
+
+
+def window_bounds(
+    as_of: Column | date | str, back: int, fwd: int = 0, month_aligned: bool = True, closed: bool = False
+) -> tuple[Column, Column]:
+    """First day of the window and the day it ends at."""
+    day = as_of_date(as_of)
+    first = F.trunc(day, "month")
+    lower = F.add_months(first if month_aligned else day, -back)
+    return lower, F.add_months(first if month_aligned and not closed else day, fwd)
 
 
 def in_horizon(
@@ -65,10 +84,7 @@ def in_horizon(
     upper bound itself. With ``month_aligned`` and ``closed`` the window runs
     from the first of the month ``back`` months ago up to and with ``as_of``.
     """
-    day = as_of_date(as_of)
-    first = F.trunc(day, "month")
-    lower = F.add_months(first if month_aligned else day, -back)
-    upper = F.add_months(first if month_aligned and not closed else day, fwd)
+    lower, upper = window_bounds(as_of, back, fwd, month_aligned, closed)
     value = column(col)
     return (value >= lower) & ((value <= upper) if closed else (value < upper))
 

@@ -10,7 +10,7 @@ from pricewright import values
 from pricewright.functions.dates import (
     days_elapsed, days_remaining, iso_week, iso_year, month_start, same_month,
 )
-from pricewright.functions.numbers import exact_mean, number, ratio, total
+from pricewright.functions.numbers import exact_mean, moments, number, ratio, sample_deviation, total
 from pricewright.operators.joins import lookup, splittable, with_group
 
 
@@ -26,10 +26,13 @@ def branch_capacity(targets: DataFrame, keys: list[str], target: str = "target")
 
 
 def home_branch(targets: DataFrame, agent: list[str], branch: str, capacity: str) -> DataFrame:
-    """The branch of greatest capacity per agent; ties are all kept."""
-    per_branch = targets.groupBy(*agent, branch).agg(F.max(capacity).alias(capacity))
-    best = per_branch.groupBy(*agent).agg(F.max(capacity).alias(capacity))
-    return per_branch.join(best, [*agent, capacity], "left_semi")
+    """The branch of greatest capacity per agent; ties are all kept, agents without any capacity left out.
+
+    An agent has at most as many rows as there are branches, and each task keeps only its best ones before the shuffle.
+    """
+    per_branch = targets.groupBy(*agent, branch).agg(F.max(capacity).alias(capacity)).where(F.col(capacity).isNotNull())
+    best = Window.partitionBy(*agent).orderBy(F.col(capacity).desc())
+    return per_branch.withColumn("_rank", F.rank().over(best)).where("_rank = 1").drop("_rank")
 
 
 def run_rate(
@@ -66,11 +69,14 @@ def run_rate(
 
 
 def price_std(df: DataFrame, keys: list[str], price: str, approved: str) -> DataFrame:
-    """Each row with the sample deviation of the approved prices of its group, 0 for one price."""
+    """Each row with the sample deviation of the approved prices of its group, 0 for one price.
+
+    Moments are added exactly, so the deviation does not depend on how the rows are dealt out.
+    """
     kept = F.when(F.col(approved), number(price))
-    grouped = with_group(df, keys, _n=F.count(kept), _std=F.stddev_samp(kept))
-    std = F.when(F.col("_n") > 1, F.col("_std")).when(F.col("_n") == 1, F.lit(0.0))
-    return grouped.withColumn("price_std", F.round(std, 3)).drop("_n", "_std")
+    grouped = with_group(df, keys, **{f"_{name}": agg for name, agg in moments(kept).items()})
+    std = F.when(F.col("_n") == 1, F.lit(0.0)).otherwise(sample_deviation("_n", "_s1", "_s2"))
+    return grouped.withColumn("price_std", F.round(std, 3)).drop("_n", "_s1", "_s2")
 
 
 def own_price_ref(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricewright import values
-from pricewright.functions.numbers import add, number, ratio, signed_sum, total
+from pricewright.functions.numbers import add, joined, limbs, number, ratio, signed_sum, total
 from pricewright.operators.joins import lookup, splittable
 from pricewright.operators.price import own_costs, with_costs
 
@@ -59,44 +61,61 @@ def margin_rollup(
     weighted: dict[str, tuple[str, str]] | None = None,
     label: str = "grain",
 ) -> DataFrame:
-    """The same measures at several grains in one scan and one shuffle.
+    """The same measures at several grains, each summed from the nearest finer one.
 
     ``weighted`` maps an output to (price, weight): the weighted mean sum(price*weight) /
     sum(weight) and, as ``<output>_reciprocal``, sum(price) / sum(price*weight). Columns
     outside a grain are null; ``label`` names the grain, so a null key in the data is never
     mistaken for a rolled-up one.
+
+    The detail is shuffled once, to the finest grain (``lattice``). Partial sums stay in whole-number parts that add up exactly,
+    so a grain is the same from whichever finer one it comes, and every sum is combined before its shuffle. Grains
+    that read the same finer one share its shuffle.
     """
     dims = list(dict.fromkeys(c for cols in grains.values() for c in cols))
     weighted = weighted or {}
-    base = df.select(
-        *dims,
-        *sums,
-        *[F.col(price).alias(f"_p_{name}") for name, (price, _) in weighted.items()],
-        *[F.col(weight).alias(f"_w_{name}") for name, (_, weight) in weighted.items()],
-    )
-    aggs = [total(c).alias(c) for c in sums]
-    for name in weighted:
-        aggs += [
-            total(f"_p_{name}").alias(f"_sp_{name}"),
-            total(f"_w_{name}").alias(f"_sw_{name}"),
-            total(F.col(f"_p_{name}") * F.col(f"_w_{name}")).alias(f"_spw_{name}"),
-        ]
-    rolled = base.groupingSets(
-        [[F.col(c) for c in cols] for cols in grains.values()], *[F.col(c) for c in dims]
-    ).agg(*aggs, F.grouping_id().alias("_gid"))
-    chain = F
-    for name, cols in grains.items():
-        bits = sum(1 << (len(dims) - 1 - i) for i, c in enumerate(dims) if c not in cols)
-        chain = chain.when(F.col("_gid") == bits, F.lit(name))
-    return rolled.select(
-        chain.alias(label),
+    # Every number that is summed, once: (column,) or (price, weight) for their product.
+    sources = [*[(c,) for c in sums], *[x for p, w in weighted.values() for x in ((p,), (w,), (p, w))]]
+    place = {source: n for n, source in enumerate(dict.fromkeys(sources))}
+    parts = [limbs(reduce(lambda x, y: x * y, map(F.col, source))) for source in place]
+    state = [f"{side}_{n}" for n in place.values() for side in "hl"]
+    detail = df.select(*dims, *[part.alias(name) for name, part in zip(state, [x for pair in parts for x in pair])])
+    frames: dict[tuple[str, ...], DataFrame] = {}
+    for cols, source in lattice(list(grains.values())):
+        above = detail if source is None else frames[source]
+        frames[cols] = above.groupBy(*cols).agg(*[F.sum(c).alias(c) for c in state])
+    kinds = {c: df.schema[c].dataType.simpleString() for c in dims}
+    each = [
+        frames[tuple(sorted(set(cols)))].selectExpr(
+            f"'{name}' AS `{label}`", *[f"`{c}`" if c in cols else f"CAST(NULL AS {kinds[c]}) AS `{c}`" for c in dims], *state
+        )
+        for name, cols in grains.items()
+    ]
+    own = {source: joined(f"h_{n}", f"l_{n}") for source, n in place.items()}
+    return reduce(DataFrame.unionAll, each).select(
+        label,
         *dims,
-        *sums,
-        *[ratio(f"_spw_{n}", f"_sw_{n}").alias(n) for n in weighted],
-        *[ratio(f"_sp_{n}", f"_spw_{n}").alias(f"{n}_reciprocal") for n in weighted],
+        *[own[(c,)].alias(c) for c in sums],
+        *[ratio(own[(p, w)], own[(w,)]).alias(n) for n, (p, w) in weighted.items()],
+        *[ratio(own[(p,)], own[(p, w)]).alias(f"{n}_reciprocal") for n, (p, w) in weighted.items()],
     )
 
 
+def lattice(grains: list[list[str]]) -> list[tuple[tuple[str, ...], tuple[str, ...] | None]]:
+    """(grain, the grain it is summed from) in an order that makes each from one made before; None is the detail.
+
+    A grain comes from the one with the fewest columns among those that hold all of its own. Where several grains have no
+    finer one, all their columns together make a grain of their own that is summed first.
+    """
+    made = sorted({tuple(sorted(set(g))) for g in grains}, key=lambda g: (-len(g), g))
+    finer = {g: [f for f in made if set(g) < set(f)] for g in made}
+    roots = [g for g in made if not finer[g]]
+    if len(roots) > 1:
+        whole = tuple(sorted({c for g in roots for c in g}))
+        made, finer = [whole, *made], {whole: [], **{g: [*fs, whole] for g, fs in finer.items()}}
+    return [(g, min(finer[g], key=lambda f: (len(f), f)) if finer[g] else None) for g in made]
+
+
 def trailing_means(
     df: DataFrame,
     keys: list[str],

@@ -116,15 +116,44 @@ def parse_target_key(df: DataFrame, key: str, with_branch: bool) -> DataFrame:
     )
 
 
+# Field in which the parsers leave a record they cannot read whole.
+DAMAGED = "_damaged"
+
+
 def flatten_json(df: DataFrame, col: str, schema: str | StructType, fields: dict[str, str]) -> DataFrame:
-    """JSON text to columns; ``fields`` maps a dotted path to an output name."""
+    """JSON text to columns; ``fields`` maps a dotted path to an output name. ``split_json`` keeps damaged records apart."""
     parsed = df.withColumn("_rec", F.from_json(col, schema))
     keep = [F.col(c) for c in df.columns if c != col]
     return parsed.select(*keep, *[F.col(f"_rec.{p}").alias(n) for p, n in fields.items()])
 
 
 def flatten_xml(df: DataFrame, col: str, schema: str, fields: dict[str, str]) -> DataFrame:
-    """XML record text to columns; tags outside ``fields`` (envelopes) are dropped."""
+    """XML record text to columns; tags outside ``fields`` (envelopes) are dropped. ``split_xml`` keeps damaged records apart."""
     parsed = df.withColumn("_rec", F.from_xml(col, schema))
     keep = [F.col(c) for c in df.columns if c != col]
     return parsed.select(*keep, *[F.col(f"_rec.{p}").alias(n) for p, n in fields.items()])
+
+
+def split_json(df: DataFrame, col: str, schema: str, fields: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(records flattened, damaged records as they came): every row is in one of the two.
+
+    Damaged is a text that is not one JSON record, one with a field of another type than ``schema`` states, and a null or blank one.
+    The rejected rows keep all columns, the text among them. ``schema`` is a DDL list of fields.
+    """
+    record = F.from_json(col, f"{schema}, {DAMAGED} string", {"columnNameOfCorruptRecord": DAMAGED})
+    # The parser stops behind the first record; what follows it shows in the length of an array around the text.
+    alone = F.json_array_length(F.concat(F.lit("["), F.col(col), F.lit("]"))) == 1
+    return _split(df, col, F.when(alone, record), fields)
+
+
+def split_xml(df: DataFrame, col: str, schema: str, fields: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """The same for XML record texts."""
+    return _split(df, col, F.from_xml(col, f"{schema}, {DAMAGED} string", {"columnNameOfCorruptRecord": DAMAGED}), fields)
+
+
+def _split(df: DataFrame, col: str, record: Column, fields: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    parsed = df.withColumn("_rec", record)
+    damaged = F.col("_rec").isNull() | F.col(f"_rec.{DAMAGED}").isNotNull() | (F.trim(col) == "")
+    keep = [F.col(c) for c in df.columns if c != col]
+    valid = parsed.where(~damaged).select(*keep, *[F.col(f"_rec.{p}").alias(n) for p, n in fields.items()])
+    return valid, parsed.where(damaged).select(*df.columns)

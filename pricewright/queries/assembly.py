@@ -233,7 +233,7 @@ LEDGER_DAY = "2024-01-20"
 LEDGER_COLUMNS = ["id", "date", "seller", "branch", "approved_manually", "approved_automatically"]
 
 
-def _ledger(spark, sf):
+def ledger_inputs(spark, sf):
     day = F.lit(LEDGER_DAY).cast("date")
     rows = _collected(spark, sf)
     valid, _ = filters.quarantine(rows, REQUIRED)
@@ -270,7 +270,7 @@ FROM whole
 
 @query("ledger_merge", tidy_sql(LEDGER_SQL, LEDGER_COLUMNS, ["price"]))
 def ledger_merge(spark, sf):
-    old, batch, reviews = _ledger(spark, sf)
+    old, batch, reviews = ledger_inputs(spark, sf)
     return tidy(ledger.ledger_merge(old, batch, reviews, LEDGER_DAY).select(*LEDGER_COLUMNS, "price"))
 
 
@@ -284,7 +284,7 @@ def ledger_merge(spark, sf):
     """,
 )
 def review_worklist(spark, sf):
-    old, batch, reviews = _ledger(spark, sf)
+    old, batch, reviews = ledger_inputs(spark, sf)
     merged = ledger.ledger_merge(old, batch, reviews, LEDGER_DAY)
     return tidy(ledger.worklist(merged, LEDGER_DAY, ["price"]).drop("approved_manually"))
 

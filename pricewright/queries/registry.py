@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pricewright.queries import assembly, dims, jobs, margins, pricing, selection, targets
+from pricewright.queries import assembly, dims, jobs, margins, pricing, selection, stored, targets
 
-FAMILIES = [selection, pricing, margins, targets, assembly, dims, jobs]
+FAMILIES = [selection, pricing, margins, targets, assembly, dims, jobs, stored]
 
 
 def queries() -> dict:

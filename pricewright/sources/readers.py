@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from pricewright.operators.reshape import split_json
+
 
 def read_table(
     spark: SparkSession,
@@ -41,6 +43,30 @@ def read_result(spark: SparkSession, path: str, schema: StructType | str) -> Dat
     return spark.read.schema(schema).options(header=True, sep=",", encoding="UTF-8", escape='"').csv(path)
 
 
+def split_delimited(
+    spark: SparkSession, path: str, schema: StructType, sep: str = ";", encoding: str = "ISO-8859-1", raw: str = "raw_line"
+) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit the schema, damaged lines) of a delimited file with header; every line is in one of the two.
+
+    A line with fewer or more fields than the schema, or a field of another type, is damaged: it keeps the fields that
+    could be read and its text in ``raw``.
+    """
+    whole = spark.read.schema(StructType([*schema.fields]).add(raw, "string")).options(
+        header=True, sep=sep, encoding=encoding, mode="PERMISSIVE", columnNameOfCorruptRecord=raw
+    ).csv(path)
+    # The reader refuses to give the damaged text alone, so the test also looks at a field.
+    first = F.length(F.coalesce(F.col(schema.fields[0].name).cast("string"), F.lit("")))
+    damaged = F.col(raw).isNotNull() & (first >= 0)
+    return whole.where(~damaged).drop(raw), whole.where(damaged)
+
+
+def split_json_records(
+    spark: SparkSession, path: str, schema: str, fields: dict[str, str], raw: str = "raw_line"
+) -> tuple[DataFrame, DataFrame]:
+    """(records flattened, damaged lines) of a file with one JSON record per line; blank lines are damaged."""
+    return split_json(spark.read.text(path).withColumnRenamed("value", raw), raw, schema, fields)
+
+
 def read_json_records(
     spark: SparkSession, path: str, schema: StructType | str, fields: dict[str, str], multi_line: bool = False
 ) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 VERSION = "version="
 # Spark's writer leaves this file when all tasks of a write have been committed.
 COMPLETE = "_SUCCESS"
+# Partition column of facts laid out by month.
+MONTH = "month_start"
 # Spark's readers pass over folders that start with an underscore.
 PENDING = "_pending"
 
@@ -30,6 +32,17 @@ def write_compacted(df: DataFrame, path: str, partition_by: list[str] | None = N
     write_table(hinted, path, partition_by)
 
 
+def write_by_month(df: DataFrame, path: str, day: str, cluster: list[str] | None = None, month: str = MONTH) -> None:
+    """Overwrite a fact laid out for horizons: a folder per month of ``day``, files sorted by day and ``cluster``.
+
+    Rows are dealt out by ranges of (month, day, cluster), so a large month has many files, each with a narrow range that readers
+    skip by its statistics, and a small one few. Rows without a day have a folder of their own.
+    """
+    order = [month, day, *(cluster or [])]
+    laid = df.withColumn(month, F.trunc(F.col(day).cast("date"), "month")).repartitionByRange(*order)
+    write_table(laid.sortWithinPartitions(*order), path, [month])
+
+
 def append_batch(df: DataFrame, path: str, batch: str, partition_by: list[str] | None = None) -> bool:
     """Add a landed batch to a table of batches; says whether it has rows.
 

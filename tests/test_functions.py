@@ -149,3 +149,28 @@ def test_parse_time_keeps_the_time_of_day(spark):
     rows = spark.createDataFrame([("2020-01-02 20:00:01",), ("2020/01/02",), ("2020.01.02T08:00:00",), ("x",)], "c string")
     got = [str(r[0]) for r in rows.select(dates.parse_time("c")).collect()]
     assert got == ["2020-01-02 20:00:01", "2020-01-02 00:00:00", "2020-01-02 08:00:00", "None"]
+
+
+def test_deviation_has_the_same_bits_at_every_partitioning(spark):
+    import random
+    import statistics
+    from fractions import Fraction
+
+    rng = random.Random(4)
+    values = {k: [base + round(rng.uniform(-1, 1), 6) for _ in range(500)] for k, base in enumerate([0, 1e9, -1e9, 7.5, -0.001])}
+    values |= {10: [3.25], 11: [], 12: [2.0, 2.0, 2.0], 13: [1e-6, 0.0], 14: [float("nan"), 1.0, 2.0], 15: [-1.0, 1.0], 16: [9e9, 9e9 + 1e-6]}
+    data = [(k, v) for k, vs in values.items() for v in vs] + [(11, None)]
+    seen = set()
+    for parts in (1, 3, 7, 16):
+        rng.shuffle(data)
+        df = spark.createDataFrame(data, "k int, v double").repartition(parts)
+        got = df.groupBy("k").agg(*[a.alias(n) for n, a in numbers.moments("v").items()])
+        seen.add(tuple(sorted((r.k, r.d) for r in got.select("k", numbers.sample_deviation("n", "s1", "s2").alias("d")).collect())))
+    assert len(seen) == 1
+    for k, d in seen.pop():
+        own = [Fraction(round(v * 1e6), 10**6) for v in values[k] if v == v]
+        if len(own) < 2:
+            assert d is None
+        else:
+            want = float(statistics.variance(own)) ** 0.5
+            assert abs(d - want) <= 1e-14 * max(want, 1e-9), (k, d, want)

@@ -81,10 +81,51 @@ def test_filter_and_columns_reach_the_scan(spark, sf_dir):
     assert "l_extendedprice" not in schema and "l_shipdate" not in schema
 
 
-def test_rollup_scans_once(spark, sf_dir):
-    plan = plan_of(registry.queries()["gross_profit_rollup"](spark, sf_dir))
+def test_rollup_shuffles_its_detail_once(spark, sf_dir):
+    """No detail row is copied per grain; coarse grains read the shuffles of finer ones."""
+    plan = final_plan(registry.queries()["gross_profit_rollup"](spark, sf_dir)).split("== Initial Plan ==")[0]
     scans = [line for line in plan.splitlines() if "FileScan" in line and "lineitem" in line]
-    assert len(scans) == 1 and "Expand" in plan
+    assert len(scans) == 1 and "Expand" not in plan and plan.count("ReusedExchange") >= 3
+
+
+def test_grains_come_from_the_nearest_finer_one():
+    from pricewright.operators.margin import lattice
+    from pricewright.plans.marts import MARGIN_GRAINS
+
+    assert lattice([["a", "b"], ["b"], ["b", "c"], ["b"]]) == [
+        (("a", "b", "c"), None), (("a", "b"), ("a", "b", "c")), (("b", "c"), ("a", "b", "c")), (("b",), ("a", "b")),
+    ]
+    made = dict(lattice(list(MARGIN_GRAINS.values())))
+    assert [g for g, source in made.items() if source is None] == [tuple(sorted(MARGIN_GRAINS["order_item_month"]))]
+    assert made[tuple(sorted(MARGIN_GRAINS["group"]))] == tuple(sorted(MARGIN_GRAINS["group_org"]))
+
+
+def test_hierarchy_reads_its_texts_once(spark, sf_dir):
+    plan = plan_of(registry.queries()["prefix_hierarchy"](spark, sf_dir))
+    assert sum("FileScan" in line and "r_name" in line for line in plan.splitlines()) == 1
+
+
+def test_hot_prefix_is_split(spark, small_limits):
+    """All codes share their first level."""
+    from pricewright.operators.reshape import prefix_hierarchy
+
+    codes = spark.range(60_000).select(F.concat(F.lit("A"), F.lpad(F.col("id").cast("string"), 8, "0")).alias("c"))
+    texts = codes.select("c", F.concat(F.lit("t"), "c").alias("t")).unionByName(spark.createDataFrame([("A", "top")], "c string, t string"))
+    got = prefix_hierarchy(codes, "c", texts, "c", "t", [1, 5, 9])
+    assert "skew=true" in final_plan(got)
+    assert got.where("desc_1 = 'top' AND desc_2 IS NULL AND desc_3 = concat('t', c)").count() == 60_000
+
+
+def test_home_branch_is_one_pass(spark):
+    from pricewright.operators.kpi import home_branch
+
+    rows = [(f"a{i % 3}" if i % 2 else "hot", f"b{i % 9}", float(i % 9 // 2)) for i in range(900)] + [("none", "b", None)]
+    df = spark.createDataFrame(rows, "agent string, branch string, capacity double")
+    got = home_branch(df, ["agent"], "branch", "capacity")
+    plan = plan_of(got)
+    assert "WindowGroupLimit" in plan and "Join" not in plan
+    assert sorted(r.branch for r in got.where("agent = 'hot'").collect()) == ["b8"]
+    assert got.where("agent = 'none'").count() == 0
 
 
 @pytest.mark.parametrize("name", ["own_price_ref", "forecast_allocation", "next_month_variance"])

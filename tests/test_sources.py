@@ -6,6 +6,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from pricewright.operators import reshape
+from pricewright.operators.filters import horizon
 from pricewright.session import ensure_checkpoint_dir
 from pricewright.sources import readers, writers
 from pricewright.streaming import landing
@@ -221,3 +223,59 @@ def test_ledger_by_day(spark, tmp_path):
     assert kept and kept.items() <= _files(path).items()
     merge_day(spark, str(path), batch, reviews, "2020-03-21", since="2020-03-14")
     assert listed(spark.read.parquet(str(path))) == want and kept.items() <= _files(path).items()
+
+
+# --- damaged records -------------------------------------------------------------------------------------
+
+def test_every_json_line_is_valid_or_rejected(spark, tmp_path):
+    lines = [
+        '{"id": 1, "uf": {"sigla": "SP"}}', '{"id": 2, "uf": null}', '{"id": 3, "uf": {"sigla": "RJ"', "no record", "", "   ", "[1, 2]",
+        '{"id": "four", "uf": {"sigla": "MG"}}', '{"other": 5}', '{"id": 6} trailing', "null",
+    ]
+    (tmp_path / "c.json").write_text("\n".join(lines) + "\n")
+    valid, rejected = readers.split_json_records(
+        spark, str(tmp_path / "c.json"), "id bigint, uf struct<sigla: string>", {"id": "ID", "uf.sigla": "UF"}
+    )
+    assert {tuple(r) for r in valid.collect()} == {(1, "SP"), (2, None), (None, None)}
+    bad = sorted(r[0] for r in rejected.collect())
+    assert valid.count() + len(bad) == len(lines)
+    assert set(lines[2:8]) <= set(bad)
+
+
+def test_every_csv_line_is_valid_or_rejected(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_bytes("nome;n;uf\nSão Paulo;1;SP\nRio;x;RJ\nNatal;3\nBelém;4;PA;extra\n;;\n".encode("ISO-8859-1"))
+    schema = readers.all_text(["nome"]).add("n", "integer").add("uf", "string")
+    valid, rejected = readers.split_delimited(spark, str(path), schema)
+    assert sorted(map(tuple, valid.collect()), key=str) == sorted([("São Paulo", 1, "SP"), (None, None, None)], key=str)
+    assert sorted(r.raw_line for r in rejected.collect()) == ["Belém;4;PA;extra", "Natal;3", "Rio;x;RJ"]
+    assert valid.select("nome").count() == 2 and rejected.select("nome").count() == 3
+
+
+def test_every_xml_record_is_valid_or_rejected(spark):
+    texts = ["<S><a>1</a><b>x</b></S>", "<S><a>2</a></S>", "<S><a>3</a>", "none", None, "", "<S><a>y</a></S>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
+    valid, rejected = reshape.split_xml(df, "t", "a int, b string", {"a": "A", "b": "B"})
+    got = {r.n: (r.A, r.B) for r in valid.collect()}
+    bad = {r.n: r.t for r in rejected.collect()}
+    assert got == {0: (1, "x"), 1: (2, None)} and bad == {n: t for n, t in enumerate(texts) if n > 1}
+
+
+# --- facts laid out by month ------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("aligned, closed, fwd", [(True, False, 1), (False, False, 0), (True, True, 0), (False, True, 2)])
+def test_horizon_reads_its_months_only(spark, tmp_path, aligned, closed, fwd):
+    path = str(tmp_path / "fact")
+    df = spark.range(4000).select("id", F.expr("if(id % 97 = 0, null, date_add(DATE'2019-01-03', int(id % 900)))").alias("day"), (F.col("id") % 7).alias("k"))
+    writers.write_by_month(df, path, "day", ["k"])
+    fact = spark.read.parquet(path)
+    args = ("day", "2020-05-17", 3, fwd, aligned, closed)
+    got = horizon(fact, *args, month=writers.MONTH)
+    plan = got._jdf.queryExecution().executedPlan()
+    scan = next(line for line in plan.toString().splitlines() if "FileScan" in line)
+    assert "PartitionFilters: [isnotnull(month_start" in scan
+    folders = {f.split("month_start=")[1].split("/")[0] for f in got.inputFiles()}
+    read = {r[0].split("month_start=")[1].split("/")[0] for r in got.select(F.input_file_name()).distinct().collect()}
+    assert read <= {f"2020-{m:02d}-01" for m in range(2, 8)} and len(folders) > len(read)
+    want = horizon(df, *args)
+    assert rows(got.select("id", "day", "k"), "id") == rows(want, "id") != []

@@ -27,7 +27,7 @@ from pricewright.llm.common import cut_lineage, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 # Code points that are encoded at once, and that one row of a longer text holds.
-LEAF, SEGMENT = 2048, 32768
+LEAF, SEGMENT = 8192, 65536
 # Neighbours joined in one round; bytes of the first window; tokens of the first window inside a match.
 FAN, WINDOW, TOKENS = 8, 48, 8
 # Bytes of text after which a task hands on what it has encoded.
@@ -55,21 +55,27 @@ OTHERS = [(re.compile(f"[{kind}]"), re.compile(f"[^{kind}]")) for name, kind in
 CONTRACTION = 3
 
 
+def token_bytes(vocabulary: str) -> list[bytes]:
+    """The bytes of every id of a rank file; ids without a token have none."""
+    import base64
+
+    import public_tokenizers as public
+
+    with open(public.path(vocabulary), "rb") as lines:
+        ranks = {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, lines)}
+    return [ranks.get(rank, b"") for rank in range(max(ranks) + 1)]
+
+
 class Codec:
-    """Tokens of a rank file: ``encode`` by halves, ``join`` of two encoded neighbours, ``decode``."""
+    """Tokens of a rank file: ``encode`` by halves, ``join`` of two encoded neighbours, their bytes."""
 
     def __init__(self, vocabulary: str = VOCABULARY, leaf: int = LEAF, window: int = WINDOW):
-        import base64
-
         import public_tokenizers as public
         import tiktoken
 
-        with open(public.path(vocabulary), "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.token = token_bytes(vocabulary)
+        ranks = {token: rank for rank, token in enumerate(self.token) if token}
         self.encoding = tiktoken.Encoding("ranks", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.token = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.token[rank] = token
         self.longest = max(map(len, ranks))
         self.leaf, self.window = leaf, window
 
@@ -85,11 +91,8 @@ class Codec:
             nodes = [self.join(*nodes[i : i + 2]) if i + 1 < len(nodes) else nodes[i] for i in range(0, len(nodes), 2)]
         return nodes[0] if nodes else []
 
-    def decode(self, ids: list[int]) -> bytes:
-        if len(ids) <= self.leaf:
-            return b"".join(map(self.token.__getitem__, ids))
-        half = len(ids) // 2
-        return self.decode(ids[:half]) + self.decode(ids[half:])
+    def bytes_of(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.token.__getitem__, ids))
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """Tokens of the concatenated text from the tokens of its two parts."""
@@ -133,7 +136,7 @@ class Codec:
         while count < len(left) and count < len(right):
             own, its = left[-count:], right[:count]
             outer_left, outer_right = left[-count - 1], right[count]
-            piece_left, piece_right = self.decode(own), self.decode(its)
+            piece_left, piece_right = self.bytes_of(own), self.bytes_of(its)
             if len(piece_left) + len(self.token[outer_left]) > before or len(piece_right) + len(self.token[outer_right]) > after:
                 return None
             found = self.encoding._encode_single_piece(piece_left + piece_right)
@@ -151,14 +154,14 @@ class Codec:
         while i and size < reach:
             i -= 1
             size += len(self.token[ids[i]])
-        return i, self.decode(ids[i:]).decode("utf-8", "ignore")
+        return i, self.bytes_of(ids[i:]).decode("utf-8", "ignore")
 
     def _head(self, ids: list[int], reach: int) -> tuple[int, str]:
         j, size = 0, 0
         while j < len(ids) and size < reach:
             size += len(self.token[ids[j]])
             j += 1
-        return j, self.decode(ids[:j]).decode("utf-8", "ignore")
+        return j, self.bytes_of(ids[:j]).decode("utf-8", "ignore")
 
     def _back(self, ids: list[int], size: int) -> int:
         """Number of tokens before the last ``size`` bytes; a sure cut is a token boundary."""
@@ -205,22 +208,41 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, leaf: int = LEAF, segm
     return short.unionByName(whole)
 
 
-def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def decode(encoded: DataFrame, vocabulary: str = VOCABULARY, leaf: int = LEAF) -> DataFrame:
     """The rows with ``decoded``, the bytes of ``ids``; null ids decode to nothing."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        codec = Codec(vocabulary)
+        tokens = pa.array(token_bytes(vocabulary), pa.large_binary())
         for batch in batches:
-            ids = _lists(batch.column(batch.schema.get_field_index("ids")))
-            decoded = pa.array([codec.decode(i) for i in ids], pa.binary())
+            decoded = decode_lists(tokens, batch.column(batch.schema.get_field_index("ids")), leaf)
             yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [*batch.schema.names, "decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
     return encoded.mapInArrow(run, schema + ", decoded binary")
 
 
+def decode_lists(tokens, ids, leaf: int):
+    """Arrow lists of ids -> their bytes: leaves of ``leaf`` ids first, then ``FAN`` neighbours at a time up to one per row."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    bounds = np.asarray(ids.offsets, dtype=np.int64)
+    nodes, width = tokens.take(ids.values), leaf
+    while True:
+        sizes = np.diff(bounds)
+        above = np.maximum(-(-sizes // width), 1)  # an empty row is one empty node
+        ends = np.concatenate([[0], np.cumsum(above)])
+        row = np.repeat(np.arange(len(sizes)), above)
+        cuts = bounds[row] + (np.arange(ends[-1]) - ends[row]) * width
+        lists = pa.ListArray.from_arrays(pa.array(np.append(cuts, bounds[-1]), pa.int32()), nodes)
+        nodes, bounds, width = pc.binary_join(lists, pa.scalar(b"", nodes.type)), ends, FAN
+        if len(nodes) == len(sizes):
+            return nodes.cast(pa.binary())
+
+
 def _encoder(vocabulary: str, leaf: int, window: int, kept: list[str]):
     """Rows (doc_id, kept columns, text) -> (doc_id, kept columns, ids)."""
 
@@ -239,12 +261,24 @@ def _encoder(vocabulary: str, leaf: int, window: int, kept: list[str]):
                     size, end = size + len(text), end + 1
                     found.append(codec.encode(text))
                 own = [batch.column(n).slice(begin, end - begin) for n in range(batch.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(found, pa.list_(pa.int32()))], names)
+                yield pa.RecordBatch.from_arrays([*own, _column(found)], names)
                 begin = end
 
     return run
 
 
+def _column(rows: list[list[int]]):
+    """Lists of ids as an Arrow column."""
+    from itertools import chain
+
+    import numpy as np
+    import pyarrow as pa
+
+    bounds = np.cumsum([0, *map(len, rows)])
+    values = np.fromiter(chain.from_iterable(rows), dtype=np.int32, count=bounds[-1])
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values))
+
+
 def _lists(column) -> list[list[int]]:
     """Rows of an Arrow list column of whole numbers; a null is empty."""
     import numpy as np

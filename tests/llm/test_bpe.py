@@ -29,7 +29,7 @@ def test_halves_join_to_the_whole(parts):
 @given(st.text(max_size=80), st.text(max_size=80))
 def test_join_is_the_encoding_of_the_concatenation(left, right):
     assert TINY.join(direct(left), direct(right)) == direct(left + right)
-    assert TINY.decode(direct(left + right)) == (left + right).encode()
+    assert TINY.bytes_of(direct(left + right)) == (left + right).encode()
 
 
 @pytest.mark.parametrize("kind", ["a", "ab", "thequickbrown", "1", "0123456789", "=", "-=~", "中文", "xyz'", " ", "\n ", " "])
@@ -68,6 +68,17 @@ def test_trees_of_rows(spark):
     assert bpe.encode(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("leaf", [1, 2, 5, 1000])
+def test_bytes_go_up_the_tree(leaf):
+    import pyarrow as pa
+
+    tokens = pa.array(TINY.token, pa.large_binary())
+    texts = ["", "x", "wörd 中文 " * 50, "", "a b c d e f g h i j", " " * 300]
+    ids = pa.array([[7], *map(direct, texts), None, [8]], pa.list_(pa.int32())).slice(1, len(texts) + 1)
+    assert bpe.decode_lists(tokens, ids, leaf).to_pylist() == [*(t.encode() for t in texts), b""]
+    assert bpe.decode_lists(tokens, ids.slice(0, 0), leaf).to_pylist() == []
+
+
 def test_query_equals_direct_encoding(spark, sf_dir):
     got = {r.doc_id: r for r in registry.queries()["op12_byte_bpe"](spark, sf_dir).collect()}
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()

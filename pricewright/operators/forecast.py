@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricewright import values
-from pricewright.functions.numbers import column, number, ratio, total
+from pricewright.functions.numbers import column, joined, limbs, number, ratio, total
 from pricewright.operators.joins import backfill
 
 
@@ -54,6 +54,7 @@ def allocate_forecast(
     plan: str,
     volume: str,
     unknown: str = values.UNKNOWN_BRANCH,
+    text: str | None = None,
 ) -> DataFrame:
     """Spread a state-level forecast over the branches of the state.
 
@@ -65,32 +66,45 @@ def allocate_forecast(
     * the group did not sell in the state: the plan is split equally over its branches;
     * sales of an unknown branch are carried with a zero plan.
 
-    Known branches add up to the plan again, per parent. Each input is scanned once.
+    Known branches add up to the plan again, per parent. ``text`` names a description of the parent that both inputs have: it
+    goes along with the sums, the smallest one of the plan or, where the plan has none, of the sales. Each input is scanned once,
+    and the sales are combined before their only shuffle.
     """
-    plans = forecast.groupBy(*parent).agg(total(plan).alias("plan"))
+    texts = [text] if text else []
     sites = branches.select(state, branch).where(F.col(branch).isNotNull()).distinct()
-    n_sites = sites.groupBy(state).agg(F.count(F.lit(1)).alias("n_branches"))
-
-    # One row per (plan, branch of its state), which are rows of the result, and the actual
-    # sales beside them; one aggregation brings both to (parent, branch).
-    planned = plans.join(n_sites, state).join(sites, state).withColumn("qty", F.lit(None).cast("double"))
-    sold = actuals.select(
-        *parent,
-        branch,
-        number(volume).alias("qty"),
-        F.lit(None).cast("double").alias("plan"),
-        F.lit(None).cast("bigint").alias("n_branches"),
+    # The group of a state is its branches.
+    sites = sites.withColumn("n_branches", F.count(F.lit(1)).over(Window.partitionBy(state)))
+
+    # Sales per branch and plans per branch of their state, which are rows of the result, side by side. A plan without
+    # any branch stays for its text alone. The text is a key here, as it hardly divides a group, and an aggregate below.
+    high, low = limbs(volume)
+    sold = actuals.select(*parent, branch, *texts, high.alias("_h"), low.alias("_l")).groupBy(*parent, branch, *texts).agg(
+        F.sum("_h").alias("_h"), F.sum("_l").alias("_l")
+    )
+    sold = sold.select(
+        *parent, branch, "_h", "_l", F.lit(None).cast("double").alias("plan"), F.lit(None).cast("bigint").alias("n_branches"),
+        F.lit(True).alias("_is_sold"), F.lit(None).cast("string").alias("_planned"), F.col(text or branch).cast("string").alias("_sold"),
+    )
+    plans = forecast.groupBy(*parent).agg(total(plan).alias("plan"), F.min(F.col(text or plan).cast("string")).alias("_planned"))
+    planned = plans.join(sites, state, "left").select(
+        *parent, branch, *[F.lit(None).cast("bigint").alias(c) for c in ("_h", "_l")], "plan", "n_branches", F.lit(False).alias("_is_sold"),
+        "_planned", F.lit(None).cast("string").alias("_sold"),
     )
     rows = (
-        planned.select(*sold.columns)
-        .unionByName(sold)
+        planned.unionByName(sold)
         .groupBy(*parent, branch)
-        .agg(total("qty").alias("qty"), F.max("plan").alias("plan"), F.max("n_branches").alias("n_branches"))
+        .agg(
+            F.sum("_h").alias("_h"), F.sum("_l").alias("_l"), F.max("plan").alias("plan"), F.max("n_branches").alias("n_branches"),
+            F.max("_is_sold").alias("_is_sold"), F.min("_planned").alias("_planned"), F.min("_sold").alias("_sold"),
+        )
+        .withColumn("qty", joined("_h", "_l"))
     )
     # The group of a parent is now at most the branches of one state.
     known = F.col(branch) != unknown
-    whole = total(F.when(known, F.col("qty")), over=Window.partitionBy(*parent))
-    rows = rows.withColumn("state_qty", whole)
+    group = Window.partitionBy(*parent)
+    whole = joined(*[F.sum(F.when(known, F.col(c))).over(group) for c in ("_h", "_l")])
+    described = F.coalesce(F.min("_planned").over(group), F.min("_sold").over(group))
+    rows = rows.withColumns({"state_qty": whole, "_text": described}).where(F.col(branch).isNotNull() | F.col("_is_sold"))
 
     has_sales, has_plan = F.col("qty").isNotNull(), F.col("plan").isNotNull()
     state_sold = F.col("state_qty").isNotNull()
@@ -110,6 +124,7 @@ def allocate_forecast(
             has_plan,
             F.when(state_sold, F.col("plan") * share).otherwise(ratio("plan", "n_branches")),
         ).alias("pv_done"),
+        *[F.col("_text").alias(c) for c in texts],
     )
 
 

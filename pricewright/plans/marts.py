@@ -77,8 +77,8 @@ MART_KEYS = [
 ]
 
 
-def _items(billing: DataFrame, region: DataFrame, product: DataFrame, as_of: str, fwd: int, gpm_null: bool) -> DataFrame:
-    """Recent billed items; a full repeat of a row counts once."""
+def billed_items(billing: DataFrame, region: DataFrame, product: DataFrame, as_of: str, fwd: int, gpm_null: bool) -> DataFrame:
+    """Recent billed items with their order item (``ITEM``); a full repeat of a row counts once."""
     rows = horizon(scoped_billing(billing, gpm_null), "BILLING_DATE", as_of, 6, fwd=fwd).distinct()
     rows = with_branch(with_products(rows, product), region, "ISSUING_CITY", "ISSUING_STATE")
     return rows.withColumns(
@@ -90,18 +90,27 @@ def _items(billing: DataFrame, region: DataFrame, product: DataFrame, as_of: str
     )
 
 
-def waterfall_mart(billing: DataFrame, region: DataFrame, product: DataFrame, profit: DataFrame, as_of: str) -> DataFrame:
-    """Price waterfall per order item, city and billing date: six months and the current one."""
-    rows = _items(billing, region, product, as_of, fwd=1, gpm_null=True)
-    keys = [*MART_KEYS, "ISSUING_CITY", "BILLING_DATE"]
-    return price_waterfall(rows, keys, margin_columns(profit), ITEM).withColumns(
+WATERFALL_KEYS = [*MART_KEYS, "ISSUING_CITY", "BILLING_DATE"]
+
+
+def waterfall_of(items: DataFrame, costs: DataFrame) -> DataFrame:
+    """The waterfall of billed items beside the costs of their order item.
+
+    Both may be stored facts bucketed by ``ITEM`` (``sources.writers.write_bucketed``): neither is shuffled then.
+    """
+    return price_waterfall(items, WATERFALL_KEYS, costs, ITEM).withColumns(
         {"MONTH_YEAR": month_label("MONTH"), "COUNTRY": F.lit("Brazil")}
     )
 
 
+def waterfall_mart(billing: DataFrame, region: DataFrame, product: DataFrame, profit: DataFrame, as_of: str) -> DataFrame:
+    """Price waterfall per order item, city and billing date: six months and the current one."""
+    return waterfall_of(billed_items(billing, region, product, as_of, fwd=1, gpm_null=True), margin_columns(profit))
+
+
 def dispersion_mart(billing: DataFrame, region: DataFrame, product: DataFrame, profit: DataFrame, as_of: str) -> DataFrame:
     """Price per kg and margin per order item over six full months."""
-    rows = _items(billing, region, product, as_of, fwd=0, gpm_null=False)
+    rows = billed_items(billing, region, product, as_of, fwd=0, gpm_null=False)
     rows = rows.withColumn("practiced_price", normal_price(org="SALES_ORG_COD"))
     return dispersion_map(rows, MART_KEYS, margin_columns(profit), ITEM).withColumn("MONTH_YEAR", month_label("MONTH"))
 

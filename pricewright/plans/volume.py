@@ -219,15 +219,9 @@ def allocated_forecast(forecast: DataFrame, billed: DataFrame, region: DataFrame
     sites = region.select(F.upper(F.trim("IBGE_UF_ACRONYMS")).alias("ISSUING_STATE"), "BRANCH")
     actual = billed.withColumn("OV_AJUST", F.col("SALES_ORG_COD"))
     plan = forecast_of_month(forecast, year_month)
-    out = allocate_forecast(plan, actual, sites, ALLOCATION_PARENT, "ISSUING_STATE", "BRANCH", "PV_BUDGET", "quantity_ton")
-    texts = (
-        plan.select(*ALLOCATION_PARENT, F.col("GPD_DESC").alias("_planned"), F.lit(None).cast("string").alias("_sold"))
-        .unionByName(actual.select(*ALLOCATION_PARENT, F.lit(None).cast("string").alias("_planned"), F.col("GPD_DESC").alias("_sold")))
-        .groupBy(*[F.col(c).alias(f"_{c}") for c in ALLOCATION_PARENT])
-        .agg(F.coalesce(F.min("_planned"), F.min("_sold")).alias("GPD_DESC"))
+    out = allocate_forecast(
+        plan, actual, sites, ALLOCATION_PARENT, "ISSUING_STATE", "BRANCH", "PV_BUDGET", "quantity_ton", text="GPD_DESC"
     )
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ALLOCATION_PARENT]
-    out = out.join(splittable(texts), same, "left").drop(*[f"_{c}" for c in ALLOCATION_PARENT])
     return out.withColumns(
         {
             "YEAR_MONTH": F.lit(year_month), "GPM_DESC": F.coalesce("GPM_DESC", F.lit(values.UNKNOWN_GROUP)),

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from pricewright import values
 from pricewright.plans import dimensions, facts, marts, support, targets, volume
 from pricewright.queries.tables import AS_OF, org_of, org_sql, table, tidy, tidy_sql
+from pricewright.session import ensure_checkpoint_dir
+from pricewright.sources.writers import write_bucketed
 
 QUERIES, ORACLE = {}, {}
 
@@ -337,13 +341,20 @@ MART_NUMBERS = [
     ),
 )
 def waterfall_mart(spark, sf):
+    product = waterfall_products(spark, sf)
+    return _waterfall(marts.waterfall_mart(billing(spark, sf), region_of(table(spark, sf, "nation")), product, profit(spark, sf), AS_OF))
+
+
+def waterfall_products(spark, sf):
     part = table(spark, sf, "part").where(F.col("p_partkey") % 3 == 0)
-    product = part.select(
+    return part.select(
         F.concat(F.lit("000"), F.col("p_partkey").cast("string")).alias("COD_MATERIAL"),
         F.explode(F.array(*map(F.lit, ["BRCG", "BRDI", "BRCC", "BRIN"]))).alias("SALES_ORG_COD"), F.lit("7").alias("COD_GPD"), F.lit("d").alias("DESC_GPD"),
         F.concat(F.lit("PG"), (F.col("p_partkey") % 5).cast("string")).alias("COD_GPM"),
     )
-    mart = marts.waterfall_mart(billing(spark, sf), region_of(table(spark, sf, "nation")), product, profit(spark, sf), AS_OF)
+
+
+def _waterfall(mart):
     return tidy(
         mart.select(
             F.col("SALES_NUMBER").alias("order_no"), F.col("SALES_ITEM").alias("item_no"), F.col("BRANCH").alias("branch"), F.col("GPM_DESC").alias("gpm"),
@@ -352,6 +363,19 @@ def waterfall_mart(spark, sf):
     )
 
 
+# Fewer than a large fact takes; the number must be the same for both tables.
+BUCKETS = 8
+
+
+@query("waterfall_from_stored_facts", ORACLE["waterfall_mart"])
+def waterfall_from_stored_facts(spark, sf):
+    folder, name = f"{ensure_checkpoint_dir(spark)}/facts-{uuid.uuid4().hex}", uuid.uuid4().hex
+    items = marts.billed_items(billing(spark, sf), region_of(table(spark, sf, "nation")), waterfall_products(spark, sf), AS_OF, fwd=1, gpm_null=True)
+    items = write_bucketed(items, f"items_{name}", f"{folder}/items", marts.ITEM, BUCKETS)
+    costs = write_bucketed(facts.margin_columns(profit(spark, sf)), f"costs_{name}", f"{folder}/costs", marts.ITEM, BUCKETS)
+    return _waterfall(marts.waterfall_of(items, costs))
+
+
 # --- agent targets: sheets of two channels, stored months and collects -------------------------------------------------
 
 MONTH = "06-2001"

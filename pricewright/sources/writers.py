@@ -43,6 +43,27 @@ def write_by_month(df: DataFrame, path: str, day: str, cluster: list[str] | None
     write_table(laid.sortWithinPartitions(*order), path, [month])
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write a fact by hash of its keys, sorted by them, as an external table of the session's catalog; returns it.
+
+    Tables with the same keys and number of buckets join and group on them, or on more columns, without a shuffle. Every
+    bucket is one file, written by one task: choose their number by the size of the fact (``TASK_BYTES`` each).
+    """
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def open_bucketed(spark: SparkSession, table: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """A bucketed fact that another session wrote: its layout is stated again for this session's catalog."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+    by = ", ".join(f"`{k}`" for k in keys)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS `{table}` ({fields}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(table)
+
+
 def append_batch(df: DataFrame, path: str, batch: str, partition_by: list[str] | None = None) -> bool:
     """Add a landed batch to a table of batches; says whether it has rows.
 

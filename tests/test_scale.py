@@ -182,3 +182,33 @@ def test_scope_reaches_the_billing_files(spark, tmp_path):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     pushed = plan[plan.index("PushedFilters: ["):]
     assert "In(SalesOrg" in pushed and "EqualTo(BillingType,ZF2B)" in pushed
+
+
+def test_stored_facts_meet_without_a_shuffle(spark, sf_dir, small_limits):
+    got = registry.queries()["waterfall_from_stored_facts"](spark, sf_dir)
+    plan = final_plan(got).split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and plan.count("Bucketed: true") == 2
+
+
+def test_bucketed_fact_of_another_session(spark, tmp_path):
+    from pricewright.sources.writers import open_bucketed, write_bucketed
+
+    df = spark.range(1000).select((F.col("id") % 50).alias("k"), "id")
+    write_bucketed(df, "fact_written", str(tmp_path / "f"), ["k"], 4)
+    other = spark.newSession()
+    tune(other)
+    sums = open_bucketed(other, "fact_again", str(tmp_path / "f"), ["k"], 4).groupBy("k").agg(F.sum("id").alias("s"))
+    assert "Exchange" not in final_plan(sums) and sums.count() == 50
+
+
+def test_allocation_reads_its_sales_once(spark, tmp_path):
+    from pricewright.operators.forecast import allocate_forecast
+
+    sold = [("o", "st", f"b{i % 4}" if i % 5 else "?", f"t{i % 3}", float(i)) for i in range(100)]
+    spark.createDataFrame(sold, "org string, st string, br string, txt string, vol double").write.parquet(str(tmp_path / "sold"))
+    plan = spark.createDataFrame([("o", "st", "p2", 5.0), ("o", "st", "p1", 6.0), ("o", "none", "p3", 1.0)], "org string, st string, txt string, plan double")
+    sites = spark.createDataFrame([("st", f"b{i}") for i in range(5)], "st string, br string")
+    got = allocate_forecast(plan, spark.read.parquet(str(tmp_path / "sold")), sites, ["org", "st"], "st", "br", "plan", "vol", unknown="?", text="txt")
+    assert {(r.br, r.txt) for r in got.collect()} == {("b0", "p1"), ("b1", "p1"), ("b2", "p1"), ("b3", "p1"), ("b4", "p1"), ("?", "p1")}
+    plan = final_plan(got).split("== Initial Plan ==")[0]
+    assert sum("FileScan" in line for line in plan.splitlines()) == 1

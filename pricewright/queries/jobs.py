@@ -376,6 +376,71 @@ def waterfall_from_stored_facts(spark, sf):
     return _waterfall(marts.waterfall_of(items, costs))
 
 
+# --- dispersion and alert marts: prices without customer and finance conditions ------------------------------------------
+
+def _normal_sql(price, *more):
+    """The price with its conditions; one organisation has another on top."""
+    return f"{price + sum(more)} + CASE WHEN merged = '{values.DISTRIBUTION_ORG}' THEN {VALUES['bx41']} ELSE 0 END"
+
+
+NORMAL_SQL = _normal_sql(VALUES["practiced_price"], VALUES["zd05"], -VALUES["zeaf"])
+DISPERSION_NUMBERS = ["quantity_ton", "rlv_original", "practiced_price_original", "practiced_price", "calculated_taxes", "gross_profit", "op_cost"]
+
+
+@query(
+    "dispersion_mart",
+    tidy_sql(
+        f"""
+        WITH b AS (SELECT *, CAST(quantity AS DOUBLE) AS q, l_linenumber % 6 <> 0 AS has_profit FROM ({SCOPED_SQL}) AS s
+                   WHERE bill_date >= CAST(date_trunc('month', DATE '{AS_OF}') - INTERVAL 6 MONTH AS DATE)
+                     AND bill_date < CAST(date_trunc('month', DATE '{AS_OF}') AS DATE) AND gpm IS NOT NULL)
+        SELECT l_orderkey AS order_no, CAST(l_linenumber AS BIGINT) AS item_no, merged AS org, coalesce(branch, '{values.UNKNOWN_BRANCH}') AS branch,
+               CASE WHEN part % 3 = 0 THEN 'PG' || CAST(part % 5 AS VARCHAR) ELSE gpm END AS gpm, strftime(bill_date, '%m-%Y') AS month_year,
+               q AS quantity_ton, CAST({VALUES['rlv']} AS DOUBLE) AS rlv_original, CAST({NORMAL_SQL} AS DOUBLE) AS practiced_price_original,
+               ({NORMAL_SQL}) / q / 1000.0 AS practiced_price, {_value('icms', 'cofins', 'pis', 'other_taxes', 'bx95')} / q / 1000.0 AS calculated_taxes,
+               CASE WHEN has_profit THEN q * {GROSS_UNITS['GROSS_PROFIT_BW']} ELSE 0 END / q / 1000.0 AS gross_profit,
+               CASE WHEN has_profit THEN q * {GROSS_UNITS['COGS_TOTAL']} ELSE 0 END / q / 1000.0 AS op_cost
+        FROM b
+        """,
+        ["order_no", "item_no", "org", "branch", "gpm", "month_year"],
+        DISPERSION_NUMBERS,
+    ),
+)
+def dispersion_mart(spark, sf):
+    region = region_of(table(spark, sf, "nation"))
+    mart = marts.dispersion_mart(billing(spark, sf), region, waterfall_products(spark, sf), profit(spark, sf), AS_OF)
+    return tidy(
+        mart.select(
+            F.col("SALES_NUMBER").alias("order_no"), F.col("SALES_ITEM").alias("item_no"), F.col("SALES_ORG_COD").alias("org"), F.col("BRANCH").alias("branch"),
+            F.col("GPM_DESC").alias("gpm"), F.col("MONTH_YEAR").alias("month_year"), *DISPERSION_NUMBERS,
+        )
+    )
+
+
+@query(
+    "alert_mart",
+    tidy_sql(
+        f"""
+        SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS order_no, CAST(l_linenumber AS VARCHAR) AS item_no, merged AS org, branch, substring(branch, 7) AS region,
+               quantity AS quantity_ton, CAST({_normal_sql(_value('list_price', 'zd02', 'zd03', 'zeb2'))} AS DOUBLE) AS strategic_price,
+               CAST({NORMAL_SQL} AS DOUBLE) AS practiced_price_normal
+        FROM ({SCOPED_SQL}) AS s WHERE gpm IS NOT NULL AND branch IS NOT NULL
+        """,
+        ["order_no", "item_no", "org", "branch", "region"],
+        ["quantity_ton", "strategic_price", "practiced_price_normal"],
+    ),
+)
+def alert_mart(spark, sf):
+    mart = marts.alert_mart(billing(spark, sf), region_of(table(spark, sf, "nation")))
+    return tidy(
+        mart.select(
+            F.col("SALES_DOC_COD").alias("order_no"), F.col("SALES_DOC_ITEM_COD").alias("item_no"), F.col("SALES_ORG_COD").alias("org"),
+            F.col("BRANCH").alias("branch"), F.col("REGION").alias("region"), "quantity_ton",
+            F.col("STRATEGIC_PRICE").alias("strategic_price"), F.col("PRACTICED_PRICE_NORMAL").alias("practiced_price_normal"),
+        )
+    )
+
+
 # --- agent targets: sheets of two channels, stored months and collects -------------------------------------------------
 
 MONTH = "06-2001"

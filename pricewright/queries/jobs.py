@@ -267,17 +267,20 @@ def profit_extract(rows, load_time, factor):
     return rows.select(*[c.alias(n) for n, c in {**text, **amounts}.items()])
 
 
+GROSS_FACT_SQL = f"""
+SELECT l_orderkey AS order_no, CAST(l_linenumber AS BIGINT) AS item_no, CAST(date_trunc('month', bill_date) AS DATE) AS month, org, CAST(part AS VARCHAR) AS material,
+       CASE WHEN part % 2 <> 0 THEN 'XX' WHEN o_custkey % 3 <> 0 THEN 'S' || CAST(c_nationkey AS VARCHAR) END AS state,
+       CAST(q * {ACCOUNTS[values.PROFIT_QUANTITY]} AS DOUBLE) / 1000.0 AS "QUANTITY_TON",
+       {', '.join(f'q * {n} AS "{name}"' for name, n in GROSS_UNITS.items())}
+FROM (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 2 * qty ELSE qty END AS q FROM ({BILLS_SQL}) AS b) AS b JOIN customer ON o_custkey = c_custkey
+WHERE bill_date >= CAST(DATE '{AS_OF}' - INTERVAL 24 MONTH AS DATE) AND bill_date <= DATE '{AS_OF}' AND l_linenumber % 6 <> 0
+"""
+
+
 @query(
     "gross_profit_fact",
     tidy_sql(
-        f"""
-        SELECT l_orderkey AS order_no, CAST(l_linenumber AS BIGINT) AS item_no, CAST(date_trunc('month', bill_date) AS DATE) AS month, org, CAST(part AS VARCHAR) AS material,
-               CASE WHEN part % 2 <> 0 THEN 'XX' WHEN o_custkey % 3 <> 0 THEN 'S' || CAST(c_nationkey AS VARCHAR) END AS state,
-               CAST(q * {ACCOUNTS[values.PROFIT_QUANTITY]} AS DOUBLE) / 1000.0 AS "QUANTITY_TON",
-               {', '.join(f'q * {n} AS "{name}"' for name, n in GROSS_UNITS.items())}
-        FROM (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 2 * qty ELSE qty END AS q FROM ({BILLS_SQL}) AS b) AS b JOIN customer ON o_custkey = c_custkey
-        WHERE bill_date >= CAST(DATE '{AS_OF}' - INTERVAL 24 MONTH AS DATE) AND bill_date <= DATE '{AS_OF}' AND l_linenumber % 6 <> 0
-        """,
+        GROSS_FACT_SQL,
         ["order_no", "item_no", "month", "org", "material", "state"],
         [f'"{n}"' for n in GROSS],
     ),
@@ -441,6 +444,64 @@ def alert_mart(spark, sf):
     )
 
 
+# --- margin marts: billed items beside their gross profit at seven grains ---------------------------------------------------
+
+MARGIN_DIMS = list(dict.fromkeys(c for g in marts.MARGIN_GRAINS.values() for c in g))
+MARGIN_TEXTS = {
+    "sales_order_date": "strftime(bill_date, '%Y%m%d')", "gpm": "'GPM' || CAST(part % 5 AS VARCHAR)", "gpd_cod": "CAST(part % 7 AS VARCHAR)",
+    "gpd_desc": "'group ' || CAST(part % 7 AS VARCHAR)", "material_desc": "'material ' || CAST(part AS VARCHAR)", "material_cod": "CAST(part AS VARCHAR)",
+    "sales_org_cod": "org", "receiving_customer_cod": "CAST(o_custkey AS VARCHAR)", "branch": "'B' || CAST(o_custkey % 25 AS VARCHAR)",
+    "issuing_state": "CASE WHEN o_custkey % 27 <> 0 THEN 'U' || CAST(o_custkey % 27 AS VARCHAR) END",
+}
+MARGIN_MEANS = ["practiced_price_mean", "norm_price_mean"]
+# Both lines of an item that was billed twice, the second of double quantity and half price.
+MARGIN_SQL = f"""
+WITH v AS (SELECT *, qty AS q, CAST(ext AS DOUBLE) AS price, CAST(ext AS DOUBLE) + 1 AS norm FROM ({BILLS_SQL}) AS b
+           UNION ALL SELECT *, 2 * qty, CAST(ext AS DOUBLE) / 2, CAST(ext AS DOUBLE) / 2 + 1 FROM ({BILLS_SQL}) AS b WHERE l_orderkey % 3 = 0),
+i AS (SELECT CAST(date_trunc('month', bill_date) AS DATE) AS month, l_orderkey AS sales_number, CAST(l_linenumber AS BIGINT) AS sales_item,
+             {', '.join(f'{e} AS {n}' for n, e in MARGIN_TEXTS.items())}, sum(q) AS quantity_ton, sum(ext) AS rbv, sum(CAST(ext * 0.75 AS DECIMAL(18,6))) AS rlv,
+             CAST(sum(CAST(price * CAST(q AS DOUBLE) AS DECIMAL(30,6))) AS DOUBLE) / CAST(sum(q) AS DOUBLE) AS price,
+             CAST(sum(CAST(norm * CAST(q AS DOUBLE) AS DECIMAL(30,6))) AS DOUBLE) / CAST(sum(q) AS DOUBLE) AS norm
+      FROM v GROUP BY ALL),
+f AS (SELECT order_no AS sales_number, item_no AS sales_item, month, "COGS_TOTAL" AS cogs_total, "QUANTITY_TON" AS quantity_ton_bw, "FREIGHT_FULL" AS freight_full,
+             "GROSS_PROFIT_BW" AS gross_profit_bw, "NET_SALES" AS net_sales FROM ({GROSS_FACT_SQL}) AS p),
+g AS (SELECT GROUPING_ID({', '.join(MARGIN_DIMS)}) AS gid, {', '.join(MARGIN_DIMS)},
+             {', '.join(f'sum(CAST({c} AS DECIMAL(30,6))) AS {c}' for c in marts.MARGIN_SUMS)},
+             {', '.join(f'CAST(sum(CAST({c} * CAST(quantity_ton AS DOUBLE) AS DECIMAL(30,6))) AS DOUBLE) / CAST(sum(quantity_ton) AS DOUBLE) AS {n}' for c, n in zip(('price', 'norm'), MARGIN_MEANS))}
+      FROM i JOIN f USING (sales_number, sales_item, month)
+      GROUP BY GROUPING SETS ({', '.join('(' + ', '.join(g) + ')' for g in marts.MARGIN_GRAINS.values())}))
+SELECT CASE gid {' '.join(
+    f"WHEN {sum(1 << (len(MARGIN_DIMS) - 1 - n) for n, c in enumerate(MARGIN_DIMS) if c not in g)} THEN '{name}'" for name, g in marts.MARGIN_GRAINS.items())} END AS grain,
+       {', '.join(MARGIN_DIMS)}, {', '.join(marts.MARGIN_SUMS)}, {', '.join(MARGIN_MEANS)}
+FROM g
+"""
+
+
+@query("margin_marts", tidy_sql(MARGIN_SQL, ["grain", *MARGIN_DIMS], [*marts.MARGIN_SUMS, *MARGIN_MEANS]))
+def margin_marts(spark, sf):
+    part, customer = F.col("part"), F.col("o_custkey")
+    texts = {
+        "sales_order_date": F.date_format("bill_date", "yyyyMMdd"), "gpm": F.concat(F.lit("GPM"), (part % 5).cast("string")),
+        "gpd_cod": (part % 7).cast("string"), "gpd_desc": F.concat(F.lit("group "), (part % 7).cast("string")),
+        "material_desc": F.concat(F.lit("material "), part.cast("string")), "material_cod": part.cast("string"), "sales_org_cod": F.col("org"),
+        "receiving_customer_cod": customer.cast("string"), "branch": F.concat(F.lit("B"), (customer % 25).cast("string")),
+        "issuing_state": F.when(customer % 27 != 0, F.concat(F.lit("U"), (customer % 27).cast("string"))),
+    }
+    bill, ext = bills(spark, sf), F.col("ext").cast("double")
+
+    def lines(rows, factor):
+        price = ext / factor
+        return rows.select(
+            F.col("bill_date").alias("billing_date"), F.col("l_orderkey").alias("sales_number"), F.col("l_linenumber").alias("sales_item"),
+            *[c.alias(n) for n, c in texts.items()], (F.col("qty") * factor).alias("quantity_ton"), F.col("ext").alias("rbv"), (ext * 0.75).alias("rlv"),
+            price.alias("practiced_price"), (price + 1).alias("norm_practiced_price"),
+        )
+
+    view = lines(bill, 1).unionByName(lines(bill.where(F.col("l_orderkey") % 3 == 0), 2))
+    mart = marts.margin_marts(view, profit(spark, sf))
+    return tidy(mart.select("grain", *MARGIN_DIMS, *marts.MARGIN_SUMS, *MARGIN_MEANS))
+
+
 # --- agent targets: sheets of two channels, stored months and collects -------------------------------------------------
 
 MONTH = "06-2001"

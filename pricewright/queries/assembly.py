@@ -188,7 +188,7 @@ def xml_records(spark, sf):
 
 # --- quarantine and ledger -----------------------------------------------------------------------------
 
-def _collected(spark, sf):
+def collected(spark, sf):
     """Events as collected prices with holes in the required columns."""
     n = F.col("event_id")
     return table(spark, sf, "events").select(
@@ -224,7 +224,7 @@ REQUIRED = ["seller", "branch", "price"]
     ),
 )
 def quarantine_split(spark, sf):
-    valid, rejected = filters.quarantine(_collected(spark, sf), REQUIRED)
+    valid, rejected = filters.quarantine(collected(spark, sf), REQUIRED)
     both = valid.withColumn("rejected", F.lit(False)).unionByName(rejected.withColumn("rejected", F.lit(True)))
     return tidy(both.select("id", "seller", "branch", "price", "rejected"))
 
@@ -235,7 +235,7 @@ LEDGER_COLUMNS = ["id", "date", "seller", "branch", "approved_manually", "approv
 
 def ledger_inputs(spark, sf):
     day = F.lit(LEDGER_DAY).cast("date")
-    rows = _collected(spark, sf)
+    rows = collected(spark, sf)
     valid, _ = filters.quarantine(rows, REQUIRED)
     old = valid.where(F.col("date") <= day)
     batch = valid.where(F.col("date") == day).withColumn("id", -F.col("id") - 1).select(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pricewright.queries import assembly, dims, jobs, margins, pricing, selection, stored, targets
+from pricewright.queries import assembly, dims, jobs, margins, pricing, reports, selection, stored, targets
 
-FAMILIES = [selection, pricing, margins, targets, assembly, dims, jobs, stored]
+FAMILIES = [selection, pricing, margins, targets, assembly, dims, jobs, stored, reports]
 
 
 def queries() -> dict:

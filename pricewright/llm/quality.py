@@ -5,6 +5,10 @@ classes of characters, and common words (a fixed list per language, and all othe
 document is compared to them by the Jensen-Shannon distance (square root of the divergence to base 2,
 0 to 1) and rejected beyond a distance. Each comparison has a guard: a text too short for a fair
 histogram passes it. Reference counts are whole numbers, so they don't depend on task order.
+
+References come from the documents themselves, so a language that holds mostly junk would judge itself by it. A language
+is therefore compared to fixed values of written prose first: if its characters are far from them, or a listed language
+hardly has its own common words, the fixed values take the place of its reference.
 """
 
 from __future__ import annotations
@@ -43,6 +47,15 @@ MAX_CHAR_DISTANCE = 0.3
 MAX_WORD_DISTANCE = 0.25
 
 
+# Characters of prose in a hundred, by class in the order of a histogram, and the words of a listed
+# language in three hundred, each common word alike.
+PROSE_CHARS = [3, 1, 3, 1, 16, 76]
+PROSE_WORDS = [4] * 12 + [252]
+# Farther from prose, or with a smaller share of its common words, a language is not its own reference.
+MAX_REFERENCE_DISTANCE = 0.2
+MIN_COMMON_PERCENT = 5
+
+
 def char_histogram(text: Column, spaces: Column) -> Column:
     """Counts per class of characters: the classes above, white space, then letters and all others."""
     counts = [*[F.regexp_count(text, F.lit(p)).cast("long") for p in CHAR_CLASSES.values()], spaces]
@@ -148,19 +161,26 @@ def histograms(docs: DataFrame) -> DataFrame:
 
 
 def references(counted: DataFrame) -> DataFrame:
-    """(ref_lang, ref_chars, ref_words): the summed histograms of each language over its long enough documents.
-
-    Null for a language none of whose documents is.
+    """(ref_lang, ref_chars, ref_words): the summed histograms of each language over its long enough documents, or the
+    fixed values of prose where those are none. A language without such documents has no row.
     """
     kinds, listed = len(CHAR_CLASSES) + 2, len(ANY_LANGUAGE) + 1
     usable = (_sum(F.col("n.chars")) >= GUARD_CHARS) & (_sum(F.col("n.words")) >= GUARD_WORDS)
     marked = counted.select("lang", "n", usable.alias("usable"))
     sums = [F.sum(F.when(F.col("usable"), F.get("n.chars", F.lit(i)))).alias(f"c{i}") for i in range(kinds)]
     sums += [F.sum(F.when(F.col("usable"), F.get("n.words", F.lit(i)))).alias(f"w{i}") for i in range(listed)]
-    return marked.groupBy("lang").agg(*sums).select(
+    own = marked.groupBy("lang").agg(*sums).select(
         F.col("lang").alias("ref_lang"), F.array(*[f"c{i}" for i in range(kinds)]).alias("ref_chars"),
         F.array(*[f"w{i}" for i in range(listed)]).alias("ref_words"),
     ).where("ref_chars[0] IS NOT NULL")
+    chars, words = [F.array(*[F.lit(n).cast("long") for n in prose]) for prose in (PROSE_CHARS, PROSE_WORDS)]
+    strange = js_distance(F.col("ref_chars"), chars) > MAX_REFERENCE_DISTANCE
+    common = _sum(F.slice("ref_words", 1, listed - 1))
+    poor = F.coalesce(F.col("ref_lang").isin(*COMMON_WORDS), F.lit(False)) & (100 * common < MIN_COMMON_PERCENT * _sum(F.col("ref_words")))
+    return own.select(
+        "ref_lang", F.when(strange, chars).otherwise(F.col("ref_chars")).alias("ref_chars"),
+        F.when(poor, words).otherwise(F.col("ref_words")).alias("ref_words"),
+    )
 
 
 def judged(counted: DataFrame, known: DataFrame, with_rows: bool = False) -> DataFrame:
@@ -245,12 +265,13 @@ def _quality_sql() -> str:
     def sums(name: str, n: int) -> str:
         return "[" + ", ".join(f"sum({name}[{i}]) FILTER (usable)" for i in range(1, n + 1)) + f"] AS ref_{name}"
 
-    def distance(name: str, n: int) -> str:
+    def distance(name: str, n: int, own: str | None = None, other: str | None = None) -> str:
         """Square root of half the sum of both sides' terms, 0 where either is empty."""
-        p, q = f"({name}[i] / list_sum({name}))", f"(ref_{name}[i] / list_sum(ref_{name}))"
+        own, other = own or name, other or f"ref_{name}"
+        p, q = f"({own}[i] / list_sum({own}))", f"({other}[i] / list_sum({other}))"
         part = lambda a, b: f"CASE WHEN {a} > 0 THEN {a} * log2(2 * {a} / ({a} + {b})) ELSE 0 END"
         total = f"list_sum(list_transform(range(1, {n + 1}), lambda i: {part(p, q)} + {part(q, p)}))"
-        return f"CASE WHEN list_sum({name}) > 0 AND list_sum(ref_{name}) > 0 THEN sqrt(greatest({total} / 2, 0)) ELSE 0 END"
+        return f"CASE WHEN list_sum({own}) > 0 AND list_sum({other}) > 0 THEN sqrt(greatest({total} / 2, 0)) ELSE 0 END"
 
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {word}) AS w FROM documents),
@@ -265,8 +286,13 @@ g AS (SELECT rid, i, array_to_string(w[i:i + {WINDOW_WORDS - 1}], ' ') AS gram F
 s AS (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS following FROM (
         SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS n FROM g) AS x WHERE n > 1),
 r AS (SELECT rid, sum(least({WINDOW_WORDS}, coalesce(following - i, {WINDOW_WORDS}))) AS n_repeat_words FROM s GROUP BY rid),
-ref AS (SELECT lang AS ref_lang, {sums('chars', kinds)}, {sums('words', terms)} FROM (
+own AS (SELECT lang AS ref_lang, {sums('chars', kinds)}, {sums('words', terms)} FROM (
           SELECT *, list_sum(chars) >= {GUARD_CHARS} AND list_sum(words) >= {GUARD_WORDS} AS usable FROM f) AS u GROUP BY lang),
+ref AS (SELECT * REPLACE (
+          CASE WHEN {distance('chars', kinds, 'ref_chars', f'{PROSE_CHARS}')} > {MAX_REFERENCE_DISTANCE} THEN {PROSE_CHARS} ELSE ref_chars END AS ref_chars,
+          CASE WHEN coalesce(ref_lang IN {(*COMMON_WORDS,)}, false) AND 100 * list_sum(ref_words[1:{terms - 1}]) < {MIN_COMMON_PERCENT} * list_sum(ref_words)
+               THEN {PROSE_WORDS} ELSE ref_words END AS ref_words)
+        FROM own WHERE ref_chars[1] IS NOT NULL),
 j AS (SELECT f.*, coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
              CASE WHEN ref_chars[1] IS NOT NULL AND list_sum(chars) >= {GUARD_CHARS} THEN {distance('chars', kinds)} ELSE 0 END AS char_distance,
              CASE WHEN ref_chars[1] IS NOT NULL AND list_sum(words) >= {GUARD_WORDS} THEN {distance('words', terms)} ELSE 0 END AS word_distance

@@ -74,6 +74,12 @@ def quality_kept(docs):
         if sum(c) >= q.GUARD_CHARS and sum(w) >= q.GUARD_WORDS:
             have = refs.setdefault(lang, ([0] * len(c), [0] * len(w)))
             refs[lang] = tuple([x + y for x, y in zip(a, b)] for a, b in zip(have, (c, w)))
+    for lang, (c, w) in refs.items():
+        if js_distance(c, q.PROSE_CHARS) > q.MAX_REFERENCE_DISTANCE:
+            c = q.PROSE_CHARS
+        if lang in q.COMMON_WORDS and 100 * sum(w[:-1]) < q.MIN_COMMON_PERCENT * sum(w):
+            w = q.PROSE_WORDS
+        refs[lang] = (c, w)
     kept = []
     for (_, text, lang), (c, w) in zip(docs, hists):
         near = True
@@ -91,7 +97,7 @@ def chunks_of(lines):
     return [i for i in range(len(lines) - 1) if hashes[i] & ~hashes[i + 1] & 0xFF]
 
 
-def line_dedup(docs, reach=3):
+def line_dedup(docs, reach=2):
     """[(doc_id, text)] -> texts without repeated passages, and the dropped lines."""
     seen, texts = defaultdict(set), {}
     for key, text in docs:

@@ -195,3 +195,25 @@ def chat_unescape(text):
     for plain, coded in reversed(chat.TEXT_ESCAPES):
         text = text.replace(coded, plain)
     return text
+
+
+def test_junk_does_not_judge_itself(spark):
+    """A language of its own that holds only junk, one with a few clean documents among junk, and a clean one."""
+    import random
+
+    import brute
+    from pricewright.llm import quality
+
+    rng = random.Random(8)
+    symbols = lambda: " ".join("".join(rng.choice("#$%&*+/<=>@0123456789") for _ in range(rng.randint(2, 9))) for _ in range(160))
+    salad = lambda: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(160))
+    words = "the of and to in is that for it was on with".split()
+    prose = lambda: " ".join(rng.choice(words) if rng.random() < 0.17 else "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(160)) + "."
+    made = [("xx", symbols) for _ in range(30)] + [("es", salad) for _ in range(30)] + [("en", prose) for _ in range(30)]
+    made += [("de", symbols) for _ in range(30)]
+    docs = [(n, make(), lang) for n, (lang, make) in enumerate(made)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    got = {r.doc_id: r.kept for r in quality.quality(frame).collect()}
+    assert [got[n] for n, *_ in docs] == brute.quality_kept(docs)
+    kept = {lang: sum(got[n] for n, _, own in docs if own == lang) for lang in ("xx", "es", "en", "de")}
+    assert kept == {"xx": 0, "es": 0, "en": 30, "de": 0}

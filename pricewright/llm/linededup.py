@@ -27,7 +27,7 @@ from pricewright.llm.common import WORD, cut_lineage, splittable, table, text_or
 # Lines under the rolling hash, chunkings, lines that a removed chunk is extended by at most.
 WINDOW_LINES = 1
 CHUNKINGS = 8
-REACH = 3
+REACH = 2
 # The second hash of a line differs from the first by this constant in front.
 SECOND = 1
 
@@ -161,16 +161,16 @@ def spans(numbers: Column) -> Column:
 
 
 def _with_context(lines: Column) -> Column:
-    """Of every suspect its place, its text, and the hashes of the lines before (nearest first) and after it."""
-    hashes = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("one"), F.xxhash64(F.lit(SECOND), x).alias("two")))
+    """Of every suspect its place, its text, and two hashes of each line before (nearest first) and after it."""
+    hashes = F.flatten(F.transform(lines, lambda x: F.array(F.xxhash64(x), F.xxhash64(F.lit(SECOND), x))))
 
     def chunks(h: Column) -> Column:
         return F.transform(
             "suspects",
             lambda at: F.struct(
                 at.alias("at"), F.concat_ws("\n", F.get(lines, at), F.get(lines, at + 1)).alias("chunk"),
-                F.reverse(F.slice(h, F.greatest(at - REACH, F.lit(0)) + 1, F.least(at, F.lit(REACH)))).alias("before"),
-                F.slice(h, at + 3, F.lit(REACH)).alias("after"),
+                F.reverse(F.slice(h, 2 * F.greatest(at - REACH, F.lit(0)) + 1, 2 * F.least(at, F.lit(REACH)))).alias("before"),
+                F.slice(h, 2 * at + 5, F.lit(2 * REACH)).alias("after"),
             ),
         )
 
@@ -178,9 +178,10 @@ def _with_context(lines: Column) -> Column:
 
 
 def _alike(own: Column, other: Column) -> Column:
-    """How many leading items of two arrays are equal."""
+    """How many lines, of two hashes each, are equal at the front of two arrays."""
     same = F.zip_with(own, other, lambda a, b: F.coalesce(a == b, F.lit(False)))
-    return let(same, lambda x: F.when(F.array_contains(x, False), F.array_position(x, False).cast("int") - 1).otherwise(F.size(x)))
+    front = let(same, lambda x: F.when(F.array_contains(x, False), F.array_position(x, False).cast("int") - 1).otherwise(F.size(x)))
+    return F.floor(front / 2).cast("int")
 
 
 def _turn(h: Column) -> Column:

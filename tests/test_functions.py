@@ -174,3 +174,12 @@ def test_deviation_has_the_same_bits_at_every_partitioning(spark):
         else:
             want = float(statistics.variance(own)) ** 0.5
             assert abs(d - want) <= 1e-14 * max(want, 1e-9), (k, d, want)
+
+
+def test_total_by_name_and_by_column_are_the_same(spark):
+    data = [(1, 0.1), (1, -0.3), (1, None), (1, float("nan")), (2, 9e15), (2, 9e15), (2, 0.5), (3, -1e12), (3, -7.25), (4, None)]
+    df = spark.createDataFrame(data, "k int, v double")
+    for digits in (2, 6, 10):
+        got = df.where("k <> 2 OR 6 >= " + str(digits)).groupBy("k").agg(numbers.total("v", digits).alias("a"), numbers.total(F.col("v"), digits).alias("b"))
+        assert all(r.a == r.b for r in got.collect())
+    assert spark.range(1).agg(numbers.total("id").alias("x")).schema == spark.range(1).agg(numbers.total(F.col("id")).alias("x")).schema

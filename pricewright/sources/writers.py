@@ -71,7 +71,7 @@ def append_batch(df: DataFrame, path: str, batch: str, partition_by: list[str] |
     The plan runs once; whether there are rows is read from what was written, and an empty batch is taken away.
     """
     spark, folder = df.sparkSession, f"{path}/batch={batch}"
-    write_table(df, folder, partition_by)
+    (write_compacted if partition_by else write_table)(df, folder, partition_by)
     if not spark.read.parquet(folder).isEmpty():
         return True
     _delete(spark, folder)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pricewright import values
 from pricewright.plans import dimensions, facts, marts, support, targets, volume
 from pricewright.queries.tables import AS_OF, org_of, org_sql, table, tidy, tidy_sql
-from pricewright.session import ensure_checkpoint_dir
+from pricewright.session import MB, ensure_checkpoint_dir, input_bytes
 from pricewright.sources.writers import write_bucketed
 
 QUERIES, ORACLE = {}, {}
@@ -366,16 +366,21 @@ def _waterfall(mart):
     )
 
 
-# Fewer than a large fact takes; the number must be the same for both tables.
-BUCKETS = 8
+# The number must be the same for both facts; it goes by the size of the tables they are made of.
+BUCKETS, BUCKET_INPUT, MOST_BUCKETS = 8, 16 * MB, 65_536
+
+
+def buckets(spark, sf):
+    return min(max(BUCKETS, -(-input_bytes(spark, sf) // BUCKET_INPUT)), MOST_BUCKETS)
 
 
 @query("waterfall_from_stored_facts", ORACLE["waterfall_mart"])
 def waterfall_from_stored_facts(spark, sf):
     folder, name = f"{ensure_checkpoint_dir(spark)}/facts-{uuid.uuid4().hex}", uuid.uuid4().hex
     items = marts.billed_items(billing(spark, sf), region_of(table(spark, sf, "nation")), waterfall_products(spark, sf), AS_OF, fwd=1, gpm_null=True)
-    items = write_bucketed(items, f"items_{name}", f"{folder}/items", marts.ITEM, BUCKETS)
-    costs = write_bucketed(facts.margin_columns(profit(spark, sf)), f"costs_{name}", f"{folder}/costs", marts.ITEM, BUCKETS)
+    number = buckets(spark, sf)
+    items = write_bucketed(items, f"items_{name}", f"{folder}/items", marts.ITEM, number)
+    costs = write_bucketed(facts.margin_columns(profit(spark, sf)), f"costs_{name}", f"{folder}/costs", marts.ITEM, number)
     return _waterfall(marts.waterfall_of(items, costs))
 
 

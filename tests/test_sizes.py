@@ -52,3 +52,9 @@ def test_registered_queries_on_tables_ask_for_it(spark, own_conf, sf_dir):
         spark.conf.set(key, "512MB")
     __spark_entry__.queries()["unit_price"](spark, sf_dir)
     assert {k: size(spark, k) for k in FINE_CONF} == FINE_CONF
+
+
+def test_buckets_go_by_the_size_of_the_tables(spark, sf_dir, monkeypatch):
+    assert jobs.buckets(spark, sf_dir) == 8
+    monkeypatch.setattr(jobs, "input_bytes", lambda *_: 6 * 2**30)
+    assert jobs.buckets(spark, sf_dir) == 384

@@ -174,12 +174,13 @@ def cost_rates(
 
 
 def cost_rates_of(rows: DataFrame, parent: list[str], item: list[str], cost_col: str, volume_col: str) -> DataFrame:
-    """``cost_rates`` where cost and volume stand in the same rows: both are summed in one scan.
+    """``cost_rates`` where cost and volume stand in the same rows.
 
+    Parents are few: they are summed from the rows, combined in the map tasks, so that the shuffle of the items carries the volume alone.
     A parent without any cost (all null) has no rates.
     """
-    children = rows.groupBy(*parent, *item).agg(total(volume_col).alias("child"), total(cost_col).alias("cost"))
-    parents = children.groupBy(*parent).agg(total("child").alias("whole"), total("cost").alias("pool")).where("pool IS NOT NULL")
+    children = rows.groupBy(*parent, *item).agg(total(volume_col).alias("child"))
+    parents = rows.groupBy(*parent).agg(total(volume_col).alias("whole"), total(cost_col).alias("pool")).where("pool IS NOT NULL")
     share = F.when(F.col("whole") > 0, ratio("child", "whole")).otherwise(F.lit(0.0))
     return (
         children.join(splittable(parents), parent)
@@ -191,8 +192,12 @@ def cost_rates_of(rows: DataFrame, parent: list[str], item: list[str], cost_col:
 def apportion_cost(
     df: DataFrame, rates: DataFrame, keys: list[str], quantity: str, name: str = "apportioned_cost"
 ) -> DataFrame:
-    """Each row's part of the pool: -quantity x unit cost, 0 where the item has no rate."""
-    found = lookup(df, splittable(rates), keys, ["unit_cost"])
+    """Each row's part of the pool: -quantity x unit cost, 0 where the item has no rate.
+
+    Rates are as many as items and come from a join on fewer keys, so the lookup places them by an exchange of its own;
+    rebalancing them before would shuffle them twice.
+    """
+    found = lookup(df, rates, keys, ["unit_cost"])
     return found.withColumn(
         name, F.coalesce(-number(quantity) * F.col("unit_cost"), F.lit(0.0))
     ).drop("unit_cost")

@@ -54,6 +54,33 @@ def test_registered_queries_on_tables_ask_for_it(spark, own_conf, sf_dir):
     assert {k: size(spark, k) for k in FINE_CONF} == FINE_CONF
 
 
+def tables(spark, path, n):
+    """Orders of two priorities, one line each; every part is in lines of two centres and months."""
+    order = spark.range(n).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 50).alias("o_custkey"), F.lit("F").alias("o_orderstatus"), F.lit(1.0).alias("o_totalprice"),
+        F.lit("2001-01-01").cast("timestamp_ntz").alias("o_orderdate"), F.when(F.col("id") % 20 == 0, "5-LOW").otherwise("2-HIGH").alias("o_orderpriority"),
+    )
+    item = spark.range(n).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 40).alias("l_partkey"), (F.col("id") % 2).alias("l_suppkey"), F.lit(1).alias("l_linenumber"),
+        (F.col("id") % 9 + 1).cast("double").alias("l_quantity"), F.lit(100.0).alias("l_extendedprice"), F.lit(0.0).alias("l_discount"), F.lit(0.0).alias("l_tax"),
+        F.lit("N").alias("l_returnflag"), F.lit("F").alias("l_linestatus"), F.lit("2001-02-01").cast("timestamp_ntz").alias("l_shipdate"),
+    )
+    for name, df in {"orders": order, "lineitem": item}.items():
+        df.selectExpr(*[f"CAST({c.split()[0]} AS {c.split()[1]}) AS {c.split()[0]}" for c in SCHEMAS[name].split(", ")]).write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def test_rates_are_shuffled_once(spark, own_conf, tmp_path):
+    path = tables(spark, tmp_path, 2_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    got = margins.apportion_cost(spark, path)
+    plan = final_plan(got).splitlines()
+    # Only the few parents are rebalanced, and no sum of costs travels with the items.
+    assert sum("REBALANCE" in line for line in plan) == 1
+    assert not any("keys=[period" in line and "l_partkey" in line and "cost" in line for line in plan)
+    assert sum(1 for r in got.collect() if r.apportioned_cost < 0) == 2_000
+
+
 def test_buckets_go_by_the_size_of_the_tables(spark, sf_dir, monkeypatch):
     assert jobs.buckets(spark, sf_dir) == 8
     monkeypatch.setattr(jobs, "input_bytes", lambda *_: 6 * 2**30)

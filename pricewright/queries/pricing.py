@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pricewright.functions import codes, dates
 from pricewright.functions.numbers import number, ratio
 from pricewright.operators import catalog, price
+from pricewright.operators.joins import lookup, splittable
 from pricewright.queries.tables import (
     COLLECTS_SQL, CONDITIONS_SQL, LINES_SQL, MARGIN_SUMS_SQL, PRICED_SQL, collects, conditions, half_up, lines, margin_columns,
     priced_conditions, table, tidy, tidy_sql,
@@ -244,10 +245,9 @@ def price_at_terms(spark, sf):
         .agg(F.max(F.col("o_custkey") % 7).alias("n"))
         .select("term_key", F.concat(F.lit("0,0"), F.col("n").cast("string")).alias("pct"))
     )
-    rows = table(spark, sf, "lineitem").join(
-        order.select(F.col("o_orderkey").alias("l_orderkey"), F.trim("term").alias("term_key")), "l_orderkey"
-    )
-    return rows.join(terms, "term_key", "left").select(
+    # A handful of terms: the orders look theirs up before the lines do, and a term's orders are split over tasks where the lookup shuffles.
+    rated = lookup(order.select(F.col("o_orderkey").alias("l_orderkey"), F.trim("term").alias("term_key")), splittable(terms), ["term_key"], ["pct"])
+    return table(spark, sf, "lineitem").join(rated, "l_orderkey").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         price.price_at_terms("l_extendedprice", "pct").alias("price_terms"),
     )

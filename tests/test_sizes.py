@@ -70,6 +70,21 @@ def tables(spark, path, n):
     return str(path)
 
 
+def test_orders_of_one_term_are_split(spark, own_conf, tmp_path):
+    path = tables(spark, tmp_path, 60_000)
+    for key, value in {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }.items():
+        spark.conf.set(key, value)
+    got = pricing.price_at_terms(spark, path)
+    plan = final_plan(got)
+    assert "skew=true" in plan
+    # The lines are shuffled once, by their order.
+    assert not any("Exchange" in line and "term_key" in line and "l_extendedprice" in line for line in plan.splitlines())
+    assert {r[0]: r[1] for r in got.groupBy("price_terms").count().collect()} == {round(100 / 1.06, 3): 60_000}
+
+
 def test_rates_are_shuffled_once(spark, own_conf, tmp_path):
     path = tables(spark, tmp_path, 2_000)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

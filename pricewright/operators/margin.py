@@ -60,6 +60,7 @@ def margin_rollup(
     sums: list[str],
     weighted: dict[str, tuple[str, str]] | None = None,
     label: str = "grain",
+    one_pass: bool = False,
 ) -> DataFrame:
     """The same measures at several grains, each summed from the nearest finer one.
 
@@ -71,6 +72,9 @@ def margin_rollup(
     The detail is shuffled once, to the finest grain (``lattice``). Partial sums stay in whole-number parts that add up exactly,
     so a grain is the same from whichever finer one it comes, and every sum is combined before its shuffle. Grains
     that read the same finer one share its shuffle.
+
+    Detail that comes placed by columns of the finest grain, as out of a join, would be summed to it without a shuffle, and each grain
+    would then do all that stands before it again. With ``one_pass`` each row is copied per grain instead and all copies are summed at once.
     """
     dims = list(dict.fromkeys(c for cols in grains.values() for c in cols))
     weighted = weighted or {}
@@ -80,25 +84,44 @@ def margin_rollup(
     parts = [limbs(reduce(lambda x, y: x * y, map(F.col, source))) for source in place]
     state = [f"{side}_{n}" for n in place.values() for side in "hl"]
     detail = df.select(*dims, *[part.alias(name) for name, part in zip(state, [x for pair in parts for x in pair])])
+    rolled = _one_pass if one_pass else _by_lattice
+    own = {source: joined(f"h_{n}", f"l_{n}") for source, n in place.items()}
+    return rolled(detail, grains, dims, state, label).select(
+        label,
+        *dims,
+        *[own[(c,)].alias(c) for c in sums],
+        *[ratio(own[(p, w)], own[(w,)]).alias(n) for n, (p, w) in weighted.items()],
+        *[ratio(own[(p,)], own[(p, w)]).alias(f"{n}_reciprocal") for n, (p, w) in weighted.items()],
+    )
+
+
+def _by_lattice(detail: DataFrame, grains: dict[str, list[str]], dims: list[str], state: list[str], label: str) -> DataFrame:
+    """Each grain summed from the nearest finer one."""
     frames: dict[tuple[str, ...], DataFrame] = {}
     for cols, source in lattice(list(grains.values())):
         above = detail if source is None else frames[source]
         frames[cols] = above.groupBy(*cols).agg(*[F.sum(c).alias(c) for c in state])
-    kinds = {c: df.schema[c].dataType.simpleString() for c in dims}
+    kinds = {c: detail.schema[c].dataType.simpleString() for c in dims}
     each = [
         frames[tuple(sorted(set(cols)))].selectExpr(
             f"'{name}' AS `{label}`", *[f"`{c}`" if c in cols else f"CAST(NULL AS {kinds[c]}) AS `{c}`" for c in dims], *state
         )
         for name, cols in grains.items()
     ]
-    own = {source: joined(f"h_{n}", f"l_{n}") for source, n in place.items()}
-    return reduce(DataFrame.unionAll, each).select(
-        label,
-        *dims,
-        *[own[(c,)].alias(c) for c in sums],
-        *[ratio(own[(p, w)], own[(w,)]).alias(n) for n, (p, w) in weighted.items()],
-        *[ratio(own[(p,)], own[(p, w)]).alias(f"{n}_reciprocal") for n, (p, w) in weighted.items()],
+    return reduce(DataFrame.unionAll, each)
+
+
+def _one_pass(detail: DataFrame, grains: dict[str, list[str]], dims: list[str], state: list[str], label: str) -> DataFrame:
+    """All grains as grouping sets; grains of the same columns share a set."""
+    sets = list(dict.fromkeys(tuple(c for c in dims if c in cols) for cols in grains.values()))
+    names = F
+    for cols in sets:
+        mark = sum(1 << n for n, c in enumerate(reversed(dims)) if c not in cols)
+        names = names.when(F.col("_set") == mark, F.array(*[F.lit(name) for name, own in grains.items() if set(own) == set(cols)]))
+    rolled = detail.groupingSets([[F.col(c) for c in cols] for cols in sets], *dims).agg(
+        F.grouping_id().alias("_set"), *[F.sum(c).alias(c) for c in state]
     )
+    return rolled.withColumn(label, F.explode(names) if len(sets) < len(grains) else names[0])
 
 
 def lattice(grains: list[list[str]]) -> list[tuple[tuple[str, ...], tuple[str, ...] | None]]:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from pricewright import values
 from pricewright.functions.codes import customer_group, region_label, remap_codes
@@ -147,28 +148,39 @@ MARGIN_SUMS = ["quantity_ton", "rbv", "rlv", "cogs_total", "quantity_ton_bw", "f
 def order_item_margin(view: DataFrame, profit: DataFrame) -> DataFrame:
     """Billed order items of a month beside their gross profit; items without one are left out.
 
-    The view is summed to the order item first, so the profit of an item is counted once.
+    The profit is looked up before the view is summed, so that rows without one are left out early, and it is one of the keys of the sum:
+    the profit of an item is counted once. A profit that is there several times is so in the result.
     """
     keys = [c for c in MARGIN_GRAINS["order_item_month"] if c != "month"]
     base = view.withColumns(
         {
             "month": F.trunc("billing_date", "month"),
-            "sales_number": code_int(F.col("sales_number").cast("string")),
-            "sales_item": code_int(F.col("sales_item").cast("string")),
+            "sales_number": _code(view, "sales_number"),
+            "sales_item": _code(view, "sales_item"),
             **{c: number(c) for c in ["quantity_ton", "rbv", "rlv", "practiced_price", "norm_practiced_price"]},
         }
     )
-    items = margin_rollup(
-        base, {"item": ["month", *keys]}, ["quantity_ton", "rbv", "rlv"],
-        {"practiced_price": ("practiced_price", "quantity_ton"), "norm_price": ("norm_practiced_price", "quantity_ton")},
-    ).drop("grain")
     costs = profit.select(
         F.col("MONTH").alias("month"), F.col("SALES_NUMBER").alias("sales_number"), F.col("SALES_ITEM").alias("sales_item"),
         F.col("COGS_TOTAL").alias("cogs_total"), F.col("QUANTITY_TON").alias("quantity_ton_bw"),
         F.col("FREIGHT_FULL").alias("freight_full"), F.col("GROSS_PROFIT_BW").alias("gross_profit_bw"),
         F.col("NET_SALES").alias("net_sales"),
     ).where(F.col("gross_profit_bw").isNotNull())
-    return items.join(costs, ["month", "sales_number", "sales_item"])
+    figures = [c for c in costs.columns if c not in ("month", "sales_number", "sales_item")]
+    costs = costs.groupBy("sales_number", "sales_item", "month", *figures).agg(F.count(F.lit(1)).alias("_copies"))
+    # Order numbers first: the sort of the join then seldom looks beyond them.
+    found = base.join(costs, ["sales_number", "sales_item", "month"])
+    items = margin_rollup(
+        found, {"item": ["month", *keys, *figures, "_copies"]}, ["quantity_ton", "rbv", "rlv"],
+        {"practiced_price": ("practiced_price", "quantity_ton"), "norm_price": ("norm_practiced_price", "quantity_ton")},
+    ).drop("grain")
+    return items.withColumn("_copies", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies"))).drop("_copies")
+
+
+def _code(df: DataFrame, name: str) -> Column:
+    """A code as a number; a whole number is one already, and its rows stay placed by it."""
+    whole = isinstance(df.select(name).schema[0].dataType, IntegralType)
+    return F.col(name).cast("bigint") if whole else code_int(F.col(name).cast("string"))
 
 
 def strategic_margin(profit: DataFrame, view: DataFrame) -> DataFrame:
@@ -199,6 +211,7 @@ def margin_marts(view: DataFrame, profit: DataFrame) -> DataFrame:
             "practiced_price_mean": ("practiced_price", "quantity_ton"),
             "norm_price_mean": ("norm_price", "quantity_ton"),
         },
+        one_pass=True,
     )
 
 

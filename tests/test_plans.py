@@ -220,6 +220,59 @@ def test_margin_marts(spark, margin):
     assert (sf.rlv, sf.avg_rlv_last_3, sf.avg_gross_profit_bw_year) == (18.0, 6.0, 30.0 / 9.0)
 
 
+def margin_view(spark, *rows):
+    cols = "billing_date date, sales_order_date string, sales_org_cod string, gpm string, gpd_cod string, gpd_desc string, material_cod string, material_desc string, sales_number bigint, sales_item int, issuing_state string, quantity_ton double, practiced_price double, norm_practiced_price double, rbv double, rlv double, receiving_customer_cod string, branch string"
+    return spark.createDataFrame([(date(2020, m, 15), "20200110", "BRCG", gpm, "1", "d", part, "m", n, i, state, q, p, p, 10.0, 9.0, "c", "b") for m, gpm, part, n, i, state, q, p in rows], cols)
+
+
+def margin_profit(spark, *rows):
+    cols = "MONTH date, SALES_NUMBER bigint, SALES_ITEM bigint, COGS_TOTAL double, QUANTITY_TON double, FREIGHT_FULL double, GROSS_PROFIT_BW double, NET_SALES double"
+    return spark.createDataFrame([(date(2020, m, 1) if m else None, n, i, -2.0, 1.0, -1.0, p, 20.0) for m, n, i, p in rows], cols)
+
+
+def test_margin_marts_join_and_sum_in_one_pass(spark):
+    """Each source is read once: no grain joins again, and the rows of the view meet the profit before they are summed."""
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        view = margin_view(spark, *[(1 + n % 3, f"g{n % 2}", str(n % 5), n, 10, "SP", 1.0, 2.0) for n in range(60)])
+        mart = marts.margin_marts(view, margin_profit(spark, *[(1 + n % 3, n, 10, 3.0) for n in range(0, 60, 2)]))
+        assert mart.where("grain = 'order_item'").count() == 30
+        plan = mart._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert plan.count("Join [") == 1 and plan.count("Scan ExistingRDD") == 2
+    assert "Aggregate" not in plan[plan.index("Join ["):plan.index("sales_order_date", plan.index("Exchange", plan.index("Join [")))]
+
+
+def test_margin_marts_repeats_and_nulls(spark):
+    """A profit that is there twice counts twice, whole numbers match codes, and a null key of the data is no rolled-up one."""
+    view = margin_view(spark, (1, "g", "7", 1, 10, None, 2.0, 5.0), (1, "g", "7", 1, 10, None, 2.0, 7.0), (1, None, "7", 2, 10, "SP", 1.0, 4.0), (2, "g", "7", 1, 10, "SP", 1.0, 4.0), (1, "g", "7", None, 10, "SP", 1.0, 4.0))
+    profit = margin_profit(spark, (1, 1, 10, 3.0), (1, 1, 10, 3.0), (1, 1, 10, 5.0), (1, 2, 10, 1.0), (2, 1, 10, None), (1, None, 10, 1.0), (None, 2, 10, 1.0))
+    items = marts.order_item_margin(view, profit)
+    assert sorted((r.sales_number, r.quantity_ton, r.practiced_price, r.gross_profit_bw) for r in items.collect()) == [(1, 4.0, 6.0, 3.0), (1, 4.0, 6.0, 3.0), (1, 4.0, 6.0, 5.0), (2, 1.0, 4.0, 1.0)]
+    got = {}
+    for r in marts.margin_marts(view, profit).collect():
+        got.setdefault(r.grain, set()).add((r.gpm, r.sales_number, r.issuing_state, r.quantity_ton, r.gross_profit_bw, r.cogs_total, r.practiced_price_mean))
+    assert set(got) == set(marts.MARGIN_GRAINS)
+    assert got["order_item_month"] == {("g", 1, None, 12.0, 11.0, -6.0, 6.0), (None, 2, "SP", 1.0, 1.0, -2.0, 4.0)}
+    assert got["group"] == {("g", None, None, 12.0, 11.0, -6.0, 6.0), (None, None, None, 1.0, 1.0, -2.0, 4.0)}
+    text = view.withColumns({"sales_number": F.lpad(F.col("sales_number").cast("string"), 10, "0"), "sales_item": F.lit("000010")})
+    assert sorted(map(tuple, marts.order_item_margin(text, profit).collect()), key=str) == sorted(map(tuple, items.collect()), key=str)
+
+
+def test_rollup_in_one_pass_is_the_same(spark):
+    from pricewright.operators.margin import margin_rollup
+
+    rows = spark.range(200).select((F.col("id") % 3).alias("a"), F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("b"), (F.col("id") / 7).alias("x"), (F.col("id") % 5 + 0.1).alias("w"))
+    grains = {"ab": ["a", "b"], "a": ["a"], "b": ["b"], "again": ["b"]}
+    one, other = (margin_rollup(rows, grains, ["x"], {"m": ("x", "w")}, one_pass=p) for p in (True, False))
+    assert one.columns == other.columns and sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+
+
 @pytest.fixture(scope="module")
 def wallet(spark):
     cols = [*volume.WALLET_TEXT, *volume.WALLET_DATES, *volume.WALLET_NUMBERS]

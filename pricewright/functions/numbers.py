@@ -54,6 +54,19 @@ def joined(high: Column | str, low: Column | str, digits: int = MONEY_DIGITS) ->
     return F.when(fits, (high * F.lit(LOW_UNITS).cast("bigint") + low).cast("double")).otherwise(wide.cast("double")) / float(10**digits)
 
 
+def narrowed(high: Column | str, low: Column | str) -> tuple[Column, Column]:
+    """Summed parts in one whole number, and beside it the high part where they do not fit one, else 0: for a shuffle, which packs the zeros well."""
+    high, low = column(high), column(low)
+    fits = (F.abs(high) < 2**37) & (low < 2**61)
+    return F.when(fits, high * F.lit(LOW_UNITS).cast("bigint") + low).otherwise(low), F.when(fits, F.lit(0).cast("bigint")).otherwise(high)
+
+
+def widened(whole: Column | str, rest: Column | str) -> tuple[Column, Column]:
+    """The high and low part of what ``narrowed`` made: the same sum, its low part below LOW_UNITS."""
+    whole, rest = column(whole), column(rest)
+    return F.shiftright(whole, LOW_UNITS.bit_length() - 1) + rest, whole.bitwiseAND(F.lit(LOW_UNITS - 1).cast("bigint"))
+
+
 def total(c: Column | str, digits: int = MONEY_DIGITS, over: WindowSpec | None = None) -> Column:
     """Exact sum of a number column in whole units of 10**-digits; NaN counts as null."""
     if isinstance(c, str) and c.isidentifier() and over is None:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricewright import values
-from pricewright.functions.numbers import add, joined, limbs, number, ratio, signed_sum, total
+from pricewright.functions.numbers import add, joined, limbs, narrowed, number, ratio, signed_sum, total, widened
 from pricewright.operators.joins import lookup, splittable
 from pricewright.operators.price import own_costs, with_costs
 
@@ -61,6 +61,7 @@ def margin_rollup(
     weighted: dict[str, tuple[str, str]] | None = None,
     label: str = "grain",
     one_pass: bool = False,
+    placed_by: list[str] | None = None,
 ) -> DataFrame:
     """The same measures at several grains, each summed from the nearest finer one.
 
@@ -73,6 +74,9 @@ def margin_rollup(
     so a grain is the same from whichever finer one it comes, and every sum is combined before its shuffle. Grains
     that read the same finer one share its shuffle.
 
+    ``placed_by`` names columns with about as many values as the detail has rows (an order item): the grains that hold them all are placed by
+    them alone, so that one shuffle of these fine grains serves all of them, where each would shuffle nearly every row again.
+
     Detail that comes placed by columns of the finest grain, as out of a join, would be summed to it without a shuffle, and each grain
     would then do all that stands before it again. With ``one_pass`` each row is copied per grain instead and all copies are summed at once.
     """
@@ -84,9 +88,9 @@ def margin_rollup(
     parts = [limbs(reduce(lambda x, y: x * y, map(F.col, source))) for source in place]
     state = [f"{side}_{n}" for n in place.values() for side in "hl"]
     detail = df.select(*dims, *[part.alias(name) for name, part in zip(state, [x for pair in parts for x in pair])])
-    rolled = _one_pass if one_pass else _by_lattice
     own = {source: joined(f"h_{n}", f"l_{n}") for source, n in place.items()}
-    return rolled(detail, grains, dims, state, label).select(
+    rolled = _one_pass(detail, grains, dims, state, label) if one_pass else _by_lattice(detail, grains, dims, state, label, placed_by)
+    return rolled.select(
         label,
         *dims,
         *[own[(c,)].alias(c) for c in sums],
@@ -95,11 +99,17 @@ def margin_rollup(
     )
 
 
-def _by_lattice(detail: DataFrame, grains: dict[str, list[str]], dims: list[str], state: list[str], label: str) -> DataFrame:
+def _by_lattice(
+    detail: DataFrame, grains: dict[str, list[str]], dims: list[str], state: list[str], label: str, placed_by: list[str] | None = None
+) -> DataFrame:
     """Each grain summed from the nearest finer one."""
     frames: dict[tuple[str, ...], DataFrame] = {}
+    placed: set[tuple[str, ...]] = set()
     for cols, source in lattice(list(grains.values())):
         above = detail if source is None else frames[source]
+        if placed_by and source is not None and set(placed_by) <= set(cols):
+            above = above if source in placed else _placed(above, cols, state, placed_by)
+            placed.add(cols)
         frames[cols] = above.groupBy(*cols).agg(*[F.sum(c).alias(c) for c in state])
     kinds = {c: detail.schema[c].dataType.simpleString() for c in dims}
     each = [
@@ -111,6 +121,13 @@ def _by_lattice(detail: DataFrame, grains: dict[str, list[str]], dims: list[str]
     return reduce(DataFrame.unionAll, each)
 
 
+def _placed(df: DataFrame, cols: tuple[str, ...], state: list[str], by: list[str]) -> DataFrame:
+    """Rows of a grain placed by some of its columns, their sums in narrow form on the way."""
+    pairs = list(zip(state[::2], state[1::2]))
+    slim = df.select(*cols, *[c.alias(name) for high, low in pairs for name, c in zip((high, low), narrowed(high, low))])
+    return slim.repartition(*by).select(*cols, *[c.alias(name) for high, low in pairs for name, c in zip((high, low), widened(high, low))])
+
+
 def _one_pass(detail: DataFrame, grains: dict[str, list[str]], dims: list[str], state: list[str], label: str) -> DataFrame:
     """All grains as grouping sets; grains of the same columns share a set."""
     sets = list(dict.fromkeys(tuple(c for c in dims if c in cols) for cols in grains.values()))

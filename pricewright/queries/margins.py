@@ -145,7 +145,7 @@ def gross_profit_rollup(spark, sf):
         F.expr("ext * (1 - disc) - qty * 14.70D").alias("profit"),
         F.col("practiced_price").alias("unit_price"),
     )
-    rolled = ops.margin_rollup(rows, GRAINS, ROLLUP_SUMS, {"pp": ("unit_price", "qty")})
+    rolled = ops.margin_rollup(rows, GRAINS, ROLLUP_SUMS, {"pp": ("unit_price", "qty")}, placed_by=GRAINS["order_item"])
     return tidy(rolled.withColumn("ship_month", month_label("ship_month", "yyyy-MM")))
 
 

@@ -212,3 +212,25 @@ def test_allocation_reads_its_sales_once(spark, tmp_path):
     assert {(r.br, r.txt) for r in got.collect()} == {("b0", "p1"), ("b1", "p1"), ("b2", "p1"), ("b3", "p1"), ("b4", "p1"), ("?", "p1")}
     plan = final_plan(got).split("== Initial Plan ==")[0]
     assert sum("FileScan" in line for line in plan.splitlines()) == 1
+
+def shuffled_by(df):
+    """The keys of every shuffle that is run, reused ones left out."""
+    plan = final_plan(df).split("== Initial Plan ==")[0]
+    return [line.split("hashpartitioning(")[1] for line in plan.splitlines() if " Exchange hashpartitioning(" in line and "Reused" not in line]
+
+
+def test_fine_grains_share_one_shuffle(spark):
+    """Grains that hold the placing columns are summed where these place them, to the same sums as without, at any size of number."""
+    from pricewright.operators.margin import margin_rollup
+
+    x = F.when(F.col("id") % 7 == 0, F.lit(-9e18)).when(F.col("id") % 11 == 0, F.lit(None)).when(F.col("id") % 13 == 0, F.lit("NaN").cast("double")).otherwise(F.col("id") / 7 - 20)
+    rows = spark.range(400).select((F.col("id") % 90).alias("o"), F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("i"), (F.col("id") % 5).alias("m"), (F.col("id") % 3).alias("p"), x.alias("x"), (F.col("id") % 5 + 0.1).alias("w"))
+    grains = {"month_item": ["m", "o", "i"], "item": ["o", "i"], "month_part": ["m", "p"]}
+    one, other = (margin_rollup(rows, grains, ["x"], {"mean": ("x", "w")}, placed_by=p) for p in (["o", "i"], None))
+    assert one.columns == other.columns and sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+    assert [len(shuffled_by(df)) for df in (one, other)] == [3, 4]
+
+
+def test_rollup_shuffles_order_items_once(spark, sf_dir):
+    keys = shuffled_by(registry.queries()["gross_profit_rollup"](spark, sf_dir))
+    assert sum("l_linenumber" in k and "l_partkey" not in k for k in keys) == 1, keys

@@ -8,6 +8,7 @@ row, where a wide decimal sum costs a big-integer operation. Ratios are null whe
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column, WindowSpec, functions as F
@@ -124,12 +125,12 @@ def parse_number(c: Column | str, to: str = "double") -> Column:
     return F.translate(column(c), ", ", ".").try_cast(to)
 
 
-def signed_sum(spec: str) -> Column:
-    """Sum of the columns in a "+a -b" list; null when any of them is null."""
+def signed_sum(spec: str, of: Callable[[str], Column] = F.col) -> Column:
+    """Sum of the columns in a "+a -b" list; null when any of them is null. ``of`` makes the number of a column."""
     terms = spec.split()
     total = None
     for term in terms:
-        value = F.col(term[1:])
+        value = of(term[1:])
         if total is None:
             total = -value if term[0] == "-" else value
         else:

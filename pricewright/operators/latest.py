@@ -63,11 +63,17 @@ def union_extracts(
     keys: list[str],
     order: list[Column],
     drop: tuple[str, ...] = ("year", "month", "day"),
+    figures: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Union overlapping extracts by name (upper-cased) and keep the newest row per key."""
+    """Union overlapping extracts by name (upper-cased) and keep the newest row per key.
+
+    ``figures`` are computed for every row beside its columns, before the newest is looked for: of wide rows that only their sums are wanted
+    of, the shuffle then carries these alone.
+    """
     frames = [upper_names(e.drop(*drop)) for e in extracts]
     whole = frames[0]
     for frame in frames[1:]:
         whole = whole.unionByName(frame, allowMissingColumns=True)
     # Rows that tie in the stated order are told apart by all of their columns.
-    return latest_per_key(whole, keys, [*order, F.xxhash64(*[F.col(f"`{c}`") for c in whole.columns])])
+    every = F.xxhash64(*[F.col(f"`{c}`") for c in whole.columns])
+    return latest_per_key(whole.withColumns(figures or {}), keys, [*order, every])

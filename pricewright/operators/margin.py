@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -12,9 +13,9 @@ from pricewright.operators.joins import lookup, splittable
 from pricewright.operators.price import own_costs, with_costs
 
 
-def profit_columns(stacks: dict[str, str] | None = None) -> dict[str, Column]:
+def profit_columns(stacks: dict[str, str] | None = None, of: Callable[[str], Column] = F.col) -> dict[str, Column]:
     """Cost and sales stacks of one profitability row as signed sums of its accounts."""
-    return {name: signed_sum(spec) for name, spec in (stacks or values.PROFIT_STACKS).items()}
+    return {name: signed_sum(spec, of) for name, spec in (stacks or values.PROFIT_STACKS).items()}
 
 
 def net_and_profit() -> dict[str, Column]:
@@ -34,13 +35,14 @@ def gross_profit(
     stacks: dict[str, str] | None = None,
     quantity: str = values.PROFIT_QUANTITY,
     commission: Column | None = None,
+    stacked: bool = False,
 ) -> DataFrame:
     """Stacks, net sales and gross profit summed per key; quantity goes from kg to tons.
 
     ``carry`` columns describe the key; their smallest value is kept, which does not depend
-    on row order. ``commission`` replaces the commission stack (apportioned cost).
+    on row order. ``commission`` replaces the commission stack (apportioned cost). Rows that are ``stacked`` carry their stacks already.
     """
-    out = df.withColumns(profit_columns(stacks))
+    out = df if stacked else df.withColumns(profit_columns(stacks))
     if commission is not None:
         out = out.withColumn("COMISSION_TO_AGENTS", commission)
     out = out.withColumns(net_and_profit())

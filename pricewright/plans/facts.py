@@ -8,10 +8,10 @@ from pricewright import values
 from pricewright.functions.dates import fiscal_period, parse_date, parse_time
 from pricewright.functions.numbers import number
 from pricewright.functions.text import code_int, norm_key
-from pricewright.operators.filters import exclude_terms, horizon, scope_filter
+from pricewright.operators.filters import exclude_terms, horizon, scope_filter, window_bounds
 from pricewright.operators.joins import lookup, overlay, splittable
 from pricewright.operators.latest import latest_per_key, newest, union_extracts
-from pricewright.operators.margin import apportion_cost, cost_rates, gross_profit
+from pricewright.operators.margin import apportion_cost, cost_rates, gross_profit, profit_columns
 from pricewright.plans.dimensions import region_keys
 
 # Fields that identify a billing item and a profitability item.
@@ -60,8 +60,8 @@ def billing_fact(
     ).drop("CITY_KEY", "STATE_KEY", "_code")
 
 
-def profitability_fact(extracts: list[DataFrame], as_of: str, months: int = 24) -> DataFrame:
-    """Profitability items in local currency, newest extract per item."""
+def profitability_fact(extracts: list[DataFrame], as_of: str, months: int = 24, stacked: bool = False) -> DataFrame:
+    """Profitability items in local currency, newest extract per item; with ``stacked`` their stacks stand beside the accounts."""
     recent = []
     for extract in extracts:
         typed = extract.where(F.col("`0CURRENCY`") == "BRL").withColumns(
@@ -71,7 +71,12 @@ def profitability_fact(extracts: list[DataFrame], as_of: str, months: int = 24)
             }
         )
         recent.append(horizon(typed, "GTC100025", as_of, months, month_aligned=False, closed=True))
-    return union_extracts(recent, PROFIT_KEY, [newest("DI_EXTRACT_TIME"), F.col(values.PROFIT_QUANTITY)])
+    figures = profit_columns(of=_account) if stacked else None
+    return union_extracts(recent, PROFIT_KEY, [newest("DI_EXTRACT_TIME"), F.col(values.PROFIT_QUANTITY)], figures=figures)
+
+
+def _account(name: str) -> Column:
+    return F.col(name).cast("string").try_cast("double")
 
 
 def account_columns() -> list[str]:
@@ -103,12 +108,16 @@ def expedition_rates(profit: DataFrame, ledger: DataFrame, first_period: int = 2
 
 
 def gross_profit_fact(
-    profit: DataFrame, client_state: DataFrame, expense_ledger: DataFrame | None = None, by_month: bool = True
+    profit: DataFrame, client_state: DataFrame, expense_ledger: DataFrame | None = None, by_month: bool = True, stacked: bool = False,
+    as_of: str | None = None, months: int = 24,
 ) -> DataFrame:
     """Cost stacks and gross profit per order item and month.
 
     With ``expense_ledger`` the commission stack is the apportioned shipping expense. A missing
-    state is taken from the client's newest registration.
+    state is taken from the client's newest registration. ``stacked`` says that the rows carry their stacks.
+
+    ``as_of`` and ``months`` are those of ``profitability_fact``. The horizon implies a range of the fact's month, which is stated as well: a
+    join on the month then leaves out the other side's months before its shuffle.
     """
     rows = profit
     commission: Column | None = None
@@ -124,7 +133,7 @@ def gross_profit_fact(
         )
         rows = apportion_cost(rows, rates, ["period", "corporate", "material"], "_volume", "_commission")
         commission = F.col("_commission")
-    rows = rows.withColumns({c: F.col(c).cast("string").try_cast("double") for c in account_columns()})
+    rows = rows.withColumns({c: _account(c) for c in ([values.PROFIT_QUANTITY] if stacked else account_columns())})
 
     state = client_state.select(
         F.col("COD_CLIENT").alias("_client"), F.col("ORGANIZATION_SALES_COD").alias("_org"), F.col("STATE").alias("_state")
@@ -146,7 +155,10 @@ def gross_profit_fact(
     )
     keys = ["MONTH", "SALES_NUMBER", "SALES_ITEM"] if by_month else ["SALES_NUMBER", "SALES_ITEM"]
     carry = ["SALES_ORG_COD", "MATERIAL_COD", "GPD_COD", "ISSUING_STATE", "SALES_ORDER_DATE"]
-    facts = gross_profit(rows, keys, carry, commission=commission)
+    facts = gross_profit(rows, keys, carry, commission=commission, stacked=stacked)
+    if as_of is not None and by_month:
+        lower, upper = window_bounds(as_of, months, month_aligned=False, closed=True)
+        facts = facts.where((F.col("MONTH") >= F.trunc(lower, "month")) & (F.col("MONTH") <= F.trunc(upper, "month")))
     return facts.withColumn(
         "FREIGHT_FULL", F.col("SHIP_DEL_LOAD_C_C") + F.col("PORT_EXPENSES") + F.col("FREIGHT") + F.col("COGS_ADJUSTMENTS")
     )

@@ -304,7 +304,7 @@ def profit(spark, sf):
     )
     dated = [client.withColumn("REGISTRATION_DATE", F.lit("20200101")), client.withColumns({"REGISTRATION_DATE": F.lit("20100101"), "STATE": F.lit("old")})]
     state = dimensions.latest_client_state(dated[0].unionByName(dated[1]))
-    return facts.gross_profit_fact(facts.profitability_fact(extracts, AS_OF), state)
+    return facts.gross_profit_fact(facts.profitability_fact(extracts, AS_OF, stacked=True), state, stacked=True, as_of=AS_OF)
 
 
 # --- waterfall mart: billing, profit, products and branches in one job -------------------------------------------------

@@ -176,6 +176,37 @@ def test_gross_profit_fact_and_apportioned_expense(spark):
     assert shared.COMISSION_TO_AGENTS == -600.0
 
 
+def test_stacked_profit_is_the_same_and_narrow(spark):
+    """Stacks made before the newest row is looked for: the same fact, and the accounts stay out of that shuffle."""
+    rows = profit_frame(spark)
+    account = facts.account_columns()[0]
+    odd = rows.withColumns({"GTC100255": F.lit("x9"), account: F.lit("bad")}).unionByName(rows.withColumns({"GTC100504": F.lit("20"), account: F.lit(None).cast("string")}))
+    late = rows.withColumns({"DI_EXTRACT_TIME": F.lit("2020-01-22"), account: F.lit("7")})
+    extracts, state = [rows.unionByName(odd), rows.unionByName(late)], spark.createDataFrame([], "COD_CLIENT bigint, ORGANIZATION_SALES_COD string, STATE string")
+    was = facts.gross_profit_fact(facts.profitability_fact(extracts, "2020-02-01"), state)
+    now = facts.gross_profit_fact(facts.profitability_fact(extracts, "2020-02-01", stacked=True), state, stacked=True, as_of="2020-02-01")
+    assert was.columns == now.columns and was.count() == 3 and sorted(map(str, was.collect())) == sorted(map(str, now.collect()))
+
+    def ranked(node):
+        below = [node.children().apply(i) for i in range(node.children().size())]
+        return [child.output().size() for child in below if node.nodeName() == "Window"] + [n for child in below for n in ranked(child)]
+
+    wide, slim = (max(ranked(df._jdf.queryExecution().optimizedPlan())) for df in (was, now))
+    assert wide > len(facts.account_columns()) > slim
+
+
+def test_months_of_the_profit_reach_the_view(spark):
+    """The months of the fact's horizon are left out of the view before the join shuffles it."""
+    view = margin_view(spark, *[(m, "g", "1", 1, 10, "SP", 1.0, 2.0) for m in range(1, 13)])
+    rows = profit_frame(spark).withColumns({"GTC100255": F.lit("1")})
+    state = spark.createDataFrame([], "COD_CLIENT bigint, ORGANIZATION_SALES_COD string, STATE string")
+    profit = facts.profitability_fact([rows], "2020-02-01", stacked=True)
+    was, now = (marts.order_item_margin(view, facts.gross_profit_fact(profit, state, stacked=True, as_of=as_of)) for as_of in (None, "2020-02-01"))
+    assert sorted(map(str, was.collect())) == sorted(map(str, now.collect())) and now.count() == 1
+    tests = [sum("trunc(billing_date" in line and ">= 2018-02-01" in line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in line) for df in (was, now)]
+    assert tests == [0, 1]
+
+
 @pytest.fixture(scope="module")
 def margin(spark):
     return spark.createDataFrame(

@@ -234,3 +234,8 @@ def test_fine_grains_share_one_shuffle(spark):
 def test_rollup_shuffles_order_items_once(spark, sf_dir):
     keys = shuffled_by(registry.queries()["gross_profit_rollup"](spark, sf_dir))
     assert sum("l_linenumber" in k and "l_partkey" not in k for k in keys) == 1, keys
+
+
+def test_margin_view_is_cut_to_the_months_of_the_profit(spark, sf_dir):
+    plan = plan_of(registry.queries()["margin_marts"](spark, sf_dir))
+    assert re.search(r"Filter.*trunc\(bill_date#\d+, month\) >= 1999-07-01", plan)

@@ -12,7 +12,7 @@ from pricewright.functions.text import code_int
 from pricewright.operators.catalog import filter_catalog, volume_fact
 from pricewright.operators.filters import horizon, scope_filter
 from pricewright.operators.forecast import allocate_forecast, splice_forecast
-from pricewright.operators.joins import lookup, one_per_key, splittable
+from pricewright.operators.joins import lookup, one_per_key, shuffled, splittable
 from pricewright.operators.margin import share_of_parent
 from pricewright.operators.price import (
     billed_order_price, discount_cascade, normal_price, open_order_price, policy_deviation, policy_price,
@@ -43,13 +43,13 @@ def _order_key(number_col: str, item_col: str) -> dict[str, Column]:
 
 
 def order_items(vbap: DataFrame) -> DataFrame:
-    """Net, gross and tax value and the requested quantity of an order item, one row each."""
+    """Net, gross and tax value and the requested quantity of an order item, one row each, placed by the item."""
     rows = vbap.select(
         code_int("VBELN").alias("_order"), code_int("POSNR").alias("_item"),
         number("NETWR").alias("rlv"), number("ZZICMS_IPI_T").alias("rbv"), number("MWSBP").alias("total_taxes"),
         requested_quantity("KWMENG", "UMVKZ", "UMVKN").alias("requested"),
     )
-    return one_per_key(rows, ["_order", "_item"])
+    return one_per_key(rows, ["_order", "_item"], split=False)
 
 
 def limits_of(policy: DataFrame) -> DataFrame:
@@ -64,7 +64,7 @@ def limits_of(policy: DataFrame) -> DataFrame:
 def _with_policy_limit(df: DataFrame, policy: DataFrame, name: str) -> DataFrame:
     keyed = df.withColumns({**key_columns("SALES_ORG_COD", "MATERIAL_COD"), "STATE_KEY": F.trim("ISSUING_STATE")})
     keys = ["ORG_KEY", "MATERIAL_KEY", "STATE_KEY"]
-    return with_limit(keyed, limits_of(policy), keys, "limit_pct", DEFAULT_LIMIT, name).drop(*keys)
+    return with_limit(keyed, shuffled(limits_of(policy)), keys, "limit_pct", DEFAULT_LIMIT, name).drop(*keys)
 
 
 def open_orders(wallet: DataFrame, vbap: DataFrame, order_types: list[str] | None = None) -> DataFrame:
@@ -96,7 +96,12 @@ def wallet_fact(
         number("ICMI").alias("list_price"), number("ZD38").alias("zd38_amount"), number("ZEB1").alias("zeb1"),
         number("BX41").alias("bx41"), number("BX23").alias("ipi"),
     )
-    rows = lookup(open_orders(wallet, vbap), one_per_key(terms, ["_order", "_item"]), ["_order", "_item"])
+    rows = lookup(open_orders(wallet, vbap), one_per_key(terms, ["_order", "_item"], split=False), ["_order", "_item"])
+    # The lookups that shuffle the rows come first: the prices made from few numbers of a row would widen each of these shuffles.
+    rows = _with_policy_limit(rows, policy, "limit_pct")
+    rows = with_branch(rows, region, "ISSUING_CITY", "ISSUING_STATE")
+    rows = rows.withColumns(key_columns("SALES_ORG_COD", "MATERIAL_COD"))
+    rows = lookup(rows, shuffled(product_groups(product)), ["ORG_KEY", "MATERIAL_KEY"], ["DESC_GPD", "DESC_GPM"])
     rows = discount_cascade(rows, "list_price").withColumn("practiced_price", F.col("rbv"))
     backlog = wallet_backlog("requested", "delivered", "converted", "rlv")
     rows = rows.withColumns(
@@ -117,12 +122,9 @@ def wallet_fact(
             "policy_price_kg": ratio("policy_price", "requested"),
         }
     )
-    rows = _with_policy_limit(rows, policy, "limit_pct").withColumn("verge", F.col("limit_pct") / 100.0)
-    rows = with_branch(rows, region, "ISSUING_CITY", "ISSUING_STATE")
-    keyed = rows.withColumns(key_columns("SALES_ORG_COD", "MATERIAL_COD"))
-    return lookup(
-        keyed, product_groups(product), ["ORG_KEY", "MATERIAL_KEY"], ["DESC_GPD", "DESC_GPM"]
-    ).drop("ORG_KEY", "MATERIAL_KEY", "limit_pct", "own_limit", "_order", "_item")
+    found = ["verge", "BRANCH", "DESC_GPD", "DESC_GPM"]
+    rows = rows.withColumn("verge", F.col("limit_pct") / 100.0).drop("ORG_KEY", "MATERIAL_KEY", "limit_pct", "own_limit", "_order", "_item")
+    return rows.select(*[c for c in rows.columns if c not in found], *found)
 
 
 FACT_TEXT = [

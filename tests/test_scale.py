@@ -239,3 +239,24 @@ def test_rollup_shuffles_order_items_once(spark, sf_dir):
 def test_margin_view_is_cut_to_the_months_of_the_profit(spark, sf_dir):
     plan = plan_of(registry.queries()["margin_marts"](spark, sf_dir))
     assert re.search(r"Filter.*trunc\(bill_date#\d+, month\) >= 1999-07-01", plan)
+
+
+def test_lookups_that_grow_are_not_broadcast(spark, sf_dir):
+    """Limits and product groups of every material meet the open orders by a shuffle, whatever their files are estimated at; a few cities are broadcast."""
+    plan = plan_of(registry.queries()["wallet_fact"](spark, sf_dir))
+    joins = [line for line in plan.splitlines() if "Join [" in line]
+    assert sum("SortMergeJoin" in line and "MATERIAL_KEY" in line for line in joins) == 2
+    assert sum("BroadcastHashJoin" in line and "CITY_KEY" in line for line in joins) == 1
+    assert sum("SortMergeJoin [_order#" in line for line in joins) <= 2 and plan.count("REBALANCE") == 3
+
+
+def test_shuffled_side_keeps_its_hint_and_splits_hot_keys(spark, small_limits):
+    from pricewright.operators.joins import one_per_key, shuffled
+
+    dim = one_per_key(spark.range(5000).select(F.col("id").alias("key"), (F.col("id") * 2).alias("w")), ["key"])
+    for limit in ("-1", "100m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        out = lookup(skewed(spark), shuffled(dim), {"k": "key"})
+        plan = final_plan(out).split("== Initial Plan ==")[0]
+        assert "skew=true" in plan and "BroadcastHashJoin" not in plan
+        assert out.where("w <> k * 2").count() == 0 and out.count() == 120_000
